@@ -50,15 +50,18 @@ def to_number(text: Column, dtype: str = "double") -> Column:
     return F.trim(text).try_cast(dtype)
 
 
-def price_text(col: str | Column) -> Column:
+def price_text(col: str | Column, from_prefix: bool = True) -> Column:
     """E1 text step: drop the euro sign and blanks, decimal comma -> point,
     and the "from" prefix -> "0" (so "À partir de 2,50€" reads 02.50)."""
-    return replace_all(col, [(EURO, ""), (" ", ""), (",", "."), (FROM_PRICE_PREFIX, "0")])
+    pairs = [(EURO, ""), (" ", ""), (",", ".")]
+    if from_prefix:
+        pairs.append((FROM_PRICE_PREFIX, "0"))
+    return replace_all(col, pairs)
 
 
-def parse_price(col: str | Column) -> Column:
+def parse_price(col: str | Column, from_prefix: bool = True) -> Column:
     """Scraped price text -> double (parsed as decimal(18,4))."""
-    return to_number(price_text(col), PRICE_DECIMAL).cast("double")
+    return to_number(price_text(col, from_prefix), PRICE_DECIMAL).cast("double")
 
 
 def parse_price_fixups(col: str | Column, fixups: Sequence[tuple[str, str]] = PRICE_FIXUPS) -> Column:
@@ -85,8 +88,8 @@ def discounted_price(price: str | Column, promotion: str | Column) -> Column:
 
 def promo_ratio(promotion: str | Column, price: str | Column) -> Column:
     """Share taken off by a promotional price, ``1 - promo / price``."""
-    promo = parse_price(F.nullif(replace_all(promotion, [(EURO, ""), (" ", ""), (",", ".")]), F.lit("")))
-    return F.when(promo.isNotNull(), 1 - F.try_divide(promo, parse_price(price)))
+    promo = parse_price(F.nullif(price_text(promotion, False), F.lit("")), False)
+    return F.when(promo.isNotNull(), 1 - F.try_divide(promo, parse_price(price, False)))
 
 
 def keep_digits(col: str | Column) -> Column:

@@ -195,3 +195,273 @@ def q_dim_product(spark, root):
 def q_fact_sales(spark, root):
     silver, _, _, _, dat, prod = _gold_dims(spark, root)
     return facts.fact_sales(silver, prod, dat)
+
+
+# -- bronze feeds and cleaners (RAW bindings) ---------------------------------
+
+from etalage.functions import clean as C  # noqa: E402
+from etalage.operators.dedup import dedup_first  # noqa: E402
+from etalage.operators.filters import filter_not_blank, filter_valid_key  # noqa: E402
+from etalage.operators.joins import enrich  # noqa: E402
+from etalage.operators.series import drop_null_keys  # noqa: E402
+from etalage.plans import feeds  # noqa: E402
+
+
+def _lookups(spark, root):
+    return B.raw_category(spark, root), B.raw_section(spark, root), B.raw_norm(spark, root)
+
+
+def _bronze_a(spark, root):
+    cat, sec, norm = _lookups(spark, root)
+    return feeds.bronze_feed_norm_left(B.raw_auchan(spark, root), cat, sec, norm, B.RAW_TIEBREAK)
+
+
+def _bronze_b(spark, root):
+    cat, sec, _ = _lookups(spark, root)
+    return feeds.bronze_feed_phrase_stock(B.raw_biocoop(spark, root), cat, sec, B.RAW_TIEBREAK)
+
+
+def _bronze_c(spark, root):
+    cat, sec, _ = _lookups(spark, root)
+    return feeds.bronze_feed_unit_price(B.raw_carrefour(spark, root), cat, sec, B.RAW_TIEBREAK)
+
+
+def _bronze_d(spark, root):
+    cat, sec, norm = _lookups(spark, root)
+    return feeds.bronze_feed_discount(B.raw_labellevie(spark, root), cat, sec, norm, B.RAW_TIEBREAK)
+
+
+def _stacked(spark, root):
+    return feeds.stack_feeds({
+        "auchan": _bronze_a(spark, root), "biocoop": _bronze_b(spark, root),
+        "carrefour": _bronze_c(spark, root), "labellevie": _bronze_d(spark, root),
+    })
+
+
+@query
+def q_bronze_feed_norm_left(spark, root):
+    return _bronze_a(spark, root)
+
+
+@query
+def q_bronze_feed_phrase_stock(spark, root):
+    return _bronze_b(spark, root)
+
+
+@query
+def q_bronze_feed_unit_price(spark, root):
+    return _bronze_c(spark, root)
+
+
+@query
+def q_bronze_feed_discount(spark, root):
+    return _bronze_d(spark, root)
+
+
+@query
+def q_clean_price(spark, root):
+    r = B.raw_auchan(spark, root)
+    return r.select(F.col("price").alias("price_text"), C.parse_price("price").alias("price"))
+
+
+@query
+def q_clean_price_fixups(spark, root):
+    r = B.raw_biocoop(spark, root)
+    return r.select(F.col("price").alias("price_text"), C.parse_price_fixups("price").alias("price"))
+
+
+@query
+def q_clean_discount(spark, root):
+    r = B.raw_labellevie(spark, root)
+    return r.select(
+        F.col("price").alias("price_text"), F.col("promotion").alias("promotion_text"),
+        C.discount_fraction("promotion").alias("discount"),
+        C.discounted_price("price", "promotion").alias("price"),
+    )
+
+
+@query
+def q_promo_ratio(spark, root):
+    r = B.raw_carrefour(spark, root)
+    return r.select(
+        F.col("price").alias("price_text"), F.col("promotion").alias("promotion_text"),
+        C.promo_ratio("promotion", "price").alias("promotion"),
+    )
+
+
+@query
+def q_extract_number(spark, root):
+    r = B.raw_labellevie(spark, root)
+    return r.select(F.col("quantity_stock").alias("stock_text"), C.keep_digits("quantity_stock").alias("digits"))
+
+
+@query
+def q_extract_unit(spark, root):
+    r = B.raw_biocoop(spark, root)
+    return r.select(
+        F.col("price_per_quantity").alias("unit_text"),
+        C.keep_letters("price_per_quantity", drop=(C.EURO, " ")).alias("unit"),
+    )
+
+
+@query
+def q_clean_stock(spark, root):
+    r = B.raw_biocoop(spark, root)
+    return r.select(F.col("stock").alias("stock_text"), C.parse_stock("stock").alias("stock"))
+
+
+@query
+def q_extract_unit_price(spark, root):
+    r = B.raw_carrefour(spark, root)
+    return r.select(
+        F.col("price_per_quantity").alias("unit_text"),
+        C.unit_after_slash("price_per_quantity").alias("unit"),
+        C.leading_number("price_per_quantity").alias("price_per_unit"),
+    )
+
+
+@query
+def q_derive_quantity(spark, root):
+    r = B.raw_carrefour(spark, root)
+    return r.select(
+        F.col("price").alias("price_text"), F.col("price_per_quantity").alias("unit_text"),
+        C.pack_size(C.parse_price("price", False), C.unit_price_from_text("price_per_quantity")).alias("quantity"),
+    )
+
+
+@query
+def q_normalize_units(spark, root):
+    r = B.raw_carrefour(spark, root).select(
+        C.unit_after_slash("price_per_quantity").alias("raw_unit"),
+        C.leading_number("price_per_quantity").alias("price_per_unit"),
+        C.pack_size(C.parse_price("price", False), C.unit_price_from_text("price_per_quantity")).alias("raw_quantity"),
+    )
+    return r.select(
+        "raw_unit", "raw_quantity",
+        C.scale_quantity("raw_quantity", "raw_unit").alias("quantity"),
+        C.rename_unit("raw_unit").alias("unit"),
+        C.scale_unit_price("price_per_unit", "raw_unit", "raw_quantity").alias("price_per_quantity"),
+    )
+
+
+@query
+def q_clamp_sentinel(spark, root):
+    li = read_source(spark, root, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice"])
+    return li.select("l_orderkey", "l_linenumber", C.clamp_sentinel("l_extendedprice").alias("sales"))
+
+
+def _obs_zero_qty(spark, root):
+    o = B.obs(spark, root)
+    return o.withColumn("quantity", F.when(F.col("l_orderkey") % 5 == 0, F.lit(0.0)).otherwise(F.col("quantity")))
+
+
+@query
+def q_zero_to_null(spark, root):
+    o = _obs_zero_qty(spark, root)
+    return o.select("l_orderkey", "l_linenumber", C.zero_to_null("quantity").alias("quantity"))
+
+
+@query
+def q_price_per_quantity(spark, root):
+    o = _obs_zero_qty(spark, root)
+    return o.select("l_orderkey", "l_linenumber", "price", "quantity",
+                    C.price_per_quantity("price", "quantity").alias("price_per_quantity"))
+
+
+@query
+def q_date_truncate(spark, root):
+    o = read_source(spark, root, "orders", ["o_orderkey", "o_orderdate"])
+    return o.select(
+        "o_orderkey", F.to_date("o_orderdate").alias("day"),
+        F.to_date(F.date_trunc("day", "o_orderdate")).alias("day_trunc"),
+    )
+
+
+@query
+def q_date_arith(spark, root):
+    o = read_source(spark, root, "orders", ["o_orderkey", "o_orderdate"])
+    d = F.to_date("o_orderdate")
+    return o.select(
+        "o_orderkey",
+        F.date_add(d, 370).alias("plus_370"),
+        F.datediff(F.lit("2000-01-01").cast("date"), d).cast("long").alias("days_to_2000"),
+    )
+
+
+@query
+def q_project_rename(spark, root):
+    r = B.raw_biocoop(spark, root)
+    return r.select(F.col("img").alias("image_url"), F.col("name"), F.col("date").alias("date_day"))
+
+
+@query
+def q_filter_valid_key(spark, root):
+    return filter_valid_key(B.raw_lines(spark, root), "image_url").select("image_url", "l_orderkey", "l_linenumber")
+
+
+@query
+def q_filter_not_blank(spark, root):
+    return filter_not_blank(B.raw_lines(spark, root), ["image_url", "name"]).select(
+        "image_url", "name", "l_orderkey", "l_linenumber")
+
+
+@query
+def q_filter_series_keys(spark, root):
+    return drop_null_keys(B.raw_lines(spark, root), ["image_url", "name"]).select(
+        "image_url", "name", "l_orderkey", "l_linenumber")
+
+
+@query
+def q_dedup_lookup(spark, root):
+    return feeds.first_category(B.raw_category(spark, root))
+
+
+@query
+def q_dedup_daily(spark, root):
+    return B.obs_daily(spark, root).select("image_url", "date", "l_orderkey", "l_linenumber", "stock")
+
+
+@query
+def q_dedup_desc_nulls_last(spark, root):
+    o = B.obs(spark, root)
+    order = [F.col("stock").desc_nulls_last(), F.col("l_orderkey"), F.col("l_linenumber")]
+    return dedup_first(o, ["image_url", "date"], order).select("image_url", "date", "stock", "l_orderkey", "l_linenumber")
+
+
+@query
+def q_join_left_enrich(spark, root):
+    r = B.raw_auchan(spark, root).select("name", "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag")
+    return enrich(r, B.raw_category(spark, root), "name", "product_name", ["category"], how="left")
+
+
+@query
+def q_join_inner_enrich(spark, root):
+    r = B.raw_biocoop(spark, root).select("name", "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag")
+    return enrich(r, B.raw_section(spark, root), "name", "product_name", ["section"], how="inner")
+
+
+@query
+def q_join_dim_lookup(spark, root):
+    silver = _silver(spark, root)
+    pic, dat = dims.dim_picture(silver), dims.dim_date(silver)
+    rows = silver.select("product_id", "date", F.col("image_url").alias("picture"))
+    return (
+        rows.join(pic, on="picture", how="left")
+        .join(dat.select("date", "date_id"), on="date", how="left")
+        .select("product_id", "date_id", "id_picture")
+    )
+
+
+@query
+def q_union_all(spark, root):
+    return _stacked(spark, root).select("feed", "id", "name", "date", "store", "image_url")
+
+
+@query
+def q_union_pad_missing(spark, root):
+    return _stacked(spark, root).select("feed", "id", "marque")
+
+
+@query
+def q_union_distinct(spark, root):
+    return _stacked(spark, root).select("category", "section").distinct()

@@ -108,3 +108,148 @@ def store_img(spark: SparkSession, root: str) -> DataFrame:
         F.concat(F.lit("store"), F.col("n_nationkey") % STORES).alias("store"),
         F.col("n_name").alias("image_str"),
     )
+
+
+# -- RAW: the observations rendered as scraped retailer text ----------------
+# Fixed values of the rendering (shared with the SQL oracle).
+URL_NULL_MOD, URL_EMPTY_MOD, URL_NAN_MOD = 17, 19, 23
+FROM_PRICE_MOD = 13      # 'À partir de ...' prices
+BAD_STOCK_MOD = 29       # unparseable stock text
+FIX_2150_MOD, FIX_1975_MOD = 31, 37
+JUNK_FLACON_MOD, JUNK_KILO_MOD = 41, 43
+NORM_ZERO_MOD = 9        # norm quantity '0' = unknown
+CARREFOUR_UNITS = ["KG", "kg", "Kg", "ml", "L", "U"]  # by p_size % 6
+BIOCOOP_UNITS = ["kg", "L", "unite"]                  # by p_size % 3
+
+RAW_TIEBREAK = ["l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber"]
+
+
+def _fmt2(col) -> Column:
+    return F.format_string("%.2f", col)
+
+
+def raw_lines(spark: SparkSession, root: str) -> DataFrame:
+    """lineitem + part with the shared text columns of all four feeds."""
+    li = read_source(
+        spark, root, "lineitem",
+        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+         "l_extendedprice", "l_returnflag", "l_shipdate"],
+    )
+    part = read_source(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
+    j = li.join(part, li.l_partkey == part.p_partkey, "left")
+    k = F.col("l_orderkey")
+    url = (
+        F.when(k % URL_NULL_MOD == 0, F.lit(None).cast("string"))
+        .when(k % URL_EMPTY_MOD == 0, F.lit(""))
+        .when(k % URL_NAN_MOD == 0, F.when(F.col("l_linenumber") % 2 == 0, F.lit("nan")).otherwise(F.lit("NaN")))
+        .otherwise(F.concat(F.lit("img/"), F.col("l_suppkey"), F.lit("-"), F.col("l_returnflag")))
+    )
+    return j.select(
+        F.col("l_shipdate").alias("date"),
+        F.col("p_name").alias("name"),
+        url.alias("image_url"),
+        F.concat(F.lit("store"), F.col("l_suppkey") % STORES).alias("store"),
+        F.col("p_brand").alias("marque"),
+        "l_quantity", "l_extendedprice", "p_size", "p_retailprice", *RAW_TIEBREAK,
+    )
+
+
+def raw_auchan(spark: SparkSession, root: str) -> DataFrame:
+    r = raw_lines(spark, root)
+    k = F.col("l_orderkey")
+    comma_price = F.replace(_fmt2("l_extendedprice"), F.lit("."), F.lit(","))
+    return r.select(
+        "date", "name",
+        F.when(k % BAD_STOCK_MOD == 0, F.lit("n/a"))
+        .otherwise(F.col("l_quantity").cast("bigint").cast("string")).alias("quantity_stock"),
+        F.when(k % FROM_PRICE_MOD == 0, F.concat(F.lit("À partir de "), comma_price, F.lit("€")))
+        .otherwise(F.concat(comma_price, F.lit(" €"))).alias("price"),
+        F.concat(_fmt2("p_retailprice"), F.lit(" € / kg")).alias("price_per_quantity"),
+        F.concat(F.col("p_size").cast("string"), F.lit(" x 125g")).alias("quantity"),
+        "marque", "store", "image_url", *RAW_TIEBREAK,
+    )
+
+
+def raw_biocoop(spark: SparkSession, root: str) -> DataFrame:
+    r = raw_lines(spark, root)
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    stock = (
+        F.when(ln == 1, F.lit("En Stock")).when(ln == 2, F.lit("disponible"))
+        .when(ln == 3, F.lit("rupture")).when(ln == 4, F.lit(""))
+        .when(ln == 5, F.lit(None).cast("string"))
+        .when(ln == 6, F.format_string("%.1f", "l_quantity"))
+        .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+    )
+    price = (
+        F.when(k % FIX_2150_MOD == 0, F.lit("2150")).when(k % FIX_1975_MOD == 0, F.lit("1975"))
+        .otherwise(_fmt2("l_extendedprice"))
+    )
+    unit = F.element_at(F.array(*[F.lit(u) for u in BIOCOOP_UNITS]), (F.col("p_size") % 3 + 1).cast("int"))
+    ppq = F.concat(F.replace(_fmt2("p_retailprice"), F.lit("."), F.lit(",")), F.lit(" € / "), unit)
+    return r.select(
+        "date", "name", stock.alias("stock"), price.alias("price"), ppq.alias("price_per_quantity"),
+        "store", F.col("image_url").alias("img"), *RAW_TIEBREAK,
+    )
+
+
+def raw_carrefour(spark: SparkSession, root: str) -> DataFrame:
+    r = raw_lines(spark, root)
+    k = F.col("l_orderkey")
+    comma = lambda c: F.replace(_fmt2(c), F.lit("."), F.lit(","))
+    unit = F.element_at(F.array(*[F.lit(u) for u in CARREFOUR_UNITS]), (F.col("p_size") % 6 + 1).cast("int"))
+    ppq = (
+        F.when(k % JUNK_FLACON_MOD == 0, F.lit("le flacon de 250ml"))
+        .when(k % JUNK_KILO_MOD == 0, F.lit("1,067.50 € / KG"))
+        .otherwise(F.concat(_fmt2("p_retailprice"), F.lit(" € / "), unit))
+    )
+    promo = (
+        F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit(None).cast("string"))
+        .otherwise(F.concat(comma("p_retailprice"), F.lit(" €")))
+    )
+    return r.select(
+        "date", "name",
+        F.when(k % BAD_STOCK_MOD == 0, F.lit("n/a"))
+        .otherwise(F.col("l_quantity").cast("bigint").cast("string")).alias("quantity_stock"),
+        F.concat(comma("l_extendedprice"), F.lit(" €")).alias("price"),
+        promo.alias("promotion"), ppq.alias("price_per_quantity"),
+        "store", "image_url", *RAW_TIEBREAK,
+    )
+
+
+def raw_labellevie(spark: SparkSession, root: str) -> DataFrame:
+    r = raw_lines(spark, root)
+    k = F.col("l_orderkey")
+    promo = (
+        F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit(None).cast("string")).otherwise(F.lit("20%"))
+    )
+    price = F.concat(
+        F.when(F.col("l_linenumber") % 2 == 0, F.lit("+")).otherwise(F.lit("")),
+        _fmt2("l_extendedprice"), F.lit("€"),
+    )
+    return r.select(
+        "date", "name",
+        F.concat(F.lit("Stock: "), F.col("l_quantity").cast("bigint").cast("string")).alias("quantity_stock"),
+        promo.alias("promotion"), price.alias("price"), "image_url", "store", *RAW_TIEBREAK,
+    )
+
+
+def raw_category(spark: SparkSession, root: str) -> DataFrame:
+    """``*_cat``: several categories per product name."""
+    p = read_source(spark, root, "part", ["p_name", "p_brand"])
+    return p.select(F.col("p_name").alias("product_name"), F.col("p_brand").alias("category"))
+
+
+def raw_section(spark: SparkSession, root: str) -> DataFrame:
+    p = read_source(spark, root, "part", ["p_name", "p_type"])
+    return p.select(F.col("p_name").alias("product_name"), F.col("p_type").alias("section"))
+
+
+def raw_norm(spark: SparkSession, root: str) -> DataFrame:
+    """``*_norm``: pack quantity text per name ('0' = unknown) and unit."""
+    p = read_source(spark, root, "part", ["p_partkey", "p_name", "p_size"])
+    return p.select(
+        F.col("p_name").alias("name"),
+        F.when(F.col("p_partkey") % NORM_ZERO_MOD == 0, F.lit("0"))
+        .otherwise(F.col("p_size").cast("string")).alias("quantity"),
+        F.when(F.col("p_size") % 2 == 0, F.lit("g")).otherwise(F.lit("L")).alias("unit"),
+    )
