@@ -612,3 +612,137 @@ FROM raw_biocoop r JOIN sec1 s ON s.product_name = r.name"""
 ORACLE["join_dim_lookup"] = f"""WITH {DIMS}
 SELECT s.product_id, d.date_id, p.id_picture
 FROM silver s LEFT JOIN dim_picture p ON s.image_url = p.picture LEFT JOIN dim_date d ON s.date = d.date"""
+
+
+# -- snapshot -----------------------------------------------------------------
+
+_SCD_COLS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+_SCD_AS_OF = ("2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00")
+_SCD_ALL = ["c_custkey", *_SCD_COLS, "version_id", "valid_from", "valid_to", "updated_at"]
+
+_SCD_BATCHES = """
+b1 AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer),
+b2 AS (
+  SELECT c_custkey, c_name, c_nationkey,
+    CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+    CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+  FROM customer WHERE c_custkey % 7 <> 0
+),
+b3 AS (
+  SELECT c_custkey, c_name, c_nationkey,
+    CASE WHEN c_custkey % 5 = 0 AND c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+    CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+  FROM customer
+)"""
+
+
+def _scd_open(batch: str, out: str, as_of: str) -> str:
+    t = f"TIMESTAMP '{as_of}'"
+    return f""",
+{out} AS (
+  SELECT c_custkey, {", ".join(_SCD_COLS)},
+    md5(CAST(c_custkey AS VARCHAR) || '|' || CAST({t} AS VARCHAR)) AS version_id,
+    {t} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, {t} AS updated_at
+  FROM {batch}
+)"""
+
+
+def _scd_step(prev: str, batch: str, out: str, as_of: str) -> str:
+    t = f"TIMESTAMP '{as_of}'"
+    same = " AND ".join(f"o.{c} IS NOT DISTINCT FROM n.{c}" for c in _SCD_COLS)
+    o_all = ", ".join(f"o.{c}" for c in _SCD_ALL)
+    o_closed = ", ".join(f"o.{c}" if c != "valid_to" else f"{t} AS valid_to" for c in _SCD_ALL)
+    return _scd_open(batch, f"{out}_new", as_of) + f""",
+{out}_cur AS (SELECT * FROM {prev} WHERE valid_to IS NULL),
+{out} AS (
+  SELECT * FROM {prev} WHERE valid_to IS NOT NULL
+  UNION ALL
+  SELECT {o_all} FROM {out}_cur o JOIN {batch} n ON o.c_custkey = n.c_custkey WHERE {same}
+  UNION ALL
+  SELECT {o_closed} FROM {out}_cur o LEFT JOIN {batch} n ON o.c_custkey = n.c_custkey
+    WHERE n.c_custkey IS NULL OR NOT ({same})
+  UNION ALL
+  SELECT v.* FROM {out}_new v JOIN {batch} n ON v.c_custkey = n.c_custkey
+    LEFT JOIN {out}_cur o ON o.c_custkey = n.c_custkey
+    WHERE o.c_custkey IS NULL OR NOT ({same})
+)"""
+
+
+_SCD1 = _SCD_BATCHES + _scd_open("b1", "snap1", _SCD_AS_OF[0])
+_SCD2 = _SCD1 + _scd_step("snap1", "b2", "snap2", _SCD_AS_OF[1])
+_SCD3 = _SCD2 + _scd_step("snap2", "b3", "snap3", _SCD_AS_OF[2])
+ORACLE["scd2_initial"] = f"WITH {_SCD1} SELECT * FROM snap1"
+ORACLE["scd2_changed"] = f"WITH {_SCD2} SELECT * FROM snap2"
+ORACLE["scd2_deleted"] = f"WITH {_SCD3} SELECT * FROM snap3"
+
+# -- data quality -------------------------------------------------------------
+
+_ORDERS_DQ = """
+orders_dq AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN o_orderkey - 1 ELSE o_orderkey END AS order_ref,
+    CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN o_custkey + 1000000 ELSE o_custkey END AS o_custkey,
+    o_totalprice
+  FROM orders
+)"""
+
+ORACLE["dq_unique"] = f"""WITH {_ORDERS_DQ}
+SELECT order_ref, count(*) AS n_records FROM orders_dq WHERE order_ref IS NOT NULL
+GROUP BY order_ref HAVING count(*) > 1"""
+ORACLE["dq_not_null"] = f"WITH {_ORDERS_DQ} SELECT o_orderkey FROM orders_dq WHERE o_custkey IS NULL"
+ORACLE["dq_relationships"] = f"""WITH {_ORDERS_DQ}
+SELECT o.o_custkey FROM orders_dq o
+WHERE o.o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)"""
+ORACLE["dq_between"] = f"WITH {_ORDERS_DQ} SELECT o_orderkey, o_totalprice FROM orders_dq WHERE o_totalprice < 50000"
+ORACLE["dq_unparsed"] = f"""WITH {RAW}
+SELECT l_orderkey, l_linenumber, quantity_stock FROM raw_auchan
+WHERE quantity_stock IS NOT NULL AND {_num('quantity_stock')} IS NULL"""
+
+
+def _uniq(t: str, c: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))"
+
+
+def _nn(t: str, c: str) -> str:
+    return f"(SELECT count(*) FROM {t} WHERE {c} IS NULL)"
+
+
+def _rel(t: str, c: str, p: str, f: str) -> str:
+    return (f"(SELECT count(*) FROM {t} x WHERE x.{c} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {p} y WHERE y.{f} = x.{c}))")
+
+
+_GOLD_TESTS = [
+    ("dim_picture.id_picture.unique", _uniq("dim_picture", "id_picture")),
+    ("dim_picture.id_picture.not_null", _nn("dim_picture", "id_picture")),
+    ("dim_product.product_id.unique", _uniq("dim_product", "product_id")),
+    ("dim_product.product_id.not_null", _nn("dim_product", "product_id")),
+    ("dim_product.id_picture.relationships", _rel("dim_product", "id_picture", "dim_picture", "id_picture")),
+    ("dim_product.id_store.relationships", _rel("dim_product", "id_store", "dim_store", "id_store")),
+    ("dim_product.id_category.relationships", _rel("dim_product", "id_category", "dim_category", "id_category")),
+    ("dim_category.id_category.unique", _uniq("dim_category", "id_category")),
+    ("dim_category.id_category.not_null", _nn("dim_category", "id_category")),
+    ("dim_store.id_store.unique", _uniq("dim_store", "id_store")),
+    ("dim_store.id_store.not_null", _nn("dim_store", "id_store")),
+    ("dim_date.date_id.unique", _uniq("dim_date", "date_id")),
+    ("dim_date.date_id.not_null", _nn("dim_date", "date_id")),
+    ("fact_sales.id.unique", _uniq("fact_sales", "id")),
+    ("fact_sales.id.not_null", _nn("fact_sales", "id")),
+    ("fact_sales.product_id.relationships", _rel("fact_sales", "product_id", "dim_product", "product_id")),
+    ("fact_sales.date_id.relationships", _rel("fact_sales", "date_id", "dim_date", "date_id")),
+]
+
+_FACT_BODY = ORACLE["fact_sales"][len("WITH "):]
+_FACT_CTE = _FACT_BODY[: _FACT_BODY.rindex("\nSELECT CAST(row_number()")]
+_FACT_SELECT = _FACT_BODY[_FACT_BODY.rindex("\nSELECT CAST(row_number()"):]
+
+ORACLE["dq_report"] = f"""WITH {_FACT_CTE},
+fact_sales AS ({_FACT_SELECT})
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS test, CAST({q} AS BIGINT) AS failures, "
+    f"CASE WHEN {q} = 0 THEN 'pass' ELSE 'fail' END AS status" for n, q in _GOLD_TESTS
+)
+
+ORACLE["sort_total"] = f"WITH {SILVER} SELECT * FROM silver"
+ORACLE["layer_roundtrip"] = f"""WITH {OBS_DAILY}
+SELECT image_url, name, date, price, stock, l_orderkey, l_linenumber FROM obs_daily"""

@@ -465,3 +465,134 @@ def q_union_pad_missing(spark, root):
 @query
 def q_union_distinct(spark, root):
     return _stacked(spark, root).select("category", "section").distinct()
+
+
+# -- snapshot, data quality, layout, layers -----------------------------------
+
+from etalage.operators import quality as Q  # noqa: E402
+from etalage.operators.snapshot import scd2_replay  # noqa: E402
+from etalage.operators.sort import sort_for_write  # noqa: E402
+from etalage.session import checkpoint_dir  # noqa: E402
+from etalage.sources.io import read_model, write_layer  # noqa: E402
+
+SCD_AS_OF = ("2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00")
+
+
+def _customer_batches(spark, root):
+    """Three loads of ``customer``: all rows; edits, a NULL change and hard
+    deletes; deleted keys back and half of the edits undone."""
+    c = read_source(spark, root, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    k = F.col("c_custkey")
+    seg = F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment"))
+    b2 = c.filter(k % 7 != 0).select(
+        "c_custkey", "c_name", "c_nationkey",
+        F.when(k % 5 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        seg.alias("c_mktsegment"),
+    )
+    b3 = c.select(
+        "c_custkey", "c_name", "c_nationkey",
+        F.when((k % 5 == 0) & (k % 2 == 0), F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        seg.alias("c_mktsegment"),
+    )
+    return list(zip(SCD_AS_OF, [c, b2, b3]))
+
+
+@query
+def q_scd2_initial(spark, root):
+    return scd2_replay(_customer_batches(spark, root)[:1], "c_custkey")
+
+
+@query
+def q_scd2_changed(spark, root):
+    return scd2_replay(_customer_batches(spark, root)[:2], "c_custkey")
+
+
+@query
+def q_scd2_deleted(spark, root):
+    return scd2_replay(_customer_batches(spark, root), "c_custkey")
+
+
+def _orders_dq(spark, root):
+    o = read_source(spark, root, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+    k = F.col("o_orderkey")
+    return o.select(
+        "o_orderkey",
+        F.when(k % 17 == 0, F.lit(None).cast("long")).when(k % 13 == 0, k - 1).otherwise(k).alias("order_ref"),
+        F.when(k % 19 == 0, F.lit(None).cast("long")).when(k % 23 == 0, F.col("o_custkey") + 1000000)
+        .otherwise(F.col("o_custkey")).alias("o_custkey"),
+        "o_totalprice",
+    )
+
+
+@query
+def q_dq_unique(spark, root):
+    return Q.unique(_orders_dq(spark, root), "order_ref")
+
+
+@query
+def q_dq_not_null(spark, root):
+    return Q.not_null(_orders_dq(spark, root), "o_custkey").select("o_orderkey")
+
+
+@query
+def q_dq_relationships(spark, root):
+    cust = read_source(spark, root, "customer", ["c_custkey"])
+    return Q.relationships(_orders_dq(spark, root), "o_custkey", cust, "c_custkey")
+
+
+@query
+def q_dq_between(spark, root):
+    return Q.below(_orders_dq(spark, root), "o_totalprice", 50000).select("o_orderkey", "o_totalprice")
+
+
+@query
+def q_dq_unparsed(spark, root):
+    r = B.raw_auchan(spark, root)
+    return Q.unparsed(r, "quantity_stock", C.parse_stock_number("quantity_stock")).select(
+        "l_orderkey", "l_linenumber", "quantity_stock")
+
+
+def gold_tests(cat, pic, sto, dat, prod, fact) -> list:
+    """The 17 tests of the gold layer: keys unique and present, FKs resolve."""
+    t = [
+        Q.DataTest("dim_picture.id_picture.unique", Q.unique(pic, "id_picture")),
+        Q.DataTest("dim_picture.id_picture.not_null", Q.not_null(pic, "id_picture")),
+        Q.DataTest("dim_product.product_id.unique", Q.unique(prod, "product_id")),
+        Q.DataTest("dim_product.product_id.not_null", Q.not_null(prod, "product_id")),
+        Q.DataTest("dim_product.id_picture.relationships", Q.relationships(prod, "id_picture", pic, "id_picture")),
+        Q.DataTest("dim_product.id_store.relationships", Q.relationships(prod, "id_store", sto, "id_store")),
+        Q.DataTest("dim_product.id_category.relationships", Q.relationships(prod, "id_category", cat, "id_category")),
+        Q.DataTest("dim_category.id_category.unique", Q.unique(cat, "id_category")),
+        Q.DataTest("dim_category.id_category.not_null", Q.not_null(cat, "id_category")),
+        Q.DataTest("dim_store.id_store.unique", Q.unique(sto, "id_store")),
+        Q.DataTest("dim_store.id_store.not_null", Q.not_null(sto, "id_store")),
+        Q.DataTest("dim_date.date_id.unique", Q.unique(dat, "date_id")),
+        Q.DataTest("dim_date.date_id.not_null", Q.not_null(dat, "date_id")),
+        Q.DataTest("fact_sales.id.unique", Q.unique(fact, "id")),
+        Q.DataTest("fact_sales.id.not_null", Q.not_null(fact, "id")),
+        Q.DataTest("fact_sales.product_id.relationships", Q.relationships(fact, "product_id", prod, "product_id")),
+        Q.DataTest("fact_sales.date_id.relationships", Q.relationships(fact, "date_id", dat, "date_id")),
+    ]
+    return t
+
+
+@query
+def q_dq_report(spark, root):
+    silver, cat, pic, sto, dat, prod = _gold_dims(spark, root)
+    fact = facts.fact_sales(silver, prod, dat)
+    return Q.test_report(gold_tests(cat, pic, sto, dat, prod, fact))
+
+
+@query
+def q_sort_total(spark, root):
+    return sort_for_write(_silver(spark, root), ["image_url", "name", "date"])
+
+
+@query
+def q_layer_roundtrip(spark, root):
+    import uuid
+
+    base = f"{checkpoint_dir(spark)}/layers-{uuid.uuid4().hex[:12]}"
+    daily = B.obs_daily(spark, root).select("image_url", "name", "date", "price", "stock", "l_orderkey", "l_linenumber")
+    write_layer(daily, base, "bronze", "obs_daily", fmt="parquet")
+    return read_model(spark, base, "bronze", "obs_daily", fmt="parquet")
