@@ -94,18 +94,27 @@ def sampled_bucket(
     oversample: int = 32,
     rows_hint: int | None = None,
     seed: int = 7,
+    sample_from: DataFrame | None = None,
 ) -> Column:
-    """Monotone bucket expression for ``order_by`` from a bounded sample."""
+    """Monotone bucket expression for ``order_by`` from a bounded sample.
+
+    ``sample_from`` may be a cheaper frame with the same key columns whose
+    key distribution resembles ``df``'s (for example the observations a
+    dense series is generated from); bounds only steer balance, never the
+    numbers, so any sample source gives the same result.
+    """
     m = _num_buckets(df, num_buckets)
     key, types = _normalised_key(df, order_by)
     if m == 1:
         return F.lit(0)
+    src = sample_from if sample_from is not None else df
+    skey, _ = _normalised_key(src, order_by)
     target = m * oversample
-    rows = rows_hint if rows_hint is not None else df.count()
+    rows = rows_hint if rows_hint is not None else src.count()
     if rows == 0:
         return F.lit(0)
     fraction = min(1.0, 2.0 * target / rows)
-    sample = df.select(key.alias("k"))
+    sample = src.select(skey.alias("k"))
     if fraction < 1.0:
         sample = sample.sample(withReplacement=False, fraction=fraction, seed=seed)
     # Spark sorts the sample (its ordering, not Python's), at most ~2*target rows.
@@ -134,6 +143,7 @@ def global_rank(
     uniform_leading: tuple[int, int] | None = None,
     rows_hint: int | None = None,
     seed: int = 7,
+    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out`` = ``row_number() over (order by order_by)`` as bigint.
 
@@ -149,7 +159,9 @@ def global_rank(
         m = _num_buckets(df, num_buckets)
         bucket = uniform_bucket(order_by[0], uniform_leading[0], uniform_leading[1], m)
     else:
-        bucket = sampled_bucket(df, order_by, num_buckets, rows_hint=rows_hint, seed=seed)
+        bucket = sampled_bucket(
+            df, order_by, num_buckets, rows_hint=rows_hint, seed=seed, sample_from=sample_from
+        )
 
     tagged = df.withColumn("_bucket", bucket)
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))

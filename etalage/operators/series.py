@@ -129,6 +129,7 @@ def fill_series(
     hash_col: str | None = "product_id",
     id_col: str | None = None,
     rank_rows_hint: int | None = None,
+    hash_of: Sequence[str] | None = None,
 ) -> DataFrame:
     """H2: dense daily series with forward-filled columns.
 
@@ -144,7 +145,8 @@ def fill_series(
     No join, no aggregate, no spine materialised before the fill. Input must
     hold at most one row per ``keys + [date]`` (the bronze daily dedup
     guarantees it); a duplicate day emits one row per duplicate, as the join
-    form does.
+    form does. ``hash_col`` is the md5 surrogate of ``hash_of`` (default: the
+    keys); ``id_col`` numbers the rows by keys and date over the whole table.
     """
     obs = drop_null_keys(df, keys)
     w_run = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
@@ -166,7 +168,11 @@ def fill_series(
         *keys, F.explode(F.sequence(F.col(date), end)).alias(date), *cols
     )
     if hash_col:
-        out = out.select(hash_key(*keys).alias(hash_col), *out.columns)
+        out = out.select(hash_key(*(hash_of or keys)).alias(hash_col), *out.columns)
     if id_col:
-        out = global_rank(out, [*keys, date], out=id_col, rows_hint=rank_rows_hint)
+        # sample the observations, not the generated days: same keys, far fewer rows
+        out = global_rank(
+            out, [*keys, date], out=id_col, rows_hint=rank_rows_hint,
+            sample_from=obs.select(*keys, date),
+        )
     return out
