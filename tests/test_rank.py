@@ -36,6 +36,9 @@ def test_rank_uniform_leading(spark):
 
 
 def test_rank_dates_and_empty(spark):
-    df = spark.range(500).select(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 37 % 400).cast("int")).alias("d"), "id")
-    _check(df, ["d", "id"], num_buckets=6)
-    assert global_rank(df.limit(0), ["d", "id"]).count() == 0
+    df = spark.range(500).select(
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 37 % 400).cast("int")).alias("d"),
+        F.col("id").alias("i"),
+    )
+    _check(df, ["d", "i"], num_buckets=6)
+    assert global_rank(df.limit(0), ["d", "i"]).count() == 0

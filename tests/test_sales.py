@@ -14,7 +14,8 @@ D0 = dt.date(2024, 1, 1)
 
 def frame(spark, rows):
     return spark.createDataFrame(
-        [(pic, name, D0 + dt.timedelta(days=d), s, 1, 1.0, 1.0, 1.0, "g") for pic, name, d, s in rows],
+        [(pic, name, D0 + dt.timedelta(days=d), None if s is None else float(s), 1, 1.0, 1.0, 1.0, "g")
+         for pic, name, d, s in rows],
         "image_url string, name string, date date, stock double, product_id long, price double, "
         "quantity double, price_per_quantity double, unit string",
     )
