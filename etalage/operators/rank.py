@@ -144,11 +144,17 @@ def global_rank(
     rows_hint: int | None = None,
     seed: int = 7,
     sample_from: DataFrame | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     """Add ``out`` = ``row_number() over (order by order_by)`` as bigint.
 
     Ascending, NULLS FIRST on every column (Spark's default, and the order the
     models use). The result is placed first among the columns.
+
+    ``materialize=True`` writes the bucketed rows once with a reliable
+    ``checkpoint()`` (into the session's checkpoint folder) before counting:
+    for a deep upstream plan that is cheaper than computing it twice (once
+    for the counts, once for the numbers), and it cuts the lineage.
     """
     order_cols = [F.col(c).asc_nulls_first() for c in order_by]
     if bounded:
@@ -164,6 +170,11 @@ def global_rank(
         )
 
     tagged = df.withColumn("_bucket", bucket)
+    if materialize:
+        from etalage.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # at most num_buckets + 1 rows: a single-partition window here is bounded
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -130,6 +130,7 @@ def fill_series(
     id_col: str | None = None,
     rank_rows_hint: int | None = None,
     hash_of: Sequence[str] | None = None,
+    materialize_rank: bool = False,
 ) -> DataFrame:
     """H2: dense daily series with forward-filled columns.
 
@@ -173,6 +174,6 @@ def fill_series(
         # sample the observations, not the generated days: same keys, far fewer rows
         out = global_rank(
             out, [*keys, date], out=id_col, rows_hint=rank_rows_hint,
-            sample_from=obs.select(*keys, date),
+            sample_from=obs.select(*keys, date), materialize=materialize_rank,
         )
     return out

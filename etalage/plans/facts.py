@@ -34,13 +34,16 @@ def fact_sales(
     dim_date: DataFrame,
     series_key: Sequence[str] = ("image_url",),
     feed_col: str | None = "feed",
+    materialize: bool = True,
 ) -> DataFrame:
     """K6: estimated daily sales per product.
 
     Per feed: estimate sales along each picture; all feeds together: keep the
     highest-stock row per (product, day), look up the product and date keys,
     clamp the sentinel range to 1, keep one row per (product_id, date_id) and
-    number the rows by (product_id, date_id).
+    number the rows by (product_id, date_id). ``materialize`` checkpoints the
+    deduplicated rows before numbering them, so the estimate, lookups and
+    dedups run once instead of once per numbering pass.
     """
     keys = list(series_key)
     if feed_col and feed_col in silver.columns:
@@ -67,5 +70,6 @@ def fact_sales(
     )
     final = dedup_first(joined, ["product_id", "date_id"], _keep_highest_stock())
     return global_rank(
-        final, ["product_id", "date_id"], out="id", uniform_leading=PRODUCT_ID_RANGE
+        final, ["product_id", "date_id"], out="id", uniform_leading=PRODUCT_ID_RANGE,
+        materialize=materialize,
     )

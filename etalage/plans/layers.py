@@ -20,12 +20,14 @@ SERIES_KEYS = ["image_url", "name"]
 SERIES_COLS = ["price", "stock", "quantity", "unit", "price_per_quantity", "category", "section", "marque", "store"]
 
 
-def silver_from_bronze(bronze: DataFrame, feed_col: str = "feed", max_days: int | None = 370) -> DataFrame:
+def silver_from_bronze(bronze: DataFrame, feed_col: str = "feed", max_days: int | None = 370,
+                       materialize_rank: bool = True) -> DataFrame:
     """Dense daily series per feed, picture and name; ``id`` over the table."""
     keys = [feed_col, *SERIES_KEYS] if feed_col in bronze.columns else list(SERIES_KEYS)
     cols = [c for c in SERIES_COLS if c in bronze.columns]
     return fill_series(
         bronze, keys, cols, "date", max_days=max_days, hash_of=SERIES_KEYS, id_col="id",
+        materialize_rank=materialize_rank,
     )
 
 

@@ -596,3 +596,17 @@ def q_layer_roundtrip(spark, root):
     daily = B.obs_daily(spark, root).select("image_url", "name", "date", "price", "stock", "l_orderkey", "l_linenumber")
     write_layer(daily, base, "bronze", "obs_daily", fmt="parquet")
     return read_model(spark, base, "bronze", "obs_daily", fmt="parquet")
+
+
+@query
+def q_stream_landing(spark, root):
+    """Raw feed files dropped in several parts, landed by the file stream, read back."""
+    import uuid
+
+    from etalage.streaming.landing import land_available
+
+    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
+    raw = B.raw_auchan(spark, root)
+    raw.repartition(4).write.parquet(f"{base}/drop")
+    land_available(spark, f"{base}/drop", f"{base}/landing", raw.schema, f"auchan-{uuid.uuid4().hex[:8]}")
+    return spark.read.parquet(f"{base}/landing")

@@ -40,7 +40,11 @@ def test_skew_safe_form_equals_window_form(spark):
         rows.append((pic, f"n{rnd.randint(0, 40)}", rnd.randint(0, 60),
                      None if rnd.random() < 0.1 else float(rnd.randint(0, 20))))
     df = frame(spark, rows).dropDuplicates(["image_url", "name", "date"])
-    ours = estimate_sales(df, keep=["image_url", "name"])
+    for hot_rows in (None, 100, 10**9):
+        _compare(df, estimate_sales(df, keep=["image_url", "name"], hot_rows=hot_rows))
+
+
+def _compare(df, ours):
     w = Window.partitionBy("image_url").orderBy("date", "name")
     d = df.withColumn("diff", F.col("stock") - F.lag("stock").over(w))
     mean = F.avg(F.when(F.col("diff") <= 0, F.abs("diff"))).over(Window.partitionBy("image_url"))
