@@ -151,12 +151,18 @@ def global_rank(
     Ascending, NULLS FIRST on every column (Spark's default, and the order the
     models use). The result is placed first among the columns.
 
-    ``materialize=True`` writes the bucketed rows once with a reliable
-    ``checkpoint()`` (into the session's checkpoint folder) before counting:
-    for a deep upstream plan that is cheaper than computing it twice (once
-    for the counts, once for the numbers), and it cuts the lineage.
+    ``materialize=True`` stores the input once with a reliable ``checkpoint()``
+    (into the session's checkpoint folder) before the sample, count and
+    numbering passes read it: for a deep upstream plan that is cheaper than
+    computing it once per pass, and it cuts the lineage.
     """
     order_cols = [F.col(c).asc_nulls_first() for c in order_by]
+    if materialize and not bounded:
+        from etalage.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+        sample_from = None  # the stored rows are as cheap to sample as anything
     if bounded:
         w = Window.orderBy(*order_cols)
         return df.select(F.row_number().over(w).cast("long").alias(out), *df.columns)
@@ -170,11 +176,6 @@ def global_rank(
         )
 
     tagged = df.withColumn("_bucket", bucket)
-    if materialize:
-        from etalage.session import checkpoint_dir
-
-        checkpoint_dir(df.sparkSession)
-        tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # at most num_buckets + 1 rows: a single-partition window here is bounded
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

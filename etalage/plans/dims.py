@@ -3,7 +3,8 @@
 Each takes the silver table of all feeds stacked by name (``stack_feeds``);
 a UNION of the four feeds followed by DISTINCT is the DISTINCT of the stack,
 and a UNION ALL of per-feed DISTINCTs is the DISTINCT of the stack including
-its ``feed`` column.
+its ``feed`` column. The distinct sets are checkpointed before numbering, so
+the silver scan and aggregation run once per dimension.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from etalage.operators.rank import global_rank
 def dim_category(silver: DataFrame) -> DataFrame:
     """K1: one row per (section, category), numbered by section then category."""
     pairs = silver.select("category", "section").filter(not_blank("category", "section")).distinct()
-    return global_rank(pairs, ["section", "category"], out="id_category").select(
+    return global_rank(pairs, ["section", "category"], out="id_category", materialize=True).select(
         "id_category", "section", "category"
     )
 
@@ -49,7 +50,7 @@ def dim_picture(silver: DataFrame) -> DataFrame:
         .filter(not_blank("picture"))
         .distinct()
     )
-    return global_rank(pics, ["picture"], out="id_picture").select("id_picture", "picture")
+    return global_rank(pics, ["picture"], out="id_picture", materialize=True).select("id_picture", "picture")
 
 
 def dim_store(silver: DataFrame, store_img: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def dim_store(silver: DataFrame, store_img: DataFrame) -> DataFrame:
     stores = silver.select("store").filter(not_blank("store")).distinct()
     imgs = dedup_first(store_img.select("store", "image_str"), ["store"], [F.col("image_str")])
     joined = stores.join(imgs, on="store", how="left")
-    return global_rank(joined, ["store"], out="id_store").select("id_store", "store", "image_str")
+    return global_rank(joined, ["store"], out="id_store", materialize=True).select("id_store", "store", "image_str")
 
 
 def dim_product(
