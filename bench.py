@@ -25,7 +25,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from etalage.plans import feeds, layers  # noqa: E402
+from etalage.plans import layers  # noqa: E402
 from etalage.queries import REGISTRY  # noqa: E402
 from etalage.session import build_session  # noqa: E402
 from etalage.sources import bindings as B  # noqa: E402
@@ -126,16 +126,7 @@ def main() -> None:
     timed(q, "land_raw_feeds", land_all)
     t0 = time.time()
     src = {name: spark.read.parquet(f"{land}/{name}") for name in raw}
-    cat, sec, norm = src["cat"], src["section"], src["norm"]
-    bronze = {
-        "auchan": lambda: feeds.bronze_feed_norm_left(src["auchan"], cat, sec, norm, B.RAW_TIEBREAK),
-        "biocoop": lambda: feeds.bronze_feed_phrase_stock(src["biocoop"], cat, sec, B.RAW_TIEBREAK),
-        "carrefour": lambda: feeds.bronze_feed_unit_price(src["carrefour"], cat, sec, B.RAW_TIEBREAK),
-        "labellevie": lambda: feeds.bronze_feed_discount(src["labellevie"], cat, sec, norm, B.RAW_TIEBREAK),
-    }
-    for name, fn in bronze.items():
-        timed(q, f"bronze_{name}", lambda fn=fn, name=name: fn().write.mode("overwrite").parquet(
-            f"{out_root}/bronze/{name}"))
+    timed(q, "bronze_build", lambda: layers.build_bronze(spark, out_root, src, B.RAW_TIEBREAK, "parquet"))
     # silver and gold on the OBS binding (the RAW feeds share one name space
     # of 64 product names, which is not a realistic series population)
     timed(q, "silver_build", lambda: q.__setitem__("_silver", layers.build_silver(

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from collections.abc import Sequence
+
 from etalage.operators.series import fill_series
-from etalage.operators.sort import sort_for_write
 from etalage.plans import dims, facts
+from etalage.plans import feeds as K
 from etalage.plans.feeds import stack_feeds
 from etalage.sources.io import read_model, write_layer
 
@@ -42,13 +44,41 @@ def gold_models(silver: DataFrame, store_img: DataFrame) -> dict[str, DataFrame]
             "dim_product": prod, "fact_sales": facts.fact_sales(silver, prod, dat)}
 
 
+def build_bronze(
+    spark: SparkSession,
+    root: str,
+    raw: dict[str, DataFrame],
+    tie_break: Sequence[str],
+    fmt: str | None = None,
+) -> dict[str, DataFrame]:
+    """The four bronze feed models from landed raw tables, each written once.
+
+    ``raw`` holds ``auchan``, ``biocoop``, ``carrefour``, ``labellevie`` feeds
+    and the ``cat``, ``section`` and ``norm`` lookups.
+    """
+    cat, sec, norm = raw["cat"], raw["section"], raw["norm"]
+    models = {
+        "auchan": K.bronze_feed_norm_left(raw["auchan"], cat, sec, norm, tie_break),
+        "biocoop": K.bronze_feed_phrase_stock(raw["biocoop"], cat, sec, tie_break),
+        "carrefour": K.bronze_feed_unit_price(raw["carrefour"], cat, sec, tie_break),
+        "labellevie": K.bronze_feed_discount(raw["labellevie"], cat, sec, norm, tie_break),
+    }
+    out = {}
+    for name, df in models.items():
+        write_layer(df, root, "bronze", name, fmt)
+        out[name] = read_model(spark, root, "bronze", name, fmt)
+    return out
+
+
 def build_silver(spark: SparkSession, root: str, bronze_feeds: dict[str, DataFrame], fmt: str | None = None) -> DataFrame:
     """Write each bronze feed, then the silver table of all feeds; return it read back."""
     for name, df in bronze_feeds.items():
         write_layer(df, root, "bronze", name, fmt)
     stacked = stack_feeds({n: read_model(spark, root, "bronze", n, fmt) for n in bronze_feeds})
+    # the numbering already shuffles rows into sorted key ranges (its buckets),
+    # so the table is written as it comes out, without another range shuffle
     silver = silver_from_bronze(stacked)
-    write_layer(sort_for_write(silver, ["feed", *SERIES_KEYS, "date"]), root, "silver", "silver", fmt)
+    write_layer(silver, root, "silver", "silver", fmt)
     return read_model(spark, root, "silver", "silver", fmt)
 
 

@@ -12,6 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from etalage.functions import clean as C
+from etalage.operators import quality as Q
+from etalage.operators.dedup import dedup_first
+from etalage.operators.filters import filter_not_blank, filter_valid_key
+from etalage.operators.joins import enrich
+from etalage.operators.series import drop_null_keys
+from etalage.operators.snapshot import scd2_replay
+from etalage.operators.sort import sort_for_write
+from etalage.plans import feeds
+from etalage.session import checkpoint_dir
+from etalage.sources.io import read_model, write_layer
 from etalage.functions.keys import hash_key
 from etalage.operators.rank import global_rank
 from etalage.operators.series import (
@@ -23,7 +34,12 @@ from etalage.operators.series import (
     series_extent,
     spine_left_join,
 )
-from etalage.operators.sales import estimate_sales, mean_depletion_agg, sales_from_delta
+from etalage.operators.sales import (
+    estimate_sales,
+    mean_depletion_agg,
+    mean_depletion_over,
+    sales_from_delta,
+)
 from etalage.plans import dims, facts
 from etalage.sources import bindings as B
 from etalage.sources.io import read_source
@@ -130,8 +146,6 @@ def q_agg_mean_depletion(spark, root):
 @query
 def q_join_group_mean(spark, root):
     d = _diffs(spark, root)
-    from etalage.operators.sales import mean_depletion_over
-
     return d.select("image_url", "name", "date", "raw_stock_diff",
                     mean_depletion_over(["image_url"]).alias("mean_negative_stock_diff"))
 
@@ -139,8 +153,6 @@ def q_join_group_mean(spark, root):
 @query
 def q_sales_from_delta(spark, root):
     d = _diffs(spark, root)
-    from etalage.operators.sales import mean_depletion_over
-
     return d.select("image_url", "name", "date",
                     sales_from_delta("raw_stock_diff", mean_depletion_over(["image_url"])).alias("sales"))
 
@@ -199,13 +211,6 @@ def q_fact_sales(spark, root):
 
 # -- bronze feeds and cleaners (RAW bindings) ---------------------------------
 
-from etalage.functions import clean as C  # noqa: E402
-from etalage.operators.dedup import dedup_first  # noqa: E402
-from etalage.operators.filters import filter_not_blank, filter_valid_key  # noqa: E402
-from etalage.operators.joins import enrich  # noqa: E402
-from etalage.operators.series import drop_null_keys  # noqa: E402
-from etalage.plans import feeds  # noqa: E402
-
 
 def _lookups(spark, root):
     return B.raw_category(spark, root), B.raw_section(spark, root), B.raw_norm(spark, root)
@@ -469,11 +474,6 @@ def q_union_distinct(spark, root):
 
 # -- snapshot, data quality, layout, layers -----------------------------------
 
-from etalage.operators import quality as Q  # noqa: E402
-from etalage.operators.snapshot import scd2_replay  # noqa: E402
-from etalage.operators.sort import sort_for_write  # noqa: E402
-from etalage.session import checkpoint_dir  # noqa: E402
-from etalage.sources.io import read_model, write_layer  # noqa: E402
 
 SCD_AS_OF = ("2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00")
 
