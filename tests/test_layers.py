@@ -4,7 +4,7 @@ import tempfile
 
 from etalage.plans import layers
 from etalage.queries import REGISTRY, gold_tests
-from etalage.operators.quality import test_report
+from etalage.operators import quality as Q
 from etalage.sources import bindings as B
 
 from conftest import SF_SMALL
@@ -21,7 +21,7 @@ def test_layered_gold_matches_queries(spark):
     direct = sorted(tuple(r) for r in REGISTRY["fact_sales"](spark, SF_SMALL).select(cols).collect())
     assert layered == direct
 
-    report = test_report(gold_tests(gold["dim_category"], gold["dim_picture"], gold["dim_store"],
+    report = Q.test_report(gold_tests(gold["dim_category"], gold["dim_picture"], gold["dim_store"],
                                     gold["dim_date"], gold["dim_product"], gold["fact_sales"]))
     assert {r.status for r in report.collect()} == {"pass"}
 
