@@ -4,25 +4,26 @@
 row into one task (``Exchange SinglePartition``). That does not survive a large
 table. The distributed form here gives the same numbers:
 
-1. draw a bounded sample of the normalised sort key and let Spark sort it;
-   every (n/m)-th sampled key becomes a bucket bound (at most ``m`` literals
-   reach the driver);
-2. ``bucket = number of bounds <= key``, evaluated as a binary tree of CASE
-   comparisons, so the bucket is a pure function of the row (a recomputed
-   task after an executor loss lands every row in the same bucket again);
-3. count rows per bucket (partial aggregation, ``m`` rows leave the map side),
-   prefix-sum the counts into offsets (``m`` rows, broadcast);
-4. ``offset + row_number()`` within each bucket.
-
-The bounds are drawn from the *full* key tuple, so one leading value that holds
-a third of the table is still split across many buckets. Only exact ties of
-the whole key share a bucket, and a caller must give a total order anyway for
-the numbering to be deterministic.
-
-For keys whose leading column is a uniformly spread integer (hash surrogates),
-``uniform_leading=(lo, hi)`` skips the sample: the bucket is arithmetic.
-For inputs with a proven small bound (distinct calendar days, stores),
-``bounded=True`` keeps the plain window.
+1. ``repartitionByRange`` on the full sort key: Spark samples the key, fixes
+   range bounds and binary-searches every row into its range, so partition
+   ``p`` holds exactly the keys between two bounds. The bounds come from the
+   whole key tuple, so one leading value holding a third of the table is
+   still split over many ranges;
+2. ``sortWithinPartitions`` on the key; each row's position inside its range
+   is its ``monotonically_increasing_id`` minus the range's base
+   (``partition << 33``), which is consecutive after the sort;
+3. a reliable ``checkpoint()`` (into the session's checkpoint folder) freezes
+   range and position, so the counting pass and the numbering pass see the
+   same assignment even if a task is retried;
+4. the rows per range (at most ``m`` numbers, like the partitioner's own
+   bounds) are prefix-summed on the driver into an array literal of offsets;
+   ``id = offsets[range] + position + 1``. No join, no further shuffle.
+
+For a leading integer spread evenly over a known range (hash surrogates),
+``uniform_leading=(lo, hi)`` needs no sample and no checkpoint: the range is
+arithmetic, and one hash shuffle on it plus ``row_number`` within it give the
+numbers. For an input with a proven small bound, ``bounded=True`` keeps the
+plain window.
 """
 
 from __future__ import annotations
@@ -31,101 +32,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MAX_BUCKETS = 4096
 
 
-def _zero_of(dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.StringType):
-        return F.lit("")
-    if isinstance(dtype, T.BooleanType):
-        return F.lit(False)
-    if isinstance(dtype, T.DateType):
-        return F.lit("1970-01-01").cast(dtype)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit("1970-01-01 00:00:00").cast(dtype)
-    if isinstance(dtype, T.BinaryType):
-        return F.lit(b"")
-    return F.lit(0).cast(dtype)
-
-
-def _normalised_key(df: DataFrame, order_by: Sequence[str]) -> tuple[Column, list[T.DataType]]:
-    """Struct whose ascending order equals ``ORDER BY c1, c2 ...`` (NULLS FIRST).
-
-    Each column becomes (is-not-null flag, value-or-zero), so no NULL is left
-    inside the struct and comparison is plain lexicographic.
-    """
-    fields, types = [], []
-    for i, name in enumerate(order_by):
-        dtype = df.schema[name].dataType
-        fields.append(F.col(name).isNotNull().cast("int").alias(f"f{i}"))
-        fields.append(F.coalesce(F.col(name), _zero_of(dtype)).alias(f"v{i}"))
-        types += [T.IntegerType(), dtype]
-    return F.struct(*fields), types
-
-
-def _literal_struct(row, types: list[T.DataType]) -> Column:
-    return F.struct(
-        *[F.lit(v).cast(t).alias(n) for (n, v), t in zip(row.asDict().items(), types)]
-    )
-
-
-def _bucket_tree(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    """Number of bounds <= key, knowing the answer lies in [lo, hi]."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key >= bounds[mid], _bucket_tree(key, bounds, mid + 1, hi)).otherwise(
-        _bucket_tree(key, bounds, lo, mid)
-    )
-
-
 def _num_buckets(df: DataFrame, num_buckets: int | None) -> int:
     if num_buckets is None:
         num_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(1, min(int(num_buckets), MAX_BUCKETS))
 
 
-def sampled_bucket(
-    df: DataFrame,
-    order_by: Sequence[str],
-    num_buckets: int | None = None,
-    oversample: int = 32,
-    rows_hint: int | None = None,
-    seed: int = 7,
-    sample_from: DataFrame | None = None,
-) -> Column:
-    """Monotone bucket expression for ``order_by`` from a bounded sample.
-
-    ``sample_from`` may be a cheaper frame with the same key columns whose
-    key distribution resembles ``df``'s (for example the observations a
-    dense series is generated from); bounds only steer balance, never the
-    numbers, so any sample source gives the same result.
-    """
-    m = _num_buckets(df, num_buckets)
-    key, types = _normalised_key(df, order_by)
-    if m == 1:
-        return F.lit(0)
-    src = sample_from if sample_from is not None else df
-    skey, _ = _normalised_key(src, order_by)
-    target = m * oversample
-    rows = rows_hint if rows_hint is not None else src.count()
-    if rows == 0:
-        return F.lit(0)
-    fraction = min(1.0, 2.0 * target / rows)
-    sample = src.select(skey.alias("k"))
-    if fraction < 1.0:
-        sample = sample.sample(withReplacement=False, fraction=fraction, seed=seed)
-    # Spark sorts the sample (its ordering, not Python's), at most ~2*target rows.
-    picked = [r["k"] for r in sample.orderBy("k").limit(4 * target).collect()]
-    if not picked:
-        return F.lit(0)
-    step = len(picked) / m
-    bounds = [_literal_struct(picked[int(i * step)], types) for i in range(1, m)]
-    return _bucket_tree(key, bounds, 0, len(bounds))
-
-
 def uniform_bucket(col: str, lo: int, hi: int, num_buckets: int) -> Column:
     """Arithmetic bucket for an integer spread evenly over ``[lo, hi)``; NULLs first."""
     width = (hi - lo) / num_buckets
@@ -141,49 +57,63 @@ def global_rank(
     num_buckets: int | None = None,
     bounded: bool = False,
     uniform_leading: tuple[int, int] | None = None,
-    rows_hint: int | None = None,
-    seed: int = 7,
-    sample_from: DataFrame | None = None,
     materialize: bool = False,
 ) -> DataFrame:
     """Add ``out`` = ``row_number() over (order by order_by)`` as bigint.
 
     Ascending, NULLS FIRST on every column (Spark's default, and the order the
-    models use). The result is placed first among the columns.
+    models use). The result is placed first among the columns. The order
+    should be total; ties are numbered in an arbitrary order, as in SQL.
 
-    ``materialize=True`` stores the input once with a reliable ``checkpoint()``
-    (into the session's checkpoint folder) before the sample, count and
-    numbering passes read it: for a deep upstream plan that is cheaper than
-    computing it once per pass, and it cuts the lineage.
+    ``materialize=True`` stores the input with a reliable ``checkpoint()``
+    first, so a deep upstream plan runs once, not once per pass (the range
+    sample, the ranged rows). The range path always stores its ranged rows.
     """
+    spark = df.sparkSession
     order_cols = [F.col(c).asc_nulls_first() for c in order_by]
-    if materialize and not bounded:
-        from etalage.session import checkpoint_dir
-
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-        sample_from = None  # the stored rows are as cheap to sample as anything
+    cols = df.columns
     if bounded:
         w = Window.orderBy(*order_cols)
-        return df.select(F.row_number().over(w).cast("long").alias(out), *df.columns)
+        return df.select(F.row_number().over(w).cast("long").alias(out), *cols)
+
+    from etalage.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    m = _num_buckets(df, num_buckets)
+    if materialize:
+        df = df.checkpoint(eager=True)
 
     if uniform_leading is not None:
-        m = _num_buckets(df, num_buckets)
-        bucket = uniform_bucket(order_by[0], uniform_leading[0], uniform_leading[1], m)
-    else:
-        bucket = sampled_bucket(
-            df, order_by, num_buckets, rows_hint=rows_hint, seed=seed, sample_from=sample_from
+        tagged = df.withColumn(
+            "_bucket", uniform_bucket(order_by[0], uniform_leading[0], uniform_leading[1], m).cast("int")
+        )
+        counts = _counts(tagged, "_bucket")
+        within = Window.partitionBy("_bucket").orderBy(*order_cols)
+        return tagged.select(
+            (_offset(counts, "_bucket") + F.row_number().over(within)).cast("long").alias(out), *cols
         )
 
-    tagged = df.withColumn("_bucket", bucket)
-    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # at most num_buckets + 1 rows: a single-partition window here is bounded
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    within = Window.partitionBy("_bucket").orderBy(*order_cols)
-    return tagged.join(F.broadcast(offsets), "_bucket").select(
-        (F.col("_offset") + F.row_number().over(within)).cast("long").alias(out),
-        *df.columns,
+    ranged = (
+        df.repartitionByRange(m, *order_cols)
+        .sortWithinPartitions(*order_cols)
+        .select(*cols, F.spark_partition_id().alias("_range"),
+                F.monotonically_increasing_id().alias("_mid"))
+        .checkpoint(eager=True)
     )
+    counts = _counts(ranged, "_range")
+    position = F.col("_mid") - F.shiftleft(F.col("_range").cast("long"), 33)
+    return ranged.select((_offset(counts, "_range") + position + 1).cast("long").alias(out), *cols)
+
+
+def _counts(df: DataFrame, col: str) -> dict[int, int]:
+    """Rows per range: partial counts per task; at most one row per range returns."""
+    return {r[col]: r["_n"] for r in df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).collect()}
+
+
+def _offset(counts: dict[int, int], col: str) -> Column:
+    """Rows in all lower ranges, as a lookup into an array literal."""
+    offsets, running = [], 0
+    for b in range(max(counts, default=-1) + 1):
+        offsets.append(running)
+        running += counts.get(b, 0)
+    return F.element_at(F.lit(offsets).cast("array<bigint>"), F.col(col) + 1)

@@ -128,9 +128,7 @@ def fill_series(
     max_days: int | None = DEFAULT_MAX_DAYS,
     hash_col: str | None = "product_id",
     id_col: str | None = None,
-    rank_rows_hint: int | None = None,
     hash_of: Sequence[str] | None = None,
-    materialize_rank: bool = False,
 ) -> DataFrame:
     """H2: dense daily series with forward-filled columns.
 
@@ -171,9 +169,5 @@ def fill_series(
     if hash_col:
         out = out.select(hash_key(*(hash_of or keys)).alias(hash_col), *out.columns)
     if id_col:
-        # sample the observations, not the generated days: same keys, far fewer rows
-        out = global_rank(
-            out, [*keys, date], out=id_col, rows_hint=rank_rows_hint,
-            sample_from=obs.select(*keys, date), materialize=materialize_rank,
-        )
+        out = global_rank(out, [*keys, date], out=id_col)
     return out

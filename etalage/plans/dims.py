@@ -29,11 +29,11 @@ def dim_category(silver: DataFrame) -> DataFrame:
 def dim_date(silver: DataFrame) -> DataFrame:
     """K2: calendar of all days present, with day / month / year parts.
 
-    Distinct days are bounded by the calendar span, so the numbering keeps the
-    plain window over that small set.
+    Distinct days are bounded by the calendar span; they are stored once and
+    numbered like any other dimension.
     """
     days = silver.select(F.col("date").cast("date").alias("date")).distinct()
-    ranked = global_rank(days, ["date"], out="date_id", bounded=True)
+    ranked = global_rank(days, ["date"], out="date_id", materialize=True)
     return ranked.select(
         "date_id",
         F.dayofmonth("date").cast("long").alias("day"),
