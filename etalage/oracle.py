@@ -747,3 +747,4 @@ ORACLE["sort_total"] = f"WITH {SILVER} SELECT * FROM silver"
 ORACLE["layer_roundtrip"] = f"""WITH {OBS_DAILY}
 SELECT image_url, name, date, price, stock, l_orderkey, l_linenumber FROM obs_daily"""
 ORACLE["stream_landing"] = f"WITH {RAW} SELECT * FROM raw_auchan"
+ORACLE["estimate_sales_hot_split"] = ORACLE["estimate_sales"]

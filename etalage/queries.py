@@ -610,3 +610,9 @@ def q_stream_landing(spark, root):
     raw.repartition(4).write.parquet(f"{base}/drop")
     land_available(spark, f"{base}/drop", f"{base}/landing", raw.schema, f"auchan-{uuid.uuid4().hex[:8]}")
     return spark.read.parquet(f"{base}/landing")
+
+
+@query
+def q_estimate_sales_hot_split(spark, root):
+    """L2 with every picture treated as hot: the per-day (skew) form on all rows."""
+    return estimate_sales(_silver(spark, root), keep=["image_url", "name"], hot_rows=100)

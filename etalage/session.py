@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints of frames no longer referenced are removed, not left to pile up
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
