@@ -33,7 +33,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 4096
+# Ranges default to the shuffle partition count (sized by data volume, see
+# session.scale_conf); the offsets are one bigint per range on the driver.
+MAX_BUCKETS = 1 << 20
 
 
 def _num_buckets(df: DataFrame, num_buckets: int | None) -> int:

@@ -65,3 +65,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="etalage-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scale_conf(input_bytes: int, executor_cores: int, executors: int,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of parquet.
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    of (compressed) input, and never fewer than two waves of tasks; AQE then
+    coalesces small ones and splits skewed ones from runtime sizes. Scan
+    splits use the same target, so a task's sort or window fits its memory.
+    For 100 TB on 1000 executors x 8 cores: ~400k shuffle partitions.
+    """
+    slots = max(1, executor_cores * executors)
+    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
