@@ -106,7 +106,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(
-        f"local[{cpus}]", "etalage-bench", shuffle_partitions=max(8, 2 * cpus),
+        f"local[{cpus}]", "etalage-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)),
         conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
     out_root = tempfile.mkdtemp(prefix="etalage-bench-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from etalage.operators.dedup import dedup_first
 
 # A side is broadcast only after a count proves it below this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 200_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
