@@ -42,14 +42,16 @@ def fact_sales(
     highest-stock row per (product, day), look up the product and date keys,
     clamp the sentinel range to 1, keep one row per (product_id, date_id) and
     number the rows by (product_id, date_id). ``materialize`` checkpoints the
-    deduplicated rows before numbering them, so the estimate, lookups and
-    dedups run once instead of once per numbering pass.
+    looked-up rows, so the estimate, first dedup and lookups run once, not
+    once per branch and numbering pass.
     """
     keys = list(series_key)
     if feed_col and feed_col in silver.columns:
         keys = [feed_col, *keys]
     est = estimate_sales(silver, series_key=keys, tie_break=("name",))
-    raw_fact = dedup_first(est, ["product_id", "date"], _keep_highest_stock())
+    # One shuffle on product_id serves the first dedup, the product lookup
+    # (a shuffle join keeps this side's partitioning) and the second dedup.
+    raw_fact = dedup_first(est.repartition("product_id"), ["product_id", "date"], _keep_highest_stock())
 
     products = dim_product.select(F.col("product_id").alias("_dim_product_id"))
     # distinct days are bounded by the calendar; the count check proves it
@@ -57,19 +59,24 @@ def fact_sales(
     joined = (
         raw_fact.join(products, raw_fact.product_id == products._dim_product_id, "left")
         .join(dates, raw_fact.date == dates._dim_date, "left")
-        .select(
-            "stock",
-            clamp_sentinel("sales").alias("sales"),
-            "price",
-            "quantity",
-            "price_per_quantity",
-            "unit",
-            F.col("_dim_product_id").alias("product_id"),
-            "date_id",
-        )
-    )
-    final = dedup_first(joined, ["product_id", "date_id"], _keep_highest_stock())
-    return global_rank(
-        final, ["product_id", "date_id"], out="id", uniform_leading=PRODUCT_ID_RANGE,
-        materialize=materialize,
+        .withColumn("sales", clamp_sentinel("sales"))
     )
+    if materialize:
+        # stored once (keeps its product_id partitioning): the two branches
+        # below and both numbering passes read it instead of recomputing
+        from etalage.session import checkpoint_dir
+
+        checkpoint_dir(joined.sparkSession)
+        joined = joined.checkpoint(eager=True)
+    out_cols = ["stock", "sales", "price", "quantity", "price_per_quantity", "unit", "product_id", "date_id"]
+    # A matched row's dimension key equals its own product_id, so the second
+    # dedup groups by the partitioning column. Unmatched rows share the NULL key
+    # and are deduplicated per day on their own (normally an empty branch).
+    matched = dedup_first(
+        joined.filter(F.col("_dim_product_id").isNotNull()), ["product_id", "date_id"], _keep_highest_stock()
+    ).select(*out_cols)
+    unmatched = dedup_first(
+        joined.filter(F.col("_dim_product_id").isNull()), ["date_id"], _keep_highest_stock()
+    ).withColumn("product_id", F.lit(None).cast("bigint")).select(*out_cols)
+    final = matched.unionByName(unmatched)
+    return global_rank(final, ["product_id", "date_id"], out="id", uniform_leading=PRODUCT_ID_RANGE)

@@ -58,3 +58,24 @@ def test_dim_product_uncategorised_keeps_null(spark):
     sto = dims.dim_store(silver, spark.createDataFrame([("st", "x")], "store string, image_str string"))
     prod = dims.dim_product(silver, cat, pic, sto).collect()
     assert len(prod) == 1 and prod[0].id_category is None
+
+
+def test_fact_unmatched_products_share_the_null_key(spark):
+    import datetime as dt
+
+    from etalage.plans import facts
+
+    d0 = dt.date(2024, 1, 1)
+    rows = []
+    for pid, pic, stocks in [(1, "a", [5.0, 3.0]), (2, "b", [9.0, 8.0]), (3, "c", [4.0, 7.0])]:
+        for i, st in enumerate(stocks):
+            rows.append(("f", pid, pic, "n", d0 + dt.timedelta(days=i), 1.0, st, 1.0, 1.0, "g"))
+    silver = spark.createDataFrame(
+        rows, "feed string, product_id long, image_url string, name string, date date, price double, "
+              "stock double, quantity double, price_per_quantity double, unit string")
+    dim_product = spark.createDataFrame([(1,)], "product_id long")  # 2 and 3 are missing
+    dim_date = spark.createDataFrame([(1, d0), (2, d0 + dt.timedelta(days=1))], "date_id long, date date")
+    out = sorted((r.product_id or 0, r.date_id, r.stock, r.id)
+                 for r in facts.fact_sales(silver, dim_product, dim_date).collect())
+    # NULL product rows collapse to the highest stock per day: 9 on day 1, 8 on day 2
+    assert out == [(0, 1, 9.0, 1), (0, 2, 8.0, 2), (1, 1, 5.0, 3), (1, 2, 3.0, 4)]
