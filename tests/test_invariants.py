@@ -43,3 +43,12 @@ def test_feed_b_edge_row(spark):
     r = feeds.bronze_feed_phrase_stock(raw, cat, sec, B.RAW_TIEBREAK).first()
     assert r.stock == -1.0 and r.unit == "g"
     assert r.quantity == pytest.approx(250.0) and r.price_per_quantity == pytest.approx(0.01)
+
+
+def test_scale_conf_sizes_partitions():
+    from etalage.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40), executor_cores=8, executors=1000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    small = scale_conf(1 << 30, executor_cores=8, executors=10)
+    assert int(small["spark.sql.shuffle.partitions"]) == 160  # two waves of 80 slots
