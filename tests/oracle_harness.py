@@ -91,7 +91,7 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "8g"})
     con = duck(sf_dir)
     qs, oracles = E.queries(), E.oracle_sql()
     bad = 0
