@@ -159,7 +159,7 @@ def _judge(shared, text: str, earlier: list[str], last: bool):
                 spans.append((first, first + len(pattern)))
                 items |= items_of[pattern]
             for column in before:
-                spans += np.frombuffer(column[i]["hits"], "<i4").reshape(-1, 2).tolist()
+                spans += map(tuple, np.frombuffer(column[i]["hits"], "<i4").reshape(-1, 2).tolist())
                 items |= set(column[i]["items"])
             merged = merge_spans(spans)
             out["hits"].append(np.array(merged, "<i4").tobytes())

@@ -89,8 +89,6 @@ def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
             if not m[0].endswith("/>"):
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
                 at = end.end() if end else len(html)
-            if name not in INLINE:
-                yield from flush()
             continue
         if name in INLINE:
             if name == "a":

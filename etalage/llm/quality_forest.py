@@ -242,10 +242,10 @@ def threshold_of(good: np.ndarray, bad: np.ndarray, keep_good: float) -> float:
     kept = np.concatenate(([0], np.cumsum(good))) / max(good.sum(), 1)
     dropped = 1 - np.concatenate(([0], np.cumsum(bad))) / max(bad.sum(), 1)
     if not bad.sum():
-        return float(np.argmax(kept >= keep_good)) / BINS
+        return float(np.argmax(kept >= keep_good)) / len(good)
     value = np.where(kept >= keep_good, kept + dropped, -1)
     best = np.flatnonzero(value >= value.max() - 1e-12)
-    return float(best[-1]) / BINS  # of equal edges the most lenient
+    return float(best[-1]) / len(good)  # of equal edges the most lenient
 
 
 def judge_quality(
