@@ -62,7 +62,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_source(spark, sf_dir, "documents", ["doc_id", "text"])
-    return removal_intervals(docs).select("doc_id", *[f"dedup.{c}" for c in ("n_words", "n_removed", "kept_sha256")])
+    return removal_intervals(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

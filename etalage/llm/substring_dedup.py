@@ -10,8 +10,9 @@ go to hash buckets as byte strings of 8 bytes a window; a window that the batch
 itself shows to be repeated is already decided and only goes to its document. So
 a passage that a third of the documents share costs a bucket one entry per batch.
 Buckets are many enough that each holds about ``bucket_windows`` windows. Pass 2
-sends the repeated hashes to their documents, hashes the text again and removes.
-Text is shuffled once. Two windows are equal if 64 bits of one polynomial and the
+sends the repeated hashes, packed again, to the blocks of documents they are in
+(as many blocks as buckets), hashes the texts again and removes. Text is shuffled
+once. Two windows are equal if 64 bits of one polynomial and the
 bucket chosen by a second one agree.
 
 Defined cases: a null or empty text has no words; a text with fewer words than a
@@ -23,6 +24,7 @@ judged each; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +32,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
-from .words import Words, annotate, chunks, mix, run_hashes, runs_within
+from .words import Words, chunks, mix, run_hashes, runs_within
 
 WINDOW = 13
 BUCKET_WINDOWS = 4_000_000
@@ -79,6 +80,12 @@ def first_of_each(h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 _PACKED = "route long, hashes binary, ids binary, counts binary"
 _NAMES = ["route", "hashes", "ids", "counts"]
+_BLOCKS = "block long, hashes binary, ids binary, counts binary"
+_BLOCK_NAMES = ["block", "hashes", "ids", "counts"]
+_TYPES = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+_RESULT = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.binary()),
+           ("kept_text", pa.string()), ("kept_sha256", pa.string())]
+_RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, spans binary, kept_text string, kept_sha256 string"
 
 
 def _pack(route: np.ndarray, h: np.ndarray, ids: np.ndarray) -> list[tuple]:
@@ -103,7 +110,7 @@ def window_batches(window: int, buckets: int, batch_windows: int = BATCH_WINDOWS
         by_doc = buckets + (mix(ids[later].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         rows = _pack(b[head], h[head], ids[head]) + _pack(by_doc, h[later], ids[later])
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), *[pa.binary()] * 3], strict=True)], _NAMES)
+            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -128,34 +135,43 @@ def window_batches(window: int, buckets: int, batch_windows: int = BATCH_WINDOWS
     return run
 
 
-def repeated_in_bucket(buckets: int):
-    """applyInArrow function of one route: (doc_id, hashes) of repeated windows."""
+def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of documents that each id is in, as Spark's crc32 of the id's digits gives it."""
+    values, at = np.unique(ids, return_inverse=True)
+    return np.array([zlib.crc32(str(i).encode()) % blocks for i in values.tolist()], np.int64)[at]
+
+
+def repeated_in_bucket(buckets: int, blocks: int):
+    """applyInArrow function of one route: its repeated windows, packed by block of documents."""
 
     def run(table: pa.Table) -> pa.Table:
         route = table.column("route")[0].as_py()
-        cols = [table.column(c).to_pylist() for c in _NAMES[1:]]
-        h = np.concatenate([np.frombuffer(x, np.uint64) for x in cols[0]])
-        ids = np.concatenate([unpack_runs(v, c) for v, c in zip(cols[1], cols[2], strict=True)])
-        order = np.argsort(ids, kind="stable")
-        h, ids = h[order], ids[order]
+        h, ids = unpack(table)
         if route < buckets:
             _, later = first_of_each(h, ids)
             h, ids = h[later], ids[later]
-        if not len(h):
-            return pa.table({"doc_id": pa.array([], pa.int64()), "hashes": pa.array([], pa.binary())})
-        cuts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1], [True])))
-        raw = h.tobytes()
-        blobs = [raw[8 * s : 8 * e] for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        return pa.table({"doc_id": pa.array(ids[cuts[:-1]]), "hashes": pa.array(blobs, pa.binary())})
+        rows = _pack(block_of(ids, blocks), h, ids)
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], _BLOCK_NAMES)
 
     return run
 
 
+def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and ids of packed rows, in ascending order of id."""
+    hashes, values, counts = (table.column(c).to_pylist() for c in _NAMES[1:])
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    h = np.concatenate([np.frombuffer(x, np.uint64) for x in hashes])
+    ids = np.concatenate([unpack_runs(v, c) for v, c in zip(values, counts, strict=True)])
+    order = np.argsort(ids, kind="stable")
+    return h[order], ids[order]
+
+
 def removal_intervals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
                       bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
-    """Per input row: a struct ``dedup`` of n_words, n_removed, spans (maximal
-    removal intervals: start and end word as little-endian int32 pairs), kept_text,
-    kept_sha256; with doc_id and text."""
+    """One row per input row: doc_id, n_words, n_removed, spans (maximal removal
+    intervals: start and end word as little-endian int32 pairs), kept_text, kept_sha256."""
     spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     # a word and what parts it from the next take five bytes or so; the buckets only need the order of size
@@ -163,39 +179,43 @@ def removal_intervals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_windows))
     repeated = (
         base.mapInArrow(window_batches(window, buckets), _PACKED)
-        .groupBy("route").applyInArrow(repeated_in_bucket(buckets), "doc_id long, hashes binary")
-        .groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
+        .groupBy("route").applyInArrow(repeated_in_bucket(buckets, buckets), _BLOCKS)
     )
-    met = base.join(repeated.hint("shuffle_hash"), "doc_id", "left")
-    fields = [StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("spans", BinaryType()),
-              StructField("kept_text", StringType()), StructField("kept_sha256", StringType())]
-
-    def judge(part: pa.RecordBatch) -> dict[str, object]:
-        w = Words(part.column(1))
-        hashes, counts = w.hashes(), w.counts
-        values = run_hashes(hashes, window)
-        rows = []
-        marked = part.column(2).to_pylist()
-        for i, blobs in enumerate(marked):
-            s, e = int(w.bounds[i]), int(w.bounds[i + 1])
-            n, keep, spans = e - s, None, np.zeros((0, 2), "<i4")
-            if blobs and n >= window:
-                hit = np.flatnonzero(np.isin(values[s : e - window + 1], np.frombuffer(b"".join(blobs), np.uint64)))
-                cover = np.zeros(n + 1, np.int64)
-                np.add.at(cover, hit, 1)
-                np.add.at(cover, hit + window, -1)
-                gone = np.cumsum(cover[:-1]) > 0
-                edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
-                spans, keep = edge.reshape(-1, 2).astype("<i4"), np.flatnonzero(~gone)
-            raw = w.data[w.offsets[i] : w.offsets[i + 1]].tobytes().split()
-            if keep is not None:
-                raw = [raw[k] for k in keep.tolist()]
-            joined = b" ".join(raw)
-            rows.append((n, n - len(raw), spans.tobytes(), joined.decode(), hashlib.sha256(joined).hexdigest()))
-        n, removed, spans, kept, sha = zip(*rows, strict=True)
-        return {"n_words": pa.array(n, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                "spans": pa.array(spans, pa.binary()), "kept_text": pa.array(kept, pa.string()),
-                "kept_sha256": pa.array(sha, pa.string())}
-
-    out, _ = annotate(met, "text", "dedup", fields, judge, keep=["doc_id", "text"])
-    return out
+    # a text without an id has no repeated windows; its own digest deals it to a block
+    block = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.sha1("text"), F.lit("")), "UTF-8")) % buckets
+    dealt = base.withColumn("block", block.cast("long"))
+
+    def judge(texts: pa.Table, marks: pa.Table) -> pa.Table:
+        h, ids = unpack(marks)
+        out = []
+        for batch in texts.select(["doc_id", "text"]).combine_chunks().to_batches():
+            for part in chunks(batch, "text"):
+                out += _removed(part, h, ids, window)
+        columns = zip(*out, strict=True) if out else [[]] * len(_RESULT)
+        return pa.table([pa.array(c, t) for c, (_, t) in zip(columns, _RESULT, strict=True)], [n for n, _ in _RESULT])
+
+    return dealt.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(judge, _RESULT_SCHEMA)
+
+
+def _removed(part: pa.RecordBatch, h: np.ndarray, ids: np.ndarray, window: int) -> list[tuple]:
+    """Rows of the result for a chunk of texts; h and ids: the block's repeated windows, by id."""
+    w = Words(part.column(1))
+    values = run_hashes(w.hashes(), window)
+    rows = []
+    for i, doc in enumerate(part.column(0).to_pylist()):
+        s, e = int(w.bounds[i]), int(w.bounds[i + 1])
+        a, b = (np.searchsorted(ids, doc, side) for side in ("left", "right")) if doc is not None else (0, 0)
+        raw = w.data[w.offsets[i] : w.offsets[i + 1]].tobytes().split()
+        spans = np.zeros((0, 2), "<i4")
+        if b > a and e - s >= window:
+            hit = np.flatnonzero(np.isin(values[s : e - window + 1], h[a:b]))
+            cover = np.zeros(e - s + 1, np.int64)
+            np.add.at(cover, hit, 1)
+            np.add.at(cover, hit + window, -1)
+            gone = np.cumsum(cover[:-1]) > 0
+            edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
+            spans = edge.reshape(-1, 2).astype("<i4")
+            raw = [raw[k] for k in np.flatnonzero(~gone).tolist()]
+        joined = b" ".join(raw)
+        rows.append((doc, e - s, e - s - len(raw), spans.tobytes(), joined.decode(), hashlib.sha256(joined).hexdigest()))
+    return rows
