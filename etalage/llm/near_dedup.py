@@ -9,13 +9,15 @@ the full sets confirm each link, exactly. Components of the links are the groups
 With 10 half keys of 2 minhashes, a pair at similarity 0.8 shares a table key
 with probability 1 - 2 * 0.36 ** 10 > 0.9999; more similar pairs more surely.
 
-Candidates without all pairs. Equal sets are one node. In each table bucket a few
-pivots are compared with the rest of the bucket and then leave it, since all their
-pairs there are known; links merge components; a bucket whose documents are all in
-one component is done. Pivots are the first document, then documents outside the
-bucket's largest component, twice as many each round, until no bucket holds two
-components. So a bucket of n near copies costs about n comparisons and not n * n,
-yet every pair of documents that share a bucket is compared or already connected.
+Candidates without all pairs. Equal sets are one node. In each table bucket the
+first document is compared with the rest and leaves it, since all its pairs there
+are known; links merge components; a bucket whose documents are all in one
+component is done. What is left of buckets of up to ``SMALL`` documents is compared
+in pairs. Larger ones are taken together by the left half of their key: pivots,
+documents outside a group's largest component, are compared with the whole group
+and leave it, more of them each round, until no group holds two components. So n
+near copies cost about n comparisons and not n * n, yet every two documents that
+share a bucket are compared or already connected, and none of this is capped.
 
 Scale: half keys of the first collection that nobody shares are dropped before
 the pairs of half keys are formed. Texts are shuffled once, to take those of
@@ -48,7 +50,9 @@ PERCENT = 80
 HALVES = 10
 ROWS = 2
 SEED = 11
-PIVOTS = 8
+SMALL = 8
+PIVOTS, MOST_PIVOTS = 128, 4096
+PART = 2000
 
 _UPPER_TO_LOWER = np.arange(256, dtype=np.uint8)
 _UPPER_TO_LOWER[0x41:0x5B] += 32
@@ -109,7 +113,7 @@ def signatures(docs: DataFrame, shingle: int, halves: int, rows: int, seed: int)
 
 
 def table_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node) of the tables where a node meets another one."""
+    """(key, half, node) of the tables where a node meets another one; half is the key's left half."""
     left = nodes.select("node", F.posexplode("left").alias("i", "half")).select(
         "node", F.xxhash64("i", "half").alias("half"))
     live = left.groupBy("half").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("half")
@@ -117,10 +121,10 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     opened = kept.join(nodes.select("node", "right"), "node").select(
         "node", F.explode("halves").alias("half"), "right").select(
         "node", "half", F.posexplode("right").alias("j", "other")).select(
-        "node", F.xxhash64("half", "j", "other").alias("key"))
+        "node", "half", F.xxhash64("half", "j", "other").alias("key"))
     opened = store(opened, "table-keys")
     shared = opened.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
-    return opened.join(shared, "key").select("key", "node")
+    return opened.join(shared, "key").select("key", "half", "node")
 
 
 def linked(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -173,35 +177,37 @@ def group_near_duplicates(
 
     labels = candidates.select("node", F.col("node").alias("component"))
     links = None
-    count = 1
+
+    def joined(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """All links so far, and the components they make of the candidates."""
+        every = store(found if links is None else links.union(found), "links")
+        return every, store(candidates.join(components(every), "node", "left").select(
+            "node", F.coalesce("component", "node").alias("component")), "labels")
+
+    # 1. the first document of each bucket with the rest of it
+    first = buckets.groupBy("key").agg(F.min("node").alias("a"))
+    pairs = buckets.join(first, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    links, labels = joined(linked(pairs, texts, shingle, percent))
+    rest = buckets.join(first, "key").where("node <> a").select("key", "half", "node")
+    open_ = store(unresolved(rest, labels, ["key"]), "open")
+
+    # 2. small buckets: their other pairs
+    few = open_.where(f"n <= {SMALL}")
+    pairs = few.select("key", F.col("node").alias("a"), F.col("component").alias("c")).join(few, "key").where(
+        "a < node and c <> component").select("a", F.col("node").alias("b")).distinct()
+    links, labels = joined(linked(pairs, texts, shingle, percent))
+
+    # 3. large buckets, by the left half of their keys: pivots, more of them each round
+    groups = store(open_.where(f"n > {SMALL}").select("half", "node").distinct(), "groups")
+    count = pivots
     while True:
-        here = buckets.join(labels, "node")
-        sizes = here.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("m")).where("m > 1").select(
-            "key", F.col("main.component").alias("main"))
-        open_ = store(here.join(main, "key"), "open")
+        open_ = store(unresolved(groups, labels, ["half"]), "open")
         if open_.isEmpty():
             break
-        if links is None:
-            chosen = open_.groupBy("key").agg(F.min("node").alias("pivot"))
-            chosen = chosen.withColumn("of", F.col("pivot"))
-        else:
-            # a few nodes outside the largest component
-            outside = open_.where("component <> main")
-            chosen = _smallest(outside, count)
-        pairs = store(
-            open_.join(chosen, "key").where("node <> pivot and component <> of")
-            .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-        found = linked(pairs, texts, shingle, percent)
-        links = found if links is None else links.union(found)
-        links = store(links, "links")
-        grouped = components(links)
-        labels = store(candidates.join(grouped, "node", "left").select(
-            "node", F.coalesce("component", "node").alias("component")), "labels")
-        # a pivot has been compared with all of its bucket
-        buckets = store(
-            open_.select("key", "node").join(chosen.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"), "buckets")
-        count = pivots if count == 1 else 2 * count
+        chosen = store(_smallest(open_.where("component <> main"), count), "pivots")
+        links, labels = joined(linked_to_pivots(open_, chosen, texts, shingle, percent))
+        groups = store(open_.select("half", "node").join(chosen.select("half", "node"), ["half", "node"], "left_anti"), "groups")
+        count = min(4 * count, MOST_PIVOTS)
 
     named = nodes.select(*digest, "node").join(labels, "node", "left").select(
         *digest, F.coalesce("component", "node").alias("component"))
@@ -213,10 +219,68 @@ def group_near_duplicates(
         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
+def unresolved(rows: DataFrame, labels: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of groups with two components or more, with component, main (the group's
+    largest) and n (its size)."""
+    here = rows.join(labels, "node")
+    sizes = here.groupBy(*by, "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy(*by).agg(
+        F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("n")).where("m > 1")
+    return here.join(main.select(*by, F.col("main.component").alias("main"), "n"), by)
+
+
 def _smallest(rows: DataFrame, count: int) -> DataFrame:
-    """(key, pivot, of): the ``count`` smallest nodes of each key, taken per salt first."""
-    salted = rows.select("key", "node", "component", F.pmod(F.xxhash64("node"), F.lit(64)).alias("salt"))
-    for by in (["key", "salt"], ["key"]):
-        window = Window.partitionBy(*by).orderBy("node")
-        salted = salted.withColumn("place", F.row_number().over(window)).where(F.col("place") <= count).drop("place")
-    return salted.select("key", F.col("node").alias("pivot"), F.col("component").alias("of"))
+    """(half, node, component, n): the ``count`` smallest nodes of each group, per salt first."""
+    rows = rows.select("half", "node", "component", "n", F.pmod(F.xxhash64("node"), F.lit(64)).alias("salt"))
+    for by in (["half", "salt"], ["half"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("node"))
+        rows = rows.withColumn("place", place).where(F.col("place") <= count).drop("place")
+    return rows.drop("salt")
+
+
+def linked_to_pivots(rows: DataFrame, chosen: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) of groups' nodes with their pivots, as few as connect the same nodes.
+
+    A group is dealt to parts of about ``PART`` nodes, and its pivots go to each part.
+    There the pivots' shingles are one sorted list, in which a node's shingles are
+    looked up once, for all pivots together; no row is made for a pair.
+    """
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n") / PART)).cast("long")
+    nodes = rows.select("half", "node", "component", F.pmod(F.xxhash64("node"), parts).alias("part")).join(texts, "node")
+    held = chosen.join(texts.withColumnRenamed("text", "pivot_text"), "node").select(
+        "half", "node", "component", "pivot_text", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+
+    def run(members: pa.Table, pivots: pa.Table) -> pa.Table:
+        out: list[tuple[int, int]] = []
+        if members.num_rows and pivots.num_rows:
+            values, bounds = set_of(pivots.column("pivot_text").combine_chunks(), shingle)
+            size, owner = np.diff(bounds), np.repeat(np.arange(pivots.num_rows), np.diff(bounds))
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            ids, labels = pivots.column("node").to_pylist(), pivots.column("component").to_pylist()
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while parent.setdefault(x, x) != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for batch in members.select(["node", "component", "text"]).combine_chunks().to_batches():
+                for piece in chunks(batch, "text"):
+                    mine, cuts = set_of(piece.column(2), shingle)
+                    low, high = np.searchsorted(values, mine), np.searchsorted(values, mine, side="right")
+                    for k, (node, label) in enumerate(zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True)):
+                        s, e = cuts[k], cuts[k + 1]
+                        n = high[s:e] - low[s:e]
+                        at = np.repeat(low[s:e] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                        met = np.bincount(owner[at], minlength=len(ids))
+                        for p in np.flatnonzero((met > 0) & (100 * met >= percent * (size + (e - s) - met))).tolist():
+                            a, b = root(labels[p]), root(label)
+                            if a != b:
+                                parent[a] = b
+                                out.append((ids[p], node))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+    by = ["half", "part"]
+    return nodes.groupBy(*by).cogroup(held.groupBy(*by)).applyInArrow(run, "a long, b long")
