@@ -38,16 +38,23 @@ def main(sf_dir: str) -> None:
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         parts.append(f"\n## {name}\n\n```\n" + "\n".join(summary(plan)) + "\n```\n")
-    # the fact before its checkpoint: one product_id shuffle serves both dedups
-    from etalage.plans import facts
-    from etalage.queries import _gold_dims
-
-    silver, _, _, _, dat, prod = _gold_dims(spark, sf_dir)
-    df = facts.fact_sales(silver, prod, dat, materialize=False)
-    df.write.format("noop").mode("overwrite").save()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    parts.append("\n## fact_sales without the checkpoint (materialize=False)\n\n```\n"
-                 + "\n".join(summary(plan)) + "\n```\n")
+    # what is shuffled before the rows are stored
+    from etalage.operators.rank import ranged_rows
+    from etalage.plans import dims, facts
+    from etalage.queries import _feeds_silver, _product
+    from etalage.sources import bindings as B
+
+    silver = _feeds_silver(spark, sf_dir)
+    order = ["image_url", "date", "l_orderkey", "l_linenumber"]
+    before = {
+        "fact_sales, the rows before they are stored": facts.fact_rows(silver, _product(spark, sf_dir, silver)[3], dims.dim_date(silver)),
+        "global_rank, the rows before they are stored": ranged_rows(B.obs(spark, sf_dir).select(*order, "price"), order, 8),
+        "fill_series, before its numbering": B.obs_silver(spark, sf_dir),
+    }
+    for name, df in before.items():
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        parts.append(f"\n## {name}\n\n```\n" + "\n".join(summary(plan)) + "\n```\n")
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
         fh.write("".join(parts))
     spark.stop()
