@@ -23,8 +23,7 @@ PRICE_FIXUPS = (("2150", "2.15"), ("1975", "1.975"))
 DISCOUNT_JUNK = ("au lieu de", "+")
 UNIT_PRICE_JUNK = ("1,067.50 € / KG", "le flacon de 250ml")
 UNIT_AFTER_SLASH = r".*/\s*([a-zA-Z]+)"
-LEADING_NUMBER = r"^([0-9]+(?:\.[0-9]+)?)\s.*"
-LEADING_NUMBER_COMMA = r"^([0-9]+(?:[.,][0-9]+)?)\s.*"
+LEADING_NUMBER = r"^([0-9]+(?:[.,][0-9]+)?)\s.*"
 UNIT_RENAMES = (("Kilogramme", "Kg"), ("le flacon de 250ml", "ml"))
 KILO_UNITS = ("kg", "Kg", "KG")
 MILLI_UNITS = ("ml",)
@@ -69,19 +68,28 @@ def parse_price_fixups(col: str | Column, fixups: Sequence[tuple[str, str]] = PR
     return to_number(replace_all(col, fixups))
 
 
+def discount_text(promotion: str | Column) -> Column:
+    """E3 text step: '20%' -> '20', '' -> NULL."""
+    return F.nullif(F.replace(_c(promotion), F.lit("%"), F.lit("")), F.lit(""))
+
+
 def discount_fraction(promotion: str | Column) -> Column:
     """E3: '20%' -> 0.2; '' or NULL -> NULL."""
-    return to_number(F.nullif(F.replace(_c(promotion), F.lit("%"), F.lit("")), F.lit("")), PRICE_DECIMAL).cast("double") / 100
+    return to_number(discount_text(promotion), PRICE_DECIMAL).cast("double") / 100
+
+
+def discount_base_text(price: str | Column) -> Column:
+    """E3 text step: the price text without the euro sign, "au lieu de" and "+"."""
+    return replace_all(price, [(EURO, ""), *[(j, "") for j in DISCOUNT_JUNK]])
 
 
 def discounted_price(price: str | Column, promotion: str | Column) -> Column:
     """Price after a percent discount.
 
-    The price text loses the euro sign, "au lieu de" and "+". With a parsed
-    discount the price is reduced; with an empty promotion it is kept; with a
-    NULL promotion it is NULL (the rule has no arm for it).
+    With a parsed discount the price is reduced; with an empty promotion it is
+    kept; with a NULL promotion it is NULL (the rule has no arm for it).
     """
-    base = to_number(replace_all(price, [(EURO, ""), *[(j, "") for j in DISCOUNT_JUNK]]), PRICE_DECIMAL).cast("double")
+    base = to_number(discount_base_text(price), PRICE_DECIMAL).cast("double")
     d = discount_fraction(promotion)
     return F.when(d.isNotNull(), base * (1 - d)).when(_c(promotion) == "", base)
 
@@ -122,13 +130,18 @@ def unit_after_slash(col: str | Column) -> Column:
     return replace_all(F.regexp_replace(_c(col), UNIT_AFTER_SLASH, "$1"), UNIT_RENAMES)
 
 
-def leading_number(col: str | Column, junk: Sequence[str] = UNIT_PRICE_JUNK) -> Column:
-    """The number a unit-price text starts with ('12.50 € / KG' -> 12.5).
+def unit_price_text(col: str | Column, junk: Sequence[str] = UNIT_PRICE_JUNK) -> Column:
+    """E7 text step: the number a unit-price text starts with, decimal comma -> point.
 
-    Texts on the junk list, or with no leading number, give NULL.
+    Texts on the junk list give NULL; a text without a leading number stays as it is.
     """
-    text = replace_all(F.regexp_replace(_c(col), LEADING_NUMBER, "$1"), [(j, "") for j in junk])
-    return to_number(F.nullif(text, F.lit("")), PRICE_DECIMAL).cast("double")
+    bare = F.nullif(replace_all(col, [(j, "") for j in junk]), F.lit(""))
+    return F.replace(F.regexp_replace(bare, LEADING_NUMBER, "$1"), F.lit(","), F.lit("."))
+
+
+def leading_number(col: str | Column, junk: Sequence[str] = UNIT_PRICE_JUNK) -> Column:
+    """E7 / E8: '12.50 € / KG' or '12,50 € / KG' -> 12.5; junk or no leading number -> NULL."""
+    return to_number(unit_price_text(col, junk), PRICE_DECIMAL).cast("double")
 
 
 def pack_size(price: str | Column, unit_price: Column, digits: int | None = None) -> Column:
@@ -137,12 +150,6 @@ def pack_size(price: str | Column, unit_price: Column, digits: int | None = None
     return F.round(q, digits) if digits is not None else q
 
 
-def unit_price_from_text(col: str | Column, junk: Sequence[str] = UNIT_PRICE_JUNK) -> Column:
-    """Number at the start of a unit-price text, comma decimals allowed."""
-    text = F.regexp_replace(replace_all(col, [(j, "") for j in junk]), LEADING_NUMBER_COMMA, "$1")
-    return to_number(F.nullif(text, F.lit("")), PRICE_DECIMAL).cast("double")
-
-
 def scale_quantity(quantity: str | Column, unit: str | Column) -> Column:
     """Kilo units -> x1000 (to grams), milli units -> /1000 (to litres)."""
     q, u = _c(quantity), _c(unit)

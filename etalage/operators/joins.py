@@ -1,4 +1,8 @@
-"""Lookup joins (D1, D2, D5, D7) and the FK anti-join."""
+"""Lookup joins (D1, D2, D5, D7) and the FK anti-join.
+
+No side is broadcast by hand: adaptive execution broadcasts a side whose shuffled
+bytes turn out small, and splits the partitions of a hot key otherwise.
+"""
 
 from __future__ import annotations
 
@@ -9,21 +13,6 @@ from pyspark.sql import functions as F
 
 from etalage.operators.dedup import dedup_first
 
-# A side is broadcast only after a count proves it below this many rows.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it really has at most ``max_rows`` rows.
-
-    The count runs on the lookup side only (a dimension), never on the big
-    side. Above the bound the plain frame is returned and the planner falls
-    back to a shuffle join, which AQE may still convert from runtime sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def enrich(
     df: DataFrame,
     lookup: DataFrame,

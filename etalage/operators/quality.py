@@ -49,23 +49,40 @@ def unparsed(df: DataFrame, raw: str | Column, parsed: str | Column) -> DataFram
 
 @dataclass(frozen=True)
 class DataTest:
-    name: str
-    failures: DataFrame  # violating rows
+    """One test of a table's column: kind unique, not_null, at_least or relationships."""
 
+    table: str
+    column: str
+    kind: str
+    to: tuple[str, str] | None = None  # relationships: (table, column)
+    low: float | None = None  # at_least
 
-def test_report(tests: Sequence[DataTest]) -> DataFrame:
+    @property
+    def name(self) -> str:
+        return f"{self.table}.{self.column}.{self.kind}"
+
+
+def test_report(tables: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
     """Q6: one row per test: ``test``, ``failures`` (bigint), ``status``.
 
-    Each count is a global aggregate with partial counts per task, so only one
-    number per task crosses the network; the union of the per-test counts has
-    as many rows as there are tests.
+    All row-wise tests of a table are one pass over it (a count per test, partial
+    per task); a unique test groups its column, a relationship is an anti join.
+    The tables should be written ones.
     """
-    parts = [
-        t.failures.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(t.name).alias("test"), F.col("failures").cast("long").alias("failures")
-        )
-        for t in tests
-    ]
+    parts = []
+    for table in dict.fromkeys(t.table for t in tests):
+        own = [t for t in tests if t.table == table]
+        wise = {t.name: F.col(t.column).isNull() if t.kind == "not_null" else F.col(t.column) < F.lit(t.low)
+                for t in own if t.kind in ("not_null", "at_least")}
+        if wise:
+            counts = tables[table].agg(*[F.count(F.when(c, 1)).alias(f"t{k}") for k, c in enumerate(wise.values())])
+            rows = F.array(*[F.struct(F.lit(n).alias("test"), F.col(f"t{k}").alias("failures")) for k, n in enumerate(wise)])
+            parts.append(counts.select(F.inline(rows)))
+        for t in own:
+            if t.kind in ("unique", "relationships"):
+                bad = unique(tables[table], t.column) if t.kind == "unique" else relationships(
+                    tables[table], t.column, tables[t.to[0]], t.to[1])
+                parts.append(bad.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(t.name).alias("test"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

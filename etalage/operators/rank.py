@@ -5,61 +5,71 @@ row into one task (``Exchange SinglePartition``). That does not survive a large
 table. The distributed form here gives the same numbers:
 
 1. ``repartitionByRange`` on the full sort key: Spark samples the key, fixes
-   range bounds and binary-searches every row into its range, so partition
-   ``p`` holds exactly the keys between two bounds. The bounds come from the
-   whole key tuple, so one leading value holding a third of the table is
-   still split over many ranges;
-2. ``sortWithinPartitions`` on the key; each row's position inside its range
-   is its ``monotonically_increasing_id`` minus the range's base
-   (``partition << 33``), which is consecutive after the sort;
-3. a reliable ``checkpoint()`` (into the session's checkpoint folder) freezes
-   range and position, so the counting pass and the numbering pass see the
-   same assignment even if a task is retried;
-4. the rows per range (at most ``m`` numbers, like the partitioner's own
-   bounds) are prefix-summed on the driver into an array literal of offsets;
-   ``id = offsets[range] + position + 1``. No join, no further shuffle.
+   range bounds and binary-searches every row into its range. The bounds come
+   from the whole key tuple, so one leading value holding a third of the table
+   is still split over many ranges;
+2. ``sortWithinPartitions`` on the key; each row's place in its range is its
+   ``monotonically_increasing_id`` without the partition number;
+3. the ranged rows are written as parquet to the shared folder, so the counting
+   pass reads one column, the numbering pass only the columns that are used
+   later, and both see the same ranges even if a task is retried;
+4. rows per range (one number per range) are summed up and joined back as a
+   table of ``(range, offset)``; its size is the number of ranges.
+
+Callers select the columns they need before they number; what is written is
+the order key and the row's payload, nothing else.
 
 For a leading integer spread evenly over a known range (hash surrogates),
-``uniform_leading=(lo, hi)`` needs no sample and no checkpoint: the range is
-arithmetic, and one hash shuffle on it plus ``row_number`` within it give the
-numbers. For an input with a proven small bound, ``bounded=True`` keeps the
-plain window.
+``uniform_leading=(lo, hi)`` needs no sample and writes nothing: the range is
+arithmetic, one shuffle on it plus ``row_number`` within it give the numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Ranges default to the shuffle partition count (sized by data volume, see
-# session.scale_conf); the offsets are one bigint per range on the driver.
-MAX_BUCKETS = 1 << 20
+from etalage.sources.io import stored
 
+# Spark's range partitioner looks at a million keys at most, whatever the number
+# of ranges; up to this many ranges it sees a hundred keys or more for each.
+MOST_RANGES = 10_000
 
-def _num_buckets(df: DataFrame, num_buckets: int | None) -> int:
-    if num_buckets is None:
-        num_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(int(num_buckets), MAX_BUCKETS))
 
+def _ranges(df: DataFrame, ranges: int | None) -> int:
+    if ranges is None:
+        return min(MOST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    if ranges < 1:
+        raise ValueError(f"ranges must be 1 or more, not {ranges}")
+    return ranges
 
-def uniform_bucket(col: str, lo: int, hi: int, num_buckets: int) -> Column:
-    """Arithmetic bucket for an integer spread evenly over ``[lo, hi)``; NULLs first."""
-    width = (hi - lo) / num_buckets
+
+def uniform_range(col: str, lo: int, hi: int, ranges: int) -> Column:
+    """Arithmetic range of an integer spread evenly over ``[lo, hi)``; NULLs first."""
+    width = (hi - lo) / ranges
     b = F.floor((F.col(col).cast("double") - F.lit(float(lo))) / F.lit(width)).cast("long")
-    b = F.least(F.greatest(b, F.lit(0)), F.lit(num_buckets - 1)) + 1
-    return F.when(F.col(col).isNull(), F.lit(0)).otherwise(b)
+    b = F.least(F.greatest(b, F.lit(0)), F.lit(ranges - 1)) + 1
+    return F.when(F.col(col).isNull(), F.lit(0)).otherwise(b).cast("int")
+
+
+def ranged_rows(df: DataFrame, order_by: Sequence[str], ranges: int) -> DataFrame:
+    """The rows dealt to sorted key ranges, with ``_range`` and ``_place`` in it."""
+    order = [F.col(c).asc_nulls_first() for c in order_by]
+    return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select(
+        *df.columns, F.spark_partition_id().alias("_range"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
 
 
 def global_rank(
     df: DataFrame,
     order_by: Sequence[str],
     out: str = "id",
-    num_buckets: int | None = None,
-    bounded: bool = False,
+    ranges: int | None = None,
     uniform_leading: tuple[int, int] | None = None,
-    materialize: bool = False,
 ) -> DataFrame:
     """Add ``out`` = ``row_number() over (order by order_by)`` as bigint.
 
@@ -67,55 +77,34 @@ def global_rank(
     models use). The result is placed first among the columns. The order
     should be total; ties are numbered in an arbitrary order, as in SQL.
 
-    ``materialize=True`` stores the input with a reliable ``checkpoint()``
-    first, so a deep upstream plan runs once, not once per pass (the range
-    sample, the ranged rows). The range path always stores its ranged rows.
+    ``ranges`` is how many key ranges are sorted apart; it does not follow the
+    shuffle partitions beyond ``MOST_RANGES``, since a range needs keys in the
+    partitioner's sample to be of even size.
     """
-    spark = df.sparkSession
-    order_cols = [F.col(c).asc_nulls_first() for c in order_by]
+    m = _ranges(df, ranges)
     cols = df.columns
-    if bounded:
-        w = Window.orderBy(*order_cols)
-        return df.select(F.row_number().over(w).cast("long").alias(out), *cols)
-
-    from etalage.session import checkpoint_dir
-
-    checkpoint_dir(spark)
-    m = _num_buckets(df, num_buckets)
-    if materialize:
-        df = df.checkpoint(eager=True)
-
+    order = [F.col(c).asc_nulls_first() for c in order_by]
     if uniform_leading is not None:
-        tagged = df.withColumn(
-            "_bucket", uniform_bucket(order_by[0], uniform_leading[0], uniform_leading[1], m).cast("int")
-        )
-        counts = _counts(tagged, "_bucket")
-        within = Window.partitionBy("_bucket").orderBy(*order_cols)
-        return tagged.select(
-            (_offset(counts, "_bucket") + F.row_number().over(within)).cast("long").alias(out), *cols
-        )
-
-    ranged = (
-        df.repartitionByRange(m, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .select(*cols, F.spark_partition_id().alias("_range"),
-                F.monotonically_increasing_id().alias("_mid"))
-        .checkpoint(eager=True)
-    )
-    counts = _counts(ranged, "_range")
-    position = F.col("_mid") - F.shiftleft(F.col("_range").cast("long"), 33)
-    return ranged.select((_offset(counts, "_range") + position + 1).cast("long").alias(out), *cols)
-
-
-def _counts(df: DataFrame, col: str) -> dict[int, int]:
-    """Rows per range: partial counts per task; at most one row per range returns."""
-    return {r[col]: r["_n"] for r in df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).collect()}
-
-
-def _offset(counts: dict[int, int], col: str) -> Column:
-    """Rows in all lower ranges, as a lookup into an array literal."""
-    offsets, running = [], 0
-    for b in range(max(counts, default=-1) + 1):
-        offsets.append(running)
-        running += counts.get(b, 0)
-    return F.element_at(F.lit(offsets).cast("array<bigint>"), F.col(col) + 1)
+        tagged = df.withColumn("_range", uniform_range(order_by[0], *uniform_leading, m))
+        place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+        placed = tagged.select(*cols, "_range", place.alias("_place"))
+        counted = tagged
+    else:
+        placed = counted = stored(ranged_rows(df, order_by, m), "rank")
+    offsets = range_offsets(counted)
+    return placed.join(F.broadcast(offsets), "_range").select(
+        (F.col("_offset") + F.col("_place") + 1).cast("long").alias(out), *cols)
+
+
+def range_offsets(df: DataFrame) -> DataFrame:
+    """``(_range, _offset)``: the rows in all lower ranges, one row per range."""
+    counts = df.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    at = counts.column("_range").to_numpy()
+    n = counts.column("n").to_numpy()
+    order = np.argsort(at)
+    return offsets_frame(df.sparkSession, at[order], n[order])
+
+
+def offsets_frame(spark, ranges: np.ndarray, counts: np.ndarray) -> DataFrame:
+    before = np.cumsum(counts) - counts
+    return spark.createDataFrame(pa.table({"_range": pa.array(ranges, pa.int32()), "_offset": pa.array(before, pa.int64())}))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from etalage.operators.series import lag_diff
+
 
 def sales_from_delta(diff: str | Column, mean_depletion: str | Column) -> Column:
     """L1: units sold on a day, from the stock difference to the previous day.
@@ -31,124 +33,17 @@ def mean_depletion_agg(
     )
 
 
-def mean_depletion_over(series_key: Sequence[str], diff: str = "raw_stock_diff") -> Column:
-    """The same mean attached to every row of the series, as a window.
-
-    Replaces "aggregate, then left join back": the rows are already
-    partitioned by the series for the ``lag``, so the mean costs no shuffle and
-    no join. Rows of series without any non-positive difference get NULL, as
-    the left join gives.
-    """
-    w = Window.partitionBy(*series_key)
-    return F.avg(F.when(F.col(diff) <= 0, F.abs(F.col(diff)))).over(w)
-
-
-def _estimate_split(
-    df: DataFrame,
-    series_key: Sequence[str] = ("image_url",),
-    date: str = "date",
-    stock: str = "stock",
+def with_mean_depletion(
+    df: DataFrame, series_key: Sequence[str] = ("image_url",), date: str = "date", stock: str = "stock",
     tie_break: Sequence[str] = ("name",),
-    product: str = "product_id",
-    price: str = "price",
-    quantity: str = "quantity",
-    price_per_quantity: str = "price_per_quantity",
-    unit: str = "unit",
-    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Skew-safe form of :func:`estimate_sales` (see there).
+    """Stock difference and the series' mean depletion on every row.
 
-    The previous stock is taken along ``series_key`` ordered by ``date`` then
-    ``tie_break`` (the picture, by default, although a product is picture +
-    name; the tie-break makes rows of one day deterministic). Output:
-    ``keep..., product_id, date, price, stock, quantity, price_per_quantity,
-    unit, sales``.
-
-    Skew: one picture may be shared by a great many products, so the big
-    table is never grouped by the series alone. It is shuffled once on
-    ``series + date``; the step from one day to the next goes through a small
-    per-day table (one row per series-day, so bounded by the calendar), and the
-    mean depletion is summed from per-day partial sums on that same table.
+    Adds ``raw_stock_diff`` and ``mean_negative_stock_diff``, without a self-join
+    of the rows and without a task that holds a whole series (see ``lag_diff``).
     """
-    keys = list(series_key)
-    day_keys = [*keys, date]
-    order = list(tie_break) or [date]
-    st = F.col(stock)
-
-    # 1. big rows, shuffled once on (series, day): in-day order, lag, first/last
-    w_day = Window.partitionBy(*day_keys).orderBy(*order)
-    w_all = w_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = df.select(
-        "*",
-        F.row_number().over(w_day).alias("_rn"),
-        (st - F.lag(stock, 1).over(w_day)).alias("_diff_in_day"),
-        F.first(stock).over(w_all).alias("_day_first"),
-        F.last(stock).over(w_all).alias("_day_last"),
-    )
-
-    # 2. one row per series-day (bounded by the calendar): numeric partials only
-    neg_in = F.col("_diff_in_day") <= 0
-    per_day = rows.groupBy(*day_keys).agg(
-        F.max("_day_first").alias("_day_first"),
-        F.max("_day_last").alias("_day_last"),
-        F.sum(F.when(neg_in, F.abs("_diff_in_day"))).alias("_s"),
-        F.count(F.when(neg_in, F.lit(1))).alias("_c"),
-    )
-    w_days = Window.partitionBy(*keys).orderBy(date)
-    stepped = per_day.withColumn("_prev_day", F.lag("_day_last", 1).over(w_days)).withColumn(
-        "_first_diff", F.col("_day_first") - F.col("_prev_day")
-    )
-    neg_first = F.col("_first_diff") <= 0
-    s_day = F.coalesce(F.col("_s"), F.lit(0.0)) + F.when(neg_first, F.abs("_first_diff")).otherwise(0.0)
-    c_day = F.col("_c") + F.when(neg_first, 1).otherwise(0)
-    w_series = Window.partitionBy(*keys)
-    day_info = stepped.select(
-        *day_keys,
-        "_prev_day",
-        F.try_divide(F.sum(s_day).over(w_series), F.sum(c_day).over(w_series)).alias("_mean_neg"),
-    )
-
-    # 3. back onto the rows (same partitioning on the big side)
-    with_mean = rows.join(day_info, on=day_keys, how="left").withColumn(
-        "raw_stock_diff",
-        F.when(F.col("_rn") == 1, st - F.col("_prev_day")).otherwise(F.col("_diff_in_day")),
-    )
-    return with_mean.select(
-        *keep,
-        F.col(product).alias("product_id"),
-        F.col(date).alias("date"),
-        F.col(price).alias("price"),
-        F.col(stock).alias("stock"),
-        F.col(quantity).alias("quantity"),
-        F.col(price_per_quantity).alias("price_per_quantity"),
-        F.col(unit).alias("unit"),
-        sales_from_delta("raw_stock_diff", "_mean_neg").alias("sales"),
-    )
-
-
-def _estimate_window(df, series_key, date, stock, tie_break, product, price, quantity,
-                     price_per_quantity, unit, keep) -> DataFrame:
-    """One shuffle on the series: lag and the series mean as windows."""
-    keys = list(series_key)
-    w = Window.partitionBy(*keys).orderBy(date, *tie_break)
-    diffs = df.withColumn("raw_stock_diff", F.col(stock) - F.lag(stock, 1).over(w))
-    return diffs.select(
-        *keep,
-        F.col(product).alias("product_id"),
-        F.col(date).alias("date"),
-        F.col(price).alias("price"),
-        F.col(stock).alias("stock"),
-        F.col(quantity).alias("quantity"),
-        F.col(price_per_quantity).alias("price_per_quantity"),
-        F.col(unit).alias("unit"),
-        sales_from_delta("raw_stock_diff", mean_depletion_over(keys)).alias("sales"),
-    )
-
-
-# A series with more rows than this is "hot": its rows leave the one-task
-# window and take the per-day path. At most MAX_HOT_KEYS keys are listed.
-HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 10_000
+    return lag_diff(df, series_key, date, stock, tie_break, prev="_prev_stock", diff="raw_stock_diff",
+                    mean="mean_negative_stock_diff").drop("_prev_stock")
 
 
 def estimate_sales(
@@ -163,7 +58,6 @@ def estimate_sales(
     price_per_quantity: str = "price_per_quantity",
     unit: str = "unit",
     keep: Sequence[str] = (),
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """L2: one row per input row with its estimated ``sales``.
 
@@ -171,30 +65,13 @@ def estimate_sales(
     ``tie_break`` (the picture, by default, although a product is picture +
     name; the tie-break makes rows of one day deterministic). Output:
     ``keep..., product_id, date, price, stock, quantity, price_per_quantity,
-    unit, sales``.
-
-    Skew: one picture may be shared by a great many products. A count per
-    series (partial aggregation, one small pass) finds the series above
-    ``hot_rows``; those rows take the per-day form (shuffled on series + day,
-    see ``_estimate_split``), all others the plain one-shuffle window. The
-    hot-key list is bounded by ``MAX_HOT_KEYS`` and broadcast; beyond that
-    bound every row takes the per-day form. ``hot_rows=None`` skips the
-    count and uses the per-day form for everything.
+    unit, sales``. There is one form for every series, whatever its size.
     """
-    args = (series_key, date, stock, tie_break, product, price, quantity,
-            price_per_quantity, unit, keep)
-    keys = list(series_key)
-    if hot_rows is None:
-        return _estimate_split(df, *args)
-    hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows).select(*keys).limit(MAX_HOT_KEYS + 1).collect()
+    names = {product: "product_id", date: "date", price: "price", stock: "stock", quantity: "quantity",
+             price_per_quantity: "price_per_quantity", unit: "unit"}
+    needed = dict.fromkeys([*keep, *names, *series_key, *tie_break])
+    stepped = with_mean_depletion(df.select(*needed), series_key, date, stock, tie_break)
+    return stepped.select(
+        *keep, *[F.col(c).alias(as_) for c, as_ in names.items()],
+        sales_from_delta("raw_stock_diff", "mean_negative_stock_diff").alias("sales"),
     )
-    if not hot:
-        return _estimate_window(df, *args)
-    if len(hot) > MAX_HOT_KEYS:
-        return _estimate_split(df, *args)
-    hot_df = F.broadcast(df.sparkSession.createDataFrame(hot, df.select(*keys).schema))
-    cold_part = _estimate_window(df.join(hot_df, on=keys, how="left_anti"), *args)
-    hot_part = _estimate_split(df.join(hot_df, on=keys, how="left_semi"), *args)
-    return cold_part.unionByName(hot_part)

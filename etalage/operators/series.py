@@ -2,8 +2,9 @@
 
 A series is identified by ``keys`` and observed on a ``date`` axis. The silver
 layer makes every series dense: one row per day from its first observation to
-its last (at most ``max_days`` days after the first), each column carrying its
-last known value forward.
+its last, each column carrying its last known value forward. A caller may limit
+a series to ``max_days`` days after its first; by default there is no limit.
+Observations without a date belong to no day and are left out.
 """
 
 from __future__ import annotations
@@ -16,9 +17,6 @@ from pyspark.sql import functions as F
 from etalage.functions.keys import hash_key
 from etalage.operators.rank import global_rank
 
-# Fixed value: the spine covers offsets 0..370 from a series' first day.
-DEFAULT_MAX_DAYS = 370
-
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Series building ignores rows with a NULL key part."""
@@ -45,16 +43,16 @@ def date_spine(
     df: DataFrame,
     keys: Sequence[str],
     date: str = "date",
-    max_days: int | None = DEFAULT_MAX_DAYS,
+    max_days: int | None = None,
     with_offset: bool = False,
 ) -> DataFrame:
     """Every day of every series, as a generator instead of a theta join.
 
-    ``explode(sequence(first, min(last, first + max_days)))`` produces exactly
-    the rows of ``extent CROSS JOIN numbers WHERE n <= date_diff``, without a
+    ``explode(sequence(first, last))`` (``last`` at most ``first + max_days``, if
+    that is given) produces exactly the rows of ``extent CROSS JOIN numbers WHERE n <= date_diff``, without a
     nested-loop join. ``with_offset`` also returns ``n``, the day offset.
     """
-    ext = series_extent(df, keys, date)
+    ext = series_extent(df, keys, date).filter(F.col("min_date").isNotNull())
     days = F.sequence(F.col("min_date"), _spine_end(F.col("min_date"), F.col("max_date"), max_days))
     if with_offset:
         return ext.select(*keys, F.posexplode(days).alias("n", date)).withColumn(
@@ -68,7 +66,7 @@ def spine_left_join(
     keys: Sequence[str],
     cols: Sequence[str],
     date: str = "date",
-    max_days: int | None = DEFAULT_MAX_DAYS,
+    max_days: int | None = None,
 ) -> DataFrame:
     """D3: left join the observations onto the spine by ``keys + [date]``."""
     spine = date_spine(df, keys, date, max_days)
@@ -112,12 +110,53 @@ def lag_diff(
     tie_break: Sequence[str] = (),
     prev: str = "prev",
     diff: str = "diff",
+    mean: str | None = None,
 ) -> DataFrame:
-    """Previous value in the series and the difference to it."""
-    w = Window.partitionBy(*series_key).orderBy(date, *tie_break)
-    return df.withColumn(prev, F.lag(value, 1).over(w)).withColumn(
-        diff, F.col(value) - F.col(prev)
+    """Previous value in the series and the difference to it.
+
+    ``mean`` also attaches the series' mean depletion (D6): the mean of
+    ``abs(diff)`` over its non-positive differences, NULL if it has none.
+
+    A series may hold a great many rows (one placeholder picture shared by a
+    third of all products), so rows are never grouped by the series alone. They
+    are shuffled once on series + day; the step from one day to the next goes
+    through a table of one row per series-day, bounded by the calendar, which is
+    joined back on the same partitioning. The key is a struct, so NULL keys and
+    NULL dates are values like any other (a NULL date comes first).
+    """
+    v = F.col(value)
+    rows = df.withColumn("_day", F.struct(F.struct(*[F.col(k) for k in series_key]).alias("s"), F.col(date).alias("d")))
+    order = list(tie_break) or [F.lit(0)]
+    in_day = Window.partitionBy("_day").orderBy(*order)
+    whole = in_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select(
+        "*",
+        F.row_number().over(in_day).alias("_rn"),
+        F.lag(value, 1).over(in_day).alias("_prev"),
+        F.first(value).over(whole).alias("_day_first"),
+        F.last(value).over(whole).alias("_day_last"),
+    )
+    step = v - F.col("_prev")
+    down = (F.col("_rn") > 1) & (step <= 0)
+    per_day = rows.groupBy("_day").agg(
+        F.max("_day_first").alias("_day_first"),
+        F.max("_day_last").alias("_day_last"),
+        F.sum(F.when(down, F.abs(step))).alias("_s"),
+        F.count(F.when(down, F.lit(1))).alias("_c"),
     )
+    days = per_day.withColumn(
+        "_prev_day", F.lag("_day_last", 1).over(Window.partitionBy("_day.s").orderBy("_day.d")))
+    if mean:
+        first_step = F.col("_day_first") - F.col("_prev_day")
+        total = F.coalesce(F.col("_s"), F.lit(0.0)) + F.when(first_step <= 0, F.abs(first_step)).otherwise(0.0)
+        count = F.col("_c") + F.when(first_step <= 0, 1).otherwise(0)
+        series = Window.partitionBy("_day.s")
+        days = days.withColumn("_mean", F.try_divide(F.sum(total).over(series), F.sum(count).over(series)))
+    days = days.select("_day", "_prev_day", *(["_mean"] if mean else []))
+    before = F.when(F.col("_rn") == 1, F.col("_prev_day")).otherwise(F.col("_prev"))
+    return rows.join(days, "_day").select(
+        *[F.col(c) for c in df.columns], before.alias(prev), (v - before).alias(diff),
+        *([F.col("_mean").alias(mean)] if mean else []))
 
 
 def fill_series(
@@ -125,7 +164,7 @@ def fill_series(
     keys: Sequence[str],
     cols: Sequence[str],
     date: str = "date",
-    max_days: int | None = DEFAULT_MAX_DAYS,
+    max_days: int | None = None,
     hash_col: str | None = "product_id",
     id_col: str | None = None,
     hash_of: Sequence[str] | None = None,
@@ -139,7 +178,7 @@ def fill_series(
       forward-filled values, the next observation day (``lead``) and the
       series' first day;
     * each observation then emits the days it covers,
-      ``sequence(day, min(next_day - 1, first_day + max_days))``.
+      ``sequence(day, next_day - 1)``, cut at ``first_day + max_days`` if given.
 
     No join, no aggregate, no spine materialised before the fill. Input must
     hold at most one row per ``keys + [date]`` (the bronze daily dedup
@@ -147,7 +186,7 @@ def fill_series(
     form does. ``hash_col`` is the md5 surrogate of ``hash_of`` (default: the
     keys); ``id_col`` numbers the rows by keys and date over the whole table.
     """
-    obs = drop_null_keys(df, keys)
+    obs = drop_null_keys(df, [*keys, date])
     w_run = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
     w_ord = Window.partitionBy(*keys).orderBy(date)
     filled = obs.select(

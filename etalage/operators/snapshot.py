@@ -13,15 +13,25 @@ batch by key over the check columns (null-safe), then:
 One full outer join on the key and a generator that emits 0-2 versions per
 joined row: a single shuffle, no per-branch rescans. ``as_of`` is always an
 argument, never the clock, so a run can be replayed and checked.
+
+A NULL key is a key like any other. A column that is new in a batch is added to
+the snapshot (NULL in versions closed before), a column that a batch lacks counts
+as NULL in it; both are compared.
+
+``SnapshotTable`` stores a snapshot: open versions in one table, which a run
+rewrites, and closed ones in another, to which a run adds what it closes. Closed
+history is never read or written again by a run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from etalage.sources.io import default_format, layer_path, published_versions, stored
+
 VERSION_COLS = ["version_id", "valid_from", "valid_to", "updated_at"]
 
 
@@ -45,53 +55,94 @@ def scd2_initial(incoming: DataFrame, key: str, as_of: str) -> DataFrame:
     )
 
 
-def scd2_apply(
-    snapshot: DataFrame,
+def scd2_step(
+    current: DataFrame,
     incoming: DataFrame,
     key: str,
     as_of: str,
     check_cols: Sequence[str] | None = None,
     invalidate_hard_deletes: bool = True,
 ) -> DataFrame:
-    """N1 + N2: the snapshot after taking in ``incoming`` at ``as_of``."""
-    data_cols = [c for c in snapshot.columns if c not in VERSION_COLS]
-    check = list(check_cols) if check_cols else [c for c in data_cols if c != key]
+    """The open versions after ``incoming``, and those it closes (``valid_to = as_of``)."""
+    before = [c for c in current.columns if c not in VERSION_COLS]
+    data = [key, *[c for c in dict.fromkeys([*before, *incoming.columns]) if c != key]]
+    check = list(check_cols) if check_cols else data[1:]
     t = _ts(as_of)
+    types = {**dict(incoming.dtypes), **dict(current.dtypes)}
 
-    history = snapshot.filter(F.col("valid_to").isNotNull())
-    current = snapshot.filter(F.col("valid_to").isNull())
+    def side(df: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
+        values = [F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in cols]
+        # NULLs inside a struct are equal in a join
+        return df.select(F.struct(F.col(key)).alias("_key"), F.struct(*values).alias(name))
 
-    old = current.select(key, F.struct(*[c for c in snapshot.columns if c != key]).alias("_old"))
-    new = incoming.select(key, F.struct(*[c for c in data_cols if c != key]).alias("_new"))
-    j = old.join(new, on=key, how="full_outer")
+    old = side(current, "_old", [*data, *VERSION_COLS])
+    j = old.join(side(incoming, "_new", data), on="_key", how="full_outer")
 
     same = F.lit(True)
     for c in check:
         same = same & F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
 
-    def version(src: str, valid_from: Column, valid_to: Column, updated_at: Column, vid: Column) -> Column:
-        fields = [F.col(key).alias(key)]
-        fields += [F.col(f"{src}.{c}").alias(c) for c in data_cols if c != key]
-        fields += [vid.alias("version_id"), valid_from.alias("valid_from"),
-                   valid_to.alias("valid_to"), updated_at.alias("updated_at")]
-        return F.struct(*fields)
+    def version(src: str, **versions: Column) -> Column:
+        fields = [F.col(f"{src}.{c}").alias(c) for c in data]
+        return F.struct(*fields, *[versions.get(c, F.col(f"_old.{c}")).alias(c) for c in VERSION_COLS])
 
-    kept = version("_old", F.col("_old.valid_from"), F.col("_old.valid_to"),
-                   F.col("_old.updated_at"), F.col("_old.version_id"))
-    closed = version("_old", F.col("_old.valid_from"), t,
-                     F.col("_old.updated_at"), F.col("_old.version_id"))
-    opened = version("_new", t, F.lit(None).cast("timestamp_ntz"), t, _version_id(key, t))
-
-    gone = F.array(closed) if invalidate_hard_deletes else F.array(kept)
+    kept, closed = version("_old"), version("_old", valid_to=t)
+    opened = version("_new", version_id=_version_id("_key." + key, t), valid_from=t,
+                     valid_to=F.lit(None).cast("timestamp_ntz"), updated_at=t)
     versions = (
         F.when(F.col("_old").isNull(), F.array(opened))
-        .when(F.col("_new").isNull(), gone)
+        .when(F.col("_new").isNull(), F.array(closed if invalidate_hard_deletes else kept))
         .when(same, F.array(kept))
         .otherwise(F.array(closed, opened))
     )
-    out_cols = [key, *[c for c in data_cols if c != key], *VERSION_COLS]
-    applied = j.select(F.explode(versions).alias("_v")).select(*[F.col(f"_v.{c}").alias(c) for c in out_cols])
-    return history.select(*out_cols).unionByName(applied)
+    return j.select(F.explode(versions).alias("_v")).select(*[F.col(f"_v.{c}").alias(c) for c in [*data, *VERSION_COLS]])
+
+
+def scd2_apply(snapshot: DataFrame, incoming: DataFrame, key: str, as_of: str, **options) -> DataFrame:
+    """N1 + N2: the snapshot after taking in ``incoming`` at ``as_of``."""
+    after = scd2_step(snapshot.filter(F.col("valid_to").isNull()), incoming, key, as_of, **options)
+    history = snapshot.filter(F.col("valid_to").isNotNull())
+    return after.unionByName(history, allowMissingColumns=True)
+
+
+class SnapshotTable:
+    """A stored snapshot: ``snapshots/<name>_open`` and ``snapshots/<name>_closed``.
+
+    Version n of the open table is the state after n runs, version n of the closed
+    one what run n closed. A run writes the closed part first; it is done when the
+    open part is published, and a run that failed is simply run again.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, name: str, key: str, fmt: str | None = None):
+        self.spark, self.root, self.name, self.key = spark, root, name, key
+        self.fmt = fmt or default_format(spark)
+
+    def _path(self, part: str, run: int) -> str:
+        return f"{layer_path(self.root, 'snapshots', f'{self.name}_{part}')}/v{run:06d}"
+
+    def runs(self) -> int:
+        """How many runs are done."""
+        done = published_versions(self.spark, layer_path(self.root, "snapshots", f"{self.name}_open"))
+        return max(done, default=0)
+
+    def apply(self, incoming: DataFrame, as_of: str, **options) -> None:
+        """Take in a batch: write what it closes, then the open versions."""
+        n = self.runs()
+        if n:
+            current = self.spark.read.format(self.fmt).load(self._path("open", n))
+            after = stored(scd2_step(current, incoming, self.key, as_of, **options), "snapshot")
+        else:
+            after = scd2_initial(incoming, self.key, as_of)
+        for part, rows in (("closed", F.col("valid_to").isNotNull()), ("open", F.col("valid_to").isNull())):
+            after.filter(rows).write.format(self.fmt).mode("overwrite").save(self._path(part, n + 1))
+
+    def read(self) -> DataFrame:
+        """All versions of all keys."""
+        n = self.runs()
+        out = self.spark.read.format(self.fmt).load(self._path("open", n))
+        for k in range(1, n + 1):
+            out = out.unionByName(self.spark.read.format(self.fmt).load(self._path("closed", k)), allowMissingColumns=True)
+        return out
 
 
 def scd2_replay(batches: Sequence[tuple[str, DataFrame]], key: str, **kwargs) -> DataFrame:

@@ -1,11 +1,11 @@
 """SQL twins of ``etalage.queries`` for DuckDB (the independent oracle).
 
-They are written the way the models state them in SQL: a numbers table and a
-range join for the spine, running counts plus ``first_value`` per group for
-the fill, an aggregate joined back for the mean depletion, a plain
-``row_number() over (order by ...)`` for ids. Ordering ties are broken the
-same way as on the Spark side, and every NULL order is spelled out because
-DuckDB sorts NULLs last by default and Spark first.
+They are written from the behaviour each operator promises, with DuckDB's own
+means: ``generate_series`` for the days of a series, ``last_value ... IGNORE
+NULLS`` for the fill, filtered window aggregates for the mean depletion,
+``QUALIFY`` for "first per key", a plain ``row_number`` for ids. Ordering ties are
+broken the same way as on the Spark side, and every NULL order is spelled out
+because DuckDB sorts NULLs last by default and Spark first.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ OBS = """
 obs AS (
   SELECT 'img/' || l.l_suppkey || '-' || l.l_returnflag AS image_url,
          'item ' || l.l_linestatus AS name,
-         CAST(l.l_shipdate AS DATE) AS date,
+         CASE WHEN l.l_orderkey % 61 <> 0 THEN CAST(l.l_shipdate AS DATE) END AS date,
          CASE WHEN l.l_orderkey % 7 <> 0 THEN l.l_extendedprice END AS price,
          CASE WHEN l.l_orderkey % 11 <> 0 THEN l.l_quantity END AS stock,
          CAST(p.p_size AS DOUBLE) AS quantity,
@@ -35,7 +35,8 @@ OBS_DAILY = OBS + """,
 obs_daily AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY image_url, date
-                                 ORDER BY l_orderkey, l_linenumber) AS rn
+                                 ORDER BY l_orderkey, l_linenumber, name, price NULLS FIRST,
+                                          stock NULLS FIRST, section NULLS FIRST) AS rn
     FROM obs) WHERE rn = 1
 )"""
 
@@ -43,49 +44,40 @@ _FILL_COLS = ["price", "stock", "quantity", "unit", "price_per_quantity",
               "category", "section", "marque", "store"]
 
 
-def _fill_sql(src: str, keys: list[str], cols: list[str], name: str, hash_key: bool) -> str:
-    """Spine by range join on a numbers table, left join, running counts,
-    first_value per count group: the model's own formulation."""
+def _days(src: str, keys: list[str], name: str) -> str:
+    """Every day of every series, from its first observation to its last."""
     k = ", ".join(keys)
-    kk = " AND ".join(f"a.{c} = m.{c}" for c in keys)
-    groups = ",\n    ".join(
-        f"count({c}) OVER (PARTITION BY {k} ORDER BY date_day "
-        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}_group" for c in cols
-    )
-    firsts = ",\n    ".join(
-        f"first_value({c}) OVER (PARTITION BY {k}, {c}_group ORDER BY date_day "
-        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}" for c in cols
-    )
-    hk = (f"CAST(('0x' || substr(md5({' || '.join(keys)}), 1, 15)) AS BIGINT) AS product_id,"
-          if hash_key else "")
-    return f""",
-{name}_ext AS (
-  SELECT {k}, min(date) AS min_date, max(date) AS max_date,
-         date_diff('day', min(date), max(date)) AS date_diff
-  FROM {src} WHERE {" AND ".join(f"{c} IS NOT NULL" for c in keys)} GROUP BY {k}
-),
-{name}_numbers AS (SELECT range AS num FROM range(0, 371)),
-{name}_spine AS (
-  SELECT {", ".join("i." + c for c in keys)}, CAST(i.min_date + CAST(n.num AS INTEGER) AS DATE) AS date_day
-  FROM {name}_ext i JOIN {name}_numbers n ON n.num <= i.date_diff
-),
-{name}_joined AS (
-  SELECT {", ".join("m." + c for c in keys)}, m.date_day, {", ".join("a." + c for c in cols)}
-  FROM {name}_spine m LEFT JOIN {src} a ON {kk} AND a.date = m.date_day
-),
-{name}_grouped AS (
-  SELECT *,
-    {groups}
-  FROM {name}_joined
-),
+    known = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, "date"])
+    return f"""
 {name} AS (
-  SELECT {hk} {k}, date_day AS date,
-    {firsts}
-  FROM {name}_grouped
+  SELECT {k}, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM {src} WHERE {known} GROUP BY {k}
 )"""
 
 
-SILVER = OBS_DAILY + _fill_sql("obs_daily", ["image_url", "name"], _FILL_COLS, "silver", True)
+def _fill_sql(src: str, keys: list[str], cols: list[str], name: str, hash_of: list[str] | None) -> str:
+    """The days of each series, each column with its last known value."""
+    k = ", ".join(keys)
+    product = f"CAST('0x' || left(md5(concat({', '.join(hash_of)})), 15) AS BIGINT) AS product_id, " if hash_of else ""
+    known = ", ".join(f"last_value({c} IGNORE NULLS) OVER upto AS {c}" for c in cols)
+    return f""",{_days(src, keys, name + "_days")},
+{name} AS (
+  SELECT {product}{k}, date, {known}
+  FROM {name}_days LEFT JOIN {src} USING ({k}, date)
+  WINDOW upto AS (PARTITION BY {k} ORDER BY date ROWS UNBOUNDED PRECEDING)
+)"""
+
+
+SILVER = OBS_DAILY + _fill_sql("obs_daily", ["image_url", "name"], _FILL_COLS, "silver", ["image_url", "name"])
+
+_FEEDS = ["auchan", "biocoop", "carrefour", "labellevie"]
+_FEED_KEYS = ["feed", "image_url", "name"]
+FEEDS_SILVER = OBS_DAILY + """,
+feeds_daily AS (
+  SELECT * REPLACE (CASE WHEN store = 'store0' THEN marque END AS marque),
+         ['auchan', 'biocoop', 'carrefour', 'labellevie'][1 + CAST(right(store, 1) AS INTEGER)] AS feed
+  FROM obs_daily
+)""" + _fill_sql("feeds_daily", _FEED_KEYS, _FILL_COLS, "fsilver", ["image_url", "name"])
 
 EVT_DAILY = """
 evt AS (
@@ -101,72 +93,74 @@ evt_daily AS (
 
 STORE_IMG = """
 store_img AS (
-  SELECT 'store' || (n_nationkey % 4) AS store, n_name AS image_str FROM nation
+  SELECT 'store' || (n_nationkey % 4) AS store, CASE WHEN n_nationkey % 7 <> 0 THEN n_name END AS image_str FROM nation
 )"""
 
-DIFFS = """,
-diffs AS (
-  SELECT *, stock - lag(stock) OVER (PARTITION BY image_url ORDER BY date, name) AS raw_stock_diff
-  FROM silver
+
+def _sales(src: str, series: str, ties: str, name: str = "sold") -> str:
+    """Stock steps along a series, its mean depletion, and the units sold: a rise is a
+    restock and counts as the mean depletion, no step sells nothing."""
+    return f""",
+{name}_steps AS (
+  SELECT *, stock - lag(stock) OVER (PARTITION BY {series} ORDER BY date, {ties}) AS raw_stock_diff FROM {src}
 ),
-mean_neg AS (
-  SELECT image_url, avg(abs(raw_stock_diff)) AS mean_negative_stock_diff
-  FROM diffs WHERE raw_stock_diff <= 0 GROUP BY image_url
+{name} AS (
+  SELECT *, CAST(if(raw_stock_diff > 0, mean_negative_stock_diff, coalesce(abs(raw_stock_diff), 0)) AS DOUBLE) AS sales
+  FROM (SELECT *, avg(abs(raw_stock_diff)) FILTER (raw_stock_diff <= 0) OVER (PARTITION BY {series}) AS mean_negative_stock_diff
+        FROM {name}_steps)
 )"""
 
-SALES_CASE = """CASE WHEN d.raw_stock_diff > 0 THEN m.mean_negative_stock_diff
-                     WHEN d.raw_stock_diff IS NULL THEN 0
-                     ELSE abs(d.raw_stock_diff) END"""
 
-DIMS = SILVER + "," + STORE_IMG + """,
+def _any_feed(cols: str) -> str:
+    """UNION of the four feeds' rows."""
+    return " UNION ".join(f"SELECT {cols} FROM fsilver WHERE feed = '{f}'" for f in _FEEDS)
+
+
+def _id(order: str, name: str) -> str:
+    return f"CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS {name}"
+
+
+_DIM_CTES = "," + STORE_IMG + f""",
 dim_category AS (
-  SELECT CAST(row_number() OVER (ORDER BY section, category) AS BIGINT) AS id_category, section, category
-  FROM (SELECT category, section FROM silver UNION SELECT category, section FROM silver)
-  WHERE category IS NOT NULL AND trim(category) <> '' AND section IS NOT NULL AND trim(section) <> ''
+  SELECT {_id("section, category", "id_category")}, section, category FROM ({_any_feed("section, category")})
+  WHERE trim(category) <> '' AND trim(section) <> ''
 ),
 dim_date AS (
-  SELECT CAST(row_number() OVER (ORDER BY date) AS BIGINT) AS date_id,
-         CAST(extract(day FROM date) AS BIGINT) AS day,
-         CAST(extract(month FROM date) AS BIGINT) AS month,
-         CAST(extract(year FROM date) AS BIGINT) AS year,
-         date
-  FROM (SELECT DISTINCT CAST(date AS DATE) AS date FROM silver)
+  SELECT {_id("date", "date_id")}, CAST(day(date) AS BIGINT) AS day, CAST(month(date) AS BIGINT) AS month,
+         CAST(year(date) AS BIGINT) AS year, date
+  FROM ({_any_feed("date")})
 ),
 dim_picture AS (
-  SELECT CAST(row_number() OVER (ORDER BY picture) AS BIGINT) AS id_picture, picture
-  FROM (SELECT DISTINCT image_url AS picture FROM silver
-        WHERE image_url IS NOT NULL AND trim(image_url) <> '')
-),
-store_one AS (
-  SELECT store, image_str FROM (
-    SELECT store, image_str, row_number() OVER (PARTITION BY store ORDER BY image_str) AS rn
-    FROM store_img) WHERE rn = 1
+  SELECT {_id("picture", "id_picture")}, picture FROM ({_any_feed("image_url AS picture")}) WHERE trim(picture) <> ''
 ),
 dim_store AS (
-  SELECT CAST(row_number() OVER (ORDER BY rs.store) AS BIGINT) AS id_store, rs.store, fc.image_str
-  FROM (SELECT DISTINCT store FROM silver) rs LEFT JOIN store_one fc ON rs.store = fc.store
-  WHERE rs.store IS NOT NULL AND trim(rs.store) <> ''
-),
-all_products AS (
-  SELECT DISTINCT product_id, name, marque, category, image_url AS picture, store FROM silver
-),
-final_product AS (
-  SELECT p.product_id, p.name, p.marque, c.id_category, i.id_picture, s.id_store
-  FROM all_products p
-  LEFT JOIN dim_category c ON p.category = c.category
-  LEFT JOIN dim_picture i ON p.picture = i.picture
-  LEFT JOIN dim_store s ON p.store = s.store
+  SELECT {_id("store", "id_store")}, store, (SELECT min(image_str) FROM store_img i WHERE i.store = s.store) AS image_str
+  FROM ({_any_feed("store")}) s WHERE trim(store) <> ''
 ),
 dim_product AS (
-  SELECT product_id, name, marque, id_category, id_picture, id_store FROM (
-    SELECT *, row_number() OVER (PARTITION BY product_id
-      ORDER BY id_category NULLS FIRST, id_store NULLS FIRST, id_picture NULLS FIRST,
-               name NULLS FIRST, marque NULLS FIRST) AS rn
-    FROM final_product) WHERE rn = 1
+  SELECT product_id, name, marque, id_category, id_picture, id_store
+  FROM ({" UNION ALL ".join(f"SELECT DISTINCT product_id, name, marque, category, image_url, store FROM fsilver WHERE feed = '{f}'" for f in _FEEDS)}) p
+  LEFT JOIN (SELECT category, min(id_category) AS id_category FROM dim_category GROUP BY category) USING (category)
+  LEFT JOIN dim_picture ON picture = image_url
+  LEFT JOIN (SELECT store, id_store FROM dim_store) USING (store)
+  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY id_category NULLS FIRST, id_store NULLS FIRST,
+    id_picture NULLS FIRST, name NULLS FIRST, marque NULLS LAST) = 1
 )"""
-
-FACT_ORDER = ("stock DESC NULLS LAST, price DESC NULLS LAST, quantity DESC NULLS LAST, "
-              "unit ASC NULLS LAST, sales DESC NULLS LAST")
+DIMS = FEEDS_SILVER + _DIM_CTES
+
+_BEST = ("stock DESC NULLS LAST, price DESC NULLS LAST, quantity DESC NULLS LAST, unit NULLS LAST, "
+         "sales DESC NULLS LAST, price_per_quantity DESC NULLS LAST")
+_FACT_CTES = _sales("fsilver", "feed, image_url", "name", "fsold") + f""",
+fact_sales AS (
+  WITH best AS (SELECT * FROM fsold QUALIFY row_number() OVER (PARTITION BY product_id, date ORDER BY {_BEST}) = 1),
+  keyed AS (
+    SELECT b.* REPLACE (if(b.sales BETWEEN 9850 AND 10000, 1.0, b.sales) AS sales, p.product_id AS product_id), d.date_id
+    FROM best b LEFT JOIN dim_product p USING (product_id) LEFT JOIN dim_date d ON d.date = b.date)
+  SELECT {_id("product_id NULLS FIRST, date_id NULLS FIRST", "id")},
+         stock, sales, price, quantity, price_per_quantity, unit, product_id, date_id
+  FROM (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY product_id, date_id ORDER BY {_BEST}) = 1)
+)"""
+FACT = DIMS + _FACT_CTES
 
 ORACLE: dict[str, str] = {}
 
@@ -177,82 +171,56 @@ SELECT image_url, name, min(date) AS min_date, max(date) AS max_date,
        CAST(date_diff('day', min(date), max(date)) AS BIGINT) AS date_diff
 FROM obs_daily WHERE image_url IS NOT NULL AND name IS NOT NULL GROUP BY image_url, name"""
 
-_SPINE = OBS_DAILY + """,
-ext AS (
-  SELECT image_url, name, min(date) AS min_date, date_diff('day', min(date), max(date)) AS date_diff
-  FROM obs_daily WHERE image_url IS NOT NULL AND name IS NOT NULL GROUP BY image_url, name
-),
-numbers AS (SELECT range AS num FROM range(0, 371)),
-spine AS (
-  SELECT i.image_url, i.name, n.num AS n, CAST(i.min_date + CAST(n.num AS INTEGER) AS DATE) AS date
-  FROM ext i JOIN numbers n ON n.num <= i.date_diff
-)"""
+_SPINE = OBS_DAILY + "," + _days("obs_daily", ["image_url", "name"], "spine")
 
-ORACLE["date_spine"] = f"WITH {_SPINE} SELECT image_url, name, date FROM spine"
-ORACLE["join_range_spine"] = f"WITH {_SPINE} SELECT image_url, name, CAST(n AS BIGINT) AS n, date FROM spine"
+ORACLE["date_spine"] = f"WITH {_SPINE} SELECT * FROM spine"
+ORACLE["join_range_spine"] = f"""WITH {_SPINE}
+SELECT *, CAST(date - min(date) OVER (PARTITION BY image_url, name) AS BIGINT) AS n FROM spine"""
 
 _SPINE_JOIN = _SPINE + """,
 joined AS (
-  SELECT m.image_url, m.name, m.date, a.price, a.stock
-  FROM spine m LEFT JOIN obs_daily a
-    ON a.image_url = m.image_url AND a.name = m.name AND a.date = m.date
+  SELECT image_url, name, date, price, stock FROM spine LEFT JOIN obs_daily USING (image_url, name, date)
 )"""
 
 ORACLE["join_spine_left"] = f"WITH {_SPINE_JOIN} SELECT * FROM joined"
 
+_UPTO = "WINDOW upto AS (PARTITION BY image_url, name ORDER BY date ROWS UNBOUNDED PRECEDING)"
+
 ORACLE["window_running_count"] = f"""WITH {_SPINE_JOIN}
-SELECT *,
-  CAST(sum(CASE WHEN price IS NOT NULL THEN 1 ELSE 0 END) OVER w AS BIGINT) AS price_group,
-  CAST(sum(CASE WHEN stock IS NOT NULL THEN 1 ELSE 0 END) OVER w AS BIGINT) AS stock_group
-FROM joined
-WINDOW w AS (PARTITION BY image_url, name ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
-
-ORACLE["window_forward_fill"] = f"""WITH {_SPINE_JOIN},
-g AS (
-  SELECT *, count(price) OVER w AS pg, count(stock) OVER w AS sg FROM joined
-  WINDOW w AS (PARTITION BY image_url, name ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-)
-SELECT image_url, name, date,
-  first_value(price) OVER (PARTITION BY image_url, name, pg ORDER BY date) AS price,
-  first_value(stock) OVER (PARTITION BY image_url, name, sg ORDER BY date) AS stock
-FROM g"""
+SELECT *, count(price) OVER upto AS price_group, count(stock) OVER upto AS stock_group FROM joined {_UPTO}"""
+
+ORACLE["window_forward_fill"] = f"""WITH {_SPINE_JOIN}
+SELECT image_url, name, date, last_value(price IGNORE NULLS) OVER upto AS price,
+       last_value(stock IGNORE NULLS) OVER upto AS stock
+FROM joined {_UPTO}"""
 
 ORACLE["fill_series"] = f"""WITH {SILVER}
 SELECT CAST(row_number() OVER (ORDER BY image_url, name, date) AS BIGINT) AS id, * FROM silver"""
 
 ORACLE["fill_series_events"] = "WITH " + EVT_DAILY + _fill_sql(
-    "evt_daily", ["user_id", "event_type"], ["value"], "evt_silver", False
+    "evt_daily", ["user_id", "event_type"], ["value"], "evt_silver", None
 ) + "\nSELECT * FROM evt_silver"
 
-ORACLE["window_lag_diff"] = f"""WITH {SILVER}
-SELECT image_url, name, date, stock,
-       lag(stock) OVER (PARTITION BY image_url ORDER BY date, name) AS prev,
-       stock - lag(stock) OVER (PARTITION BY image_url ORDER BY date, name) AS diff
-FROM silver"""
-
-ORACLE["agg_mean_depletion"] = f"WITH {SILVER}{DIFFS} SELECT * FROM mean_neg"
+_SOLD = SILVER + _sales("silver", "image_url", "name")
 
-ORACLE["join_group_mean"] = f"""WITH {SILVER}{DIFFS}
-SELECT d.image_url, d.name, d.date, d.raw_stock_diff, m.mean_negative_stock_diff
-FROM diffs d LEFT JOIN mean_neg m ON d.image_url = m.image_url"""
-
-ORACLE["sales_from_delta"] = f"""WITH {SILVER}{DIFFS}
-SELECT d.image_url, d.name, d.date, CAST({SALES_CASE} AS DOUBLE) AS sales
-FROM diffs d LEFT JOIN mean_neg m ON d.image_url = m.image_url"""
-
-_ESTIMATE = f"""
-SELECT d.image_url, d.name, d.product_id, d.date, d.price, d.stock, d.quantity,
-       d.price_per_quantity, d.unit, CAST({SALES_CASE} AS DOUBLE) AS sales
-FROM diffs d LEFT JOIN mean_neg m ON d.image_url = m.image_url"""
-
-ORACLE["estimate_sales"] = f"WITH {SILVER}{DIFFS}{_ESTIMATE}"
+ORACLE["window_lag_diff"] = f"""WITH {SILVER}
+SELECT image_url, name, date, stock, lag(stock) OVER s AS prev, stock - lag(stock) OVER s AS diff
+FROM silver WINDOW s AS (PARTITION BY image_url ORDER BY date, name)"""
+ORACLE["agg_mean_depletion"] = f"""WITH {_SOLD}
+SELECT image_url, avg(-raw_stock_diff) AS mean_negative_stock_diff FROM sold WHERE raw_stock_diff <= 0 GROUP BY ALL"""
+ORACLE["join_group_mean"] = f"WITH {_SOLD} SELECT image_url, name, date, raw_stock_diff, mean_negative_stock_diff FROM sold"
+ORACLE["sales_from_delta"] = f"WITH {_SOLD} SELECT image_url, name, date, sales FROM sold"
+_SOLD_COLS = "product_id, date, price, stock, quantity, price_per_quantity, unit, sales"
+ORACLE["estimate_sales"] = f"WITH {_SOLD} SELECT image_url, name, {_SOLD_COLS} FROM sold"
+ORACLE["estimate_sales_hot_split"] = f"""WITH {SILVER}{_sales("silver", "store", "image_url, name")}
+SELECT store, image_url, name, {_SOLD_COLS} FROM sold"""
 
 ORACLE["hash_key"] = f"""WITH {OBS}
 SELECT DISTINCT image_url, name, CAST(('0x' || substr(md5(image_url || name), 1, 15)) AS BIGINT) AS product_id
 FROM obs"""
 
 ORACLE["global_rank"] = f"""WITH {OBS}
-SELECT CAST(row_number() OVER (ORDER BY image_url, date, l_orderkey, l_linenumber) AS BIGINT) AS id,
+SELECT CAST(row_number() OVER (ORDER BY image_url, date NULLS FIRST, l_orderkey, l_linenumber, price NULLS FIRST) AS BIGINT) AS id,
        image_url, date, l_orderkey, l_linenumber, price
 FROM obs"""
 
@@ -262,29 +230,8 @@ ORACLE["dim_picture"] = f"WITH {DIMS} SELECT * FROM dim_picture"
 ORACLE["dim_store"] = f"WITH {DIMS} SELECT * FROM dim_store"
 ORACLE["dim_product"] = f"WITH {DIMS} SELECT * FROM dim_product"
 
-ORACLE["fact_sales"] = f"""WITH {DIMS}{DIFFS},
-est AS ({_ESTIMATE}),
-raw_fact AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY product_id, date ORDER BY {FACT_ORDER}) AS rn
-    FROM est) WHERE rn = 1
-),
-final_fact AS (
-  SELECT f.stock,
-         CASE WHEN f.sales BETWEEN 9850 AND 10000 THEN 1 ELSE f.sales END AS sales,
-         f.price, f.quantity, f.price_per_quantity, f.unit, p.product_id, d.date_id
-  FROM raw_fact f
-  LEFT JOIN dim_product p ON f.product_id = p.product_id
-  LEFT JOIN dim_date d ON f.date = d.date
-),
-dedup AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY product_id, date_id ORDER BY {FACT_ORDER}) AS rn
-    FROM final_fact) WHERE rn = 1
-)
-SELECT CAST(row_number() OVER (ORDER BY product_id NULLS FIRST, date_id NULLS FIRST) AS BIGINT) AS id,
-       stock, CAST(sales AS DOUBLE) AS sales, price, quantity, price_per_quantity, unit, product_id, date_id
-FROM dedup"""
+ORACLE["fact_sales"] = f"WITH {FACT} SELECT * FROM fact_sales"
+ORACLE["agg_distinct"] = f"WITH {OBS} SELECT category, section, store FROM obs GROUP BY ALL"
 
 
 # -- RAW bindings and bronze feeds --------------------------------------------
@@ -325,14 +272,15 @@ raw_biocoop AS (
   FROM raw_lines
 ),
 raw_carrefour AS (
-  SELECT date, name,
+  SELECT CASE WHEN l_orderkey % 47 = 0 THEN strftime(date, '%d/%m/%Y') WHEN l_orderkey % 53 <> 0 THEN strftime(date, '%Y-%m-%d') END AS date, name,
     CASE WHEN l_orderkey % 29 = 0 THEN 'n/a' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity_stock,
     replace(printf('%.2f', l_extendedprice), '.', ',') || ' €' AS price,
     CASE WHEN l_orderkey % 3 = 0 THEN '' WHEN l_orderkey % 3 = 1 THEN NULL
          ELSE replace(printf('%.2f', p_retailprice), '.', ',') || ' €' END AS promotion,
     CASE WHEN l_orderkey % 41 = 0 THEN 'le flacon de 250ml'
          WHEN l_orderkey % 43 = 0 THEN '1,067.50 € / KG'
-         ELSE printf('%.2f', p_retailprice) || ' € / ' ||
+         ELSE CASE WHEN l_orderkey % 5 = 0 THEN replace(printf('%.2f', p_retailprice), '.', ',')
+                   ELSE printf('%.2f', p_retailprice) END || ' € / ' ||
            CASE p_size % 6 WHEN 0 THEN 'KG' WHEN 1 THEN 'kg' WHEN 2 THEN 'Kg' WHEN 3 THEN 'ml'
                            WHEN 4 THEN 'L' ELSE 'U' END END AS price_per_quantity,
     store, image_url, l_suppkey, l_returnflag, l_orderkey, l_linenumber
@@ -376,7 +324,7 @@ norm1 AS (
     FROM norm_parsed) WHERE rn = 1
 )"""
 
-ID_ORDER = "date, l_suppkey, l_returnflag, l_orderkey, l_linenumber"
+ID_ORDER = "date NULLS FIRST, l_suppkey, l_returnflag, l_orderkey, l_linenumber"
 
 
 def _num(text: str) -> str:
@@ -449,17 +397,16 @@ b_final AS (
 
 _C_UNIT = ("replace(replace(regexp_replace(price_per_quantity, '.*/\\s*([a-zA-Z]+)', '\\1'), "
            "'Kilogramme', 'Kg'), 'le flacon de 250ml', 'ml')")
-_C_PPU = _num("NULLIF(replace(replace(regexp_replace(price_per_quantity, '^([0-9]+(?:\\.[0-9]+)?)\\s.*', '\\1'), "
-              "'1,067.50 € / KG', ''), 'le flacon de 250ml', ''), '')")
-_C_QNUM = _num("NULLIF(regexp_replace(replace(replace(price_per_quantity, '1,067.50 € / KG', ''), "
-               "'le flacon de 250ml', ''), '^([0-9]+(?:[.,][0-9]+)?)\\s.*', '\\1'), '')")
+_C_PPU_TEXT = ("replace(regexp_replace(NULLIF(replace(replace(price_per_quantity, '1,067.50 € / KG', ''), "
+               "'le flacon de 250ml', ''), ''), '^([0-9]+(?:[.,][0-9]+)?)\\s.*', '\\1'), ',', '.')")
+_C_PPU = _num(_C_PPU_TEXT)
 _C_PRICE = _price("price", False)
-_C_QTY = f"{_C_PRICE} / NULLIF({_C_QNUM}, 0)"
+_C_QTY = f"{_C_PRICE} / NULLIF({_C_PPU}, 0)"
 _C_PROMO = _price("NULLIF(replace(replace(replace(promotion, '€', ''), ' ', ''), ',', '.'), '')", False)
 
 BRONZE_C = RAW + f""",
 c_raw AS (
-  SELECT row_number() OVER (ORDER BY {ID_ORDER}) AS id, CAST(date AS DATE) AS date, name,
+  SELECT row_number() OVER (ORDER BY {ID_ORDER}) AS id, date AS date_text, TRY_CAST(date AS DATE) AS date, name,
     {_num('quantity_stock')} AS stock, {_C_PRICE} AS price,
     {_C_UNIT} AS raw_unit, {_C_PPU} AS price_per_unit, {_C_QTY} AS raw_quantity,
     store, image_url
@@ -478,6 +425,7 @@ c_final AS (
   FROM c_raw l
   JOIN cat1 c ON c.product_name = l.name
   JOIN sec1 s ON s.product_name = l.name
+  WHERE date_text IS NULL OR date IS NOT NULL
 ),
 {_daily('c_final', 'bronze_carrefour')}"""
 
@@ -532,6 +480,49 @@ ORACLE["union_distinct"] = f"""WITH {_STACK_BODY}
 SELECT category, section FROM bronze_auchan UNION SELECT category, section FROM bronze_biocoop
 UNION SELECT category, section FROM bronze_carrefour UNION SELECT category, section FROM bronze_labellevie"""
 
+
+
+def _rejects(feed: str, image: str, casts: list[tuple[str, str, str]]) -> str:
+    """(column, text that is cast, value): texts that are there and give no value."""
+    rows = " UNION ALL ".join(
+        f"SELECT id, {image} AS image_url, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS text FROM numbered "
+        f"WHERE trim({text}) <> '' AND {value} IS NULL" for c, text, value in casts)
+    return (f"SELECT '{feed}' AS feed, * FROM (WITH numbered AS (SELECT *, row_number() OVER (ORDER BY {ID_ORDER}) AS id "
+            f"FROM raw_{feed}) {rows})")
+
+
+def _as_double(text: str) -> str:
+    return f"TRY_CAST(trim({text}) AS DOUBLE)"
+
+
+_DAY = ("date", "CAST(date AS VARCHAR)", "TRY_CAST(date AS DATE)")
+_STOCK = ("quantity_stock", "quantity_stock", _num("quantity_stock"))
+_PLAIN = "replace(replace(replace({}, '€', ''), ' ', ''), ',', '.')"
+_A_PRICE = "replace(" + _PLAIN.format("price") + ", 'Àpartirde', '0')"
+_B_TEXT = "replace(replace(price, '2150', '2.15'), '1975', '1.975')"
+_B_UNIT_TEXT = "regexp_replace(replace(price_per_quantity, ',', '.'), '[^0-9.]+', '', 'g')"
+_D_STOCK_TEXT = "regexp_replace(quantity_stock, '[^0-9.]+', '', 'g')"
+_D_PRICE_TEXT = "replace(replace(replace(price, '€', ''), 'au lieu de', ''), '+', '')"
+_D_PROMO_TEXT = "NULLIF(replace(promotion, '%', ''), '')"
+ORACLE["bronze_rejects"] = f"WITH {RAW}\n" + "\nUNION ALL\n".join([
+    _rejects("auchan", "image_url", [_STOCK, ("price", _A_PRICE, _num(_A_PRICE)), _DAY]),
+    _rejects("biocoop", "img", [("price", _B_TEXT, _as_double(_B_TEXT)), ("price_per_quantity", _B_UNIT_TEXT, _as_double(_B_UNIT_TEXT)), _DAY]),
+    _rejects("carrefour", "image_url", [
+        _STOCK, ("price", _PLAIN.format("price"), _num(_PLAIN.format("price"))),
+        ("promotion", _PLAIN.format("promotion"), _num(_PLAIN.format("promotion"))),
+        ("price_per_quantity", _C_PPU_TEXT, _C_PPU), _DAY]),
+    _rejects("labellevie", "image_url", [
+        ("quantity_stock", _D_STOCK_TEXT, _num(_D_STOCK_TEXT)), ("promotion", _D_PROMO_TEXT, _num(_D_PROMO_TEXT)),
+        ("price", _D_PRICE_TEXT, _num(_D_PRICE_TEXT)), _DAY]),
+])
+
+# the whole build: raw days moved into one month, four bronze feeds, silver, dimensions, fact
+_LAKE = _STACK_BODY.replace(
+    "SELECT l.l_shipdate AS date,",
+    "SELECT DATE '2024-01-01' + CAST(date_diff('day', DATE '1992-01-01', CAST(l.l_shipdate AS DATE)) % 30 AS INTEGER) AS date,",
+) + _fill_sql("stacked", _FEED_KEYS, _FILL_COLS, "fsilver", ["image_url", "name"]) + _DIM_CTES + _FACT_CTES
+ORACLE["lakehouse_build"] = f"WITH {_LAKE} SELECT * FROM fact_sales"
+
 # -- cleaners ----------------------------------------------------------------
 
 ORACLE["clean_price"] = f"WITH {RAW} SELECT price AS price_text, {_price('price')} AS price FROM raw_auchan"
@@ -611,69 +602,56 @@ SELECT r.name, r.l_orderkey, r.l_linenumber, r.l_suppkey, r.l_returnflag, s.sect
 FROM raw_biocoop r JOIN sec1 s ON s.product_name = r.name"""
 ORACLE["join_dim_lookup"] = f"""WITH {DIMS}
 SELECT s.product_id, d.date_id, p.id_picture
-FROM silver s LEFT JOIN dim_picture p ON s.image_url = p.picture LEFT JOIN dim_date d ON s.date = d.date"""
+FROM fsilver s LEFT JOIN dim_picture p ON s.image_url = p.picture LEFT JOIN dim_date d ON s.date = d.date"""
 
 
 # -- snapshot -----------------------------------------------------------------
 
-_SCD_COLS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 _SCD_AS_OF = ("2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00")
-_SCD_ALL = ["c_custkey", *_SCD_COLS, "version_id", "valid_from", "valid_to", "updated_at"]
-
-_SCD_BATCHES = """
-b1 AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer),
-b2 AS (
-  SELECT c_custkey, c_name, c_nationkey,
-    CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
-    CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
-  FROM customer WHERE c_custkey % 7 <> 0
-),
-b3 AS (
-  SELECT c_custkey, c_name, c_nationkey,
-    CASE WHEN c_custkey % 5 = 0 AND c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
-    CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
-  FROM customer
-)"""
-
-
-def _scd_open(batch: str, out: str, as_of: str) -> str:
-    t = f"TIMESTAMP '{as_of}'"
-    return f""",
-{out} AS (
-  SELECT c_custkey, {", ".join(_SCD_COLS)},
-    md5(CAST(c_custkey AS VARCHAR) || '|' || CAST({t} AS VARCHAR)) AS version_id,
-    {t} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, {t} AS updated_at
-  FROM {batch}
-)"""
 
 
-def _scd_step(prev: str, batch: str, out: str, as_of: str) -> str:
-    t = f"TIMESTAMP '{as_of}'"
-    same = " AND ".join(f"o.{c} IS NOT DISTINCT FROM n.{c}" for c in _SCD_COLS)
-    o_all = ", ".join(f"o.{c}" for c in _SCD_ALL)
-    o_closed = ", ".join(f"o.{c}" if c != "valid_to" else f"{t} AS valid_to" for c in _SCD_ALL)
-    return _scd_open(batch, f"{out}_new", as_of) + f""",
-{out}_cur AS (SELECT * FROM {prev} WHERE valid_to IS NULL),
-{out} AS (
-  SELECT * FROM {prev} WHERE valid_to IS NOT NULL
-  UNION ALL
-  SELECT {o_all} FROM {out}_cur o JOIN {batch} n ON o.c_custkey = n.c_custkey WHERE {same}
-  UNION ALL
-  SELECT {o_closed} FROM {out}_cur o LEFT JOIN {batch} n ON o.c_custkey = n.c_custkey
-    WHERE n.c_custkey IS NULL OR NOT ({same})
+def _scd(key: str, cols: list[str], batches: list[str]) -> str:
+    """Snapshot tables snap1, snap2... of batch tables, one after another."""
+    parts = []
+    for n, (batch, as_of) in enumerate(zip(batches, _SCD_AS_OF), 1):
+        t = f"TIMESTAMP '{as_of}'"
+        fresh = (f"SELECT b.{key}, {', '.join('b.' + c for c in cols)}, md5(concat_ws('|', CAST(b.{key} AS VARCHAR), CAST({t} AS VARCHAR))) "
+                 f"AS version_id, {t} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, {t} AS updated_at FROM {batch} b")
+        if n == 1:
+            parts.append(f"snap1 AS ({fresh})")
+            continue
+        row = lambda x: "(" + ", ".join(f"{x}.{c}" for c in [key, *cols]) + ")"
+        gone = f"NOT EXISTS (SELECT 1 FROM {batch} b WHERE {row('b')} IS NOT DISTINCT FROM {row('s')})"
+        parts.append(f"""snap{n} AS (
+  SELECT {key}, {', '.join(cols)}, version_id, valid_from,
+         CASE WHEN valid_to IS NULL AND {gone} THEN {t} ELSE valid_to END AS valid_to, updated_at FROM snap{n - 1} s
   UNION ALL
-  SELECT v.* FROM {out}_new v JOIN {batch} n ON v.c_custkey = n.c_custkey
-    LEFT JOIN {out}_cur o ON o.c_custkey = n.c_custkey
-    WHERE o.c_custkey IS NULL OR NOT ({same})
-)"""
+  {fresh} WHERE NOT EXISTS (SELECT 1 FROM snap{n - 1} s WHERE s.valid_to IS NULL AND {row('b')} IS NOT DISTINCT FROM {row('s')})
+)""")
+    return ",\n".join(parts)
 
 
-_SCD1 = _SCD_BATCHES + _scd_open("b1", "snap1", _SCD_AS_OF[0])
-_SCD2 = _SCD1 + _scd_step("snap1", "b2", "snap2", _SCD_AS_OF[1])
-_SCD3 = _SCD2 + _scd_step("snap2", "b3", "snap3", _SCD_AS_OF[2])
-ORACLE["scd2_initial"] = f"WITH {_SCD1} SELECT * FROM snap1"
-ORACLE["scd2_changed"] = f"WITH {_SCD2} SELECT * FROM snap2"
-ORACLE["scd2_deleted"] = f"WITH {_SCD3} SELECT * FROM snap3"
+_CUSTOMERS = """
+c AS (SELECT * REPLACE (NULLIF(c_custkey, 1) AS c_custkey), c_custkey AS k FROM customer),
+b1 AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS c_label FROM c),
+b2 AS (
+  SELECT c_custkey, c_name, c_nationkey, if(k % 5 = 0, c_acctbal + 1, c_acctbal) AS c_acctbal,
+    if(k % 11 = 0, NULL, c_mktsegment) AS c_mktsegment, CAST(NULL AS VARCHAR) AS c_label FROM c WHERE k % 7 <> 0
+),
+b3 AS (
+  SELECT c_custkey, c_name, c_nationkey, if(k % 10 = 0, c_acctbal + 1, c_acctbal) AS c_acctbal,
+    if(k % 11 = 0, NULL, c_mktsegment) AS c_mktsegment, if(k % 3 = 0, 'loyal', NULL) AS c_label FROM c
+),
+""" + _scd("c_custkey", ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "c_label"], ["b1", "b2", "b3"])
+ORACLE["scd2_initial"] = f"WITH {_CUSTOMERS} SELECT * EXCLUDE (c_label) FROM snap1"
+ORACLE["scd2_changed"] = f"WITH {_CUSTOMERS} SELECT * EXCLUDE (c_label) FROM snap2"
+ORACLE["scd2_deleted"] = f"WITH {_CUSTOMERS} SELECT * FROM snap3"
+ORACLE["product_snapshot"] = f"""WITH {DIMS},
+p1 AS (SELECT *, CAST(NULL AS VARCHAR) AS label FROM dim_product),
+p2 AS (SELECT * REPLACE (if(product_id % 5 = 0, name || '!', name) AS name) FROM p1 WHERE product_id % 7 <> 0),
+p3 AS (SELECT * REPLACE (if(product_id % 5 = 0, name || '!', name) AS name, if(product_id % 3 = 0, 'bio', NULL) AS label) FROM p1),
+{_scd("product_id", ["name", "marque", "id_category", "id_picture", "id_store", "label"], ["p1", "p2", "p3"])}
+SELECT * FROM snap3"""
 
 # -- data quality -------------------------------------------------------------
 
@@ -732,19 +710,22 @@ _GOLD_TESTS = [
     ("fact_sales.date_id.relationships", _rel("fact_sales", "date_id", "dim_date", "date_id")),
 ]
 
-_FACT_BODY = ORACLE["fact_sales"][len("WITH "):]
-_FACT_CTE = _FACT_BODY[: _FACT_BODY.rindex("\nSELECT CAST(row_number()")]
-_FACT_SELECT = _FACT_BODY[_FACT_BODY.rindex("\nSELECT CAST(row_number()"):]
 
-ORACLE["dq_report"] = f"""WITH {_FACT_CTE},
-fact_sales AS ({_FACT_SELECT})
-""" + "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS test, CAST({q} AS BIGINT) AS failures, "
-    f"CASE WHEN {q} = 0 THEN 'pass' ELSE 'fail' END AS status" for n, q in _GOLD_TESTS
-)
+def _report(tests: list[tuple[str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS test, CAST({q} AS BIGINT) AS failures, CASE WHEN {q} = 0 THEN 'pass' ELSE 'fail' END AS status"
+        for n, q in tests)
+
+
+ORACLE["dq_report"] = f"WITH {FACT}\n" + _report(_GOLD_TESTS)
+ORACLE["dq_report_violations"] = f"WITH {_ORDERS_DQ}\n" + _report([
+    ("orders.o_orderkey.unique", _uniq("orders_dq", "o_orderkey")), ("orders.order_ref.unique", _uniq("orders_dq", "order_ref")),
+    ("orders.order_ref.not_null", _nn("orders_dq", "order_ref")), ("orders.o_custkey.not_null", _nn("orders_dq", "o_custkey")),
+    ("orders.o_custkey.relationships", _rel("orders_dq", "o_custkey", "customer", "c_custkey")),
+    ("orders.o_totalprice.at_least", "(SELECT count(*) FROM orders_dq WHERE o_totalprice < 50000)"),
+])
 
 ORACLE["sort_total"] = f"WITH {SILVER} SELECT * FROM silver"
 ORACLE["layer_roundtrip"] = f"""WITH {OBS_DAILY}
 SELECT image_url, name, date, price, stock, l_orderkey, l_linenumber FROM obs_daily"""
 ORACLE["stream_landing"] = f"WITH {RAW} SELECT * FROM raw_auchan"
-ORACLE["estimate_sales_hot_split"] = ORACLE["estimate_sales"]

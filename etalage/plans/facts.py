@@ -9,74 +9,65 @@ from pyspark.sql import functions as F
 
 from etalage.functions.clean import clamp_sentinel
 from etalage.operators.dedup import dedup_first
-from etalage.operators.joins import checked_broadcast
 from etalage.operators.rank import global_rank
 from etalage.operators.sales import estimate_sales
+from etalage.sources.io import stored
 
 # product_id is the first 15 hex digits of an md5: spread evenly over [0, 2^60)
 PRODUCT_ID_RANGE = (0, 1 << 60)
+FACT_COLS = ["stock", "sales", "price", "quantity", "price_per_quantity", "unit", "product_id", "date_id"]
 
 
 def _keep_highest_stock() -> list[Column]:
-    # stock first as the model says; the rest only break its ties
-    return [
-        F.col("stock").desc_nulls_last(),
-        F.col("price").desc_nulls_last(),
-        F.col("quantity").desc_nulls_last(),
-        F.col("unit").asc_nulls_last(),
-        F.col("sales").desc_nulls_last(),
-    ]
+    # stock first as the model says; the rest only break its ties, over every column
+    down = [F.col(c).desc_nulls_last() for c in ("stock", "price", "quantity")]
+    return [*down, F.col("unit").asc_nulls_last(), F.col("sales").desc_nulls_last(),
+            F.col("price_per_quantity").desc_nulls_last()]
 
 
-def fact_sales(
+def fact_rows(
     silver: DataFrame,
     dim_product: DataFrame,
     dim_date: DataFrame,
     series_key: Sequence[str] = ("image_url",),
     feed_col: str | None = "feed",
-    materialize: bool = True,
 ) -> DataFrame:
-    """K6: estimated daily sales per product.
+    """The fact without its numbers.
 
-    Per feed: estimate sales along each picture; all feeds together: keep the
-    highest-stock row per (product, day), look up the product and date keys,
-    clamp the sentinel range to 1, keep one row per (product_id, date_id) and
-    number the rows by (product_id, date_id). ``materialize`` checkpoints the
-    looked-up rows, so the estimate, first dedup and lookups run once, not
-    once per branch and numbering pass.
+    Big-side shuffles: series + day for the estimate, then ``product_id`` once.
+    Both dedups, and the product lookup between them, work on the ``product_id``
+    partitioning: a matched row's dimension key is its own ``product_id``. Rows
+    without a product (normally none) share the NULL key and are deduplicated per
+    day on their own. The date lookup is a calendar: one row per day.
     """
     keys = list(series_key)
     if feed_col and feed_col in silver.columns:
         keys = [feed_col, *keys]
     est = estimate_sales(silver, series_key=keys, tie_break=("name",))
-    # One shuffle on product_id serves the first dedup, the product lookup
-    # (a shuffle join keeps this side's partitioning) and the second dedup.
-    raw_fact = dedup_first(est.repartition("product_id"), ["product_id", "date"], _keep_highest_stock())
+    first = dedup_first(est.repartition("product_id"), ["product_id", "date"], _keep_highest_stock())
+    known = dim_product.select("product_id", F.lit(True).alias("_known"))
+    days = F.broadcast(dim_date.select("date", "date_id"))  # bounded by the calendar
+    met = first.join(known, "product_id", "left").join(days, "date", "left").withColumn("sales", clamp_sentinel("sales"))
+    matched = dedup_first(met.filter("_known"), ["product_id", "date_id"], _keep_highest_stock())
+    unmatched = dedup_first(met.filter("_known is null"), ["date_id"], _keep_highest_stock()).withColumn(
+        "product_id", F.lit(None).cast("bigint"))
+    return matched.select(*FACT_COLS).unionByName(unmatched.select(*FACT_COLS))
 
-    products = dim_product.select(F.col("product_id").alias("_dim_product_id"))
-    # distinct days are bounded by the calendar; the count check proves it
-    dates = checked_broadcast(dim_date.select(F.col("date").alias("_dim_date"), "date_id"))
-    joined = (
-        raw_fact.join(products, raw_fact.product_id == products._dim_product_id, "left")
-        .join(dates, raw_fact.date == dates._dim_date, "left")
-        .withColumn("sales", clamp_sentinel("sales"))
-    )
-    if materialize:
-        # stored once (keeps its product_id partitioning): the two branches
-        # below and both numbering passes read it instead of recomputing
-        from etalage.session import checkpoint_dir
 
-        checkpoint_dir(joined.sparkSession)
-        joined = joined.checkpoint(eager=True)
-    out_cols = ["stock", "sales", "price", "quantity", "price_per_quantity", "unit", "product_id", "date_id"]
-    # A matched row's dimension key equals its own product_id, so the second
-    # dedup groups by the partitioning column. Unmatched rows share the NULL key
-    # and are deduplicated per day on their own (normally an empty branch).
-    matched = dedup_first(
-        joined.filter(F.col("_dim_product_id").isNotNull()), ["product_id", "date_id"], _keep_highest_stock()
-    ).select(*out_cols)
-    unmatched = dedup_first(
-        joined.filter(F.col("_dim_product_id").isNull()), ["date_id"], _keep_highest_stock()
-    ).withColumn("product_id", F.lit(None).cast("bigint")).select(*out_cols)
-    final = matched.unionByName(unmatched)
-    return global_rank(final, ["product_id", "date_id"], out="id", uniform_leading=PRODUCT_ID_RANGE)
+def fact_sales(
+    silver: DataFrame,
+    dim_product: DataFrame,
+    dim_date: DataFrame,
+    series_key: Sequence[str] = ("image_url",),
+    feed_col: str | None = "feed",
+) -> DataFrame:
+    """K6: estimated daily sales per product.
+
+    Per feed: estimate sales along each picture; all feeds together: keep the
+    highest-stock row per (product, day), look up the product and date keys,
+    clamp the sentinel range to 1, keep one row per (product_id, date_id) and
+    number the rows by (product_id, date_id). The rows are written once, after
+    the second dedup; the counting and the numbering read that table.
+    """
+    rows = stored(fact_rows(silver, dim_product, dim_date, series_key, feed_col), "fact")
+    return global_rank(rows, ["product_id", "date_id"], out="id", uniform_leading=PRODUCT_ID_RANGE)

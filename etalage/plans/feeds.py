@@ -1,7 +1,7 @@
 """Bronze feeds (K0a-K0d): raw retailer text -> one clean row per picture and day.
 
-The four feeds share one shape: number the raw rows by date (``id``), clean
-the text columns, attach category / section (and for two feeds the pack norm)
+The four feeds share one shape: clean the text columns, number the rows by raw
+date (``id``), attach category / section (and for two feeds the pack norm)
 from lookup tables reduced to one row per name, optionally drop invalid
 picture URLs, and keep the first row (by ``id``) per picture and day. They
 differ only in which cleaners apply and how the lookups join, so each feed is
@@ -14,8 +14,9 @@ dropped from the output.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from etalage.functions import clean as C
@@ -47,9 +48,44 @@ def first_norm(norm: DataFrame) -> DataFrame:
     return dedup_first(parsed, ["name"], [F.col("quantity").desc_nulls_last(), F.col("unit").asc_nulls_first()])
 
 
-def _numbered(raw: DataFrame, tie_break: Sequence[str]) -> DataFrame:
-    """``id = row_number() over (order by date, tie_break...)`` on the raw feed."""
-    return global_rank(raw, ["date", *tie_break], out="id")
+class Feed(NamedTuple):
+    """A bronze feed: its clean rows, and the texts that its cleaners could not read."""
+
+    clean: DataFrame
+    rejects: DataFrame
+
+
+#: feed, id of the raw row, its picture, the column, its text
+REJECT_COLS = ["feed", "id", "image_url", "column", "text"]
+
+
+def _parsed(
+    raw: DataFrame, feed: str, tie_break: Sequence[str], image: str, columns: dict[str, Column],
+    casts: dict[str, tuple[Column, Column]],
+) -> tuple[DataFrame, DataFrame]:
+    """Clean, then number the raw rows by date: ``id`` = rank over (date, tie_break).
+
+    ``casts`` names, per raw column, the text that is cast and the value; a text
+    that is there and not blank but gives NULL is rejected. Only the order key,
+    the cleaned columns and the (mostly empty) list of rejects are numbered and
+    stored, so one pass over the raw feed gives both results. A row whose date
+    cannot be read is on no day: it is among the rejects only.
+    """
+    day = F.col("date").try_cast("date")
+    casts = {**casts, "date": (F.col("date").cast("string"), day)}
+    bad = F.filter(
+        F.array(*[
+            F.when((F.trim(text) != "") & value.isNull(), F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text")))
+            for c, (text, value) in casts.items()
+        ]), lambda x: x.isNotNull())
+    rows = raw.select(
+        F.col("date").alias("_raw_date"), *[F.col(c).alias(f"_tie_{c}") for c in tie_break],
+        day.alias("date"), F.col(image).alias("image_url"), *[v.alias(k) for k, v in columns.items()], bad.alias("_bad"))
+    numbered = global_rank(rows, ["_raw_date", *[f"_tie_{c}" for c in tie_break]], out="id")
+    clean = numbered.filter(F.col("_raw_date").isNull() | F.col("date").isNotNull()).select("id", "date", "image_url", *columns)
+    rejects = numbered.select(F.lit(feed).alias("feed"), "id", "image_url", F.explode("_bad").alias("_bad")).select(
+        "feed", "id", "image_url", "_bad.column", "_bad.text")
+    return clean, rejects
 
 
 def _enrich(df: DataFrame, cat: DataFrame, sec: DataFrame, how: str) -> DataFrame:
@@ -64,73 +100,57 @@ def _daily(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def bronze_feed_norm_left(
-    raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str]
-) -> DataFrame:
+    raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str], feed: str = "auchan"
+) -> Feed:
     """Price text with 'from' prices, numeric stock, pack size from the
     norm table, LEFT lookups (unmatched rows kept), invalid URLs dropped."""
-    r = _numbered(raw, tie_break).select(
-        "id",
-        F.to_date("date").alias("date"),
-        "name",
-        C.parse_stock_number("quantity_stock").alias("stock"),
-        C.parse_price("price").alias("price"),
-        "marque", "store", "image_url",
-    )
-    n = first_norm(norm)
-    j = _enrich(r, cat, sec, "left").join(n, on="name", how="left").filter(valid_key("image_url"))
+    stock, price = C.parse_stock_number("quantity_stock"), C.parse_price("price")
+    r, rejects = _parsed(
+        raw, feed, tie_break, "image_url",
+        {"name": F.col("name"), "stock": stock, "price": price, "marque": F.col("marque"), "store": F.col("store")},
+        {"quantity_stock": (F.col("quantity_stock"), stock), "price": (C.price_text("price"), price)})
+    j = _enrich(r, cat, sec, "left").join(first_norm(norm), on="name", how="left").filter(valid_key("image_url"))
     j = j.withColumn("price_per_quantity", C.price_per_quantity("price", "quantity"))
-    return _daily(j, [*BRONZE_COLS[:-2], "marque", "store", "image_url"])
+    return Feed(_daily(j, [*BRONZE_COLS[:-2], "marque", "store", "image_url"]), rejects)
 
 
 def bronze_feed_phrase_stock(
-    raw: DataFrame, cat: DataFrame, sec: DataFrame, tie_break: Sequence[str]
-) -> DataFrame:
+    raw: DataFrame, cat: DataFrame, sec: DataFrame, tie_break: Sequence[str], feed: str = "biocoop"
+) -> Feed:
     """Stock phrases, patched prices, pack size derived from the unit
     price text, kilo -> gram scaling, INNER lookups, no URL filter."""
-    unit_price = C.to_number(C.keep_digits(F.replace(F.col("price_per_quantity"), F.lit(","), F.lit("."))))
-    r = _numbered(raw.withColumnRenamed("img", "image_url"), tie_break).select(
-        "id",
-        F.to_date("date").alias("date"),
-        "name",
-        C.parse_stock("stock").alias("stock"),
-        C.parse_price_fixups("price").alias("price"),
-        C.keep_letters("price_per_quantity", drop=(C.EURO, " ")).alias("raw_unit"),
-        C.pack_size(C.parse_price_fixups("price"), unit_price, digits=3).alias("raw_quantity"),
-        "store", "image_url",
-    )
-    j = _enrich(r, cat, sec, "inner")
+    unit_text = C.keep_digits(F.replace(F.col("price_per_quantity"), F.lit(","), F.lit(".")))
+    unit_price, price = C.to_number(unit_text), C.parse_price_fixups("price")
+    r, rejects = _parsed(
+        raw, feed, tie_break, "img",
+        {"name": F.col("name"), "stock": C.parse_stock("stock"), "price": price,
+         "raw_unit": C.keep_letters("price_per_quantity", drop=(C.EURO, " ")),
+         "raw_quantity": C.pack_size(price, unit_price, digits=3), "store": F.col("store")},
+        {"price": (C.replace_all("price", C.PRICE_FIXUPS), price), "price_per_quantity": (unit_text, unit_price)})
     kilo = F.col("raw_unit") == "kg"
-    j = j.select(
-        "*",
-        F.when(kilo, F.col("raw_quantity") * 1000).otherwise(F.col("raw_quantity")).alias("quantity"),
-        F.replace(F.col("raw_unit"), F.lit("kg"), F.lit("g")).alias("unit"),
-        F.when(F.col("raw_quantity").isNull(), F.lit(None).cast("double"))
-        .when(kilo, F.try_divide(F.col("price"), F.col("raw_quantity") * 1000))
-        .otherwise(F.try_divide(F.col("price"), F.col("raw_quantity"))).alias("price_per_quantity"),
-    )
-    return _daily(j, BRONZE_COLS)
+    size = F.when(kilo, F.col("raw_quantity") * 1000).otherwise(F.col("raw_quantity"))
+    j = _enrich(r, cat, sec, "inner").select(
+        "*", size.alias("quantity"), F.replace(F.col("raw_unit"), F.lit("kg"), F.lit("g")).alias("unit"),
+        F.try_divide(F.col("price"), size).alias("price_per_quantity"))
+    return Feed(_daily(j, BRONZE_COLS), rejects)
 
 
 def bronze_feed_unit_price(
     raw: DataFrame, cat: DataFrame, sec: DataFrame, tie_break: Sequence[str],
-    consistent_units: bool = False,
-) -> DataFrame:
+    consistent_units: bool = False, feed: str = "carrefour",
+) -> Feed:
     """Promotional price ratio, unit and unit price captured from text,
     pack size = price / unit price, unit scaling and renames, INNER lookups."""
-    r = _numbered(raw, tie_break).select(
-        "id",
-        F.to_date("date").alias("date"),
-        "name",
-        C.parse_stock_number("quantity_stock").alias("stock"),
-        C.parse_price("price", from_prefix=False).alias("price"),
-        C.promo_ratio("promotion", "price").alias("promotion"),
-        C.unit_after_slash("price_per_quantity").alias("raw_unit"),
-        C.leading_number("price_per_quantity").alias("price_per_unit"),
-        C.pack_size(
-            C.parse_price("price", from_prefix=False), C.unit_price_from_text("price_per_quantity")
-        ).alias("raw_quantity"),
-        "store", "image_url",
-    )
+    stock, price = C.parse_stock_number("quantity_stock"), C.parse_price("price", from_prefix=False)
+    unit_price, promo = C.leading_number("price_per_quantity"), C.price_text("promotion", False)
+    r, rejects = _parsed(
+        raw, feed, tie_break, "image_url",
+        {"name": F.col("name"), "stock": stock, "price": price,
+         "raw_unit": C.unit_after_slash("price_per_quantity"), "price_per_unit": unit_price,
+         "raw_quantity": C.pack_size(price, unit_price), "store": F.col("store")},
+        {"quantity_stock": (F.col("quantity_stock"), stock), "price": (C.price_text("price", False), price),
+         "promotion": (promo, C.to_number(promo, C.PRICE_DECIMAL)),
+         "price_per_quantity": (C.unit_price_text("price_per_quantity"), unit_price)})
     j = _enrich(r, cat, sec, "inner").select(
         "*",
         C.scale_quantity("raw_quantity", "raw_unit").alias("quantity"),
@@ -139,27 +159,25 @@ def bronze_feed_unit_price(
             "price_per_quantity"
         ),
     )
-    return _daily(j, BRONZE_COLS)
+    return Feed(_daily(j, BRONZE_COLS), rejects)
 
 
 def bronze_feed_discount(
-    raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str]
-) -> DataFrame:
+    raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str], feed: str = "labellevie"
+) -> Feed:
     """K0d: day-truncated timestamps, digits-only stock, percent discounts,
     pack size from the norm table, INNER lookups, invalid URLs dropped."""
-    r = _numbered(raw, tie_break).select(
-        "id",
-        F.to_date(F.date_trunc("day", F.col("date"))).alias("date"),
-        "name",
-        C.to_number(C.keep_digits("quantity_stock"), C.PRICE_DECIMAL).cast("double").alias("stock"),
-        C.discount_fraction("promotion").alias("promotion"),
-        C.discounted_price("price", "promotion").alias("price"),
-        "image_url", "store",
-    )
-    n = first_norm(norm)
-    j = _enrich(r, cat, sec, "inner").join(n, on="name", how="inner").filter(valid_key("image_url"))
+    stock_text = C.keep_digits("quantity_stock")
+    stock = C.to_number(stock_text, C.PRICE_DECIMAL).cast("double")
+    base = C.discount_base_text("price")
+    r, rejects = _parsed(
+        raw, feed, tie_break, "image_url",
+        {"name": F.col("name"), "stock": stock, "price": C.discounted_price("price", "promotion"), "store": F.col("store")},
+        {"quantity_stock": (stock_text, stock), "promotion": (C.discount_text("promotion"), C.discount_fraction("promotion")),
+         "price": (base, C.to_number(base, C.PRICE_DECIMAL))})
+    j = _enrich(r, cat, sec, "inner").join(first_norm(norm), on="name", how="inner").filter(valid_key("image_url"))
     j = j.withColumn("price_per_quantity", C.price_per_quantity("price", "quantity"))
-    return _daily(j, BRONZE_COLS)
+    return Feed(_daily(j, BRONZE_COLS), rejects)
 
 
 def stack_feeds(feeds: dict[str, DataFrame], feed_col: str = "feed") -> DataFrame:

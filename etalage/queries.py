@@ -7,6 +7,7 @@ each one for DuckDB; column names match one for one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,11 @@ from etalage.operators.dedup import dedup_first
 from etalage.operators.filters import filter_not_blank, filter_valid_key
 from etalage.operators.joins import enrich
 from etalage.operators.series import drop_null_keys
-from etalage.operators.snapshot import scd2_replay
+from etalage.operators.snapshot import SnapshotTable, scd2_replay
 from etalage.operators.sort import sort_for_write
 from etalage.plans import feeds
 from etalage.session import checkpoint_dir
-from etalage.sources.io import read_model, write_layer
+from etalage.sources.io import read_model, stored, write_layer
 from etalage.functions.keys import hash_key
 from etalage.operators.rank import global_rank
 from etalage.operators.series import (
@@ -37,10 +38,11 @@ from etalage.operators.series import (
 from etalage.operators.sales import (
     estimate_sales,
     mean_depletion_agg,
-    mean_depletion_over,
     sales_from_delta,
+    with_mean_depletion,
 )
 from etalage.plans import dims, facts
+from etalage.plans.layers import Lakehouse, bronze_feeds
 from etalage.sources import bindings as B
 from etalage.sources.io import read_source
 
@@ -59,14 +61,16 @@ def _silver(spark, root):
     return B.obs_silver(spark, root)
 
 
-def _gold_dims(spark, root):
-    silver = _silver(spark, root)
-    cat = dims.dim_category(silver)
-    pic = dims.dim_picture(silver)
+def _feeds_silver(spark, root):
+    """Silver of the four feeds, written once for the models that read it."""
+    return stored(B.feeds_silver(spark, root), "silver")
+
+
+def _product(spark, root, silver):
+    """The product dimension, and the three it looks up."""
+    cat, pic = dims.dim_category(silver), dims.dim_picture(silver)
     sto = dims.dim_store(silver, B.store_img(spark, root))
-    dat = dims.dim_date(silver)
-    prod = dims.dim_product(silver, cat, pic, sto)
-    return silver, cat, pic, sto, dat, prod
+    return cat, pic, sto, dims.dim_product(silver, cat, pic, sto)
 
 
 # -- scans, projections -------------------------------------------------------
@@ -145,16 +149,14 @@ def q_agg_mean_depletion(spark, root):
 
 @query
 def q_join_group_mean(spark, root):
-    d = _diffs(spark, root)
-    return d.select("image_url", "name", "date", "raw_stock_diff",
-                    mean_depletion_over(["image_url"]).alias("mean_negative_stock_diff"))
+    return with_mean_depletion(_silver(spark, root)).select(
+        "image_url", "name", "date", "raw_stock_diff", "mean_negative_stock_diff")
 
 
 @query
 def q_sales_from_delta(spark, root):
-    d = _diffs(spark, root)
-    return d.select("image_url", "name", "date",
-                    sales_from_delta("raw_stock_diff", mean_depletion_over(["image_url"])).alias("sales"))
+    return with_mean_depletion(_silver(spark, root)).select(
+        "image_url", "name", "date", sales_from_delta("raw_stock_diff", "mean_negative_stock_diff").alias("sales"))
 
 
 @query
@@ -173,40 +175,54 @@ def q_hash_key(spark, root):
 @query
 def q_global_rank(spark, root):
     o = B.obs(spark, root).select("image_url", "date", "l_orderkey", "l_linenumber", "price")
-    return global_rank(o, ["image_url", "date", "l_orderkey", "l_linenumber"], out="id")
+    return global_rank(o, ["image_url", "date", "l_orderkey", "l_linenumber", "price"], out="id")
 
 
 # -- gold ---------------------------------------------------------------------
 
 @query
 def q_dim_category(spark, root):
-    return dims.dim_category(_silver(spark, root))
+    return dims.dim_category(_feeds_silver(spark, root))
 
 
 @query
 def q_dim_date(spark, root):
-    return dims.dim_date(_silver(spark, root))
+    return dims.dim_date(_feeds_silver(spark, root))
 
 
 @query
 def q_dim_picture(spark, root):
-    return dims.dim_picture(_silver(spark, root))
+    return dims.dim_picture(_feeds_silver(spark, root))
 
 
 @query
 def q_dim_store(spark, root):
-    return dims.dim_store(_silver(spark, root), B.store_img(spark, root))
+    return dims.dim_store(_feeds_silver(spark, root), B.store_img(spark, root))
 
 
 @query
 def q_dim_product(spark, root):
-    return _gold_dims(spark, root)[5]
+    return _product(spark, root, _feeds_silver(spark, root))[3]
 
 
 @query
 def q_fact_sales(spark, root):
-    silver, _, _, _, dat, prod = _gold_dims(spark, root)
-    return facts.fact_sales(silver, prod, dat)
+    silver = _feeds_silver(spark, root)
+    return facts.fact_sales(silver, _product(spark, root, silver)[3], dims.dim_date(silver))
+
+
+@query
+def q_agg_distinct(spark, root):
+    """the distinct attribute sets that the dimensions start from."""
+    return B.obs(spark, root).select("category", "section", "store").distinct()
+
+
+@query
+def q_lakehouse_build(spark, root):
+    """The whole build from raw feeds, chained through written layers; the fact."""
+    base = f"{checkpoint_dir(spark)}/lakehouse-{uuid.uuid4().hex}"
+    gold = Lakehouse(spark, base, "parquet").build_all(B.lake_tables(spark, root), B.RAW_TIEBREAK, SCD_AS_OF[0])
+    return gold["fact_sales"].drop("year")
 
 
 # -- bronze feeds and cleaners (RAW bindings) ---------------------------------
@@ -218,29 +234,36 @@ def _lookups(spark, root):
 
 def _bronze_a(spark, root):
     cat, sec, norm = _lookups(spark, root)
-    return feeds.bronze_feed_norm_left(B.raw_auchan(spark, root), cat, sec, norm, B.RAW_TIEBREAK)
+    return feeds.bronze_feed_norm_left(B.raw_auchan(spark, root), cat, sec, norm, B.RAW_TIEBREAK).clean
 
 
 def _bronze_b(spark, root):
     cat, sec, _ = _lookups(spark, root)
-    return feeds.bronze_feed_phrase_stock(B.raw_biocoop(spark, root), cat, sec, B.RAW_TIEBREAK)
+    return feeds.bronze_feed_phrase_stock(B.raw_biocoop(spark, root), cat, sec, B.RAW_TIEBREAK).clean
 
 
 def _bronze_c(spark, root):
     cat, sec, _ = _lookups(spark, root)
-    return feeds.bronze_feed_unit_price(B.raw_carrefour(spark, root), cat, sec, B.RAW_TIEBREAK)
+    return feeds.bronze_feed_unit_price(B.raw_carrefour(spark, root), cat, sec, B.RAW_TIEBREAK).clean
 
 
 def _bronze_d(spark, root):
     cat, sec, norm = _lookups(spark, root)
-    return feeds.bronze_feed_discount(B.raw_labellevie(spark, root), cat, sec, norm, B.RAW_TIEBREAK)
+    return feeds.bronze_feed_discount(B.raw_labellevie(spark, root), cat, sec, norm, B.RAW_TIEBREAK).clean
 
 
 def _stacked(spark, root):
-    return feeds.stack_feeds({
-        "auchan": _bronze_a(spark, root), "biocoop": _bronze_b(spark, root),
-        "carrefour": _bronze_c(spark, root), "labellevie": _bronze_d(spark, root),
-    })
+    found = bronze_feeds(B.raw_tables(spark, root), B.RAW_TIEBREAK)
+    return feeds.stack_feeds({name: f.clean for name, f in found.items()})
+
+
+@query
+def q_bronze_rejects(spark, root):
+    """Q5: the texts that the four feeds' cleaners could not read."""
+    out = None
+    for f in bronze_feeds(B.raw_tables(spark, root), B.RAW_TIEBREAK).values():
+        out = f.rejects if out is None else out.unionByName(f.rejects)
+    return out
 
 
 @query
@@ -330,7 +353,7 @@ def q_derive_quantity(spark, root):
     r = B.raw_carrefour(spark, root)
     return r.select(
         F.col("price").alias("price_text"), F.col("price_per_quantity").alias("unit_text"),
-        C.pack_size(C.parse_price("price", False), C.unit_price_from_text("price_per_quantity")).alias("quantity"),
+        C.pack_size(C.parse_price("price", False), C.leading_number("price_per_quantity")).alias("quantity"),
     )
 
 
@@ -339,7 +362,7 @@ def q_normalize_units(spark, root):
     r = B.raw_carrefour(spark, root).select(
         C.unit_after_slash("price_per_quantity").alias("raw_unit"),
         C.leading_number("price_per_quantity").alias("price_per_unit"),
-        C.pack_size(C.parse_price("price", False), C.unit_price_from_text("price_per_quantity")).alias("raw_quantity"),
+        C.pack_size(C.parse_price("price", False), C.leading_number("price_per_quantity")).alias("raw_quantity"),
     )
     return r.select(
         "raw_unit", "raw_quantity",
@@ -447,7 +470,7 @@ def q_join_inner_enrich(spark, root):
 
 @query
 def q_join_dim_lookup(spark, root):
-    silver = _silver(spark, root)
+    silver = _feeds_silver(spark, root)
     pic, dat = dims.dim_picture(silver), dims.dim_date(silver)
     rows = silver.select("product_id", "date", F.col("image_url").alias("picture"))
     return (
@@ -479,10 +502,12 @@ SCD_AS_OF = ("2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 
 
 def _customer_batches(spark, root):
-    """Three loads of ``customer``: all rows; edits, a NULL change and hard
-    deletes; deleted keys back and half of the edits undone."""
+    """Three loads of ``customer``: all rows, one of them without a key; edits, a
+    NULL change and hard deletes; deleted keys back, half of the edits undone and
+    a column that is new."""
     c = read_source(spark, root, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
-    k = F.col("c_custkey")
+    c = c.withColumn("c_custkey", F.when(F.col("c_custkey") != NULL_CUSTOMER, F.col("c_custkey")))
+    k = F.coalesce("c_custkey", F.lit(NULL_CUSTOMER))
     seg = F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment"))
     b2 = c.filter(k % 7 != 0).select(
         "c_custkey", "c_name", "c_nationkey",
@@ -492,11 +517,14 @@ def _customer_batches(spark, root):
     b3 = c.select(
         "c_custkey", "c_name", "c_nationkey",
         F.when((k % 5 == 0) & (k % 2 == 0), F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
-        seg.alias("c_mktsegment"),
+        seg.alias("c_mktsegment"), F.when(k % 3 == 0, F.lit("loyal")).alias("c_label"),
     )
     return list(zip(SCD_AS_OF, [c, b2, b3]))
 
 
+NULL_CUSTOMER = 1  # this customer has no key
+
+
 @query
 def q_scd2_initial(spark, root):
     return scd2_replay(_customer_batches(spark, root)[:1], "c_custkey")
@@ -512,6 +540,21 @@ def q_scd2_deleted(spark, root):
     return scd2_replay(_customer_batches(spark, root), "c_custkey")
 
 
+@query
+def q_product_snapshot(spark, root):
+    """The product dimension versioned over three stored runs: all products; other
+    names, some products gone; products back, with a new column."""
+    base = f"{checkpoint_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    table = SnapshotTable(spark, base, "product", "product_id", "parquet")
+    prod = stored(_product(spark, root, _feeds_silver(spark, root))[3], "product")
+    key = F.col("product_id")
+    renamed = F.when(key % 5 == 0, F.concat("name", F.lit("!"))).otherwise(F.col("name"))
+    table.apply(prod, SCD_AS_OF[0])
+    table.apply(prod.filter(key % 7 != 0).withColumn("name", renamed), SCD_AS_OF[1])
+    table.apply(prod.withColumn("name", renamed).withColumn("label", F.when(key % 3 == 0, F.lit("bio"))), SCD_AS_OF[2])
+    return table.read()
+
+
 def _orders_dq(spark, root):
     o = read_source(spark, root, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     k = F.col("o_orderkey")
@@ -552,35 +595,39 @@ def q_dq_unparsed(spark, root):
         "l_orderkey", "l_linenumber", "quantity_stock")
 
 
-def gold_tests(cat, pic, sto, dat, prod, fact) -> list:
-    """The 17 tests of the gold layer: keys unique and present, FKs resolve."""
-    t = [
-        Q.DataTest("dim_picture.id_picture.unique", Q.unique(pic, "id_picture")),
-        Q.DataTest("dim_picture.id_picture.not_null", Q.not_null(pic, "id_picture")),
-        Q.DataTest("dim_product.product_id.unique", Q.unique(prod, "product_id")),
-        Q.DataTest("dim_product.product_id.not_null", Q.not_null(prod, "product_id")),
-        Q.DataTest("dim_product.id_picture.relationships", Q.relationships(prod, "id_picture", pic, "id_picture")),
-        Q.DataTest("dim_product.id_store.relationships", Q.relationships(prod, "id_store", sto, "id_store")),
-        Q.DataTest("dim_product.id_category.relationships", Q.relationships(prod, "id_category", cat, "id_category")),
-        Q.DataTest("dim_category.id_category.unique", Q.unique(cat, "id_category")),
-        Q.DataTest("dim_category.id_category.not_null", Q.not_null(cat, "id_category")),
-        Q.DataTest("dim_store.id_store.unique", Q.unique(sto, "id_store")),
-        Q.DataTest("dim_store.id_store.not_null", Q.not_null(sto, "id_store")),
-        Q.DataTest("dim_date.date_id.unique", Q.unique(dat, "date_id")),
-        Q.DataTest("dim_date.date_id.not_null", Q.not_null(dat, "date_id")),
-        Q.DataTest("fact_sales.id.unique", Q.unique(fact, "id")),
-        Q.DataTest("fact_sales.id.not_null", Q.not_null(fact, "id")),
-        Q.DataTest("fact_sales.product_id.relationships", Q.relationships(fact, "product_id", prod, "product_id")),
-        Q.DataTest("fact_sales.date_id.relationships", Q.relationships(fact, "date_id", dat, "date_id")),
-    ]
-    return t
+#: the 17 tests of the gold layer: keys unique and present, foreign keys resolve
+GOLD_TESTS = [
+    *[Q.DataTest(t, c, kind)
+      for t, c in (("dim_picture", "id_picture"), ("dim_product", "product_id"), ("dim_category", "id_category"),
+                   ("dim_store", "id_store"), ("dim_date", "date_id"), ("fact_sales", "id"))
+      for kind in ("unique", "not_null")],
+    *[Q.DataTest(t, c, "relationships", to=(to, c))
+      for t, c, to in (("dim_product", "id_picture", "dim_picture"), ("dim_product", "id_store", "dim_store"),
+                       ("dim_product", "id_category", "dim_category"), ("fact_sales", "product_id", "dim_product"),
+                       ("fact_sales", "date_id", "dim_date"))],
+]
 
 
 @query
 def q_dq_report(spark, root):
-    silver, cat, pic, sto, dat, prod = _gold_dims(spark, root)
-    fact = facts.fact_sales(silver, prod, dat)
-    return Q.test_report(gold_tests(cat, pic, sto, dat, prod, fact))
+    silver = _feeds_silver(spark, root)
+    cat, pic, sto, prod = _product(spark, root, silver)
+    dat = dims.dim_date(silver)
+    tables = {"dim_category": cat, "dim_picture": pic, "dim_store": sto, "dim_date": dat, "dim_product": stored(prod, "product")}
+    tables["fact_sales"] = stored(facts.fact_sales(silver, tables["dim_product"], dat), "fact-tested")
+    return Q.test_report(tables, GOLD_TESTS)
+
+
+@query
+def q_dq_report_violations(spark, root):
+    """The report over tables that break each kind of test."""
+    tables = {"orders": _orders_dq(spark, root), "customer": read_source(spark, root, "customer", ["c_custkey"])}
+    return Q.test_report(tables, [
+        Q.DataTest("orders", "o_orderkey", "unique"), Q.DataTest("orders", "order_ref", "unique"),
+        Q.DataTest("orders", "order_ref", "not_null"), Q.DataTest("orders", "o_custkey", "not_null"),
+        Q.DataTest("orders", "o_custkey", "relationships", to=("customer", "c_custkey")),
+        Q.DataTest("orders", "o_totalprice", "at_least", low=50000),
+    ])
 
 
 @query
@@ -590,8 +637,6 @@ def q_sort_total(spark, root):
 
 @query
 def q_layer_roundtrip(spark, root):
-    import uuid
-
     base = f"{checkpoint_dir(spark)}/layers-{uuid.uuid4().hex[:12]}"
     daily = B.obs_daily(spark, root).select("image_url", "name", "date", "price", "stock", "l_orderkey", "l_linenumber")
     write_layer(daily, base, "bronze", "obs_daily", fmt="parquet")
@@ -601,18 +646,17 @@ def q_layer_roundtrip(spark, root):
 @query
 def q_stream_landing(spark, root):
     """Raw feed files dropped in several parts, landed by the file stream, read back."""
-    import uuid
-
     from etalage.streaming.landing import land_available
 
     base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
     raw = B.raw_auchan(spark, root)
-    raw.repartition(4).write.parquet(f"{base}/drop")
+    raw.write.parquet(f"{base}/drop")
     land_available(spark, f"{base}/drop", f"{base}/landing", raw.schema, f"auchan-{uuid.uuid4().hex[:8]}")
     return spark.read.parquet(f"{base}/landing")
 
 
 @query
 def q_estimate_sales_hot_split(spark, root):
-    """L2 with every picture treated as hot: the per-day (skew) form on all rows."""
-    return estimate_sales(_silver(spark, root), keep=["image_url", "name"], hot_rows=100)
+    """L2 along the store: four series hold all rows, so every series is hot."""
+    return estimate_sales(_silver(spark, root), series_key=["store"], tie_break=("image_url", "name"),
+                          keep=["store", "image_url", "name"])

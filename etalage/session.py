@@ -68,20 +68,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scale_conf(input_bytes: int, executor_cores: int, executors: int,
-               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+               target_partition_bytes: int = 1 << 30, most_partitions: int = 50_000) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of parquet.
 
-    Shuffle partitions are sized so each holds about ``target_partition_bytes``
-    of (compressed) input, and never fewer than two waves of tasks; AQE then
-    coalesces small ones and splits skewed ones from runtime sizes. Scan
-    splits use the same target, so a task's sort or window fits its memory.
-    For 100 TB on 1000 executors x 8 cores: ~400k shuffle partitions.
+    A shuffle of m map tasks and r partitions is m x r entries in the driver's map
+    outputs, about a byte each once compressed: 100 TB in 256 MB pieces would be
+    400k x 400k. So a partition holds about 1 GiB, there are never fewer than two
+    waves of tasks, and never more than ``most_partitions`` partitions: 100 TB on
+    1000 executors x 8 cores is 50k partitions of 2 GiB (sorted with spilling,
+    6 waves) and 100k map tasks of 1 GiB, 5e9 entries or 5 GB on the driver; with
+    push-based shuffle (an external shuffle service) the merged outputs are far
+    fewer. Adaptive execution then joins small partitions and splits skewed ones
+    by their real sizes.
     """
     slots = max(1, executor_cores * executors)
-    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    parts = min(most_partitions, max(2 * slots, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 4),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.shuffle.push.enabled": "true",
     }

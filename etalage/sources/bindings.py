@@ -26,6 +26,10 @@ PRICE_NULL_MOD = 7   # price is NULL when l_orderkey % 7 = 0
 STOCK_NULL_MOD = 11  # stock is NULL when l_orderkey % 11 = 0
 STORES = 4           # store = 'store' || l_suppkey % 4
 EVT_NULL_MOD = 5     # value is NULL when event_id % 5 = 0
+DATE_NULL_MOD = 61   # the day is NULL when l_orderkey % 61 = 0
+IMAGE_NULL_MOD = 7   # a store picture is NULL when n_nationkey % 7 = 0
+FEEDS = ["auchan", "biocoop", "carrefour", "labellevie"]  # by l_suppkey % 4, as the store
+BRAND_FEED = "auchan"  # the one feed that knows the brand
 
 SILVER_COLS = [
     "price", "stock", "quantity", "unit", "price_per_quantity",
@@ -47,7 +51,7 @@ def obs(spark: SparkSession, root: str) -> DataFrame:
     return j.select(
         F.concat(F.lit("img/"), F.col("l_suppkey"), F.lit("-"), F.col("l_returnflag")).alias("image_url"),
         F.concat(F.lit("item "), F.col("l_linestatus")).alias("name"),
-        F.to_date("l_shipdate").alias("date"),
+        F.when(F.col("l_orderkey") % DATE_NULL_MOD != 0, F.to_date("l_shipdate")).alias("date"),
         price.alias("price"),
         F.when(F.col("l_orderkey") % STOCK_NULL_MOD != 0, F.col("l_quantity")).alias("stock"),
         quantity.alias("quantity"),
@@ -63,7 +67,8 @@ def obs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def obs_tiebreak() -> list[Column]:
-    return [F.col("l_orderkey").asc(), F.col("l_linenumber").asc()]
+    # (l_orderkey, l_linenumber) is not unique in the generated table
+    return [F.col(c).asc_nulls_first() for c in ("l_orderkey", "l_linenumber", "name", "price", "stock", "section")]
 
 
 def obs_daily(spark: SparkSession, root: str) -> DataFrame:
@@ -82,6 +87,19 @@ def obs_silver(spark: SparkSession, root: str, with_id: bool = False) -> DataFra
     )
 
 
+def feeds_daily(spark: SparkSession, root: str) -> DataFrame:
+    """OBS split by store into four feeds; only one of them has a brand."""
+    feed = F.element_at(F.array(*[F.lit(f) for f in FEEDS]), (F.substring("store", 6, 1).cast("int") + 1))
+    daily = obs_daily(spark, root).drop("l_orderkey", "l_linenumber").withColumn("feed", feed)
+    return daily.withColumn("marque", F.when(F.col("feed") == BRAND_FEED, F.col("marque")))
+
+
+def feeds_silver(spark: SparkSession, root: str) -> DataFrame:
+    """Silver of the four feeds stacked, per (feed, picture, name)."""
+    return fill_series(feeds_daily(spark, root), ["feed", "image_url", "name"], SILVER_COLS, "date",
+                       hash_of=["image_url", "name"])
+
+
 def evt(spark: SparkSession, root: str) -> DataFrame:
     ev = read_source(spark, root, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     return ev.select(
@@ -106,7 +124,7 @@ def store_img(spark: SparkSession, root: str) -> DataFrame:
     n = read_source(spark, root, "nation", ["n_nationkey", "n_name"])
     return n.select(
         F.concat(F.lit("store"), F.col("n_nationkey") % STORES).alias("store"),
-        F.col("n_name").alias("image_str"),
+        F.when(F.col("n_nationkey") % IMAGE_NULL_MOD != 0, F.col("n_name")).alias("image_str"),
     )
 
 
@@ -117,6 +135,9 @@ FROM_PRICE_MOD = 13      # 'À partir de ...' prices
 BAD_STOCK_MOD = 29       # unparseable stock text
 FIX_2150_MOD, FIX_1975_MOD = 31, 37
 JUNK_FLACON_MOD, JUNK_KILO_MOD = 41, 43
+COMMA_UNIT_PRICE_MOD = 5              # unit price with a decimal comma
+BAD_DATE_MOD, NULL_DATE_MOD = 47, 53  # date text that is no date; no date
+LAKE_DAYS = 30                        # the whole build's feeds are a month of scraping
 NORM_ZERO_MOD = 9        # norm quantity '0' = unknown
 CARREFOUR_UNITS = ["KG", "kg", "Kg", "ml", "L", "U"]  # by p_size % 6
 BIOCOOP_UNITS = ["kg", "L", "unite"]                  # by p_size % 3
@@ -200,14 +221,19 @@ def raw_carrefour(spark: SparkSession, root: str) -> DataFrame:
     ppq = (
         F.when(k % JUNK_FLACON_MOD == 0, F.lit("le flacon de 250ml"))
         .when(k % JUNK_KILO_MOD == 0, F.lit("1,067.50 € / KG"))
-        .otherwise(F.concat(_fmt2("p_retailprice"), F.lit(" € / "), unit))
+        .otherwise(F.concat(F.when(k % COMMA_UNIT_PRICE_MOD == 0, comma("p_retailprice")).otherwise(_fmt2("p_retailprice")),
+                            F.lit(" € / "), unit))
+    )
+    date = (
+        F.when(k % BAD_DATE_MOD == 0, F.date_format("date", "dd/MM/yyyy")).when(k % NULL_DATE_MOD == 0, F.lit(None).cast("string"))
+        .otherwise(F.date_format("date", "yyyy-MM-dd"))
     )
     promo = (
         F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit(None).cast("string"))
         .otherwise(F.concat(comma("p_retailprice"), F.lit(" €")))
     )
     return r.select(
-        "date", "name",
+        date.alias("date"), "name",
         F.when(k % BAD_STOCK_MOD == 0, F.lit("n/a"))
         .otherwise(F.col("l_quantity").cast("bigint").cast("string")).alias("quantity_stock"),
         F.concat(comma("l_extendedprice"), F.lit(" €")).alias("price"),
@@ -253,3 +279,28 @@ def raw_norm(spark: SparkSession, root: str) -> DataFrame:
         .otherwise(F.col("p_size").cast("string")).alias("quantity"),
         F.when(F.col("p_size") % 2 == 0, F.lit("g")).otherwise(F.lit("L")).alias("unit"),
     )
+
+
+def raw_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All raw feeds and lookups."""
+    return {
+        "auchan": raw_auchan(spark, root), "biocoop": raw_biocoop(spark, root), "carrefour": raw_carrefour(spark, root),
+        "labellevie": raw_labellevie(spark, root), "cat": raw_category(spark, root), "section": raw_section(spark, root),
+        "norm": raw_norm(spark, root), "store_img": store_img(spark, root),
+    }
+
+
+def lake_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The raw tables with every day moved into one month of scraping.
+
+    The generated rows spread three observations of a series over seven years; real
+    feeds come daily. No row is left out.
+    """
+    out = raw_tables(spark, root)
+    for feed in FEEDS:
+        day = F.col("date").try_cast("date")
+        moved = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.datediff(day, F.lit("1992-01-01").cast("date")), F.lit(LAKE_DAYS)).cast("int"))
+        text = dict(out[feed].dtypes)["date"] == "string"
+        out[feed] = out[feed].withColumn(
+            "date", F.coalesce(moved.cast("string"), F.col("date")) if text else moved)
+    return out

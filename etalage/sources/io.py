@@ -1,12 +1,21 @@
-"""Scans and sinks: source tables, layer tables (bronze / silver / gold)."""
+"""Scans and sinks: source tables, layer tables (landing / bronze / silver / gold / snapshots).
+
+A layer table is a folder of versions. A write goes to a new version and is
+published by the ``_SUCCESS`` file that Spark's committer writes last; a read
+takes the newest published version. So a table can be rebuilt from itself, is
+never overwritten while it is read, and keeps its last version if a job fails.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-LAYERS = ("bronze", "silver", "gold", "snapshots")
+from etalage.session import checkpoint_dir
+
+LAYERS = ("landing", "bronze", "silver", "gold", "snapshots")
 
 
 def read_source(
@@ -21,6 +30,14 @@ def read_source(
     return df.select(*columns) if columns else df
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame once to the shared folder and read it back: what follows neither
+    recomputes it nor depends on the executors that made it."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def layer_path(root: str, layer: str, name: str) -> str:
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
@@ -33,6 +50,27 @@ def default_format(spark: SparkSession) -> str:
     return "delta" if "delta" in extensions.lower() else "parquet"
 
 
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    """(number, published) of the versions in a table's folder, in order."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = []
+    for status in fs.listStatus(folder):
+        number = status.getPath().getName().removeprefix("v")
+        if status.isDirectory() and number.isdigit():
+            done = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+            done = done or fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_delta_log"))
+            found.append((int(number), done))
+    return sorted(found)
+
+
+def published_versions(spark: SparkSession, path: str) -> list[int]:
+    return [n for n, done in _versions(spark, path) if done]
+
+
 def write_layer(
     df: DataFrame,
     root: str,
@@ -41,9 +79,10 @@ def write_layer(
     fmt: str | None = None,
     partition_by: Sequence[str] | None = None,
 ) -> str:
-    """Full-refresh write of one model into its layer; returns the path."""
-    path = layer_path(root, layer, name)
-    writer = df.write.format(fmt or default_format(df.sparkSession)).mode("overwrite")
+    """Full-refresh write of one model into a new version; returns its path."""
+    spark, table = df.sparkSession, layer_path(root, layer, name)
+    path = f"{table}/v{max((n for n, _ in _versions(spark, table)), default=0) + 1:06d}"
+    writer = df.write.format(fmt or default_format(spark)).mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -53,5 +92,9 @@ def write_layer(
 def read_model(
     spark: SparkSession, root: str, layer: str, name: str, fmt: str | None = None
 ) -> DataFrame:
-    """Scan a model written by :func:`write_layer`."""
-    return spark.read.format(fmt or default_format(spark)).load(layer_path(root, layer, name))
+    """Scan the newest published version of a model written by :func:`write_layer`."""
+    table = layer_path(root, layer, name)
+    published = published_versions(spark, table)
+    if not published:
+        raise FileNotFoundError(f"no published version of {table}")
+    return spark.read.format(fmt or default_format(spark)).load(f"{table}/v{published[-1]:06d}")

@@ -34,15 +34,15 @@ def test_parse_stock(spark):
 
 
 def test_unit_price_text(spark):
-    texts = ["12.50 € / KG", "3.20 € / L", "le flacon de 250ml", "1,067.50 € / KG"]
-    assert col(spark, texts, C.leading_number) == [12.5, 3.2, None, None]
-    assert col(spark, texts, C.unit_after_slash) == ["KG", "L", "ml", "KG"]
+    texts = ["12.50 € / KG", "3,20 € / L", "le flacon de 250ml", "1,067.50 € / KG", "n/a", "", None]
+    assert col(spark, texts, C.leading_number) == [12.5, 3.2, None, None, None, None, None]
+    assert col(spark, texts[:4], C.unit_after_slash) == ["KG", "L", "ml", "KG"]
 
 
 def test_feed_c_units(spark):
     # price 3.00 with '12.50 € / KG' -> 240 g at 12500 (the model's factor), 0.0125 consistent
     df = spark.createDataFrame([(3.0, "12.50 € / KG")], "price double, t string")
-    q = C.pack_size(F.col("price"), C.unit_price_from_text("t"))
+    q = C.pack_size(F.col("price"), C.leading_number("t"))
     u = C.unit_after_slash("t")
     r = df.select(
         C.scale_quantity(q, u).alias("q"), C.rename_unit(u).alias("u"),

@@ -14,11 +14,11 @@ from etalage.sources import bindings as B
 from conftest import SF_SMALL
 
 
-def test_spine_size_is_capped_span(spark):
+def test_spine_size_is_the_whole_span(spark):
     daily = B.obs_daily(spark, SF_SMALL)
     keys = ["image_url", "name"]
     ext = series_extent(daily, keys)
-    expected = ext.select(F.sum(F.least(F.col("date_diff"), F.lit(370)) + 1)).first()[0]
+    expected = ext.select(F.sum(F.col("date_diff") + 1)).first()[0]
     assert date_spine(daily, keys).count() == expected
 
 
@@ -40,7 +40,7 @@ def test_feed_b_edge_row(spark):
     )
     cat = spark.createDataFrame([("jam", "sweet")], "product_name string, category string")
     sec = spark.createDataFrame([("jam", "grocery")], "product_name string, section string")
-    r = feeds.bronze_feed_phrase_stock(raw, cat, sec, B.RAW_TIEBREAK).first()
+    r = feeds.bronze_feed_phrase_stock(raw, cat, sec, B.RAW_TIEBREAK).clean.first()
     assert r.stock == -1.0 and r.unit == "g"
     assert r.quantity == pytest.approx(250.0) and r.price_per_quantity == pytest.approx(0.01)
 
@@ -49,6 +49,39 @@ def test_scale_conf_sizes_partitions():
     from etalage.session import scale_conf
 
     conf = scale_conf(100 * (1 << 40), executor_cores=8, executors=1000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 50_000
     small = scale_conf(1 << 30, executor_cores=8, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 160  # two waves of 80 slots
+
+
+def test_feed_rejects_and_bad_dates(spark):
+    rows = [("2024-01-01", "2,50 €", "3", "12,50 € / KG", 1), ("31/12/2024", "2,50 €", "3", "12.50 € / KG", 2),
+            (None, "abc", "n/a", "le flacon de 250ml", 3), ("2024-01-02", None, "", "x / KG", 4)]
+    raw = spark.createDataFrame(
+        [(d, "jam", s, p, "", u, "s1", f"img/{k}", k, "A", 1, 1) for d, p, s, u, k in rows],
+        "date string, name string, quantity_stock string, price string, promotion string, price_per_quantity string, "
+        "store string, image_url string, l_suppkey long, l_returnflag string, l_orderkey long, l_linenumber int")
+    cat = spark.createDataFrame([("jam", "sweet")], "product_name string, category string")
+    sec = spark.createDataFrame([("jam", "grocery")], "product_name string, section string")
+    feed = feeds.bronze_feed_unit_price(raw, cat, sec, B.RAW_TIEBREAK)
+    clean = {r.image_url: r for r in feed.clean.collect()}
+    assert set(clean) == {"img/1", "img/3", "img/4"}
+    assert clean["img/1"].quantity == pytest.approx(200.0) and clean["img/3"].date is None
+    assert sorted((r.image_url, r.column, r.text) for r in feed.rejects.collect()) == [
+        ("img/2", "date", "31/12/2024"), ("img/3", "price", "abc"), ("img/3", "quantity_stock", "n/a"),
+        ("img/4", "price_per_quantity", "x / KG")]
+
+
+def test_sorted_write_is_in_order(spark, tmp_path):
+    """Files of a total sort hold disjoint, ascending key ranges, sorted inside."""
+    import pyarrow.parquet as pq
+
+    from etalage.operators.sort import sort_for_write
+
+    keys = ["image_url", "name", "date"]
+    df = B.obs_daily(spark, SF_SMALL).filter("date is not null").select(*keys, "price")
+    sort_for_write(df, keys, 5).write.parquet(str(tmp_path / "sorted"))
+    files = sorted((tmp_path / "sorted").glob("part-*.parquet"))
+    assert len(files) == 5
+    rows = [tuple(r[k] for k in keys) for f in files for r in pq.read_table(f).to_pylist()]
+    assert rows == sorted(rows) and len(rows) == df.count()

@@ -1,39 +1,62 @@
-"""Layer-by-layer build equals the end-to-end queries; gold passes its tests."""
+"""The chained build: every layer written once, and a second run on the same root."""
 
-import tempfile
+import pytest
 
-from etalage.plans import layers
-from etalage.queries import REGISTRY, gold_tests
 from etalage.operators import quality as Q
+from etalage.plans.layers import FEEDS, Lakehouse, bronze_feeds
+from etalage.queries import GOLD_TESTS, REGISTRY
 from etalage.sources import bindings as B
+from etalage.sources.io import read_model, write_layer
 
 from conftest import SF_SMALL
 
+STAMPS = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
 
-def test_layered_gold_matches_queries(spark):
-    root = tempfile.mkdtemp(prefix="etalage-layers-")
-    daily = B.obs_daily(spark, SF_SMALL).drop("l_orderkey", "l_linenumber")
-    silver = layers.build_silver(spark, root, {"obs": daily}, "parquet")
-    gold = layers.build_gold(spark, root, silver, B.store_img(spark, SF_SMALL), "parquet")
 
-    cols = ["id", "stock", "sales", "price", "quantity", "price_per_quantity", "unit", "product_id", "date_id"]
-    layered = sorted(tuple(r) for r in gold["fact_sales"].select(cols).collect())
-    direct = sorted(tuple(r) for r in REGISTRY["fact_sales"](spark, SF_SMALL).select(cols).collect())
-    assert layered == direct
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
 
-    report = Q.test_report(gold_tests(gold["dim_category"], gold["dim_picture"], gold["dim_store"],
-                                    gold["dim_date"], gold["dim_product"], gold["fact_sales"]))
-    assert {r.status for r in report.collect()} == {"pass"}
 
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    out = Lakehouse(spark, str(tmp_path_factory.mktemp("lake")), "parquet")
+    out.build_all(B.lake_tables(spark, SF_SMALL), B.RAW_TIEBREAK, STAMPS[0])
+    return out
 
-def test_bronze_layer_from_landed_raw(spark):
-    root = tempfile.mkdtemp(prefix="etalage-bronze-")
-    raw = {"auchan": B.raw_auchan, "biocoop": B.raw_biocoop, "carrefour": B.raw_carrefour,
-           "labellevie": B.raw_labellevie, "cat": B.raw_category, "section": B.raw_section,
-           "norm": B.raw_norm}
-    for name, fn in raw.items():
-        fn(spark, SF_SMALL).write.parquet(f"{root}/landing/{name}")
-    src = {name: spark.read.parquet(f"{root}/landing/{name}") for name in raw}
-    out = layers.build_bronze(spark, root, src, B.RAW_TIEBREAK, "parquet")
+
+def test_build_matches_the_query_and_passes_its_tests(spark, lake):
+    fact = lake.read("gold", "fact_sales")
+    cols = ["id", "stock", "price", "quantity", "unit", "product_id", "date_id"]
+    assert rows(fact.select(cols)) == rows(REGISTRY["lakehouse_build"](spark, SF_SMALL).select(cols))
+    tables = {t: lake.read("gold", t) for t in ("dim_category", "dim_picture", "dim_store", "dim_date", "dim_product", "fact_sales")}
+    report = Q.test_report(tables, GOLD_TESTS).collect()
+    assert len(report) == 17 and {r.status for r in report} == {"pass"}
+    assert {r.feed for r in lake.read("silver", "silver").select("feed").distinct().collect()} == set(FEEDS)
+
+
+def test_second_build_leaves_every_layer_whole(spark, lake):
+    names = [("bronze", f) for f in FEEDS] + [("bronze", f"{f}_rejects") for f in FEEDS] + [("silver", "silver"), ("gold", "dim_product"), ("gold", "fact_sales")]
+    before = {n: rows(lake.read(*n)) for n in names}
+    lake.build_all(B.lake_tables(spark, SF_SMALL), B.RAW_TIEBREAK, STAMPS[1])
+    for n in names:
+        assert rows(lake.read(*n)) == before[n], n
+    snap = lake.read("gold", "dim_product").count()
+    versions = lake.snapshot_products("2024-03-01 00:00:00")
+    assert versions.count() == snap and versions.filter("valid_to is not null").count() == 0
+
+
+def test_written_bronze_equals_the_query(spark, lake, tmp_path):
+    raw = B.raw_tables(spark, SF_SMALL)
     direct = REGISTRY["bronze_feed_unit_price"](spark, SF_SMALL)
-    assert sorted(map(tuple, out["carrefour"].collect())) == sorted(map(tuple, direct.collect()))
+    assert rows(bronze_feeds(raw, B.RAW_TIEBREAK)["carrefour"].clean) == rows(direct)
+
+
+def test_a_table_is_rebuilt_from_itself_and_survives_a_failed_write(spark, tmp_path):
+    root = str(tmp_path)
+    write_layer(spark.range(5), root, "bronze", "t", "parquet")
+    t = read_model(spark, root, "bronze", "t", "parquet")
+    write_layer(t.selectExpr("id + 1 as id"), root, "bronze", "t", "parquet")
+    assert rows(read_model(spark, root, "bronze", "t", "parquet")) == [(i,) for i in range(1, 6)]
+    with pytest.raises(Exception):
+        write_layer(spark.range(3).selectExpr("raise_error('lost') as id"), root, "bronze", "t", "parquet")
+    assert read_model(spark, root, "bronze", "t", "parquet").count() == 5

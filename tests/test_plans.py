@@ -1,6 +1,16 @@
 """Plan shapes that matter at scale."""
 
+import time
+
+import numpy as np
+
+from etalage.operators.rank import offsets_frame, ranged_rows, uniform_range
+from etalage.operators.sales import with_mean_depletion
+from etalage.operators.series import fill_series
+from etalage.plans import dims, facts
 from etalage.queries import REGISTRY
+from etalage.sources import bindings as B
+from etalage.sources.io import stored
 
 from conftest import SF_SMALL
 
@@ -9,9 +19,16 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def keyed_by(p):
+    """The keys of the plan's shuffles."""
+    return [line.split("hashpartitioning(")[1].split(",")[0].split("#")[0] for line in p.splitlines()
+            if "Exchange hashpartitioning(" in line]
+
+
 def test_fill_series_has_no_join_or_nested_loop(spark):
-    p = plan(REGISTRY["fill_series_events"](spark, SF_SMALL))
-    assert "NestedLoop" not in p and "Cartesian" not in p and "Join" not in p
+    daily = B.evt_daily(spark, SF_SMALL).drop("ts", "event_id")
+    p = plan(fill_series(daily, ["user_id", "event_type"], ["value"], "date", hash_col=None))
+    assert "Window" in p and "NestedLoop" not in p and "Cartesian" not in p and "Join" not in p
 
 
 def test_date_spine_is_a_generator(spark):
@@ -20,8 +37,55 @@ def test_date_spine_is_a_generator(spark):
 
 
 def test_numbering_moves_no_rows_to_one_partition(spark):
-    for name in ("fact_sales", "global_rank", "fill_series", "dim_date"):
-        assert "SinglePartition" not in plan(REGISTRY[name](spark, SF_SMALL)), name
+    """Looked at before anything is stored: the ranged rows, and the fact's arithmetic ranges."""
+    o = B.obs(spark, SF_SMALL).select("image_url", "date", "l_orderkey", "l_linenumber", "price")
+    p = plan(ranged_rows(o, ["image_url", "date", "l_orderkey", "l_linenumber"], 8))
+    assert "rangepartitioning" in p and "SinglePartition" not in p
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    numbered = spark.range(100).withColumn("r", uniform_range("id", 0, 100, 8)).withColumn(
+        "n", F.row_number().over(Window.partitionBy("r").orderBy("id")))
+    assert "SinglePartition" not in plan(numbered)
+
+
+def test_fact_shuffles_the_rows_by_day_and_by_product_only(spark):
+    silver = stored(B.feeds_silver(spark, SF_SMALL), "plan")
+    days = stored(dims.dim_date(silver), "plan")
+    products = spark.createDataFrame([(1,)], "product_id long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(facts.fact_rows(silver, products, days))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = keyed_by(p.split("== Initial Plan ==")[-1])
+    # series + day; days of a series; product (rows, dimension); the branch of rows without a product repeats them by day
+    keys = {k for k in keys if not k.startswith("_w")}  # _w: the series of a day, in the table of days
+    assert keys <= {"_day", "product_id", "date_id"}, keys
+    assert "SinglePartition" not in p and "NestedLoop" not in p
+
+
+def test_lag_never_groups_rows_by_the_series_alone(spark):
+    silver = stored(B.obs_silver(spark, SF_SMALL), "plan")
+    p = plan(with_mean_depletion(silver.select("image_url", "name", "date", "stock")))
+    # rows move by series and day; only the table of days (a row per series-day) moves by series
+    assert "hashpartitioning(_day" in p and "hashpartitioning(image_url" not in p
+
+
+def test_dim_product_multiplies_no_row(spark):
+    silver = stored(B.feeds_silver(spark, SF_SMALL), "plan")
+    cat, pic = dims.dim_category(silver), dims.dim_picture(silver)
+    p = plan(dims.dim_product(silver, cat, pic, dims.dim_store(silver, B.store_img(spark, SF_SMALL))))
+    assert "min(id_category" in p
+
+
+def test_many_ranges_cost_the_driver_little(spark):
+    spark.range(1).count()
+    t0 = time.time()
+    df = offsets_frame(spark, np.arange(50_000, dtype=np.int32), np.ones(50_000, np.int64))
+    df._jdf.queryExecution().executedPlan()
+    assert time.time() - t0 < 2
+    assert df.agg({"_offset": "max"}).first()[0] == 49_999
 
 
 def test_scan_prunes_columns(spark):

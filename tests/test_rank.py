@@ -26,13 +26,13 @@ def test_rank_with_nulls_and_hot_key(spark):
                      None if i % 13 == 0 else rnd.randint(0, 10**6), i))
     df = spark.createDataFrame(rows, "a string, b long, c long")
     for m in (1, 4, 16, 64):
-        _check(df, ["a", "b", "c"], num_buckets=m)
+        _check(df, ["a", "b", "c"], ranges=m)
 
 
 def test_rank_uniform_leading(spark):
     rows = [(None if i % 11 == 0 else (i * 7919) % (1 << 20), i % 5) for i in range(2000)]
     df = spark.createDataFrame(rows, "p long, d long").dropDuplicates()
-    _check(df, ["p", "d"], uniform_leading=(0, 1 << 20), num_buckets=8)
+    _check(df, ["p", "d"], uniform_leading=(0, 1 << 20), ranges=8)
 
 
 def test_rank_dates_and_empty(spark):
@@ -40,5 +40,12 @@ def test_rank_dates_and_empty(spark):
         F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 37 % 400).cast("int")).alias("d"),
         F.col("id").alias("i"),
     )
-    _check(df, ["d", "i"], num_buckets=6)
+    _check(df, ["d", "i"], ranges=6)
     assert global_rank(df.limit(0), ["d", "i"]).count() == 0
+
+
+def test_rank_refuses_no_ranges(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        global_rank(spark.range(3), ["id"], ranges=0)

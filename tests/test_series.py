@@ -14,9 +14,10 @@ def day(n):
     return D0 + dt.timedelta(days=n)
 
 
-def test_spine_cap(spark):
-    df = spark.createDataFrame([("k", day(0)), ("k", day(400)), ("j", day(5))], "k string, date date")
-    rows = date_spine(df, ["k"], "date").groupBy("k").agg(F.count("*").alias("n"), F.max("date").alias("last"))
+def test_spine_limit_is_the_callers(spark):
+    df = spark.createDataFrame([("k", day(0)), ("k", day(400)), ("j", day(5)), ("n", None)], "k string, date date")
+    assert date_spine(df, ["k"], "date").count() == 402
+    rows = date_spine(df, ["k"], "date", max_days=370).groupBy("k").agg(F.count("*").alias("n"), F.max("date").alias("last"))
     got = {r.k: (r.n, r.last) for r in rows.collect()}
     assert got == {"k": (371, day(370)), "j": (1, day(5))}
 
@@ -56,3 +57,11 @@ def test_fill_series_ids_consecutive(spark):
     out = fill_series(df, ["pic", "name"], ["v"], "date", id_col="id").collect()
     ordered = sorted(out, key=lambda r: (r.pic, r.name, r.date))
     assert [r.id for r in ordered] == list(range(1, len(out) + 1))
+
+
+def test_null_date_costs_its_row_only(spark):
+    rows = [("p", None, 9), ("p", day(0), 1), ("p", day(3), 2), ("q", None, 5)]
+    df = spark.createDataFrame(rows, "k string, date date, v int")
+    for max_days in (None, 370):
+        out = fill_series(df, ["k"], ["v"], "date", max_days=max_days, hash_col=None)
+        assert [(r.date, r.v) for r in out.orderBy("date").collect()] == [(day(0), 1), (day(1), 1), (day(2), 1), (day(3), 2)]

@@ -33,14 +33,62 @@ def test_scd2_null_is_not_a_change(spark):
     assert snap.count() == 1 and snap.first().valid_to is None
 
 
+def test_scd2_new_and_missing_columns_and_null_key(spark):
+    b1 = spark.createDataFrame([("a", 1, "x"), (None, 5, "y")], "k string, v long, w string")
+    b2 = spark.createDataFrame([("a", 1, 7), (None, 5, None)], "k string, v long, z int")
+    snap = scd2_replay([("2024-01-01 00:00:00", b1), ("2024-01-02 00:00:00", b2), ("2024-01-03 00:00:00", b2)], "k")
+    rows = {(r.k, r.v, r.w, r.z, r.valid_to is None) for r in snap.collect()}
+    assert snap.count() == 4
+    assert rows == {(None, 5, None, None, True), (None, 5, "y", None, False), ("a", 1, None, 7, True), ("a", 1, "x", None, False)}
+
+
+def test_stored_snapshot_writes_no_closed_history_again(spark, tmp_path):
+    from etalage.operators.snapshot import SnapshotTable
+
+    table = SnapshotTable(spark, str(tmp_path), "t", "k", "parquet")
+    loads = [{"a": 1, "b": 2}, {"a": 1, "b": 3}, {"a": 2, "b": 3}]
+    stamps = [f"2024-01-0{i + 1} 00:00:00" for i in range(3)]
+    closed = tmp_path / "snapshots" / "t_closed"
+    seen = {}
+    for t, d in zip(stamps, loads):
+        table.apply(batch(spark, d), t)
+        for run, files in seen.items():
+            assert {f.name: f.stat().st_mtime_ns for f in (closed / run).iterdir()} == files
+        seen = {v.name: {f.name: f.stat().st_mtime_ns for f in v.iterdir()} for v in closed.iterdir()}
+    replay = scd2_replay([(t, batch(spark, d)) for t, d in zip(stamps, loads)], "k")
+    cols = ["k", "v", "valid_from", "valid_to"]
+    assert sorted(map(tuple, table.read().select(cols).collect()), key=str) == sorted(map(tuple, replay.select(cols).collect()), key=str)
+    # a run that stopped before its open part was published is run again
+    import shutil
+
+    shutil.copytree(closed / "v000003", closed / "v000004")
+    table.apply(batch(spark, {"a": 2}), "2024-01-09 00:00:00")
+    assert table.runs() == 4 and table.read().filter("k = 'b' and valid_to is null").count() == 0
+
+
+def test_brand_and_picture_win_over_null(spark):
+    silver = spark.createDataFrame(
+        [("f1", 1, "n", None, "c", "s", "img", "st"), ("f2", 1, "n", "brand", "c", "s", "img", "st")],
+        "feed string, product_id long, name string, marque string, category string, section string, image_url string, store string")
+    imgs = spark.createDataFrame([("st", None), ("st", "pic")], "store string, image_str string")
+    sto = dims.dim_store(silver, imgs)
+    assert sto.first().image_str == "pic"
+    assert dims.dim_product(silver, dims.dim_category(silver), dims.dim_picture(silver), sto).first().marque == "brand"
+
+
 def test_unique_and_relationships(spark):
     keys = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "k long")
     assert [r.k for r in Q.unique(keys, "k").collect()] == [1]
     child = spark.createDataFrame([(1,), (9,), (None,)], "k long")
     parent = spark.createDataFrame([(1,)], "id long")
     assert [r.k for r in Q.relationships(child, "k", parent, "id").collect()] == [9]
-    report = Q.test_report([Q.DataTest("u", Q.unique(keys, "k")), Q.DataTest("n", Q.not_null(keys, "k"))])
-    assert {r.test: (r.failures, r.status) for r in report.collect()} == {"u": (1, "fail"), "n": (2, "fail")}
+    report = Q.test_report({"t": keys, "p": parent}, [
+        Q.DataTest("t", "k", "unique"), Q.DataTest("t", "k", "not_null"), Q.DataTest("t", "k", "at_least", low=2),
+        Q.DataTest("t", "k", "relationships", to=("p", "id")), Q.DataTest("p", "id", "unique"), Q.DataTest("p", "id", "not_null")])
+    got = {r.test: (r.failures, r.status) for r in report.collect()}
+    assert got["t.k.unique"] == (1, "fail") and got["t.k.not_null"] == (2, "fail")
+    assert got["t.k.relationships"][1] == "fail" and got["t.k.at_least"][1] == "fail"
+    assert got["p.id.unique"] == got["p.id.not_null"] == (0, "pass")
 
 
 def test_dedup_desc_nulls_last(spark):
