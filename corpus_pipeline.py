@@ -17,7 +17,7 @@ from etalage.llm.decontaminate import find_contamination
 from etalage.llm.mixing import mix_sources
 from etalage.llm.near_dedup import group_near_duplicates
 from etalage.llm.quality_forest import judge_quality
-from etalage.llm.queries import WORD_BPE_SPLIT, word_bpe
+from etalage.llm.queries import word_bpe
 from etalage.llm.storage import store
 from etalage.llm.token_files import tokens_to_files
 from etalage.sources.io import read_source
@@ -54,7 +54,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32."""
-    return tokens_to_files(docs, word_bpe(), split=WORD_BPE_SPLIT)
+    return tokens_to_files(docs, word_bpe(), by_word=True)
 
 
 STAGES = [

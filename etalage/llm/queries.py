@@ -38,10 +38,6 @@ def word_bpe() -> str:
     return public_tokenizers.path(name)
 
 
-#: the tokenizer drops white space and never joins across it, so words can be encoded apart
-WORD_BPE_SPLIT = b"[ \n]+"
-
-
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = read_source(spark, sf_dir, "pages", ["page_id", "url"])
@@ -57,7 +53,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_source(spark, sf_dir, "documents", ["doc_id", "text"])
-    return tokens_to_files(docs, word_bpe(), split=WORD_BPE_SPLIT)
+    return tokens_to_files(docs, word_bpe(), by_word=True)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

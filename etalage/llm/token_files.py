@@ -25,20 +25,21 @@ records; other columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .storage import fresh_path, store
+from .words import Words, chunks
 
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 _HEAD = struct.Struct("<qBII")
 _END = 0x0A
 
@@ -72,7 +73,15 @@ def decode(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- text to ids
 
-_workers: dict[str, tuple[object, dict[bytes, bytes], type]] = {}
+#: ASCII marks that never join a letter or digit before them in one token
+_MARKS = np.zeros(256, bool)
+_MARKS[list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~")] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[list(b"0123456789abcdefghijklmnopqrstuvwxyz")] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+
+_workers: dict[str, tuple[object, dict[int, bytes], type]] = {}
 
 
 def _encoder(file: str):
@@ -87,40 +96,66 @@ def _encoder(file: str):
     return _workers[file]
 
 
-def encode_texts(texts: list[str | None], file: str, split: bytes | None, end_id: int) -> list[np.ndarray]:
-    """Ids of each text with the end id. ``split`` is a pattern of what may be cut
-    out between words without changing the ids (None: encode whole texts)."""
+def encode_texts(texts: pa.Array, file: str, by_word: bool, end_id: int) -> list[np.ndarray]:
+    """Ids of each text with the end id.
+
+    ``by_word`` is for a tokenizer that lower-cases, drops white space and cuts
+    between a letter or digit and a mark: then each different word (and the run of
+    marks that closes it) is encoded once, and texts are put together from these.
+    Texts that hold ``<|``, as special tokens do, are always encoded whole.
+    """
     tokenizer, cache, wide = _encoder(file)
     end = np.array([end_id], wide)
-    if split is None:
-        got = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
-        return [np.concatenate((np.array(x.ids, wide), end)) for x in got]
-    cut = re.compile(split).split
-    words = [[w for w in cut(t.encode()) if w] if t else [] for t in texts]
-    new = {w for ws in words for w in ws if w not in cache}
+    out: list[np.ndarray | None] = [None] * len(texts)
+    texts = pc.fill_null(texts, "")
+    whole = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False) if by_word else np.ones(len(texts), bool)
+    held = texts.to_pylist() if whole.all() else None
+    for i in np.flatnonzero(whole).tolist():
+        text = held[i] if held else texts[i].as_py()
+        out[i] = np.concatenate((np.array(tokenizer.encode(text, add_special_tokens=False).ids, wide), end))
+    if whole.all():
+        return out
+    w = Words(texts)
+    w.data = _LOWER[w.data]
+    # a word that closes with marks after a letter or digit is two pieces
+    last = np.maximum.accumulate(np.where(_MARKS[w.data], -1, np.arange(len(w.data))))[w.ends - 1]
+    two = np.flatnonzero((last >= w.starts) & (last < w.ends - 1) & _ALNUM[w.data[last]])
+    at = np.searchsorted(w.starts, last[two] + 1)
+    bounds = w.bounds + np.searchsorted(two, w.bounds)
+    w.starts, w.ends = np.insert(w.starts, at, last[two] + 1), np.insert(w.ends, two, last[two] + 1)
+    keys, first, where = np.unique(w.hashes(), return_index=True, return_inverse=True)
+    keys = keys.tolist()
+    new = [k for k, key in enumerate(keys) if key not in cache]
     if len(cache) + len(new) > CACHED_WORDS:
         cache.clear()
-        new = {w for ws in words for w in ws}
-    todo = list(new)
-    for a in range(0, len(todo), 20_000):
-        piece = todo[a : a + 20_000]
-        for w, x in zip(piece, tokenizer.encode_batch([w.decode() for w in piece], add_special_tokens=False), strict=True):
-            cache[w] = np.array(x.ids, wide).tobytes()
-    end = end.tobytes()
-    return [np.frombuffer(b"".join([cache[w] for w in ws]) + end, wide) for ws in words]
+        new = list(range(len(keys)))
+    raw = w.data.tobytes()
+    spans = [(int(w.starts[k]), int(w.ends[k])) for k in first[new]]
+    for a in range(0, len(new), 20_000):
+        words = [raw[s:e].decode() for s, e in spans[a : a + 20_000]]
+        for k, x in zip(new[a : a + 20_000], tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
+            cache[keys[k]] = np.array(x.ids, wide).tobytes()
+    blobs = [cache[key] for key in keys]
+    flat = np.frombuffer(b"".join(blobs), wide)
+    size = np.array([len(x) for x in blobs], np.int64) // np.dtype(wide).itemsize
+    begin, n = (np.cumsum(size) - size)[where], size[where]
+    total = np.concatenate(([0], np.cumsum(n)))
+    ids = flat[np.repeat(begin - total[:-1], n) + np.arange(total[-1])]
+    for i, (s, e) in enumerate(zip(total[bounds[:-1]].tolist(), total[bounds[1:]].tolist(), strict=True)):
+        if out[i] is None:
+            out[i] = np.concatenate((ids[s:e], end))
+    return out
 
 
 def tokenized(docs: DataFrame, file: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID,
-              split: bytes | None = None) -> DataFrame:
+              by_word: bool = False) -> DataFrame:
     """doc_id, wide (bytes per id), n, ids (packed) of every document; stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .words import chunks
-
         codec = pa.Codec("zstd", compression_level=1)
         for batch in batches:
-            for part in chunks(batch, "text", 1 << 20):
-                ids = encode_texts(part.column(1).to_pylist(), file, split, end_id)
+            for part in chunks(batch, "text"):
+                ids = encode_texts(part.column(1), file, by_word, end_id)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([x.itemsize for x in ids], pa.int32()), pa.array([len(x) for x in ids], pa.int64()),
                      pa.array([codec.compress(x.tobytes(), asbytes=True) for x in ids], pa.binary())],
@@ -227,8 +262,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tokens_to_files(docs: DataFrame, file: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID,
-                    split: bytes | None = None, path: str | None = None) -> DataFrame:
+                    by_word: bool = False, path: str | None = None) -> DataFrame:
     """Encode, write and read back; see :func:`read_token_files`."""
     path = path or fresh_path(docs.sparkSession, "token-files")
-    write_token_files(tokenized(docs, file, doc_id, text, end_id, split), path)
+    write_token_files(tokenized(docs, file, doc_id, text, end_id, by_word), path)
     return read_token_files(docs.sparkSession, path)

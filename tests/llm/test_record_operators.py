@@ -12,7 +12,7 @@ import pytest
 from fixtures import WORD, corpus, documents, empty, rows_of
 
 from etalage.llm import chat_format, html_extract, mixing, token_files, url_filter, warc
-from etalage.llm.queries import URL_RULES, WORD_BPE_SPLIT, word_bpe
+from etalage.llm.queries import URL_RULES, word_bpe
 from etalage.llm.storage import fresh_path
 
 URLS = [
@@ -107,7 +107,7 @@ def test_token_files(spark):
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 1]
         want.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
-    got = rows_of(token_files.tokens_to_files(documents(spark, rows).repartition(5), word_bpe(), split=WORD_BPE_SPLIT))
+    got = rows_of(token_files.tokens_to_files(documents(spark, rows).repartition(5), word_bpe(), by_word=True))
     # rows that share an id may stand in either order
     plain = lambda xs: sorted(((d, n, c) for d, _, n, c in xs), key=repr)
     assert plain(got) == plain(want)
@@ -115,14 +115,14 @@ def test_token_files(spark):
     assert [x for x in got if x[0] in once] == sorted((x for x in want if x[0] in once), key=repr)
     assert sorted(x[1] for x in got)[0] == 0 and all(a[1] + a[2] == b[1] for a, b in itertools.pairwise(sorted(got, key=lambda x: x[1])))
     whole = token_files.tokens_to_files(documents(spark, rows[:20]), word_bpe())
-    cut = token_files.tokens_to_files(documents(spark, rows[:20]), word_bpe(), split=WORD_BPE_SPLIT)
+    cut = token_files.tokens_to_files(documents(spark, rows[:20]), word_bpe(), by_word=True)
     assert plain(rows_of(whole)) == plain(rows_of(cut))
-    assert token_files.tokens_to_files(empty(spark), word_bpe(), split=WORD_BPE_SPLIT).count() == 0
+    assert token_files.tokens_to_files(empty(spark), word_bpe(), by_word=True).count() == 0
 
 
 def test_frequent_ids_get_small_ranks(spark):
     docs = documents(spark, [(k, "the the the cat", "a") for k in range(4)])
-    ranked = token_files.frequency_ranks(token_files.tokenized(docs, word_bpe(), split=WORD_BPE_SPLIT))
+    ranked = token_files.frequency_ranks(token_files.tokenized(docs, word_bpe(), by_word=True))
     assert [n for _, n in ranked] == sorted((n for _, n in ranked), reverse=True) and ranked[0][1] == 12
 
 
