@@ -9,11 +9,11 @@ the full sets confirm each link, exactly. Components of the links are the groups
 With 10 half keys of 2 minhashes, a pair at similarity 0.8 shares a table key
 with probability 1 - 2 * 0.36 ** 10 > 0.9999; more similar pairs more surely.
 
-Candidates without all pairs. Equal sets are one node. In each table bucket the
-first document is compared with the rest and leaves it, since all its pairs there
-are known; links merge components; a bucket whose documents are all in one
-component is done. What is left of buckets of up to ``SMALL`` documents is compared
-in pairs. Larger ones are taken together by the left half of their key: pivots,
+Candidates without all pairs. Equal sets are one node. Table buckets of up to
+``SMALL`` documents are compared in pairs; in a larger one the first document is
+compared with the rest and leaves it, since all its pairs there are known. Links
+merge components; a bucket whose documents are all in one component is done. The
+other large ones are taken together by the left half of their key: pivots,
 documents outside a group's largest component, are compared with the whole group
 and leave it, more of them each round, until no group holds two components. So n
 near copies cost about n comparisons and not n * n, yet every two documents that
@@ -51,7 +51,7 @@ HALVES = 10
 ROWS = 2
 SEED = 11
 SMALL = 8
-PIVOTS, MOST_PIVOTS = 128, 4096
+PIVOTS, MOST_PIVOTS = 1024, 4096
 PART = 2000
 
 _UPPER_TO_LOWER = np.arange(256, dtype=np.uint8)
@@ -184,21 +184,16 @@ def group_near_duplicates(
         return every, store(candidates.join(components(every), "node", "left").select(
             "node", F.coalesce("component", "node").alias("component")), "labels")
 
-    # 1. the first document of each bucket with the rest of it
-    first = buckets.groupBy("key").agg(F.min("node").alias("a"))
-    pairs = buckets.join(first, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    # 1. small buckets: all their pairs; large ones: the first document with the rest
+    sized = store(buckets.join(buckets.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")), "key"), "sized")
+    few = sized.where(f"n <= {SMALL}")
+    large = sized.where(f"n > {SMALL} and node <> a")
+    pairs = few.select("key", F.col("node").alias("x")).join(few.select("key", "node"), "key").where("x < node").select(
+        F.col("x").alias("a"), F.col("node").alias("b")).union(large.select("a", F.col("node").alias("b"))).distinct()
     links, labels = joined(linked(pairs, texts, shingle, percent))
-    rest = buckets.join(first, "key").where("node <> a").select("key", "half", "node")
-    open_ = store(unresolved(rest, labels, ["key"]), "open")
 
-    # 2. small buckets: their other pairs
-    few = open_.where(f"n <= {SMALL}")
-    pairs = few.select("key", F.col("node").alias("a"), F.col("component").alias("c")).join(few, "key").where(
-        "a < node and c <> component").select("a", F.col("node").alias("b")).distinct()
-    links, labels = joined(linked(pairs, texts, shingle, percent))
-
-    # 3. large buckets, by the left half of their keys: pivots, more of them each round
-    groups = store(open_.where(f"n > {SMALL}").select("half", "node").distinct(), "groups")
+    # 2. what is left of large buckets, by the left half of their keys: pivots, more of them each round
+    groups = store(unresolved(large.select("key", "half", "node"), labels, ["key"]).select("half", "node").distinct(), "groups")
     count = pivots
     while True:
         open_ = store(unresolved(groups, labels, ["half"]), "open")
