@@ -162,10 +162,11 @@ def repair_chats(chats: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
 
     known = costs.repartition("conv_id").sortWithinPartitions(*by).mapInArrow(
         states, "conv_id long, seg long, entry int, leave int, final boolean")
-    # null ids meet in a join that takes nulls as equal
-    left, right = rows.withColumn("tie", F.xxhash64("text")).alias("l"), known.alias("r")
-    met = left.join(right, F.col("l.conv_id").eqNullSafe(F.col("r.conv_id")) & (F.col("l.seg") == F.col("r.seg"))).select(
-        "l.conv_id", "l.seg", "turn", "role", "text", "tie", "entry", "leave", "final")
+    # the one shuffle of texts; a struct key takes null ids as equal. A segment is one row of
+    # the other side, so its turns stay together however the join is planned
+    key = F.struct("conv_id", "seg").alias("key")
+    met = rows.select("*", key, F.xxhash64("text").alias("tie")).repartition("key").join(
+        known.select(key, "entry", "leave", "final"), "key")
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -186,7 +187,8 @@ def repair_chats(chats: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
         if out:
             yield _batch(out)
 
-    return met.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(render, _SCHEMA)
+    turns = met.select("conv_id", "seg", "turn", "role", "text", "tie", "entry", "leave", "final")
+    return turns.sortWithinPartitions(*by, *order).mapInArrow(render, _SCHEMA)
 
 
 _SCHEMA = ("conv_id long, turn long, role string, new_role string, merged boolean, inserted array<string>, cost long, "
