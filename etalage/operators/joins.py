@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from etalage.operators.dedup import dedup_first
 
+
 def enrich(
     df: DataFrame,
     lookup: DataFrame,

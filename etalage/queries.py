@@ -14,20 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etalage.functions import clean as C
+from etalage.functions.keys import hash_key
 from etalage.operators import quality as Q
 from etalage.operators.dedup import dedup_first
 from etalage.operators.filters import filter_not_blank, filter_valid_key
 from etalage.operators.joins import enrich
-from etalage.operators.series import drop_null_keys
-from etalage.operators.snapshot import SnapshotTable, scd2_replay
-from etalage.operators.sort import sort_for_write
-from etalage.plans import feeds
-from etalage.session import checkpoint_dir
-from etalage.sources.io import read_model, stored, write_layer
-from etalage.functions.keys import hash_key
 from etalage.operators.rank import global_rank
+from etalage.operators.sales import (
+    estimate_sales,
+    mean_depletion_agg,
+    sales_from_delta,
+    with_mean_depletion,
+)
 from etalage.operators.series import (
     date_spine,
+    drop_null_keys,
     fill_series,
     forward_fill,
     lag_diff,
@@ -35,16 +36,13 @@ from etalage.operators.series import (
     series_extent,
     spine_left_join,
 )
-from etalage.operators.sales import (
-    estimate_sales,
-    mean_depletion_agg,
-    sales_from_delta,
-    with_mean_depletion,
-)
-from etalage.plans import dims, facts
+from etalage.operators.snapshot import SnapshotTable, scd2_replay
+from etalage.operators.sort import sort_for_write
+from etalage.plans import dims, facts, feeds
 from etalage.plans.layers import Lakehouse, bronze_feeds
+from etalage.session import checkpoint_dir
 from etalage.sources import bindings as B
-from etalage.sources.io import read_source
+from etalage.sources.io import read_model, read_source, stored, write_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
