@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StructField
 
-from .words import SPACES, Words, annotate, run_hashes, runs_within
+from .words import Words, annotate, run_hashes, runs_within
 
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
