@@ -6,8 +6,10 @@ and link text are summed per path; a path's ratio is its text per block fused
 with its punctuation per block, less its share of link text. Each block then
 takes the mean of the ratios around it, weighted by distance and by how much of
 their paths is shared, and a path is content if its smoothed ratio reaches a
-share of the page's mean (weighted by text). Paths through elements that never
-hold the article (menus, footers, forms, scripts...) have ratio 0.
+share of the page's mean (weighted by text). A path below that (short items, cells,
+lines) stays too if it lies in the article or in the element around blocks of
+content, unless it is mostly link text. Paths through elements that never hold the
+article (menus, footers, forms, scripts...) have ratio 0.
 
 Scale: a page is a row; there is no shuffle.
 
@@ -45,6 +47,8 @@ CLOSES = {
     "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": {"tr", "td", "th"},
 }
 SCOPES = frozenset("ul ol dl table td th body html".split())
+#: parts of lists, tables and quotes: what they stand in is the container of their text
+PARTS = frozenset("ul ol dl li dt dd table thead tbody tfoot tr td th caption blockquote figure details pre p center".split())
 #: words in class, id and role names of what surrounds an article
 AROUND = re.compile(
     r"(?:^|\s)(?:(?:bottom|global|google|left|main|page|post|reader|right|side|site|top|user)[-_]?)?(?:ad|ads|advert\w*|banner|breadcrumb\w*|comment\w*|cookie\w*|consent|disclaimer|disqus|footer|header|masthead|menu|modal|nav\w*|newsletter|"
@@ -176,7 +180,47 @@ def content_paths(found: list[tuple[tuple[str, ...], str, int]], share: float =
         return set()
     chars = sum(c for _, _, c in smooth.values())
     mean = sum(s / n * c for s, n, c in smooth.values()) / chars
-    return {p for p, (s, n, _) in smooth.items() if s / n >= share * mean}
+    taken = {p for p, (s, n, _) in smooth.items() if s / n >= share * mean}
+    return taken | beside(found, taken, smooth.keys() - taken)
+
+
+def _name(entry: str) -> str:
+    return entry.lstrip("-").split(".")[0]
+
+
+def container(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The element that a block stands in, past the parts of lists, tables and quotes."""
+    end = len(path) - 1
+    while end > 0 and _name(path[end - 1]) in PARTS:
+        end -= 1
+    return path[: max(end, 0)]
+
+
+def beside(found: list[tuple[tuple[str, ...], str, int]], taken: set[tuple[str, ...]], rest: set[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """Paths of ``rest``, not mostly link text, that lie in a container of ``taken`` paths.
+
+    Containers are the articles around taken paths (``main`` where no article is), and
+    the elements taken blocks stand in. Of ``body`` only its own blocks count.
+    """
+    if not rest:
+        return set()
+    size = dict.fromkeys(rest, 0)
+    links = dict.fromkeys(rest, 0)
+    for path, text, n in found:
+        if path in size:
+            size[path] += len(text)
+            links[path] += n
+    direct = {container(p) for p in taken}
+    outer = {c for c in direct if c and _name(c[-1]) not in ("html", "body")}
+    for p in taken:
+        names = [_name(x) for x in p]
+        for holder in ("article", "main"):
+            if holder in names:
+                outer.add(p[: names.index(holder) + 1])
+                break
+    lengths = sorted({len(c) for c in outer})
+    return {p for p in rest if 2 * links[p] <= size[p] and (
+        container(p) in direct or any(p[:n] in outer for n in lengths if n <= len(p)))}
 
 
 def main_text(html: str | None, share: float = SHARE) -> str:

@@ -143,6 +143,36 @@ def test_main_text():
     assert html_extract.main_text("<div>" * 3000 + "deep text, here.") == "deep text, here."
 
 
+def article_of(*parts, around="<article>{}</article>"):
+    long = "A paragraph of the article, with some marks in it; it is long, and it goes on. " * 5
+    return f"<body><nav><a href=/>Home</a></nav>{around.format(f'<p>{long}</p>' + ''.join(f'{x}<p>{long}</p>' for x in parts))}<footer>All rights.</footer>"
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", '<main><div class="text">{}</div></main>', "<div><div>{}</div></div>", "{}"])
+@pytest.mark.parametrize("n", [3, 5, 6, 12, 20])
+def test_short_blocks_of_an_article_stay(around, n):
+    items = [f"Item {k} of the list" for k in range(n)]
+    cells = [f"cell {k}" for k in range(n)]
+    parts = {
+        "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>": items,
+        "<ol>" + "".join(f"<li><p>{x}</p>" for x in items) + "</ol>": items,
+        "<table><tbody>" + "".join(f"<tr><td>{x}</td></tr>" for x in cells) + "</tbody></table>": cells,
+        "<pre>x = 1</pre>" * n: ["x = 1"] * n,
+        "<blockquote>Short</blockquote>" * n: ["Short"] * n,
+    }
+    for part, want in parts.items():
+        got = html_extract.main_text(article_of(part, around=around)).split("\n")
+        assert got[1:-1] == want, part
+    got = html_extract.main_text(article_of(*parts, around=around)).split("\n")
+    assert [x for x in got if not x.startswith("A paragraph")] == [x for want in parts.values() for x in want]
+
+
+def test_link_lists_and_what_stands_outside_go():
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Another page {k}</a></li>" for k in range(8)) + "</ul>"
+    text = html_extract.main_text(article_of(links).replace("<footer>", "<div>" + "<p>Short line</p>" * 5 + "</div><footer>"))
+    assert {x[:11] for x in text.split("\n")} == {"A paragraph"}
+
+
 def test_extraction_recovers_articles(spark):
     """On the generated pages the article is what stands in its element: compare with a plain reading of it."""
     import re
