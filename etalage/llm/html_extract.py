@@ -9,7 +9,8 @@ their paths is shared, and a path is content if its smoothed ratio reaches a
 share of the page's mean (weighted by text). A path below that (short items, cells,
 lines) stays too if it lies in the article or in the element around blocks of
 content, unless it is mostly link text. Paths through elements that never hold the
-article (menus, footers, forms, scripts...) have ratio 0.
+article (menus, footers, scripts...) have ratio 0; so have those through forms and
+elements named like them, but not if most of the page's article lies inside.
 
 Scale: a page is a row; there is no shuffle.
 
@@ -49,30 +50,39 @@ CLOSES = {
 SCOPES = frozenset("ul ol dl table td th body html".split())
 #: parts of lists, tables and quotes: what they stand in is the container of their text
 PARTS = frozenset("ul ol dl li dt dd table thead tbody tfoot tr td th caption blockquote figure details pre p center".split())
-#: words in class, id and role names of what surrounds an article
-AROUND = re.compile(
-    r"(?:^|\s)(?:(?:bottom|global|google|left|main|page|post|reader|right|side|site|top|user)[-_]?)?(?:ad|ads|advert\w*|banner|breadcrumb\w*|comment\w*|cookie\w*|consent|disclaimer|disqus|footer|header|masthead|menu|modal|nav\w*|newsletter|"
-    r"notice\w*|pagination|popup|promo\w*|related|replies|reply|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget\w*)(?:[^a-z]|$)")
+#: names that may be given to an element around an article, or around a whole page
+WRAPPERS = frozenset("form fieldset".split())
+#: words of whole class, id and role names of what surrounds an article; a name may
+#: have several, a place before and a part after them
+_PLACE = "bottom|global|google|left|main|page|post|reader|right|side|site|top|user"
+_WORD = (
+    "ads?|advert|advertise|advertising|advertisements?|banners?|breadcrumbs?|commentform|commentlist|comments?|consent|cookiebar|cookieconsent|"
+    "cookies?|disclaimer|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|navmenu|newsletter|notices?|pagination|popup|promos?|"
+    "promotions?|promotional|related|replies|reply|share|sharing|sidebar|social|sponsors?|sponsored|subscribe|toolbar|widgets?")
+_PART = "area|bar|block|body|box|button|buttons|container|form|group|icon|icons|inner|item|items|label|link|links|list|panel|row|section|slot|unit|wrap|wrapper"
+AROUND = re.compile(rf"(?:^|\s)(?:(?:{_PLACE})[-_]*)*(?:{_WORD})(?:[-_]+(?:{_WORD}|{_PART}|\d+))*(?=\s|$)")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _MARKS = re.compile(r"[.,;:!?…。，、¿¡]")
 
 
-def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
-    """(path, text, characters of link text) of each block with text, in page order.
+def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, int, tuple[tuple[int, int], ...]]]:
+    """(path, text, characters of link text, marks) of each block with text, in page order.
 
-    An element that surrounds articles has its path entry marked with ``-``.
+    An element that surrounds articles has its path entry marked with ``-``; the marks
+    are the places of such entries in the path, and where in the page each element begins.
     """
     path: list[str] = []
+    begun: list[int] = []
     text: list[str] = []
     linked, links = 0, 0
 
-    def flush() -> Iterator[tuple[tuple[str, ...], str, int]]:
+    def flush() -> Iterator[tuple[tuple[str, ...], str, int, tuple[tuple[int, int], ...]]]:
         nonlocal text, links
         whole = " ".join(unescape("".join(text)).split()) if text else ""
         if whole:
-            yield tuple(path), whole, min(links, len(whole))
+            yield tuple(path), whole, min(links, len(whole)), tuple((k, begun[k]) for k, x in enumerate(path) if x[0] == "-")
         text, links = [], 0
 
     at = 0
@@ -113,6 +123,8 @@ def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
         if not m[0].endswith("/>"):
             label = " ".join(x for g in _NAMES.findall(m[3] or "") for x in g if x).lower()
             around = name in ASIDE or bool(label and name not in HOLDERS and AROUND.search(label))
+            del begun[len(path) :]
+            begun.append(at)
             path.append(("-" if around else "") + name + ("." + label.replace(" ", ".") if label else ""))
     yield from flush()
 
@@ -132,6 +144,37 @@ def _imply(path: list[str], name: str) -> None:
                 break
 
 
+def released(found: list[tuple[tuple[str, ...], str, int, tuple[tuple[int, int], ...]]]) -> list[tuple[tuple[str, ...], str, int]]:
+    """(path, text, links), without the marks of forms and named elements that hold the page's article.
+
+    That is most of the text in articles (or ``main``) or, if no article is in sight,
+    most of the page's text. What stands in an element that never holds it is no part of either.
+    """
+    size: dict[tuple[tuple[str, ...], tuple[tuple[int, int], ...]], int] = {}
+    for path, text, _, marks in found:
+        size[path, marks] = size.get((path, marks), 0) + len(text)
+    clear = articles = total = 0
+    inside: dict[tuple[int, int], list[int]] = {}
+    for (path, marks), n in size.items():
+        if any(_name(path[k]) in ASIDE - WRAPPERS for k, _ in marks):
+            continue
+        # an article named as a comment or a teaser is none
+        held = [k for k, x in enumerate(path) if _name(x) in ("article", "main") and not AROUND.search(x.partition(".")[2].replace(".", " "))]
+        total += n
+        articles += n if held else 0
+        clear += n if not marks and any(_name(path[k]) == "article" for k in held) else 0
+        for m in marks:
+            got = inside.setdefault(m, [0, 0])
+            got[0] += n
+            got[1] += n if held and held[-1] > m[0] else 0
+    free = {m for m, (n, within) in inside.items() if 2 * within > articles or not clear and 2 * n > total}
+    out = []
+    for path, text, links, marks in found:
+        lose = {k for k, at in marks if (k, at) in free}
+        out.append((tuple(x[1:] if k in lose else x for k, x in enumerate(path)) if lose else path, text, links))
+    return out
+
+
 def path_ratios(found: list[tuple[tuple[str, ...], str, int]]) -> dict[tuple[str, ...], float]:
     """Text per block, fused with punctuation per block, of each path."""
     total: dict[tuple[str, ...], list[float]] = {}
@@ -225,7 +268,7 @@ def beside(found: list[tuple[tuple[str, ...], str, int]], taken: set[tuple[str,
 
 def main_text(html: str | None, share: float = SHARE) -> str:
     """The blocks on content paths, in page order, one a line."""
-    found = list(blocks(html or ""))
+    found = released(list(blocks(html or "")))
     keep = content_paths(found, share)
     return "\n".join(text for path, text, _ in found if path in keep)
 

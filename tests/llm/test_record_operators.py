@@ -167,6 +167,28 @@ def test_short_blocks_of_an_article_stay(around, n):
     assert [x for x in got if not x.startswith("A paragraph")] == [x for want in parts.values() for x in want]
 
 
+@pytest.mark.parametrize("around", [
+    '<div class="content sidebar-right">{}</div>', '<div class="nav-collapsed wrapper">{}</div>', '<div class="header-fixed">{}</div>',
+    '<section class="commentary">{}</section>', '<form action="/x">{}</form>', '<form><div id="sidebar">{}</div></form>',
+    '<div class="page-header"><main>{}</main></div>', '<form><div class="nav menu"><article>{}</article></div></form>'])
+def test_wrappers_with_the_article_stay(around):
+    want = html_extract.main_text(article_of("<ul><li>One item</li></ul>"))
+    aside = '<div class="cookie-notice">We use cookies, all of them.</div><form><p>Your mail, please.</p></form>'
+    page = article_of("<ul><li>One item</li></ul>", around=around)
+    assert html_extract.main_text(page) == html_extract.main_text(page.replace("<nav>", aside + "<nav>")) == want
+
+
+def test_named_elements_beside_the_article_go():
+    long = "I liked this a lot, thank you; please write more of it, and soon. " * 40
+    want = html_extract.main_text(article_of())
+    for beside in (f'<section id="comments"><p>{long}</p></section>', f'<div class="comment-list"><article class="comment-body"><p>{long}</p></article></div>',
+                   f'<form><p>{long}</p></form>', f"<footer><p>{long}</p></footer>", '<div class="related-links"><p>A story, with text.</p></div>'):
+        assert html_extract.main_text(article_of().replace("<footer>", beside + "<footer>")) == want, beside
+    # part of the article
+    got = html_extract.main_text(article_of(f'<section class="commentary"><p>{long}</p></section>'))
+    assert long.strip() in got.split("\n")
+
+
 def test_link_lists_and_what_stands_outside_go():
     links = "<ul>" + "".join(f"<li><a href=/{k}>Another page {k}</a></li>" for k in range(8)) + "</ul>"
     text = html_extract.main_text(article_of(links).replace("<footer>", "<div>" + "<p>Short line</p>" * 5 + "</div><footer>"))
