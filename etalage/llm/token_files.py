@@ -77,9 +77,7 @@ def decode(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 _MARKS = np.zeros(256, bool)
 _MARKS[list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~")] = True
 _ALNUM = np.zeros(256, bool)
-_ALNUM[list(b"0123456789abcdefghijklmnopqrstuvwxyz")] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 32
+_ALNUM[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
 
 _workers: dict[str, tuple[object, dict[int, bytes], type]] = {}
 
@@ -99,9 +97,9 @@ def _encoder(file: str):
 def encode_texts(texts: pa.Array, file: str, by_word: bool, end_id: int) -> list[np.ndarray]:
     """Ids of each text with the end id.
 
-    ``by_word`` is for a tokenizer that lower-cases, drops white space and cuts
-    between a letter or digit and a mark: then each different word (and the run of
-    marks that closes it) is encoded once, and texts are put together from these.
+    ``by_word`` is for a tokenizer that drops white space and cuts between a letter
+    or digit and a mark: then each different word (and the run of marks that closes
+    it) is encoded once, as it stands, and texts are put together from these.
     Texts that hold ``<|``, as special tokens do, are always encoded whole.
     """
     tokenizer, cache, wide = _encoder(file)
@@ -116,7 +114,6 @@ def encode_texts(texts: pa.Array, file: str, by_word: bool, end_id: int) -> list
     if whole.all():
         return out
     w = Words(texts)
-    w.data = _LOWER[w.data]
     # a word that closes with marks after a letter or digit is two pieces
     last = np.maximum.accumulate(np.where(_MARKS[w.data], -1, np.arange(len(w.data))))[w.ends - 1]
     two = np.flatnonzero((last >= w.starts) & (last < w.ends - 1) & _ALNUM[w.data[last]])

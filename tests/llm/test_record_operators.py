@@ -120,6 +120,22 @@ def test_token_files(spark):
     assert token_files.tokens_to_files(empty(spark), word_bpe(), by_word=True).count() == 0
 
 
+def test_words_are_normalized_by_the_tokenizer(spark):
+    """Some letters compose with a mark in lower case only, and the tokenizer composes before it lower-cases."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(word_bpe())
+    pairs = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"]
+    assert all(t.encode(p).ids != t.encode(p.lower()).ids for p in pairs)
+    texts = [*pairs, *map(str.lower, pairs), " ".join(pairs) + ". AND. And and, 'S IT'S", "x" + pairs[0] + "a!", "B.C. (D) E\u0301. \u01f0J\u030c"]
+    want = sorted(((k, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for k, x in enumerate(texts)
+                   for ids in [[*t.encode(x, add_special_tokens=False).ids, 1]]), key=repr)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for by_word in (True, False):
+        got = token_files.tokens_to_files(docs, word_bpe(), by_word=by_word).select("doc_id", "n_tokens", "ids_crc32")
+        assert rows_of(got) == want
+
+
 def test_frequent_ids_get_small_ranks(spark):
     docs = documents(spark, [(k, "the the the cat", "a") for k in range(4)])
     ranked = token_files.frequency_ranks(token_files.tokenized(docs, word_bpe(), by_word=True))
