@@ -45,6 +45,18 @@ def test_second_build_leaves_every_layer_whole(spark, lake):
     assert versions.count() == snap and versions.filter("valid_to is not null").count() == 0
 
 
+def test_bench_builds_on_the_feeds_own_days(spark, tmp_path):
+    import bench
+
+    built, raw = Lakehouse(spark, str(tmp_path), "parquet"), B.raw_tables(spark, SF_SMALL)
+    bench.land(built, SF_SMALL)
+    for feed in FEEDS:
+        assert rows(built.read("landing", feed).groupBy("date").count()) == rows(raw[feed].groupBy("date").count()), feed
+    landed = {n: built.read("landing", n) for n in raw}
+    bronze = bronze_feeds(landed, B.RAW_TIEBREAK)["auchan"].clean
+    assert bronze.count() == 4948 and bronze.select("date").distinct().count() > B.LAKE_DAYS
+
+
 def test_written_bronze_equals_the_query(spark, lake, tmp_path):
     raw = B.raw_tables(spark, SF_SMALL)
     direct = REGISTRY["bronze_feed_unit_price"](spark, SF_SMALL)
