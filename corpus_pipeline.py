@@ -33,9 +33,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id."""
-    kept = group_near_duplicates(docs, shingle=SHINGLE).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group of near copies: that with the smallest id (null last).
+
+    Rows are told apart by a number of their own, so a document without id is compared
+    as any other, and of rows that share an id each stands for itself.
+    """
+    rows = store(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = group_near_duplicates(rows, doc_id="_row", shingle=SHINGLE).select(F.col("doc_id").alias("_row"), "component_id")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("tie"), "_row")
+    kept = rows.select("_row", first.alias("first")).join(groups, "_row").groupBy("component_id").agg(
+        F.min("first").alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,28 @@ def test_stages(spark, tmp_path):
     assert Counter((r.doc_id, r.ids_crc32) for r in frames["token_files"].collect()) == Counter({(d, crc[d]): n for d, n in mixed.items()})
     whole = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, frames["token_files"].collect()))
+
+
+def test_near_dedup_stage_keeps_rows_not_ids(spark):
+    def text(seed):
+        rng = np.random.default_rng(seed)
+        return [f"w{x}" for x in rng.integers(0, 5000, 120)]
+
+    def near(seed):
+        return " ".join([*text(seed)[:-1], "other"])
+
+    def full(seed):
+        return " ".join(text(seed))
+
+    rows = [
+        (None, full(1), "alone, no id"), (None, full(2), "copy of 7, no id"), (7, full(2), "kept"), (8, near(2), "near copy of 7"),
+        (9, full(3), "kept"), (9, full(4), "kept: another text, same id"), (9, near(3), "near copy, same id"), (10, full(5), "one of two"),
+        (10, full(5), "one of two"), (None, full(6), "one of two, no id"), (None, full(6), "one of two, no id"),
+        (12, near(1), "kept: has an id"), (None, "", "kept: empty"), (13, None, "kept: empty"), (13, "", "kept: empty"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = corpus_pipeline.near_dedup_stage(spark, docs, SF)
+    assert out.columns == docs.columns
+    want = [r for r in rows if r[2].startswith("kept")] + [rows[7], rows[9]]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    assert corpus_pipeline.near_dedup_stage(spark, docs.limit(0), SF).count() == 0
