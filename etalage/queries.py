@@ -219,7 +219,7 @@ def q_agg_distinct(spark, root):
 def q_lakehouse_build(spark, root):
     """The whole build from raw feeds, chained through written layers; the fact."""
     base = f"{checkpoint_dir(spark)}/lakehouse-{uuid.uuid4().hex}"
-    gold = Lakehouse(spark, base, "parquet").build_all(B.lake_tables(spark, root), B.RAW_TIEBREAK, SCD_AS_OF[0])
+    gold = Lakehouse(spark, base, "parquet").build_all(B.raw_tables(spark, root), B.RAW_TIEBREAK, SCD_AS_OF[0])
     return gold["fact_sales"].drop("year")
 
 

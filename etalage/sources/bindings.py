@@ -14,7 +14,7 @@ below map those tables onto the feed schema. Each has a twin in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from etalage.operators.dedup import dedup_first
@@ -137,7 +137,7 @@ FIX_2150_MOD, FIX_1975_MOD = 31, 37
 JUNK_FLACON_MOD, JUNK_KILO_MOD = 41, 43
 COMMA_UNIT_PRICE_MOD = 5              # unit price with a decimal comma
 BAD_DATE_MOD, NULL_DATE_MOD = 47, 53  # date text that is no date; no date
-LAKE_DAYS = 30                        # the whole build's feeds are a month of scraping
+SCRAPE_START = "2020-01-01"           # the first day of every feed
 NORM_ZERO_MOD = 9        # norm quantity '0' = unknown
 CARREFOUR_UNITS = ["KG", "kg", "Kg", "ml", "L", "U"]  # by p_size % 6
 BIOCOOP_UNITS = ["kg", "L", "unite"]                  # by p_size % 3
@@ -150,14 +150,23 @@ def _fmt2(col) -> Column:
 
 
 def raw_lines(spark: SparkSession, root: str) -> DataFrame:
-    """lineitem + part with the shared text columns of all four feeds."""
+    """lineitem + part with the shared text columns of all four feeds.
+
+    A picture has two names (those of two parts, by line status). Its observations, in order
+    of their ship date, are made on consecutive days, as a daily scrape would: each has a day
+    of its own, whatever the table's size, so the daily rule drops none of a valid picture.
+    """
     li = read_source(
         spark, root, "lineitem",
         ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-         "l_extendedprice", "l_returnflag", "l_shipdate"],
+         "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"],
     )
-    part = read_source(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
-    j = li.join(part, li.l_partkey == part.p_partkey, "left")
+    part = read_source(spark, root, "part", ["p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"])
+    names = read_source(spark, root, "part", ["p_partkey", "p_name"]).withColumnRenamed("p_partkey", "n_partkey")
+    seen = Window.partitionBy("l_suppkey", "l_returnflag").orderBy("l_shipdate", "l_orderkey", "l_linenumber")
+    day = F.date_add(F.lit(SCRAPE_START).cast("date"), F.row_number().over(seen) - 1).cast("timestamp_ntz")
+    j = li.withColumn("_day", day).join(part, li.l_partkey == part.p_partkey, "left").join(
+        names, 2 * F.col("l_suppkey") - F.when(F.col("l_linestatus") == "O", 1).otherwise(0) == F.col("n_partkey"), "left")
     k = F.col("l_orderkey")
     url = (
         F.when(k % URL_NULL_MOD == 0, F.lit(None).cast("string"))
@@ -166,7 +175,7 @@ def raw_lines(spark: SparkSession, root: str) -> DataFrame:
         .otherwise(F.concat(F.lit("img/"), F.col("l_suppkey"), F.lit("-"), F.col("l_returnflag")))
     )
     return j.select(
-        F.col("l_shipdate").alias("date"),
+        F.col("_day").alias("date"),
         F.col("p_name").alias("name"),
         url.alias("image_url"),
         F.concat(F.lit("store"), F.col("l_suppkey") % STORES).alias("store"),
@@ -288,21 +297,3 @@ def raw_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "labellevie": raw_labellevie(spark, root), "cat": raw_category(spark, root), "section": raw_section(spark, root),
         "norm": raw_norm(spark, root), "store_img": store_img(spark, root),
     }
-
-
-def lake_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The raw tables with every day moved into one month of scraping.
-
-    The generated rows spread three observations of a series over seven years; real
-    feeds come daily. Every row is landed, but the bronze rule (one row per picture and
-    day) then keeps about 18 % of what it keeps on the feeds' own days, and no series is
-    longer than the month. ``raw_tables`` has the feeds with their own days.
-    """
-    out = raw_tables(spark, root)
-    for feed in FEEDS:
-        day = F.col("date").try_cast("date")
-        moved = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.datediff(day, F.lit("1992-01-01").cast("date")), F.lit(LAKE_DAYS)).cast("int"))
-        text = dict(out[feed].dtypes)["date"] == "string"
-        out[feed] = out[feed].withColumn(
-            "date", F.coalesce(moved.cast("string"), F.col("date")) if text else moved)
-    return out
