@@ -4,24 +4,19 @@
 row into one task (``Exchange SinglePartition``). That does not survive a large
 table. The distributed form here gives the same numbers:
 
-1. ``repartitionByRange`` on the full sort key: Spark samples the key, fixes
-   range bounds and binary-searches every row into its range. The bounds come
-   from the whole key tuple, so one leading value holding a third of the table
-   is still split over many ranges;
-2. ``sortWithinPartitions`` on the key; each row's place in its range is its
-   ``monotonically_increasing_id`` without the partition number;
-3. the ranged rows are written as parquet to the shared folder, so the counting
-   pass reads one column, the numbering pass only the columns that are used
-   later, and both see the same ranges even if a task is retried;
-4. rows per range (one number per range) are summed up and joined back as a
-   table of ``(range, offset)``; its size is the number of ranges.
-
-Callers select the columns they need before they number; what is written is
-the order key and the row's payload, nothing else.
+1. a sample of the full key gives range bounds, which are literals from then on
+   (``operators.ranges``): the range of a row is a pure function of its key;
+2. a counting pass over the key columns sums up the rows per range (one number per
+   range, partial per task; no row is moved or written);
+3. the rows are shuffled once, by range; a row's number is the offset of its range
+   plus its place in it.
+
+A table of up to ``ROWS_PER_RANGE`` rows is one range: a plain sort in one task of
+bounded size. ``running_total`` is the same with a weight per row: what all rows
+before it weigh.
 
 For a leading integer spread evenly over a known range (hash surrogates),
-``uniform_leading=(lo, hi)`` needs no sample and writes nothing: the range is
-arithmetic, one shuffle on it plus ``row_number`` within it give the numbers.
+``uniform_leading=(lo, hi)`` needs no sample: the range is arithmetic.
 """
 
 from __future__ import annotations
@@ -33,16 +28,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from etalage.sources.io import stored
+from etalage.operators.ranges import MOST_RANGES, range_of, sampled_bounds
+
+#: rows that one task sorts without ado
+ROWS_PER_RANGE = 200_000
+
 
-# Spark's range partitioner looks at a million keys at most, whatever the number
-# of ranges; up to this many ranges it sees a hundred keys or more for each.
-MOST_RANGES = 10_000
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _ranges(df: DataFrame, ranges: int | None) -> int:
+def _ranges(df: DataFrame, ranges: int | None, rows: int | None = None) -> int:
     if ranges is None:
-        return min(MOST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+        most = min(MOST_RANGES, shuffle_partitions(df))
+        return most if rows is None else max(1, min(most, -(-rows // ROWS_PER_RANGE)))
     if ranges < 1:
         raise ValueError(f"ranges must be 1 or more, not {ranges}")
     return ranges
@@ -56,12 +55,43 @@ def uniform_range(col: str, lo: int, hi: int, ranges: int) -> Column:
     return F.when(F.col(col).isNull(), F.lit(0)).otherwise(b).cast("int")
 
 
-def ranged_rows(df: DataFrame, order_by: Sequence[str], ranges: int) -> DataFrame:
-    """The rows dealt to sorted key ranges, with ``_range`` and ``_place`` in it."""
+def ranged(df: DataFrame, order_by: Sequence[str], ranges: int | None = None) -> tuple[DataFrame, int]:
+    """The rows with their ``_range``, and how many ranges there are at most."""
+    _ranges(df, ranges)
+    rows = df.count() if ranges != 1 else 0
+    bounds = sampled_bounds(df, order_by, _ranges(df, ranges, rows), rows)
+    return df.withColumn("_range", range_of(df, order_by, bounds)), len(bounds) + 1
+
+
+def running_total(
+    df: DataFrame,
+    order_by: Sequence[str],
+    out: str,
+    weight: str | None = None,
+    ranges: int | None = None,
+    uniform_leading: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Add ``out``: the weight of all rows before a row (their number, without ``weight``), as bigint.
+
+    The frame is read more than once, so it must give the same rows each time. Rows with equal
+    keys are in one range and are numbered in an arbitrary order, as in SQL.
+    """
     order = [F.col(c).asc_nulls_first() for c in order_by]
-    return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select(
-        *df.columns, F.spark_partition_id().alias("_range"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
+    if uniform_leading is not None:
+        n = _ranges(df, ranges)
+        tagged = df.withColumn("_range", uniform_range(order_by[0], *uniform_leading, n))
+    else:
+        tagged, n = ranged(df, order_by, ranges)
+    within = Window.partitionBy("_range").orderBy(*order)
+    if weight:
+        place = F.coalesce(F.sum(weight).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    else:
+        place = F.row_number().over(within) - 1
+    placed = tagged.select(*df.columns, "_range", place.cast("long").alias("_place"))
+    if n == 1:
+        return placed.select(F.col("_place").alias(out), *df.columns)
+    return placed.join(F.broadcast(range_offsets(tagged, weight)), "_range").select(
+        (F.col("_offset") + F.col("_place")).alias(out), *df.columns)
 
 
 def global_rank(
@@ -77,28 +107,16 @@ def global_rank(
     models use). The result is placed first among the columns. The order
     should be total; ties are numbered in an arbitrary order, as in SQL.
 
-    ``ranges`` is how many key ranges are sorted apart; it does not follow the
-    shuffle partitions beyond ``MOST_RANGES``, since a range needs keys in the
-    partitioner's sample to be of even size.
+    ``ranges`` is how many key ranges are sorted apart; by default that follows the
+    number of rows, up to the shuffle partitions and ``MOST_RANGES``.
     """
-    m = _ranges(df, ranges)
-    cols = df.columns
-    order = [F.col(c).asc_nulls_first() for c in order_by]
-    if uniform_leading is not None:
-        tagged = df.withColumn("_range", uniform_range(order_by[0], *uniform_leading, m))
-        place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
-        placed = tagged.select(*cols, "_range", place.alias("_place"))
-        counted = tagged
-    else:
-        placed = counted = stored(ranged_rows(df, order_by, m), "rank")
-    offsets = range_offsets(counted)
-    return placed.join(F.broadcast(offsets), "_range").select(
-        (F.col("_offset") + F.col("_place") + 1).cast("long").alias(out), *cols)
+    counted = running_total(df, order_by, out, None, ranges, uniform_leading)
+    return counted.select((F.col(out) + 1).alias(out), *df.columns)
 
 
-def range_offsets(df: DataFrame) -> DataFrame:
-    """``(_range, _offset)``: the rows in all lower ranges, one row per range."""
-    counts = df.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).toArrow()
+def range_offsets(df: DataFrame, weight: str | None = None) -> DataFrame:
+    """``(_range, _offset)``: the weight (or number) of the rows in all lower ranges, one row per range."""
+    counts = df.groupBy("_range").agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("n")).toArrow()
     at = counts.column("_range").to_numpy()
     n = counts.column("n").to_numpy()
     order = np.argsort(at)

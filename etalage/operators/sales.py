@@ -35,7 +35,7 @@ def mean_depletion_agg(
 
 def with_mean_depletion(
     df: DataFrame, series_key: Sequence[str] = ("image_url",), date: str = "date", stock: str = "stock",
-    tie_break: Sequence[str] = ("name",),
+    tie_break: Sequence[str] = ("name",), chunks: int | None = None,
 ) -> DataFrame:
     """Stock difference and the series' mean depletion on every row.
 
@@ -43,7 +43,7 @@ def with_mean_depletion(
     of the rows and without a task that holds a whole series (see ``lag_diff``).
     """
     return lag_diff(df, series_key, date, stock, tie_break, prev="_prev_stock", diff="raw_stock_diff",
-                    mean="mean_negative_stock_diff").drop("_prev_stock")
+                    mean="mean_negative_stock_diff", chunks=chunks).drop("_prev_stock")
 
 
 def estimate_sales(
@@ -58,6 +58,7 @@ def estimate_sales(
     price_per_quantity: str = "price_per_quantity",
     unit: str = "unit",
     keep: Sequence[str] = (),
+    chunks: int | None = None,
 ) -> DataFrame:
     """L2: one row per input row with its estimated ``sales``.
 
@@ -65,12 +66,12 @@ def estimate_sales(
     ``tie_break`` (the picture, by default, although a product is picture +
     name; the tie-break makes rows of one day deterministic). Output:
     ``keep..., product_id, date, price, stock, quantity, price_per_quantity,
-    unit, sales``. There is one form for every series, whatever its size.
+    unit, sales``. ``chunks`` is how many pieces the rows are cut into (see ``lag_diff``).
     """
     names = {product: "product_id", date: "date", price: "price", stock: "stock", quantity: "quantity",
              price_per_quantity: "price_per_quantity", unit: "unit"}
     needed = dict.fromkeys([*keep, *names, *series_key, *tie_break])
-    stepped = with_mean_depletion(df.select(*needed), series_key, date, stock, tie_break)
+    stepped = with_mean_depletion(df.select(*needed), series_key, date, stock, tie_break, chunks)
     return stepped.select(
         *keep, *[F.col(c).alias(as_) for c, as_ in names.items()],
         sales_from_delta("raw_stock_diff", "mean_negative_stock_diff").alias("sales"),

@@ -15,7 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etalage.functions.keys import hash_key
-from etalage.operators.rank import global_rank
+from etalage.operators.rank import running_total, shuffle_partitions
+from etalage.operators.ranges import MOST_RANGES, range_of, sampled_bounds
+
+#: rows of a series that one task takes without ado
+ROWS_PER_CHUNK = 4_000_000
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -102,6 +106,17 @@ def forward_fill(
     return df.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 
+def _chunked(df: DataFrame, order_by: Sequence[str], chunks: int | None) -> Column | None:
+    """The chunk of each row in the order of series, day and tie-break; None if one chunk holds all."""
+    if chunks is None:
+        rows = df.count()
+        chunks = min(MOST_RANGES, 4 * shuffle_partitions(df), -(-rows // ROWS_PER_CHUNK))
+    else:
+        rows = df.count()
+    bounds = sampled_bounds(df, order_by, chunks, rows)
+    return range_of(df, order_by, bounds) if bounds else None
+
+
 def lag_diff(
     df: DataFrame,
     series_key: Sequence[str],
@@ -111,50 +126,66 @@ def lag_diff(
     prev: str = "prev",
     diff: str = "diff",
     mean: str | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Previous value in the series and the difference to it.
 
     ``mean`` also attaches the series' mean depletion (D6): the mean of
     ``abs(diff)`` over its non-positive differences, NULL if it has none.
 
-    A series may hold a great many rows (one placeholder picture shared by a
-    third of all products), so rows are never grouped by the series alone. They
-    are shuffled once on series + day; the step from one day to the next goes
-    through a table of one row per series-day, bounded by the calendar, which is
-    joined back on the same partitioning. The key is a struct, so NULL keys and
-    NULL dates are values like any other (a NULL date comes first).
+    A series may hold a great many rows (one placeholder picture shared by a third of
+    all products, on one day even), so this is a blocked prefix scan. The rows, in the
+    order of series, day and tie-break, are cut into chunks at sampled keys and shuffled
+    once, by (chunk, series). A window in each gives its rows' steps and one summary
+    row; the summaries of a series, one per chunk, are scanned for what comes before
+    each chunk and for the series' mean, and joined back on the same partitioning. Both
+    readers of the shuffled rows see the same columns, so Spark shuffles them once
+    (``ReusedExchange``); callers select what they need first. Up to ``ROWS_PER_CHUNK``
+    rows are one chunk, and the windows alone do it.
+
+    The key is a struct, so NULL keys and NULL dates are values like any other (a
+    NULL date comes first).
     """
     v = F.col(value)
-    rows = df.withColumn("_day", F.struct(F.struct(*[F.col(k) for k in series_key]).alias("s"), F.col(date).alias("d")))
-    order = list(tie_break) or [F.lit(0)]
-    in_day = Window.partitionBy("_day").orderBy(*order)
-    whole = in_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.select(
+    series = F.struct(*[F.col(k) for k in series_key])
+    order = [F.col(date).asc_nulls_first(), *tie_break]
+    chunk = _chunked(df, [*series_key, date, *tie_break], chunks)
+    if chunk is None:
+        rows = df.withColumn("_key", series)
+        in_series, all_of_it = Window.partitionBy("_key").orderBy(*order), Window.partitionBy("_key")
+        rows = rows.withColumn("_prev", F.lag(value, 1).over(in_series)).withColumn("_step", v - F.col("_prev"))
+        down = F.avg(F.when(F.col("_step") <= 0, F.abs("_step"))).over(all_of_it)
+        return rows.select(*[F.col(c) for c in df.columns], F.col("_prev").alias(prev), F.col("_step").alias(diff),
+                           *([down.alias(mean)] if mean else []))
+    in_key = Window.partitionBy("_key").orderBy(*order)
+    whole = in_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = df.withColumn("_key", F.struct(chunk.alias("c"), series.alias("s"))).select(
         "*",
-        F.row_number().over(in_day).alias("_rn"),
-        F.lag(value, 1).over(in_day).alias("_prev"),
-        F.first(value).over(whole).alias("_day_first"),
-        F.last(value).over(whole).alias("_day_last"),
+        F.row_number().over(in_key).alias("_rn"),
+        F.lag(value, 1).over(in_key).alias("_prev"),
+        F.first(value).over(whole).alias("_first"),
+        F.last(value).over(whole).alias("_last"),
     )
     step = v - F.col("_prev")
     down = (F.col("_rn") > 1) & (step <= 0)
-    per_day = rows.groupBy("_day").agg(
-        F.max("_day_first").alias("_day_first"),
-        F.max("_day_last").alias("_day_last"),
+    # always true; it makes the summaries read the columns that the rows need, so that both share one shuffle
+    alike = F.when(F.col("_rn") == 1, F.xxhash64(*df.columns) >= -(1 << 63)).otherwise(F.lit(True))
+    summary = rows.filter(alike).groupBy("_key").agg(
+        F.max("_first").alias("_first"),
+        F.max("_last").alias("_last"),
         F.sum(F.when(down, F.abs(step))).alias("_s"),
         F.count(F.when(down, F.lit(1))).alias("_c"),
-    )
-    days = per_day.withColumn(
-        "_prev_day", F.lag("_day_last", 1).over(Window.partitionBy("_day.s").orderBy("_day.d")))
+    ).withColumn("_of", F.col("_key.s"))
+    carried = summary.withColumn("_before", F.lag("_last", 1).over(Window.partitionBy("_of").orderBy("_key.c")))
     if mean:
-        first_step = F.col("_day_first") - F.col("_prev_day")
+        first_step = F.col("_first") - F.col("_before")
         total = F.coalesce(F.col("_s"), F.lit(0.0)) + F.when(first_step <= 0, F.abs(first_step)).otherwise(0.0)
         count = F.col("_c") + F.when(first_step <= 0, 1).otherwise(0)
-        series = Window.partitionBy("_day.s")
-        days = days.withColumn("_mean", F.try_divide(F.sum(total).over(series), F.sum(count).over(series)))
-    days = days.select("_day", "_prev_day", *(["_mean"] if mean else []))
-    before = F.when(F.col("_rn") == 1, F.col("_prev_day")).otherwise(F.col("_prev"))
-    return rows.join(days, "_day").select(
+        same = Window.partitionBy("_of")
+        carried = carried.withColumn("_mean", F.try_divide(F.sum(total).over(same), F.sum(count).over(same)))
+    carried = carried.select("_key", "_before", *(["_mean"] if mean else []))
+    before = F.when(F.col("_rn") == 1, F.col("_before")).otherwise(F.col("_prev"))
+    return rows.join(carried, "_key").select(
         *[F.col(c) for c in df.columns], before.alias(prev), (v - before).alias(diff),
         *([F.col("_mean").alias(mean)] if mean else []))
 
@@ -180,7 +211,9 @@ def fill_series(
     * each observation then emits the days it covers,
       ``sequence(day, next_day - 1)``, cut at ``first_day + max_days`` if given.
 
-    No join, no aggregate, no spine materialised before the fill. Input must
+    No join, no aggregate, no spine materialised before the fill. With ``id_col`` the
+    observations, not the days, are numbered, each weighing the days that it covers.
+    Input must
     hold at most one row per ``keys + [date]`` (the bronze daily dedup
     guarantees it); a duplicate day emits one row per duplicate, as the join
     form does. ``hash_col`` is the md5 surrogate of ``hash_of`` (default: the
@@ -202,11 +235,16 @@ def fill_series(
         filled = filled.filter(F.col(date) <= cap)
         end = F.least(end, cap)
     end = F.greatest(end, F.col(date))
-    out = filled.select(
-        *keys, F.explode(F.sequence(F.col(date), end)).alias(date), *cols
-    )
-    if hash_col:
-        out = out.select(hash_key(*(hash_of or keys)).alias(hash_col), *out.columns)
+    filled = filled.select(*keys, date, *cols, end.alias("_end"))
     if id_col:
-        out = global_rank(out, [*keys, date], out=id_col)
+        filled = filled.withColumn("_days", F.datediff("_end", date) + 1)
+        filled = running_total(filled, [*keys, date], "_before", "_days")
+        days = F.posexplode(F.sequence(F.col(date), F.col("_end"))).alias("_at", "_day")
+        out = filled.select("_before", *keys, days, *cols).select(
+            (F.col("_before") + F.col("_at") + 1).alias(id_col), *keys, F.col("_day").alias(date), *cols)
+    else:
+        out = filled.select(*keys, F.explode(F.sequence(F.col(date), F.col("_end"))).alias(date), *cols)
+    if hash_col:
+        own = hash_key(*(hash_of or keys)).alias(hash_col)
+        out = out.select(id_col, own, *out.columns[1:]) if id_col else out.select(own, *out.columns)
     return out

@@ -15,18 +15,19 @@ from pyspark.sql import functions as F
 from etalage.operators.dedup import dedup_first
 from etalage.operators.filters import not_blank
 from etalage.operators.rank import global_rank
+from etalage.sources.io import stored
 
 
 def dim_category(silver: DataFrame) -> DataFrame:
     """K1: one row per (section, category), numbered by section then category."""
     pairs = silver.select("category", "section").filter(not_blank("category", "section")).distinct()
-    return global_rank(pairs, ["section", "category"], out="id_category").select("id_category", "section", "category")
+    return global_rank(stored(pairs, "pairs"), ["section", "category"], out="id_category").select("id_category", "section", "category")
 
 
 def dim_date(silver: DataFrame) -> DataFrame:
     """K2: calendar of all days present, with day / month / year parts."""
     days = silver.select(F.col("date").cast("date").alias("date")).filter(F.col("date").isNotNull()).distinct()
-    return global_rank(days, ["date"], out="date_id").select(
+    return global_rank(stored(days, "days"), ["date"], out="date_id").select(
         "date_id",
         F.dayofmonth("date").cast("long").alias("day"),
         F.month("date").cast("long").alias("month"),
@@ -38,7 +39,7 @@ def dim_date(silver: DataFrame) -> DataFrame:
 def dim_picture(silver: DataFrame) -> DataFrame:
     """K3: one row per non-blank picture URL."""
     pics = silver.select(F.col("image_url").alias("picture")).filter(not_blank("picture")).distinct()
-    return global_rank(pics, ["picture"], out="id_picture").select("id_picture", "picture")
+    return global_rank(stored(pics, "pictures"), ["picture"], out="id_picture").select("id_picture", "picture")
 
 
 def dim_store(silver: DataFrame, store_img: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def dim_store(silver: DataFrame, store_img: DataFrame) -> DataFrame:
     stores = silver.select("store").filter(not_blank("store")).distinct()
     imgs = dedup_first(store_img.select("store", "image_str"), ["store"], [F.col("image_str").asc_nulls_last()])
     joined = stores.join(imgs, on="store", how="left")
-    return global_rank(joined, ["store"], out="id_store").select("id_store", "store", "image_str")
+    return global_rank(stored(joined, "stores"), ["store"], out="id_store").select("id_store", "store", "image_str")
 
 
 def dim_product(

@@ -59,6 +59,15 @@ def _silver(spark, root):
     return B.obs_silver(spark, root)
 
 
+def _sold_silver(spark, root):
+    """Silver as the sales models read it: a written table."""
+    return stored(_silver(spark, root), "silver")
+
+
+def _stocks(spark, root):
+    return _sold_silver(spark, root).select("image_url", "name", "date", "stock")
+
+
 def _feeds_silver(spark, root):
     """Silver of the four feeds, written once for the models that read it."""
     return stored(B.feeds_silver(spark, root), "silver")
@@ -126,7 +135,7 @@ def q_fill_series_events(spark, root):
 
 @query
 def q_window_lag_diff(spark, root):
-    return lag_diff(_silver(spark, root), ["image_url"], "date", "stock", tie_break=["name"]).select(
+    return lag_diff(_stocks(spark, root), ["image_url"], "date", "stock", tie_break=["name"]).select(
         "image_url", "name", "date", "stock", "prev", "diff"
     )
 
@@ -135,7 +144,7 @@ def q_window_lag_diff(spark, root):
 
 def _diffs(spark, root):
     return lag_diff(
-        _silver(spark, root), ["image_url"], "date", "stock", tie_break=["name"],
+        _stocks(spark, root), ["image_url"], "date", "stock", tie_break=["name"],
         prev="prev_stock", diff="raw_stock_diff",
     )
 
@@ -147,19 +156,19 @@ def q_agg_mean_depletion(spark, root):
 
 @query
 def q_join_group_mean(spark, root):
-    return with_mean_depletion(_silver(spark, root)).select(
+    return with_mean_depletion(_stocks(spark, root)).select(
         "image_url", "name", "date", "raw_stock_diff", "mean_negative_stock_diff")
 
 
 @query
 def q_sales_from_delta(spark, root):
-    return with_mean_depletion(_silver(spark, root)).select(
+    return with_mean_depletion(_stocks(spark, root)).select(
         "image_url", "name", "date", sales_from_delta("raw_stock_diff", "mean_negative_stock_diff").alias("sales"))
 
 
 @query
 def q_estimate_sales(spark, root):
-    return estimate_sales(_silver(spark, root), keep=["image_url", "name"])
+    return estimate_sales(_sold_silver(spark, root), keep=["image_url", "name"])
 
 
 # -- keys ---------------------------------------------------------------------
@@ -655,6 +664,6 @@ def q_stream_landing(spark, root):
 
 @query
 def q_estimate_sales_hot_split(spark, root):
-    """L2 along the store: four series hold all rows, so every series is hot."""
-    return estimate_sales(_silver(spark, root), series_key=["store"], tie_break=("image_url", "name"),
-                          keep=["store", "image_url", "name"])
+    """L2 along the store: four series hold all rows, so every series is hot and is cut into many chunks."""
+    return estimate_sales(_sold_silver(spark, root), series_key=["store"], tie_break=("image_url", "name"),
+                          keep=["store", "image_url", "name"], chunks=32)

@@ -4,7 +4,7 @@ import time
 
 import numpy as np
 
-from etalage.operators.rank import offsets_frame, ranged_rows, uniform_range
+from etalage.operators.rank import global_rank, offsets_frame, uniform_range
 from etalage.operators.sales import with_mean_depletion
 from etalage.operators.series import fill_series
 from etalage.plans import dims, facts
@@ -37,10 +37,11 @@ def test_date_spine_is_a_generator(spark):
 
 
 def test_numbering_moves_no_rows_to_one_partition(spark):
-    """Looked at before anything is stored: the ranged rows, and the fact's arithmetic ranges."""
+    """Sampled ranges and the fact's arithmetic ranges: the rows are shuffled once, by range, and never written."""
     o = B.obs(spark, SF_SMALL).select("image_url", "date", "l_orderkey", "l_linenumber", "price")
-    p = plan(ranged_rows(o, ["image_url", "date", "l_orderkey", "l_linenumber"], 8))
-    assert "rangepartitioning" in p and "SinglePartition" not in p
+    p = plan(global_rank(o, ["image_url", "date", "l_orderkey", "l_linenumber"], ranges=8))
+    assert keyed_by(p).count("_range") == 1 and "SinglePartition" not in p and "Scan parquet" in p
+    assert "etalage-ckpt" not in p and "from_json" not in p  # the source's own files; bounds are a literal
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
@@ -60,16 +61,30 @@ def test_fact_shuffles_the_rows_by_day_and_by_product_only(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     keys = keyed_by(p.split("== Initial Plan ==")[-1])
     # series + day; days of a series; product (rows, dimension); the branch of rows without a product repeats them by day
-    keys = {k for k in keys if not k.startswith("_w")}  # _w: the series of a day, in the table of days
-    assert keys <= {"_day", "product_id", "date_id"}, keys
+    assert set(keys) <= {"_key", "product_id", "date_id"}, keys
     assert "SinglePartition" not in p and "NestedLoop" not in p
 
 
-def test_lag_never_groups_rows_by_the_series_alone(spark):
+def executed(df):
+    """The plan as it ran, after adaptive planning."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    return execution.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_chunked_lag_shuffles_the_rows_once(spark):
     silver = stored(B.obs_silver(spark, SF_SMALL), "plan")
-    p = plan(with_mean_depletion(silver.select("image_url", "name", "date", "stock")))
-    # rows move by series and day; only the table of days (a row per series-day) moves by series
-    assert "hashpartitioning(_day" in p and "hashpartitioning(image_url" not in p
+    p = executed(with_mean_depletion(silver.select("image_url", "name", "date", "stock"), chunks=16))
+    # rows move by chunk and series, once; the summaries (a row per chunk and series) by series, and back
+    assert "ReusedExchange" in p and p.count("Scan parquet") == 1
+    assert "hashpartitioning(image_url" not in p and "hashpartitioning(_of" in p
+    small = executed(with_mean_depletion(silver.select("image_url", "name", "date", "stock")))
+    assert len(keyed_by(small)) == 1 and "Join" not in small
+
+
+def test_fill_numbers_observations_not_days(spark):
+    p = plan(B.obs_silver(spark, SF_SMALL, with_id=True))
+    assert p.index("Generate posexplode") < p.index("sum(_days")  # above the numbering: the days come last
 
 
 def test_dim_product_multiplies_no_row(spark):

@@ -32,7 +32,8 @@ def test_restock_without_depletion(spark):
     assert [r.sales for r in estimate_sales(df).orderBy("date").collect()] == [0.0, None]
 
 
-def test_per_day_form_equals_window_form(spark):
+@pytest.mark.parametrize("chunks", [None, 1, 2, 7, 60])
+def test_chunked_form_equals_window_form(spark, chunks):
     rnd = random.Random(11)
     rows = []
     for i in range(2500):
@@ -41,12 +42,28 @@ def test_per_day_form_equals_window_form(spark):
                      None if rnd.random() < 0.1 else float(rnd.randint(0, 20))))
     df = frame(spark, rows).dropDuplicates(["image_url", "name", "date"])
     df = df.withColumn("image_url", F.when(F.col("image_url") != "p7", F.col("image_url")))
-    _compare(df, estimate_sales(df, keep=["image_url", "name"]))
+    _compare(df, estimate_sales(df, keep=["image_url", "name"], chunks=chunks))
+
+
+def test_one_hot_day_is_cut(spark):
+    """A picture whose third of all rows lies on one day goes to many chunks; the carry crosses them."""
+    rows = [("hot", f"n{i:05d}", 3, float(i * 37 % 11)) for i in range(1500)] + [("hot", "z", d, float(d)) for d in (1, 2, 4, 5)]
+    rows += [(f"p{i % 500}", "n", i // 500, float(i * 13 % 7)) for i in range(3000)]
+    df = frame(spark, rows)
+    _compare(df, estimate_sales(df, keep=["image_url", "name"], chunks=40))
+    from etalage.operators.ranges import range_of, sampled_bounds
+
+    keys = ["image_url", "date", "name"]
+    bounds = sampled_bounds(df, keys, 40, df.count())
+    hot = df.filter("image_url = 'hot' and date = '2024-01-04'").groupBy(range_of(df, keys, bounds).alias("chunk")).count().collect()
+    assert len(hot) > 8 and max(r["count"] for r in hot) < 500
 
 
 def test_null_series_key_is_a_series(spark):
     df = frame(spark, [(None, "n", i, s) for i, s in enumerate([10, 7, 7, 12, 11])])
-    assert [r.sales for r in estimate_sales(df).orderBy("date").collect()] == [0.0, 3.0, 0.0, pytest.approx(4 / 3), 1.0]
+    for chunks in (None, 3):
+        got = [r.sales for r in estimate_sales(df, chunks=chunks).orderBy("date").collect()]
+        assert got == [0.0, 3.0, 0.0, pytest.approx(4 / 3), 1.0]
 
 
 def _compare(df, ours):
