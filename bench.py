@@ -1,6 +1,7 @@
 """Benchmark: headline models at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Prints ONE JSON line:
+Prints a JSON line after every step, each with all results so far, so that a run that is
+stopped still leaves its numbers; the last line is the result:
   {"metric": "lakehouse_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 ``value`` is the wall time of the one chained build: raw feeds landed, bronze,
@@ -39,11 +40,21 @@ def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(results: dict, name: str, fn):
-    t0 = time.time()
-    out = fn()
-    results[name] = round(time.time() - t0, 3)
-    return out
+class Results:
+    """Step times, printed as they grow."""
+
+    def __init__(self, sf_dir: str, cpus: int):
+        m = re.search(r"sf([0-9.]+)", sf_dir)
+        self.queries: dict[str, float] = {}
+        self.line = {"metric": "lakehouse_sec", "value": None, "unit": "sec", "queries": self.queries,
+                     "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}
+
+    def timed(self, name: str, fn):
+        t0 = time.time()
+        out = fn()
+        self.queries[name] = round(time.time() - t0, 3)
+        print(json.dumps(self.line), flush=True)
+        return out
 
 
 def land(lake: Lakehouse, root: str) -> None:
@@ -96,7 +107,7 @@ def main() -> None:
         conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
     out_root = tempfile.mkdtemp(prefix="etalage-bench-", dir=os.environ.get("TMPDIR", "/tmp"))
-    q: dict[str, float] = {}
+    q = Results(sf_dir, cpus)
 
     # untimed JVM warm-up on the smallest tables (JIT, codegen caches)
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
@@ -107,38 +118,30 @@ def main() -> None:
     # -- the chained build (the headline) ----------------------------------
     lake = Lakehouse(spark, out_root, "parquet")
     t0 = time.time()
-    timed(q, "land_raw_feeds", lambda: land(lake, sf_dir))
-    timed(q, "bronze_build", lambda: lake.build_bronze(B.RAW_TIEBREAK))
-    timed(q, "silver_build", lake.build_silver)
-    timed(q, "gold_build", lake.build_gold)
-    timed(q, "product_snapshot", lambda: lake.snapshot_products("2024-01-01 00:00:00"))
-    lakehouse = round(time.time() - t0, 3)
+    q.timed("land_raw_feeds", lambda: land(lake, sf_dir))
+    q.timed("bronze_build", lambda: lake.build_bronze(B.RAW_TIEBREAK))
+    q.timed("silver_build", lake.build_silver)
+    q.timed("gold_build", lake.build_gold)
+    q.timed("product_snapshot", lambda: lake.snapshot_products("2024-01-01 00:00:00"))
+    q.line["value"] = round(time.time() - t0, 3)
 
     # -- operators from the source tables, and their naive forms ------------
     for name in ("fill_series", "global_rank", "estimate_sales", "scd2_deleted", "dq_unique", "fill_series_events"):
-        timed(q, name, lambda name=name: run(REGISTRY[name](spark, sf_dir)))
+        q.timed(name, lambda name=name: run(REGISTRY[name](spark, sf_dir)))
     keys = ["image_url", "name"]
-    timed(q, "fill_series_naive", lambda: run(naive_rank(
+    q.timed("fill_series_naive", lambda: run(naive_rank(
         naive_fill(B.obs_daily(spark, sf_dir).drop(*B.RAW_TIEBREAK), keys, B.SILVER_COLS), [*keys, "date"])))
     rank_order = ["image_url", "date", "l_orderkey", "l_linenumber"]
-    timed(q, "global_rank_naive", lambda: run(naive_rank(B.obs(spark, sf_dir).select(*rank_order, "price"), rank_order)))
+    q.timed("global_rank_naive", lambda: run(naive_rank(B.obs(spark, sf_dir).select(*rank_order, "price"), rank_order)))
 
     silver = stored(B.feeds_silver(spark, sf_dir), "silver")
     days = stored(dims.dim_date(silver), "days")
     products = stored(dims.dim_product(silver, dims.dim_category(silver), dims.dim_picture(silver),
                                        dims.dim_store(silver, B.store_img(spark, sf_dir))), "products")
-    timed(q, "fact_sales_from_silver", lambda: run(facts.fact_sales(silver, products, days)))
-    timed(q, "fact_sales_from_silver_naive", lambda: run(naive_fact(silver, products, days.select("date", "date_id"))))
-
-    m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
-        "metric": "lakehouse_sec",
-        "value": lakehouse,
-        "unit": "sec",
-        "queries": q,
-        "sf": float(m.group(1)) if m else sf_dir,
-        "cpus": cpus,
-    }))
+    q.timed("fact_sales_from_silver", lambda: run(facts.fact_sales(silver, products, days)))
+    q.timed("fact_sales_from_silver_naive", lambda: run(naive_fact(silver, products, days.select("date", "date_id"))))
+
+    print(json.dumps(q.line), flush=True)
     spark.stop()
 
 

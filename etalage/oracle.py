@@ -602,6 +602,13 @@ ORACLE["dq_report_violations"] = f"WITH {_ORDERS_DQ}\n" + _report([
     ("orders.o_totalprice.at_least", "(SELECT count(*) FROM orders_dq WHERE o_totalprice < 50000)"),
 ])
 
+ORACLE["sort_zorder"] = f"WITH {SILVER} SELECT * FROM silver"
+ORACLE["source_declared"] = """
+SELECT o_orderkey, TRY_CAST(o_custkey AS TINYINT) AS o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_comment,
+  CASE WHEN TRY_CAST(o_custkey AS TINYINT) IS NULL THEN CAST(o_custkey AS VARCHAR) END AS rescued_custkey, o_orderpriority AS rescued_priority,
+  CAST((TRY_CAST(o_custkey AS TINYINT) IS NULL AND o_custkey IS NOT NULL)::INT + (o_orderpriority IS NOT NULL)::INT
+       + (o_orderstatus IS NOT NULL)::INT + (o_orderdate IS NOT NULL)::INT AS BIGINT) AS n_rescued
+FROM orders"""
 ORACLE["sort_total"] = f"WITH {SILVER} SELECT * FROM silver"
 ORACLE["layer_roundtrip"] = f"""WITH {OBS_DAILY}
 SELECT image_url, name, date, price, stock, l_orderkey, l_linenumber FROM obs_daily"""

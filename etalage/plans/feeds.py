@@ -55,23 +55,28 @@ class Feed(NamedTuple):
     rejects: DataFrame
 
 
+#: first and last day that a feed may have, or None
+Calendar = tuple[str, str] | None
+
 #: feed, id of the raw row, its picture, the column, its text
 REJECT_COLS = ["feed", "id", "image_url", "column", "text"]
 
 
 def _parsed(
     raw: DataFrame, feed: str, tie_break: Sequence[str], image: str, columns: dict[str, Column],
-    casts: dict[str, tuple[Column, Column]],
+    casts: dict[str, tuple[Column, Column]], calendar: Calendar = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Clean, then number the raw rows by date: ``id`` = rank over (date, tie_break).
 
     ``casts`` names, per raw column, the text that is cast and the value; a text
     that is there and not blank but gives NULL is rejected. Only the order key,
-    the cleaned columns and the (mostly empty) list of rejects are numbered and
-    stored, so one pass over the raw feed gives both results. A row whose date
-    cannot be read is on no day: it is among the rejects only.
+    the cleaned columns and the (mostly empty) list of rejects are numbered. A row whose date
+    cannot be read, or is not in the ``calendar`` (one misread year would make a series
+    of millions of days), is on no day: it is among the rejects only.
     """
     day = F.col("date").try_cast("date")
+    if calendar:
+        day = F.when(day.between(*[F.lit(d).cast("date") for d in calendar]), day)
     casts = {**casts, "date": (F.col("date").cast("string"), day)}
     bad = F.filter(
         F.array(*[
@@ -100,7 +105,8 @@ def _daily(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def bronze_feed_norm_left(
-    raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str], feed: str = "auchan"
+    raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str], feed: str = "auchan",
+    calendar: Calendar = None,
 ) -> Feed:
     """Price text with 'from' prices, numeric stock, pack size from the
     norm table, LEFT lookups (unmatched rows kept), invalid URLs dropped."""
@@ -108,14 +114,15 @@ def bronze_feed_norm_left(
     r, rejects = _parsed(
         raw, feed, tie_break, "image_url",
         {"name": F.col("name"), "stock": stock, "price": price, "marque": F.col("marque"), "store": F.col("store")},
-        {"quantity_stock": (F.col("quantity_stock"), stock), "price": (C.price_text("price"), price)})
+        {"quantity_stock": (F.col("quantity_stock"), stock), "price": (C.price_text("price"), price)}, calendar)
     j = _enrich(r, cat, sec, "left").join(first_norm(norm), on="name", how="left").filter(valid_key("image_url"))
     j = j.withColumn("price_per_quantity", C.price_per_quantity("price", "quantity"))
     return Feed(_daily(j, [*BRONZE_COLS[:-2], "marque", "store", "image_url"]), rejects)
 
 
 def bronze_feed_phrase_stock(
-    raw: DataFrame, cat: DataFrame, sec: DataFrame, tie_break: Sequence[str], feed: str = "biocoop"
+    raw: DataFrame, cat: DataFrame, sec: DataFrame, tie_break: Sequence[str], feed: str = "biocoop",
+    calendar: Calendar = None,
 ) -> Feed:
     """Stock phrases, patched prices, pack size derived from the unit
     price text, kilo -> gram scaling, INNER lookups, no URL filter."""
@@ -126,7 +133,7 @@ def bronze_feed_phrase_stock(
         {"name": F.col("name"), "stock": C.parse_stock("stock"), "price": price,
          "raw_unit": C.keep_letters("price_per_quantity", drop=(C.EURO, " ")),
          "raw_quantity": C.pack_size(price, unit_price, digits=3), "store": F.col("store")},
-        {"price": (C.replace_all("price", C.PRICE_FIXUPS), price), "price_per_quantity": (unit_text, unit_price)})
+        {"price": (C.replace_all("price", C.PRICE_FIXUPS), price), "price_per_quantity": (unit_text, unit_price)}, calendar)
     kilo = F.col("raw_unit") == "kg"
     size = F.when(kilo, F.col("raw_quantity") * 1000).otherwise(F.col("raw_quantity"))
     j = _enrich(r, cat, sec, "inner").select(
@@ -137,7 +144,7 @@ def bronze_feed_phrase_stock(
 
 def bronze_feed_unit_price(
     raw: DataFrame, cat: DataFrame, sec: DataFrame, tie_break: Sequence[str],
-    consistent_units: bool = False, feed: str = "carrefour",
+    consistent_units: bool = False, feed: str = "carrefour", calendar: Calendar = None,
 ) -> Feed:
     """Promotional price ratio, unit and unit price captured from text,
     pack size = price / unit price, unit scaling and renames, INNER lookups."""
@@ -150,7 +157,7 @@ def bronze_feed_unit_price(
          "raw_quantity": C.pack_size(price, unit_price), "store": F.col("store")},
         {"quantity_stock": (F.col("quantity_stock"), stock), "price": (C.price_text("price", False), price),
          "promotion": (promo, C.to_number(promo, C.PRICE_DECIMAL)),
-         "price_per_quantity": (C.unit_price_text("price_per_quantity"), unit_price)})
+         "price_per_quantity": (C.unit_price_text("price_per_quantity"), unit_price)}, calendar)
     j = _enrich(r, cat, sec, "inner").select(
         "*",
         C.scale_quantity("raw_quantity", "raw_unit").alias("quantity"),
@@ -163,7 +170,8 @@ def bronze_feed_unit_price(
 
 
 def bronze_feed_discount(
-    raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str], feed: str = "labellevie"
+    raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str], feed: str = "labellevie",
+    calendar: Calendar = None,
 ) -> Feed:
     """K0d: day-truncated timestamps, digits-only stock, percent discounts,
     pack size from the norm table, INNER lookups, invalid URLs dropped."""
@@ -174,7 +182,7 @@ def bronze_feed_discount(
         raw, feed, tie_break, "image_url",
         {"name": F.col("name"), "stock": stock, "price": C.discounted_price("price", "promotion"), "store": F.col("store")},
         {"quantity_stock": (stock_text, stock), "promotion": (C.discount_text("promotion"), C.discount_fraction("promotion")),
-         "price": (base, C.to_number(base, C.PRICE_DECIMAL))})
+         "price": (base, C.to_number(base, C.PRICE_DECIMAL))}, calendar)
     j = _enrich(r, cat, sec, "inner").join(first_norm(norm), on="name", how="inner").filter(valid_key("image_url"))
     j = j.withColumn("price_per_quantity", C.price_per_quantity("price", "quantity"))
     return Feed(_daily(j, BRONZE_COLS), rejects)

@@ -39,14 +39,14 @@ def silver_from_bronze(bronze: DataFrame, feed_col: str = "feed", max_days: int
     )
 
 
-def bronze_feeds(raw: dict[str, DataFrame], tie_break: Sequence[str]) -> dict[str, K.Feed]:
+def bronze_feeds(raw: dict[str, DataFrame], tie_break: Sequence[str], calendar: K.Calendar = None) -> dict[str, K.Feed]:
     """The four feed models over raw tables: the feeds, and ``cat``, ``section``, ``norm``."""
     cat, sec, norm = raw["cat"], raw["section"], raw["norm"]
     return {
-        "auchan": K.bronze_feed_norm_left(raw["auchan"], cat, sec, norm, tie_break),
-        "biocoop": K.bronze_feed_phrase_stock(raw["biocoop"], cat, sec, tie_break),
-        "carrefour": K.bronze_feed_unit_price(raw["carrefour"], cat, sec, tie_break),
-        "labellevie": K.bronze_feed_discount(raw["labellevie"], cat, sec, norm, tie_break),
+        "auchan": K.bronze_feed_norm_left(raw["auchan"], cat, sec, norm, tie_break, calendar=calendar),
+        "biocoop": K.bronze_feed_phrase_stock(raw["biocoop"], cat, sec, tie_break, calendar=calendar),
+        "carrefour": K.bronze_feed_unit_price(raw["carrefour"], cat, sec, tie_break, calendar=calendar),
+        "labellevie": K.bronze_feed_discount(raw["labellevie"], cat, sec, norm, tie_break, calendar=calendar),
     }
 
 
@@ -68,10 +68,10 @@ class Lakehouse:
         for name, df in raw.items():
             self._save("landing", name, df)
 
-    def build_bronze(self, tie_break: Sequence[str]) -> None:
-        """The four feeds and their rejected texts (``<feed>_rejects``)."""
+    def build_bronze(self, tie_break: Sequence[str], calendar: K.Calendar = None) -> None:
+        """The four feeds and their rejected texts (``<feed>_rejects``); days beyond the calendar are rejected too."""
         raw = {n: self.read("landing", n) for n in (*FEEDS, "cat", "section", "norm")}
-        for name, feed in bronze_feeds(raw, tie_break).items():
+        for name, feed in bronze_feeds(raw, tie_break, calendar).items():
             self._save("bronze", name, feed.clean)
             self._save("bronze", f"{name}_rejects", feed.rejects)
 

@@ -42,28 +42,106 @@ def test_scd2_new_and_missing_columns_and_null_key(spark):
     assert rows == {(None, 5, None, None, True), (None, 5, "y", None, False), ("a", 1, None, 7, True), ("a", 1, "x", None, False)}
 
 
-def test_stored_snapshot_writes_no_closed_history_again(spark, tmp_path):
+STAMPS = [f"2024-01-0{i + 1} 00:00:00" for i in range(6)]
+SHOWN = ["k", "v", "valid_from", "valid_to"]
+
+
+def files(folder):
+    return {str(f.relative_to(folder)): f.stat().st_mtime_ns for f in folder.rglob("part-*")}
+
+
+def shown(df):
+    return sorted(map(tuple, df.select(SHOWN).collect()), key=str)
+
+
+def replayed(spark, loads):
+    return shown(scd2_replay([(t, batch(spark, d)) for t, d in zip(STAMPS, loads)], "k"))
+
+
+def test_stored_snapshot_rewrites_touched_parts_only(spark, tmp_path):
+    from etalage.operators.snapshot import SnapshotTable
+
+    table = SnapshotTable(spark, str(tmp_path), "t", "k", parts=16)
+    many = {f"k{i}": i for i in range(200)}
+    loads = [many, {**many, "k7": -1}, {**many, "k7": -1}, {k: v for k, v in many.items() if k != "k9"}]
+    table.apply(batch(spark, loads[0]), STAMPS[0])
+    opened, closed = tmp_path / "snapshots" / "t_open", tmp_path / "snapshots" / "t_closed"
+    before = files(opened)
+    assert len({f.split("/")[0] for f in before}) == 16
+    table.apply(batch(spark, loads[1]), STAMPS[1])  # one key changed: one part is written anew
+    after = files(opened)
+    assert len({f.split("/")[0] for f, _ in set(before.items()) ^ set(after.items())}) == 1
+    history = files(closed)
+    assert {f.split("/")[0] for f in history} == {"_run=2"}
+    table.apply(batch(spark, loads[2]), STAMPS[2])  # nothing changed: nothing is written
+    assert files(opened) == after and files(closed) == history
+    table.apply(batch(spark, loads[3]), STAMPS[3])
+    assert history.items() <= files(closed).items()
+    assert table.runs() == 4 and shown(table.read()) == replayed(spark, loads)
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 2  # whatever the number of runs
+
+
+def test_stopped_snapshot_run_is_finished(spark, tmp_path, monkeypatch):
     from etalage.operators.snapshot import SnapshotTable
 
-    table = SnapshotTable(spark, str(tmp_path), "t", "k", "parquet")
-    loads = [{"a": 1, "b": 2}, {"a": 1, "b": 3}, {"a": 2, "b": 3}]
-    stamps = [f"2024-01-0{i + 1} 00:00:00" for i in range(3)]
-    closed = tmp_path / "snapshots" / "t_closed"
-    seen = {}
-    for t, d in zip(stamps, loads):
-        table.apply(batch(spark, d), t)
-        for run, files in seen.items():
-            assert {f.name: f.stat().st_mtime_ns for f in (closed / run).iterdir()} == files
-        seen = {v.name: {f.name: f.stat().st_mtime_ns for f in v.iterdir()} for v in closed.iterdir()}
-    replay = scd2_replay([(t, batch(spark, d)) for t, d in zip(stamps, loads)], "k")
-    cols = ["k", "v", "valid_from", "valid_to"]
-    assert sorted(map(tuple, table.read().select(cols).collect()), key=str) == sorted(map(tuple, replay.select(cols).collect()), key=str)
-    # a run that stopped before its open part was published is run again
-    import shutil
-
-    shutil.copytree(closed / "v000003", closed / "v000004")
-    table.apply(batch(spark, {"a": 2}), "2024-01-09 00:00:00")
-    assert table.runs() == 4 and table.read().filter("k = 'b' and valid_to is null").count() == 0
+    loads = [{"a": 1, "b": 2, "c": 3}, {"a": 1, "b": 3}, {"a": 2, "b": 3}, {"a": 2}, {}, {"z": 1}]
+    for stop in ("closed", "open"):
+        table = SnapshotTable(spark, str(tmp_path / stop), "t", "k", parts=4)
+        table.apply(batch(spark, loads[0]), STAMPS[0])
+        replace = SnapshotTable._replace
+
+        def lost(self, df, part, column, stop=stop, replace=replace):
+            replace(self, df, part, column)
+            if part == stop:
+                raise RuntimeError("lost")  # after it was written, before the run was marked as done
+
+        monkeypatch.setattr(SnapshotTable, "_replace", lost)
+        try:
+            table.apply(batch(spark, loads[1]), STAMPS[1])
+        except RuntimeError:
+            pass
+        monkeypatch.undo()
+        assert table.runs() == 1
+        for load, stamp in list(zip(loads, STAMPS))[2:]:
+            table.apply(batch(spark, load) if load else batch(spark, loads[0]).limit(0), stamp)
+        assert table.runs() == 6
+        snap = scd2_replay([(t, batch(spark, d) if d else batch(spark, loads[0]).limit(0)) for t, d in zip(STAMPS, loads)], "k")
+        assert shown(table.read()) == shown(snap)
+
+
+def test_dense_tests_agree_with_rows(spark):
+    import random
+
+    rnd = random.Random(4)
+    parent = spark.createDataFrame([(i,) for i in range(1, 70_001)], "id long")
+    good = spark.createDataFrame([(rnd.randint(1, 70_000),) for _ in range(3000)] + [(None,)], "id long")
+    twice = parent.union(spark.createDataFrame([(5,), (5,), (40_000,), (None,)], "id long"))
+    stray = good.union(spark.createDataFrame([(70_001,), (70_001,), (0,), (-3,)], "id long"))
+    tables = {"parent": parent, "good": good, "twice": twice, "stray": stray, "none": parent.limit(0)}
+    tests = [Q.DataTest(t, "id", "unique", dense=d) for t in tables for d in (False, True)]
+    tests += [Q.DataTest(t, "id", "relationships", to=("parent", "id"), dense=d) for t in tables for d in (False, True)]
+    tests += [Q.DataTest("good", "id", "relationships", to=("none", "id"), dense=d) for d in (False, True)]
+    plain = [(t.name, t.to) for t in tests if not t.dense]
+    a = Q.test_report(tables, [t for t in tests if not t.dense]).collect()
+    b = Q.test_report(tables, [t for t in tests if t.dense]).collect()
+    assert len(a) == len(b) == len(plain) and sorted(map(tuple, a)) == sorted(map(tuple, b))
+    got = {r.test: r.failures for r in Q.test_report(tables, [t for t in tests if t.dense][:-1]).collect()}
+    assert got["twice.id.unique"] == 2 and got["stray.id.relationships"] == 4 and got["parent.id.unique"] == 0
+    assert Q.dense_unique(parent, "id") and not Q.dense_unique(twice, "id")
+    # bits are shuffled, not rows
+    p = Q._bitmaps(parent, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in p
+
+
+def test_row_wise_tests_are_counted_while_a_table_is_written(spark):
+    rows = spark.createDataFrame([(1, 5.0), (None, 1.0), (3, None), (None, -2.0)], "k long, v double").repartition(3)
+    tests = [Q.DataTest("t", "k", "not_null"), Q.DataTest("t", "v", "at_least", low=2), Q.DataTest("t", "k", "unique"), Q.DataTest("u", "k", "not_null")]
+    out, counted = Q.stored_and_counted(rows, "t", tests)
+    assert counted == {"t.k.not_null": 2, "t.v.at_least": 2} and out.count() == 4
+    report = Q.test_report({"t": out, "u": rows}, tests, counted)
+    assert {r.test: r.failures for r in report.collect()} == {"t.k.not_null": 2, "t.v.at_least": 2, "t.k.unique": 0, "u.k.not_null": 2}
+    assert Q.stored_and_counted(rows, "x", tests)[1] == {}
 
 
 def test_brand_and_picture_win_over_null(spark):
