@@ -8,11 +8,14 @@ assistant) finds the repair of least cost; of equal costs the earliest state in
 that order. The repaired sequence is then rendered, a fragment for each input
 turn; the fragments of a conversation, joined by ``pos``, are its rendering.
 
-Scale: a conversation is never gathered. Turns are sorted within segments of
-``SEGMENT`` turn numbers; a segment is a 4 x 4 matrix of least costs between
-states, matrices are chained per conversation (one small row per segment), and
-each segment then repairs itself between its known states. Texts are shuffled
-once, by (conversation, segment).
+Scale: a conversation is never gathered. The turns of all conversations, in their
+total order, are cut into ranges at sampled keys (``operators.ranges``), so one
+conversation, even one whose turns all have the same number or none, goes to many
+tasks. Within a conversation and range every ``segment`` turns are a segment, by
+position: a 4 x 4 matrix of least costs between states. Matrices are chained per
+conversation (one small row per segment), and each segment then repairs itself
+between its known states, which stand before its turns in the stream of a task.
+Texts are shuffled once; a task holds the turns of one segment.
 
 Defined cases: a null or unknown role costs a relabelling; a null text is empty;
 turns sort by turn number (null last), then role and text, so ties and repeated
@@ -22,6 +25,7 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from etalage.operators.ranges import MOST_RANGES, range_of, sampled_bounds
+
+from .streams import groups, written
+
 ROLES = ("system", "user", "assistant")
 MERGE, RELABEL, INSERT = 1, 3, 2
 SEGMENT = 256
+#: turns of a range, if there are that many
+RANGE_TURNS = 100_000
 _START, _SYSTEM, _USER, _ASSISTANT = range(4)
 _INF = 1 << 40
 
@@ -103,99 +113,90 @@ def _head(role: int) -> str:
 _TURN_END = "<|end|>\n"
 
 
-def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
-    """Rows of sorted batches, group by group."""
-    key, rows = None, []
-    for b in batches:
-        for row in b.to_pylist():
-            k = tuple(row[c] for c in by)
-            if k != key and rows:
-                yield key, rows
-                rows = []
-            key = k
-            rows.append(row)
-    if rows:
-        yield key, rows
+def _pieces(rows: Iterator[dict], size: int) -> Iterator[list[dict]]:
+    """A stream in lists of ``size``."""
+    while piece := list(itertools.islice(rows, size)):
+        yield piece
+
+
+_ORDER = ["conv_id", "none", "turn", "role", "tie"]
+_COSTS = pa.schema([("conv_id", pa.int64()), ("seg", pa.int32()), ("k", pa.int64()), ("cost", pa.list_(pa.int64()))])
+_KNOWN = pa.schema([("conv_id", pa.int64()), ("seg", pa.int32()), ("part", pa.int64()), ("entry", pa.int32()), ("leave", pa.int32()), ("final", pa.bool_())])
+_OUT = pa.schema([
+    ("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("new_role", pa.string()), ("merged", pa.bool_()),
+    ("inserted", pa.list_(pa.string())), ("cost", pa.int64()), ("seg", pa.int64()), ("k", pa.int64()), ("last", pa.bool_()), ("rendered", pa.string())])
 
 
 def repair_chats(chats: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-                 segment: int = SEGMENT) -> DataFrame:
+                 segment: int = SEGMENT, ranges: int | None = None) -> DataFrame:
     """One row per input turn: conv_id, turn, role, new_role, merged, inserted (roles of
-    the empty turns before it), cost, pos (seg and k: its place), last, rendered.
+    the empty turns before it), cost, seg and k (its place: range, number in it), last, rendered.
 
     The fragment of a conversation's last turn also holds the empty turns that close
-    it, and their cost.
+    it, and their cost. ``ranges`` is how many ranges the turns are cut into.
     """
     rows = chats.select(
-        F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-        F.coalesce(F.floor(F.col(turn) / segment), F.lit((1 << 62))).cast("long").alias("seg"))
-    order = [F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_first(), F.col("tie")]
-    light = rows.select("conv_id", "seg", "turn", "role", F.xxhash64("text").alias("tie"))
-    by = ["conv_id", "seg"]
-
-    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(*k, segment_cost([r["role"] for r in g]).ravel().tolist()) for k, g in _groups(batches, by)]
-        if got:
-            c, s, m = zip(*got, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(s, pa.int64()), pa.array(m, pa.list_(pa.int64()))], ["conv_id", "seg", "cost"])
-
-    costs = light.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(matrices, "conv_id long, seg long, cost array<long>")
-
-    def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
-        for (conv,), group in _groups(batches, ["conv_id"]):
+        F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).isNull().alias("none"), F.col(turn).cast("long").alias("turn"),
+        F.col(role).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    n = rows.count()
+    if ranges is None:
+        parts = int(chats.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        ranges = max(1, min(MOST_RANGES, 4 * parts, -(-n // RANGE_TURNS)))
+    bounds = sampled_bounds(rows, _ORDER, ranges, n)
+    rows = rows.withColumn("seg", range_of(rows, _ORDER, bounds))
+    by, order = ["conv_id", "seg"], [F.col(c).asc_nulls_first() for c in _ORDER[1:]]
+
+    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for key, stream in groups(batches, by):
+            for k, piece in enumerate(_pieces(stream, segment)):
+                yield *key, k, segment_cost([r["role"] for r in piece]).ravel().tolist()
+
+    light = rows.select(*by, "none", "turn", "role", "tie")
+    costs = light.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(
+        lambda b: written(matrices(b), _COSTS), "conv_id long, seg int, k long, cost array<long>")
+
+    def states(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for (conv,), stream in groups(batches, ["conv_id"]):
+            group = [(r["seg"], r["k"], np.array(r["cost"]).reshape(4, 4)) for r in stream]
             into = [np.where(np.arange(4) == _START, 0, _INF)]
-            steps = [np.array(r["cost"]).reshape(4, 4) for r in group]
-            for m in steps:
+            for _, _, m in group:
                 into.append(np.minimum((into[-1][:, None] + m).min(axis=0), _INF))
             state = int(np.argmin(into[-1] + CLOSING))
-            for k in range(len(group) - 1, -1, -1):
-                before = int(np.argmin(into[k] + steps[k][:, state]))
-                out.append((conv, group[k]["seg"], before, state, k == len(group) - 1))
+            for i in range(len(group) - 1, -1, -1):
+                seg, k, m = group[i]
+                before = int(np.argmin(into[i] + m[:, state]))
+                yield conv, seg, k, before, state, i == len(group) - 1
                 state = before
-        if out:
-            c, s, b, e, last = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()), pa.array(s, pa.int64()), pa.array(b, pa.int32()), pa.array(e, pa.int32()), pa.array(last, pa.bool_())],
-                ["conv_id", "seg", "entry", "leave", "final"])
-
-    known = costs.repartition("conv_id").sortWithinPartitions(*by).mapInArrow(
-        states, "conv_id long, seg long, entry int, leave int, final boolean")
-    # the one shuffle of texts; a struct key takes null ids as equal. A segment is one row of
-    # the other side, so its turns stay together however the join is planned
-    key = F.struct("conv_id", "seg").alias("key")
-    met = rows.select("*", key, F.xxhash64("text").alias("tie")).repartition("key").join(
-        known.select(key, "entry", "leave", "final"), "key")
-
-    def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for (conv, seg), group in _groups(batches, by):
-            moves = repair([r["role"] for r in group], group[0]["entry"], group[0]["leave"])
-            for k, (r, (state, merged, fill, cost)) in enumerate(zip(group, moves, strict=True)):
-                last = group[0]["final"] and k == len(group) - 1
-                # a turn is ended by the fragment after it, so no fragment needs to know the next
-                opened = "" if k == 0 and group[0]["entry"] == _START else _TURN_END
-                piece = "\n" + r["text"] if merged else opened + "".join(_head(x) + _TURN_END for x in fill) + _head(state) + r["text"]
-                if last:
-                    piece += _TURN_END + "".join(_head(x) + _TURN_END for x in _CLOSE[state])
-                    cost += INSERT * len(_CLOSE[state])
-                out.append((conv, r["turn"], r["role"], ROLES[state - 1], merged, [ROLES[x - 1] for x in fill], cost, seg, k, last, piece))
-            if len(out) >= 4096:
-                yield _batch(out)
-                out = []
-        if out:
-            yield _batch(out)
-
-    turns = met.select("conv_id", "seg", "turn", "role", "text", "tie", "entry", "leave", "final")
-    return turns.sortWithinPartitions(*by, *order).mapInArrow(render, _SCHEMA)
-
-
-_SCHEMA = ("conv_id long, turn long, role string, new_role string, merged boolean, inserted array<string>, cost long, "
-           "seg long, k long, last boolean, rendered string")
-_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = [x.strip().split(" ")[0] for x in _SCHEMA.split(",")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names)
+
+    known = costs.repartition("conv_id").sortWithinPartitions(*by, "k").mapInArrow(
+        lambda b: written(states(b), _KNOWN), "conv_id long, seg int, part long, entry int, leave int, final boolean")
+
+    def render(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for (conv, seg), stream in groups(batches, by):
+            # a segment's states come first, then all turns; one small row in ``segment`` turns is held
+            ahead: list[tuple[int, int, bool]] = []
+            first = next(stream)
+            while first["kind"] == 0:
+                ahead.append((first["entry"], first["leave"], first["final"]))
+                first = next(stream)
+            place = 0
+            for (entry, leave, final), piece in zip(ahead, _pieces(itertools.chain([first], stream), segment), strict=True):
+                moves = repair([r["role"] for r in piece], entry, leave)
+                for k, (r, (state, merged, fill, cost)) in enumerate(zip(piece, moves, strict=True)):
+                    last = final and k == len(piece) - 1
+                    # a turn is ended by the fragment after it, so no fragment needs to know the next
+                    opened = "" if k == 0 and entry == _START else _TURN_END
+                    text = "\n" + r["text"] if merged else opened + "".join(_head(x) + _TURN_END for x in fill) + _head(state) + r["text"]
+                    if last:
+                        text += _TURN_END + "".join(_head(x) + _TURN_END for x in _CLOSE[state])
+                        cost += INSERT * len(_CLOSE[state])
+                    yield (conv, r["turn"], r["role"], ROLES[state - 1], merged, [ROLES[x - 1] for x in fill], cost, seg, place, last, text)
+                    place += 1
+
+    both = known.withColumn("kind", F.lit(0)).unionByName(rows.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    turns = both.select(*by, "kind", "part", "entry", "leave", "final", "none", "turn", "role", "tie", "text")
+    return turns.repartition(*by).sortWithinPartitions(*by, "kind", "part", *order).mapInArrow(
+        lambda b: written(render(b), _OUT),
+        "conv_id long, turn long, role string, new_role string, merged boolean, inserted array<string>, cost long, "
+        "seg long, k long, last boolean, rendered string")

@@ -45,6 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import store
+from .streams import groups, written
 
 SEGMENT = 256
 #: rules at most, rules made a round, and the least share of all pairs that a rule replaces
@@ -257,41 +258,6 @@ def _symbol() -> Column:
     return F.when(F.col("blank"), F.lit(BLANK)).when(~F.col("fresh"), F.lit(DUPLICATE)).when(F.col("cut"), F.upper(known)).otherwise(known)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[object, Iterator[dict]]]:
-    """Rows of sorted batches, one conversation at a time, as streams."""
-    rows = (row for b in batches for row in b.to_pylist())
-    ahead = next(rows, None)
-    while ahead is not None:
-        key = ahead[by]
-
-        def own(key: object = key) -> Iterator[dict]:
-            nonlocal ahead
-            while ahead is not None and ahead[by] == key:
-                row, ahead = ahead, None
-                yield row
-                ahead = next(rows, None)
-
-        stream = own()
-        yield key, stream
-        for _ in stream:
-            pass
-
-
-def _written(rows: Iterator[tuple], schema: pa.Schema, most: int = 4096) -> Iterator[pa.RecordBatch]:
-    out: list[tuple] = []
-    for row in rows:
-        out.append(row)
-        if len(out) >= most:
-            yield _batch(out, schema)
-            out = []
-    if out:
-        yield _batch(out, schema)
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-
 def segments(faulty: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """key (a struct with conv_id), part, k, seq: the symbols of each conversation in order, ``segment`` a row; stored."""
     light = faulty.select("conv_id", "turn", "role", "h", _symbol().alias("symbol"), F.col("blank"), "copies")
@@ -300,7 +266,7 @@ def segments(faulty: DataFrame, segment: int = SEGMENT) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         k = 0
-        for key, rows in _groups(batches, "key"):
+        for (key,), rows in groups(batches, ["key"]):
             held = ""
             for r in rows:
                 left, again = r["copies"] - 1, BLANK if r["blank"] else DUPLICATE
@@ -319,7 +285,7 @@ def segments(faulty: DataFrame, segment: int = SEGMENT) -> DataFrame:
     key_type = pa.struct([("conv_id", _arrow_type(faulty, "conv_id"))])
     schema = pa.schema([("key", key_type), ("part", pa.int32()), ("k", pa.int64()), ("seq", pa.string())])
     kind = faulty.schema["conv_id"].dataType.simpleString()
-    return store(ordered.mapInArrow(lambda b: _written(cut(b), schema), f"key struct<conv_id:{kind}>, part int, k long, seq string"), "segments")
+    return store(ordered.mapInArrow(lambda b: written(cut(b), schema), f"key struct<conv_id:{kind}>, part int, k long, seq string"), "segments")
 
 
 def _arrow_type(df: DataFrame, column: str) -> pa.DataType:
@@ -371,10 +337,10 @@ def audits(faulty: DataFrame, segment: int = SEGMENT, rules: int = RULES) -> Dat
                 yield seq, [None if x is None else x[0] for x in m], [None if x is None else flat(x[1]) for x in m]
 
     schema = pa.schema([("seq", pa.string()), ("costs", pa.list_(pa.int64())), ("audits", pa.list_(pa.string()))])
-    shared = store(counted.select("seq").mapInArrow(lambda b: _written(multiply(b), schema), "seq string, costs array<long>, audits array<string>"), "matrices")
+    shared = store(counted.select("seq").mapInArrow(lambda b: written(multiply(b), schema), "seq string, costs array<long>, audits array<string>"), "matrices")
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for key, rows in _groups(batches, "key"):
+        for (key,), rows in groups(batches, ["key"]):
             c = Chain()
             for r in rows:
                 c.add(r["costs"], r["audits"])
@@ -385,7 +351,7 @@ def audits(faulty: DataFrame, segment: int = SEGMENT, rules: int = RULES) -> Dat
     kind = faulty.schema["conv_id"].dataType.simpleString()
     met = cut.join(shared, "seq").select("key", "part", "k", "costs", "audits")
     return met.repartition("key").sortWithinPartitions("key", "part", "k").mapInArrow(
-        lambda b: _written(chain(b), out), f"key struct<conv_id:{kind}>, cost long, audit string")
+        lambda b: written(chain(b), out), f"key struct<conv_id:{kind}>, cost long, audit string")
 
 
 def edited(audit: str, rows: Iterator[tuple[str, str]]) -> Iterator[tuple[str, str | None, str]]:
@@ -441,7 +407,7 @@ def repair_conversations(rows: DataFrame, ids: DataFrame | None = None, segment:
     ids = rows.select("conv_id") if ids is None else ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for conv, stream in _groups(batches, "conv_id"):
+        for (conv,), stream in groups(batches, ["conv_id"]):
             head = next(stream)
             seen = _Seen()
             digest, lead = hashlib.sha256(), b""
@@ -455,14 +421,14 @@ def repair_conversations(rows: DataFrame, ids: DataFrame | None = None, segment:
     kind = rows.schema["conv_id"].dataType.simpleString()
     types = {pa.int64(): "long", pa.string(): "string"}
     ddl = f"conv_id {kind}, " + ", ".join(f"{n} {types[t]}" for n, t in _RESULT)
-    return _together(rows, ids, segment, rules).mapInArrow(lambda b: _written(run(b), schema), ddl)
+    return _together(rows, ids, segment, rules).mapInArrow(lambda b: written(run(b), schema), ddl)
 
 
 def repaired_turns(rows: DataFrame, segment: int = SEGMENT, rules: int = RULES) -> DataFrame:
     """conv_id, pos, edit, role, text: every edit of every conversation in order (a deleted row has no role)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for conv, stream in _groups(batches, "conv_id"):
+        for (conv,), stream in groups(batches, ["conv_id"]):
             head = next(stream)
             for pos, move in enumerate(edited(head["audit"], ((r["role"], r["text"]) for r in stream))):
                 yield conv, pos, *move
@@ -470,7 +436,7 @@ def repaired_turns(rows: DataFrame, segment: int = SEGMENT, rules: int = RULES)
     schema = pa.schema([("conv_id", _arrow_type(rows, "conv_id")), ("pos", pa.int64()), ("edit", pa.string()), ("role", pa.string()), ("text", pa.string())])
     kind = rows.schema["conv_id"].dataType.simpleString()
     return _together(rows, rows.select("conv_id"), segment, rules).mapInArrow(
-        lambda b: _written(run(b), schema), f"conv_id {kind}, pos long, edit string, role string, text string")
+        lambda b: written(run(b), schema), f"conv_id {kind}, pos long, edit string, role string, text string")
 
 
 class _Seen:

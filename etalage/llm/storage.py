@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
 
 
+def fresh_name(columns: Iterable[str], name: str) -> str:
+    """``name``, or with underscores after it, so that it is none of the columns (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def store(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """Write a frame as parquet to the shared folder and read it back.
 

@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
+from .storage import fresh_name
+
 CHUNK_BYTES = 4 << 20
 _BLOCK = 1 << 18
 _LONG_WORD = 64
@@ -196,8 +198,7 @@ def annotate(
     such a column, so columns of the frame are never shadowed. ``keep`` names
     the columns passed through (default all). Returns the frame and the name.
     """
-    while name in df.columns:
-        name += "_"
+    name = fresh_name(df.columns, name)
     keep = list(df.columns if keep is None else keep)
     schema = StructType([df.schema[c] for c in keep] + [StructField(name, StructType(list(fields)))])
 

@@ -74,3 +74,45 @@ def test_near_dedup_stage_keeps_rows_not_ids(spark):
     want = [r for r in rows if r[2].startswith("kept")] + [rows[7], rows[9]]
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
     assert corpus_pipeline.near_dedup_stage(spark, docs.limit(0), SF).count() == 0
+
+
+CLASHES = ("src words target mix mix_ _times copy _row row row_ first blocks shards source_words source_size shard before quota own size taken "
+           "component_id kept n_words score rules quality dedup hit hits items contamination contaminated start n_tokens part k doc_id_ TEXT_ MIX2 Row2 "
+           "own2 _mix_id _mix_src _range _place id ids").split()
+
+
+def test_every_stage_passes_clashing_columns_nulls_and_ties_through(spark):
+    rng = np.random.default_rng(3)
+
+    def text(n, seed):
+        r = np.random.default_rng(seed)
+        return "\n".join(" ".join(f"w{x}" for x in r.integers(0, 5000, 12)) + "." for _ in range(n))
+
+    base = [(k, text(int(rng.integers(6, 20)), k), "en", f"s{k % 3}") for k in range(60)]
+    base += [(None, text(9, 900), "en", None), (None, text(9, 901), None, "s1"), (None, None, "en", "s1"), (70, None, None, None), (71, "", "en", "s2"),
+             (72, "  \n ", "en", "s2"), (73, base[3][1], "en", "s0"), base[5], base[5], (5, text(8, 902), "fr", "s2"), (74, "ONE two", "en", "s0"), (75, "w1 " * 9000, "en", "hot")]
+    names = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHES)
+    rows = [(*r, len(r[1] or ""), *[f"{c} of {i}" for c in CLASHES]) for i, r in enumerate(base)]
+    docs = spark.createDataFrame(rows, names).repartition(3)
+    known = Counter(rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = Counter(map(tuple, out.collect()))
+        assert got and not set(got) - set(known), name
+        if name != "mixing":
+            assert all(n <= known[r] for r, n in got.items()), name
+    ends = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert len(ends) == len(rows) and Counter(r.doc_id for r in ends) == Counter(r[0] for r in rows)
+    nothing = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, nothing, SF).count() == 0, name
+
+
+def test_mixing_stage_takes_documents_as_often_as_the_mix(spark):
+    from etalage.llm.mixing import mix_sources
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    taken = {r.mix.doc_id: r.mix.taken / max(r.mix.size, 1) for r in mix_sources(docs).collect()}
+    out = Counter(r.doc_id for r in corpus_pipeline.mixing_stage(spark, docs, SF).select("doc_id").collect())
+    assert out == Counter({d: int(t + 0.5) for d, t in taken.items() if int(t + 0.5)})

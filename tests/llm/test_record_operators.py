@@ -159,6 +159,30 @@ def test_main_text():
     assert html_extract.main_text("<div>" * 3000 + "deep text, here.") == "deep text, here."
 
 
+def test_quotes_open_values_only():
+    body = "<article><p>Before it, some text.</p>{}<p>After it, more text; it goes on.</p><p>And on, it's said.</p></article>"
+    for tag in ("<p title=it's>One, two.</p>", '<p title=5">One, two.</p>', "<p it's>One, two.</p>", '<p "x>One, two.</p>', "<p a=b'c\"d>One, two.</p>",
+                '<p title="a > b">One, two.</p>', "<p title='a > \"b'>One, two.</p>", "<p title = 'a>b' x>One, two.</p>", '<p href=x?a="b>One, two.</p>', "<p a= >One, two.</p>"):
+        assert html_extract.main_text(body.format(tag)) == "Before it, some text.\nOne, two.\nAfter it, more text; it goes on.\nAnd on, it's said.", tag
+    assert html_extract.main_text('<p>a, b.</p><p title="never closed>c') == "a, b."
+
+
+def test_captions_stay():
+    for around in ("<article>{}</article>", "<div><div>{}</div></div>"):
+        got = html_extract.main_text(article_of("<figure><img src=a><figcaption>A caption</figcaption></figure>", around=around)).split("\n")
+        assert got[1] == "A caption" and len(got) == 3
+
+
+def test_notices_and_threads_of_any_name_go():
+    want = html_extract.main_text(article_of())
+    note = "<p>We keep data about you, and we share it with others; read on, or agree. </p>" * 3
+    for name in ("gdpr-notice", "site_cookies-bar", "legal notice", "my-newsletter-box", "top consent-layer"):
+        assert html_extract.main_text(article_of().replace("<nav>", f'<div class="{name}">{note}</div><nav>')) == want, name
+    said = "<p>I liked this a lot, thank you; please write more of it, and soon. </p>" * 4
+    for name in ("discussion-thread", "answers", "talk"):
+        assert html_extract.main_text(article_of().replace("<footer>", f'<div class="{name}">{said}</div><footer>')) == want, name
+
+
 def article_of(*parts, around="<article>{}</article>"):
     long = "A paragraph of the article, with some marks in it; it is long, and it goes on. " * 5
     return f"<body><nav><a href=/>Home</a></nav>{around.format(f'<p>{long}</p>' + ''.join(f'{x}<p>{long}</p>' for x in parts))}<footer>All rights.</footer>"
@@ -291,6 +315,54 @@ def test_mixing(spark, shard_words):
     assert mixing.mix_sources(empty(spark)).count() == 0
 
 
+def brute_taken(rows, shard_of, quota, start_of):
+    """Words taken of each row: the quota's blocks read round a shard from its start, word by word."""
+    out = {}
+    shards = defaultdict(list)
+    for r in rows:
+        shards[shard_of[r[0]]].append(r)
+    for shard, held in shards.items():
+        words = [i for _, i, size in sorted((key, i, size) for i, size, key in held) for _ in range(size)]
+        count = defaultdict(int)
+        wanted = min(quota.get(shard, 0) * mixing.BLOCK_WORDS, 2 * len(words))
+        for k in range(wanted):
+            count[words[(start_of(shard, len(words)) + k) % len(words)]] += 1
+        for i, size, _ in held:
+            out[i] = count[i]
+    return out
+
+
+def test_words_taken_are_those_of_the_quotas(spark):
+    """Each document's taken words, against reading the shards word by word."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(["w"] * int(rng.integers(0, 90))), f"s{int(rng.integers(0, 2))}") for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.mix.doc_id: r.mix for r in mixing.mix_sources(docs, shard_words=1500).collect()}
+    names = sorted({s for *_, s in rows})
+    sizes = [sum(len(t.split()) for _, t, s in rows if s == n) for n in names]
+    targets = mixing.source_targets(sizes, mixing.WEIGHTS[: len(names)], sum(sizes) * 1.5)
+    seats = mixing.apportion(targets, round(sum(targets) / mixing.BLOCK_WORDS))
+    src = F.struct(F.lit(False).alias("src_null"), F.col("source").alias("src_name"))
+    size = mixing.n_words("text")
+    hashed = docs.select("doc_id", "source", size.alias("size"), F.xxhash64(F.lit(mixing.SEED), "doc_id", size, F.xxhash64("text")).alias("key"))
+    for name, words, blocks, target in zip(names, sizes, seats, targets, strict=True):
+        n = -(-words // 1500)
+        mine = hashed.where(F.col("source") == name).withColumn("shard", F.pmod(F.xxhash64(F.lit(mixing.SEED + 1), "doc_id", "key"), F.lit(n).cast("long")))
+        rows_ = mine.select("doc_id", "size", "key", "shard", F.xxhash64(F.lit(mixing.SEED + 2), src, "shard").alias("start")).collect()
+        per = defaultdict(int)
+        for r in rows_:
+            per[r.shard] += r.size
+        used = sorted(s for s in per if per[s])
+        quota = dict(zip(used, brute_seats([per[s] for s in used], blocks), strict=True))
+        start = {r.shard: r.start for r in rows_}
+        want = brute_taken([(r.doc_id, r.size, r.key) for r in rows_], {r.doc_id: r.shard for r in rows_}, quota,
+                           lambda s, w: start[s] % max(w // mixing.BLOCK_WORDS, 1) * mixing.BLOCK_WORDS)
+        assert {d: got[d].taken for d in want} == want
+        assert all(got[d].target == target and got[d].source_size == words for d in want)
+
+
 def legal(roles):
     state = 0
     for r in roles:
@@ -352,16 +424,19 @@ def test_repair_costs_are_least():
             assert legal(out)
 
 
-@pytest.mark.parametrize("segment", [chat_format.SEGMENT, 3])
-def test_chats_by_segments(spark, segment):
+@pytest.mark.parametrize("segment,ranges", [(chat_format.SEGMENT, None), (3, None), (3, 6), (1, 40)])
+def test_chats_by_segments(spark, segment, ranges):
     rng = np.random.default_rng(8)
     rows = []
     for conv in range(12):
         for turn in range(int(rng.integers(1, 40))):
             rows.append((conv, turn, ["system", "user", "assistant", "tool", None][int(rng.choice(5, p=[0.05, 0.45, 0.4, 0.05, 0.05]))], f"t{turn}"))
     rows += [(20, None, "user", "x"), (20, 1, "assistant", None), (20, 1, "assistant", None), (20, 0, "user", ""), (None, 0, "user", "n"), (None, 9, None, "m")]
+    # all turns without a number, and all turns with the same
+    rows += [(30, None, ["user", "assistant", None][k % 3], f"n{k % 70}") for k in range(300)]
+    rows += [(31, 7, ["user", "assistant"][k % 2], f"n{k}") for k in range(200)]
     chats = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, rendered string")
-    got = chat_format.repair_chats(chats, segment=segment).collect()
+    got = chat_format.repair_chats(chats, segment=segment, ranges=ranges).collect()
     assert len(got) == len(rows)
     by = defaultdict(list)
     for r in got:

@@ -189,6 +189,19 @@ def test_decontamination(spark, block_words):
     assert name == "contamination_" and len(kept.columns) == 10 and kept.count() == len(rows)
 
 
+def test_benchmark_blocks_are_made_in_spark(spark):
+    items = [(k % 40, " ".join(f"w{(k * 7 + j) % 90}" for j in range(5 + k % 20))) for k in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blocks, n = decontaminate.pattern_blocks(bench, "item_id", "text", 10, 50)
+    rows = blocks.collect()
+    assert n > 15 and {r.block for r in rows} <= set(range(n)) and len({bytes(r.pattern) for r in rows}) == len(rows)
+    want = {p for _, t in items for p in decontaminate.item_windows(t)}
+    assert {tuple(bytes(r.pattern).split(b" ")) for r in rows} == want
+    size = [sum(len(bytes(r.pattern).split(b" ")) for r in rows if r.block == k) for k in range(n)]
+    assert max(size) < 60
+    assert len(decontaminate.load_block(blocks, 3)[1]) == sum(r.block == 3 for r in rows)
+
+
 def test_decontamination_without_items_or_documents(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     got, name = decontaminate.find_contamination(documents(spark, corpus()), bench)
