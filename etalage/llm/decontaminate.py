@@ -6,10 +6,11 @@ a shift table over blocks of two words: a block that ends no pattern prefix lets
 the search skip ``length - 1`` words at once. Where the shift is 0, the patterns
 that end in the block form a bucket, and each is compared with the text.
 
-Scale: the patterns come from the benchmark, never from the corpus. They are cut
-into blocks of at most ``block_words`` words; a block is what is broadcast, and
-the documents pass through the blocks one after another in the same task. There
-is no shuffle, whatever the number of blocks.
+Scale: the patterns come from the benchmark, never from the corpus. They are made,
+grouped and cut into blocks of about ``block_words`` words in Spark; one block at a
+time is loaded and broadcast. With one block there is no shuffle. With several, each
+is searched in a pass of its own, which writes the occurrences found (documents without
+any write nothing), and these are joined to the documents by row number at the end.
 
 Defined cases: a null or empty text has no words and is not contaminated; a null
 or empty item has no windows; an item with a null id hits words but is not
@@ -28,6 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField
 
+from etalage.operators.rank import running_total
+
+from .storage import fresh_name, store
 from .words import annotate
 
 WINDOW = 10
@@ -90,22 +94,28 @@ def item_windows(text: str | None, window: int = WINDOW) -> list[tuple[bytes, ..
     return [tuple(words[i : i + window]) for i in range(max(1, len(words) - window + 1))]
 
 
-def pattern_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int):
-    """Blocks of {pattern: item ids}, each of at most ``block_words`` words (one item at least)."""
-    block: dict[tuple[bytes, ...], set[str]] = {}
-    held = 0
+def pattern_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int) -> tuple[DataFrame, int]:
+    """pattern (words joined by spaces), items, block: each window once; and the number of blocks."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found = [b" ".join(p) for p in item_windows(t, window)]
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(found), pa.string()), pa.array(found, pa.binary())], ["item", "pattern"])
+
     rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t"))
-    for row in rows.toLocalIterator():
-        for p in item_windows(row.t, window):
-            if held and held + len(p) > block_words:
-                yield block
-                block, held = {}, 0
-            if p not in block:
-                held += len(p)
-            block.setdefault(p, set())
-            if row.i is not None:
-                block[p].add(row.i)
-    yield block
+    patterns = store(rows.mapInArrow(windows, "item string, pattern binary").groupBy("pattern").agg(
+        F.sort_array(F.collect_set("item")).alias("items")), "patterns")
+    size = F.size(F.split(F.col("pattern").cast("string"), " "))
+    dealt = running_total(patterns.withColumn("size", size), ["pattern"], "before", "size")
+    cut = store(dealt.withColumn("block", F.floor(F.col("before") / block_words)).select("pattern", "items", "block"), "blocks")
+    return cut, 1 + (cut.agg(F.max("block")).first()[0] or 0)
+
+
+def load_block(patterns: DataFrame, block: int) -> tuple[WuManber, dict[tuple[bytes, ...], list[str]]]:
+    rows = patterns.where(F.col("block") == block).select("pattern", "items").collect()
+    items = {tuple(bytes(r.pattern).split(b" ")): list(r["items"]) for r in rows}
+    return WuManber(items), items
 
 
 def find_contamination(
@@ -127,17 +137,21 @@ def find_contamination(
     sc = docs.sparkSession.sparkContext
     keep = list(docs.columns if keep is None else keep)
     frame = docs.select(*dict.fromkeys([*keep, text]))
-    passed, earlier = list(frame.columns), []
-    blocks = list(pattern_blocks(benchmark, item_id, item_text, window, block_words))
-    for k, block in enumerate(blocks):
-        shared = sc.broadcast((WuManber(block), block))
-        last = k == len(blocks) - 1
-        frame, name = annotate(
-            frame, text, "contamination" if last else f"hits_{k}", _FULL if last else _PART,
-            _judge(shared, text, list(earlier), last), keep=keep if last else [*passed, *earlier],
-        )
-        earlier.append(name)
-    return frame, name
+    patterns, n_blocks = pattern_blocks(benchmark, item_id, item_text, window, block_words)
+    if n_blocks == 1:
+        return annotate(frame, text, "contamination", _FULL, _judge(sc.broadcast(load_block(patterns, 0)), text, None), keep=keep)
+    row, before = fresh_name(frame.columns, "row"), fresh_name(frame.columns, "before")
+    numbered = store(frame.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = None
+    for k in range(n_blocks):
+        shared = sc.broadcast(load_block(patterns, k))
+        hit, name = annotate(numbered.select(row, text), text, "hit", _PART, _judge(shared, text, None), keep=[row])
+        some = store(hit.where(F.length(f"{name}.hits") > 0).select(F.col(row).alias("row"), F.col(name).alias("hit")), "hits")
+        shared.destroy()
+        found = some if found is None else found.union(some)
+    # a document has one row per block that occurs in it
+    earlier = found.groupBy("row").agg(F.collect_list("hit").alias("hits")).select(F.col("row").alias(row), F.col("hits").alias(before))
+    return annotate(numbered.join(earlier, row, "left"), text, "contamination", _FULL, _judge(None, text, before), keep=keep)
 
 
 _PART = [StructField("hits", BinaryType()), StructField("items", ArrayType(StringType()))]
@@ -147,28 +161,27 @@ _FULL = [
 ]
 
 
-def _judge(shared, text: str, earlier: list[str], last: bool):
+def _judge(shared, text: str, before: str | None):
+    """What :func:`annotate` appends: the block's occurrences, with those that the column ``before`` has."""
+
     def judge(part: pa.RecordBatch) -> dict[str, object]:
-        matcher, items_of = shared.value
-        before = [part.column(part.schema.get_field_index(c)).to_pylist() for c in earlier]
-        out: dict[str, list] = {f.name: [] for f in (_FULL if last else _PART)}
+        matcher, items_of = shared.value if shared else (WuManber([]), {})
+        known = part.column(part.schema.get_field_index(before)).to_pylist() if before else None
+        out: dict[str, list] = {f.name: [] for f in _FULL}
         for i, value in enumerate(part.column(part.schema.get_field_index(text)).to_pylist()):
             words = fold_words(value)
             spans, items = [], set()
             for first, pattern in matcher.search(words):
                 spans.append((first, first + len(pattern)))
-                items |= items_of[pattern]
-            for column in before:
-                spans += map(tuple, np.frombuffer(column[i]["hits"], "<i4").reshape(-1, 2).tolist())
-                items |= set(column[i]["items"])
+                items.update(items_of[pattern])
+            for hit in (known[i] if known else None) or ():
+                spans += map(tuple, np.frombuffer(hit["hits"], "<i4").reshape(-1, 2).tolist())
+                items.update(hit["items"])
             merged = merge_spans(spans)
-            out["hits"].append(np.array(merged, "<i4").tobytes())
-            out["items"].append(sorted(items))
-            if last:
-                n_hit = sum(e - s for s, e in merged)
-                out["n_words"].append(len(words))
-                out["n_hit"].append(n_hit)
-                out["contaminated"].append(n_hit > 0)
+            n_hit = sum(e - s for s, e in merged)
+            for c, v in (("hits", np.array(merged, "<i4").tobytes()), ("items", sorted(items)), ("n_words", len(words)),
+                         ("n_hit", n_hit), ("contaminated", n_hit > 0)):
+                out[c].append(v)
         return {
             k: pa.array(v, pa.binary() if k == "hits" else pa.list_(pa.string()) if k == "items"
                         else pa.bool_() if k == "contaminated" else pa.int64())
