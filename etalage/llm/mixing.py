@@ -7,14 +7,16 @@ shard has an integer quota. Inside a shard the documents stand in seeded order
 and the shard's words, read round and round, are cut into blocks; the quota's
 blocks are taken from a seeded start.
 
-Scale: documents are dealt to shards by a seeded hash, and the number of shards
-follows the total size, so no source (hot or not) meets in one task: the only
-window over documents runs within (source, shard). What the driver sees is one
-row per source.
+Scale: documents are dealt to shards by a seeded hash of id and text, and the number
+of shards follows the total size, so no source (hot or not) meets in one task: the
+only window over documents runs within (source, shard). The shards' quotients are
+ranked over all sources at once, in key ranges, so no task sees all shards of a source
+either. What the driver sees is one row per source.
 
 Defined cases: a null text has size 0; a null source is a source of its own, the
 last; sources of size 0 get nothing; a mix of nothing is empty; documents that
-repeat are separate rows of the mix; other columns are ignored.
+repeat are separate rows of the mix; the caller's columns travel in one struct, so
+their names clash with none of the names used here.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from etalage.operators.rank import running_total
+
+from .storage import fresh_name, store
+
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MAX_REPEATS = 2
@@ -85,19 +91,20 @@ def shard_quotas(shards: DataFrame) -> DataFrame:
     (Q -+ m / 2), give or take one; only the quotients between are ranked, about
     three for each shard.
     """
-    shards = shards.withColumn("n_shards", F.count(F.lit(1)).over(Window.partitionBy("src")))
     part = F.col("words") / F.col("source_words")
     low = F.greatest(F.lit(0), F.floor(part * (F.col("blocks") - F.col("n_shards") / 2)) - 1)
     high = F.ceil(part * (F.col("blocks") + F.col("n_shards") / 2)) + 1
-    ranged = shards.withColumns({"low": low.cast("long"), "high": high.cast("long")})
-    spare = F.col("blocks") - F.sum("low").over(Window.partitionBy("src"))
-    seats = ranged.withColumn("spare", spare).withColumn("seat", F.explode(F.sequence(F.col("low"), F.col("high"))))
-    order = Window.partitionBy("src").orderBy((F.col("words") / (2 * F.col("seat") + 1)).desc(), "shard", "seat")
-    won = seats.withColumn("place", F.row_number().over(order))
-    return won.groupBy("src", "shard").agg(
-        (F.first("low") + F.sum((F.col("place") <= F.col("spare")).cast("long"))).alias("quota"),
-        F.first("words").alias("words"),
-    )
+    sources = shards.groupBy("src").agg(F.count(F.lit(1)).alias("n_shards"))
+    ranged = store(shards.join(sources, "src").withColumns({"low": low.cast("long"), "high": high.cast("long")}), "shards")
+    seats = store(ranged.select("src", "shard", "words", F.explode(F.sequence(F.col("low"), F.col("high"))).alias("seat")).withColumn(
+        "less", -F.col("words") / (2 * F.col("seat") + 1)), "seats")
+    # places over all sources; a source's own begin at its first
+    placed = running_total(seats, ["src", "less", "shard", "seat"], "place")
+    first = placed.groupBy("src").agg(F.min("place").alias("first"))
+    spare = ranged.groupBy("src").agg((F.first("blocks") - F.sum("low")).alias("spare"))
+    won = placed.join(first, "src").join(spare, "src").where("place - first < spare").groupBy("src", "shard").agg(F.count(F.lit(1)).alias("more"))
+    return ranged.join(won, ["src", "shard"], "left").select(
+        "src", "shard", (F.col("low") + F.coalesce("more", F.lit(0))).alias("quota"), "words")
 
 
 def mix_sources(
@@ -112,14 +119,16 @@ def mix_sources(
     seed: int = SEED,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per document: ``keep`` columns, then a struct ``mix`` with doc_id,
-    size, source_size, target and taken (words that the mix takes, repeats counted).
+    """One row per document: ``keep`` columns, then a struct ``mix`` (``mix_`` if there is such a column...)
+    with doc_id, size, source_size, target and taken (words that the mix takes, repeats counted).
 
     ``weights`` go to the sources in code point order, null last, repeating.
     """
     spark = docs.sparkSession
-    sized = docs.select(
-        *[F.col(c) for c in keep], F.col(doc_id).alias("_mix_id"), F.col(source).alias("_mix_src"), n_words(text).alias("_mix_size"))
+    name = fresh_name(keep, "mix")
+    own = F.struct(*keep) if keep else F.lit(None)
+    sized = docs.select(own.alias("own"), F.col(doc_id).alias("_mix_id"), F.col(source).alias("_mix_src"), n_words(text).alias("_mix_size"),
+                        F.xxhash64(text).alias("_mix_tie"))
     totals = {r["_mix_src"]: (r["n"], r["k"]) for r in sized.groupBy("_mix_src").agg(
         F.sum("_mix_size").alias("n"), F.count(F.lit(1)).alias("k")).collect()}
     names = sorted((s for s in totals if s is not None), key=lambda s: s.encode()) + [None] * (None in totals)
@@ -137,7 +146,7 @@ def mix_sources(
     src = F.struct(F.col("_mix_src").isNull().alias("src_null"), F.coalesce("_mix_src", F.lit("")).alias("src_name"))
     dealt = sized.withColumns({
         "src": src,
-        "_mix_key": F.xxhash64(F.lit(seed), "_mix_id", "_mix_size"),
+        "_mix_key": F.xxhash64(F.lit(seed), "_mix_id", "_mix_size", "_mix_tie"),
     }).join(F.broadcast(plan), "src").withColumn(
         "shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_mix_id", "_mix_key"), "shards"))
     supply = dealt.groupBy("src", "shard").agg(
@@ -145,7 +154,7 @@ def mix_sources(
     quotas = shard_quotas(supply)
 
     before = F.sum("_mix_size").over(
-        Window.partitionBy("src", "shard").orderBy("_mix_key", "_mix_id", "_mix_size")
+        Window.partitionBy("src", "shard").orderBy("_mix_key", "_mix_id", "_mix_tie", "_mix_size")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_mix_size")
     placed = dealt.withColumn("before", before).join(quotas, ["src", "shard"], "left")
     # the quota's words start at a seeded block and run round the shard
@@ -167,4 +176,4 @@ def mix_sources(
         F.coalesce("target", F.lit(0.0)).alias("target"),
         F.coalesce(taken, F.lit(0)).cast("long").alias("taken"),
     )
-    return placed.select(*keep, mix.alias("mix"))
+    return placed.select(*[F.col("own")[c].alias(c) for c in keep], mix.alias(name))
