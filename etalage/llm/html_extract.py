@@ -8,7 +8,8 @@ takes the mean of the ratios around it, weighted by distance and by how much of
 their paths is shared, and a path is content if its smoothed ratio reaches a
 share of the page's mean (weighted by text). A path below that (short items, cells,
 lines) stays too if it lies in the article or in the element around blocks of
-content, unless it is mostly link text. Paths through elements that never hold the
+content, unless it is mostly link text. Where most of the content taken stands in an
+article (or ``main``), what follows it outside (a thread of comments, say) is dropped. Paths through elements that never hold the
 article (menus, footers, scripts...) have ratio 0; so have those through forms and
 elements named like them, but not if most of the page's article lies inside.
 
@@ -41,7 +42,7 @@ REACH = 3
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe object svg math select xmp noembed noframes".split())
-ASIDE = frozenset("nav header footer aside form button menu dialog label fieldset figcaption legend head".split())
+ASIDE = frozenset("nav header footer aside form button menu dialog label fieldset legend head".split())
 HOLDERS = frozenset("html body main article".split())
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -49,7 +50,7 @@ CLOSES = {
 }
 SCOPES = frozenset("ul ol dl table td th body html".split())
 #: parts of lists, tables and quotes: what they stand in is the container of their text
-PARTS = frozenset("ul ol dl li dt dd table thead tbody tfoot tr td th caption blockquote figure details pre p center".split())
+PARTS = frozenset("ul ol dl li dt dd table thead tbody tfoot tr td th caption blockquote figure figcaption details pre p center".split())
 #: names that may be given to an element around an article, or around a whole page
 WRAPPERS = frozenset("form fieldset".split())
 #: words of whole class, id and role names of what surrounds an article; a name may
@@ -60,10 +61,14 @@ _WORD = (
     "cookies?|disclaimer|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|navmenu|newsletter|notices?|pagination|popup|promos?|"
     "promotions?|promotional|related|replies|reply|share|sharing|sidebar|social|sponsors?|sponsored|subscribe|toolbar|widgets?")
 _PART = "area|bar|block|body|box|button|buttons|container|form|group|icon|icons|inner|item|items|label|link|links|list|panel|row|section|slot|unit|wrap|wrapper"
-AROUND = re.compile(rf"(?:^|\s)(?:(?:{_PLACE})[-_]*)*(?:{_WORD})(?:[-_]+(?:{_WORD}|{_PART}|\d+))*(?=\s|$)")
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: words that name what surrounds an article wherever they stand in a name
+_ALWAYS = "advert|advertisements?|breadcrumbs?|consent|cookies?|disqus|gdpr|newsletter|notices?|pagination|popup|promos?|sidebar|sponsored"
+AROUND = re.compile(rf"(?:^|[\s_-])(?:{_ALWAYS})(?=[\s_-]|$)|(?:^|\s)(?:(?:{_PLACE})[-_]*)*(?:{_WORD})(?:[-_]+(?:{_WORD}|{_PART}|\d+))*(?=\s|$)")
+
+#: a quote opens a value right after the equals sign only; other values end at white space or >
+_VALUE = r"=\s*\"[^\"]*+(?:\"|\Z)|=\s*'[^']*+(?:'|\Z)|=\s*[^\s\"'>][^\s>]*+"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:" + _VALUE + r"|[^>])*+)(?:>|\Z)", re.S)
+_NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))", re.I)
 _MARKS = re.compile(r"[.,;:!?…。，、¿¡]")
 
 
@@ -266,11 +271,19 @@ def beside(found: list[tuple[tuple[str, ...], str, int]], taken: set[tuple[str,
         container(p) in direct or any(p[:n] in outer for n in lengths if n <= len(p)))}
 
 
+def _held(path: tuple[str, ...]) -> bool:
+    return any(not x.startswith("-") and _name(x) in ("article", "main") for x in path)
+
+
 def main_text(html: str | None, share: float = SHARE) -> str:
     """The blocks on content paths, in page order, one a line."""
     found = released(list(blocks(html or "")))
     keep = content_paths(found, share)
-    return "\n".join(text for path, text, _ in found if path in keep)
+    taken = [(path, text) for path, text, _ in found if path in keep]
+    within = [k for k, (path, _) in enumerate(taken) if _held(path)]
+    if within and 2 * sum(len(taken[k][1]) for k in within) >= sum(len(text) for _, text in taken):
+        del taken[within[-1] + 1 :]
+    return "\n".join(text for _, text in taken)
 
 
 def extract_text(pages: DataFrame, html: str = "html", keep: list[str] | None = None, share: float = SHARE) -> tuple[DataFrame, str]:
