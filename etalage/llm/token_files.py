@@ -27,7 +27,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,9 @@ from .storage import fresh_path, store
 from .words import Words, chunks
 
 END_ID = 1
-CACHED_WORDS = 800_000
+CACHED_WORDS = 400_000
+#: text bytes that are worked on at once
+CHUNK = 2 << 20
 _HEAD = struct.Struct("<qBII")
 _END = 0x0A
 
@@ -79,18 +81,101 @@ _MARKS[list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~")] = True
 _ALNUM = np.zeros(256, bool)
 _ALNUM[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
 
-_workers: dict[str, tuple[object, dict[int, bytes], type]] = {}
+_TOGETHER = 2000
 
 
-def _encoder(file: str):
-    """This worker's tokenizer and its bounded cache of words already encoded."""
-    if file not in _workers:
+class _Known:
+    """Words encoded already: sorted hashes, and for each the place of its ids. No object per word."""
+
+    def __init__(self, wide: type):
+        self.keys, self.begin, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, wide)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are known, and where."""
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, at
+
+    def add(self, keys: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        begin = len(self.ids) + np.cumsum(size) - size
+        order = np.argsort(np.concatenate((self.keys, keys)), kind="stable")
+        self.keys, self.begin, self.size = (np.concatenate(x)[order] for x in ((self.keys, keys), (self.begin, begin), (self.size, size)))
+        self.ids = np.concatenate((self.ids, ids))
+
+    def taken(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of the words at these places, one after another."""
+        size = self.size[at]
+        return size, self.ids[_spread(self.begin[at], size)]
+
+
+def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... size[0] of them, then those of begin[1]..."""
+    total = np.cumsum(size)
+    return np.repeat(begin - (total - size), size) + np.arange(total[-1] if len(total) else 0)
+
+
+class _Encoder:
+    """A worker's tokenizer and the words it has encoded, in two generations of bounded size:
+    a word that is met again moves to the younger one, the older one is dropped when that is full."""
+
+    def __init__(self, file: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        tokenizer = Tokenizer.from_file(file)
-        wide = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        _workers[file] = (tokenizer, {}, wide)
+        self.tokenizer = Tokenizer.from_file(file)
+        self.wide = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.young, self.old = _Known(self.wide), _Known(self.wide)
+        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.closes[ends] = True
+
+    def _each(self, words: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.wide) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def encode(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each word. Words of letters only are one token sequence each, which its last id
+        closes, so many of them go to the tokenizer as one text; if the closing ids are not
+        as many as the words, they are encoded one by one."""
+        out: list[np.ndarray | None] = [None] * len(words)
+        plain = [k for k, x in enumerate(words) if x.isalpha()] if self.closes.any() else []
+        groups = [plain[a : a + _TOGETHER] for a in range(0, len(plain), _TOGETHER)]
+        got = self._each([" ".join([words[k] for k in g]) for g in groups])
+        for g, ids in zip(groups, got, strict=True):
+            last = np.flatnonzero(self.closes[ids])
+            if len(last) == len(g) and last[-1] == len(ids) - 1:
+                for k, s, e in zip(g, [0, *(last[:-1] + 1).tolist()], (last + 1).tolist(), strict=True):
+                    out[k] = ids[s:e]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, ids in zip(rest, self._each([words[k] for k in rest]), strict=True):
+            out[k] = ids
+        return out
+
+    def words(self, keys: np.ndarray, spelled: Callable[[np.ndarray], list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each key (sorted hashes) begin in ``young.ids``, and how many there are."""
+        known, _ = self.young.find(keys)
+        if len(self.young.keys) + np.count_nonzero(~known) > CACHED_WORDS // 2:
+            self.old, self.young = self.young, _Known(self.wide)
+            known = np.zeros(len(keys), bool)
+        missing = np.flatnonzero(~known)
+        again, at = self.old.find(keys[missing])
+        if again.any():
+            self.young.add(keys[missing[again]], *self.old.taken(at[again]))
+        new = missing[~again]
+        for a in range(0, len(new), 10 * _TOGETHER):
+            some = new[a : a + 10 * _TOGETHER]
+            ids = self.encode(spelled(some))
+            self.young.add(keys[some], np.array([len(x) for x in ids], np.int64), np.concatenate(ids))
+        _, at = self.young.find(keys)
+        return self.young.begin[at], self.young.size[at]
+
+
+_workers: dict[str, _Encoder] = {}
+
+
+def _encoder(file: str) -> _Encoder:
+    if file not in _workers:
+        _workers[file] = _Encoder(file)
     return _workers[file]
 
 
@@ -102,15 +187,15 @@ def encode_texts(texts: pa.Array, file: str, by_word: bool, end_id: int) -> list
     it) is encoded once, as it stands, and texts are put together from these.
     Texts that hold ``<|``, as special tokens do, are always encoded whole.
     """
-    tokenizer, cache, wide = _encoder(file)
-    end = np.array([end_id], wide)
+    encoder = _encoder(file)
+    end = np.array([end_id], encoder.wide)
     out: list[np.ndarray | None] = [None] * len(texts)
     texts = pc.fill_null(texts, "")
     whole = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False) if by_word else np.ones(len(texts), bool)
     held = texts.to_pylist() if whole.all() else None
     for i in np.flatnonzero(whole).tolist():
         text = held[i] if held else texts[i].as_py()
-        out[i] = np.concatenate((np.array(tokenizer.encode(text, add_special_tokens=False).ids, wide), end))
+        out[i] = np.concatenate((np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, encoder.wide), end))
     if whole.all():
         return out
     w = Words(texts)
@@ -121,23 +206,16 @@ def encode_texts(texts: pa.Array, file: str, by_word: bool, end_id: int) -> list
     bounds = w.bounds + np.searchsorted(two, w.bounds)
     w.starts, w.ends = np.insert(w.starts, at, last[two] + 1), np.insert(w.ends, two, last[two] + 1)
     keys, first, where = np.unique(w.hashes(), return_index=True, return_inverse=True)
-    keys = keys.tolist()
-    new = [k for k, key in enumerate(keys) if key not in cache]
-    if len(cache) + len(new) > CACHED_WORDS:
-        cache.clear()
-        new = list(range(len(keys)))
     raw = w.data.tobytes()
-    spans = [(int(w.starts[k]), int(w.ends[k])) for k in first[new]]
-    for a in range(0, len(new), 20_000):
-        words = [raw[s:e].decode() for s, e in spans[a : a + 20_000]]
-        for k, x in zip(new[a : a + 20_000], tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-            cache[keys[k]] = np.array(x.ids, wide).tobytes()
-    blobs = [cache[key] for key in keys]
-    flat = np.frombuffer(b"".join(blobs), wide)
-    size = np.array([len(x) for x in blobs], np.int64) // np.dtype(wide).itemsize
-    begin, n = (np.cumsum(size) - size)[where], size[where]
+
+    def spelled(some: np.ndarray) -> list[str]:
+        k = first[some]
+        return [raw[s:e].decode() for s, e in zip(w.starts[k].tolist(), w.ends[k].tolist(), strict=True)]
+
+    begin, size = encoder.words(keys, spelled)
+    begin, n = begin[where], size[where]
     total = np.concatenate(([0], np.cumsum(n)))
-    ids = flat[np.repeat(begin - total[:-1], n) + np.arange(total[-1])]
+    ids = encoder.young.ids[_spread(begin, n)]
     for i, (s, e) in enumerate(zip(total[bounds[:-1]].tolist(), total[bounds[1:]].tolist(), strict=True)):
         if out[i] is None:
             out[i] = np.concatenate((ids[s:e], end))
@@ -151,7 +229,7 @@ def tokenized(docs: DataFrame, file: str, doc_id: str = "doc_id", text: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=1)
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", CHUNK):
                 ids = encode_texts(part.column(1), file, by_word, end_id)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([x.itemsize for x in ids], pa.int32()), pa.array([len(x) for x in ids], pa.int64()),
