@@ -26,7 +26,7 @@ _EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFor
 def _key(order_by: Sequence[str]) -> Column:
     """The sort key as one value that compares like ORDER BY ... ASC NULLS FIRST."""
     # a part without an ELSE counts as nullable, as those of the parsed literal do, so no cast is planned
-    return F.struct(*[F.when(F.lit(True), F.col(c)).alias(f"k{i}") for i, c in enumerate(order_by)])
+    return F.struct(*[F.when(F.col(c).isNotNull(), F.col(c)).alias(f"k{i}") for i, c in enumerate(order_by)])
 
 
 def sampled_bounds(df: DataFrame, order_by: Sequence[str], ranges: int, rows: int) -> list[str]:
