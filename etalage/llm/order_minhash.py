@@ -30,11 +30,14 @@ twice (once for the blocks), so they must be a scan or a written table.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from etalage.operators.ranges import MOST_RANGES, binary_search
+
 K, TUPLE, COMPONENTS = 3, 2, 64
 #: an element is one long: its hash above, its place in the text (modulo PLACE) in the low bits
 BITS = 23
@@ -133,13 +136,7 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), (F.size(a) == F.size(b)).cast("double")).otherwise(equal / F.size(a))
 
 
-def _block(bounds: list[Column], key: Column) -> Column:
-    """How many bounds are at or below the key: a binary search in an array of literals."""
-    steps = [1 << b for b in reversed(range(len(bounds).bit_length()))]
-    at = F.array(*bounds)
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda low, s: F.when((low + s <= len(bounds)) & (F.get(at, low + s - 1) <= key), low + s).otherwise(low))
+_KEY = {"last": "boolean", "at": "bigint", "tie": "bigint", "row": "bigint"}
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", extra: Callable[[Column], Column] | None = None,
@@ -149,11 +146,12 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", extra
     ``extra`` is a Column of the text that is worked out before the rows move.
     """
     spark = docs.sparkSession
-    blocks = blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    blocks = min(MOST_RANGES, blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        F.monotonically_increasing_id().alias("row"))
-    # no part of it is null, so that keys and bounds are of one type and need no cast
-    key = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("at"), F.xxhash64("text").alias("tie"), "row")
+    parts = (F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0).cast("long")), F.xxhash64("text"), F.col("row"))
+    # a part without an ELSE counts as nullable, as those of the parsed bounds do, so no cast is planned
+    key = F.struct(*[F.when(v.isNotNull(), v).alias(c) for c, v in zip(_KEY, parts, strict=True)])
     n = base.count()
     if not n:
         empty = F.struct("text", (extra(F.col("text")) if extra else F.lit(None)).alias("extra"))
@@ -163,13 +161,13 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", extra
     sample = sorted(tuple(r.key) for r in base.where(F.pmod(F.xxhash64("row"), F.lit(one_of)) == 0).select(key.alias("key")).collect())
     first = tuple(base.agg(F.min(key).alias("key")).first().key)
     cuts = sorted({first, *sample[:: max(1, len(sample) // blocks)]})
-    names, types = ("last", "at", "tie", "row"), ("boolean", "long", "long", "long")
-    bounds = [F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(k, types, names, strict=True)]) for k in cuts]
+    kind = f"array<struct<{','.join(f'{c}:{t}' for c, t in _KEY.items())}>>"
+    bounds = F.from_json(F.lit(json.dumps([dict(zip(_KEY, k, strict=True)) for k in cuts])), kind)  # one literal, sorted
     value = extra(F.col("text")) if extra else F.lit(None)
     rows = base.select(key.alias("key"), "text", value.alias("extra"))
-    rows = rows.withColumn("block", _block(bounds, F.col("key")) - 1)
-    starts = F.get(F.array(*bounds), F.col("block")) == F.col("key")
-    before = F.pmod(F.col("block") - 1, F.lit(len(bounds)))
+    rows = rows.withColumn("block", binary_search(bounds, len(cuts), F.col("key")) - 1)
+    starts = F.get(bounds, F.col("block")) == F.col("key")
+    before = F.pmod(F.col("block") - 1, F.lit(len(cuts)))
     sent = F.when(starts, F.array(F.struct(F.col("block").alias("block"), F.lit(False).alias("mark")), F.struct(before.alias("block"), F.lit(True).alias("mark"))))
     dealt = rows.withColumn("to", F.explode(sent.otherwise(F.array(F.struct(F.col("block"), F.lit(False).alias("mark"))))))
     follow = Window.partitionBy("block").orderBy("mark", "key")
