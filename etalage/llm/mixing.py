@@ -94,6 +94,7 @@ def shard_quotas(shards: DataFrame) -> DataFrame:
     part = F.col("words") / F.col("source_words")
     low = F.greatest(F.lit(0), F.floor(part * (F.col("blocks") - F.col("n_shards") / 2)) - 1)
     high = F.ceil(part * (F.col("blocks") + F.col("n_shards") / 2)) + 1
+    shards = store(shards, "supply")  # read twice; it costs a pass over the documents
     sources = shards.groupBy("src").agg(F.count(F.lit(1)).alias("n_shards"))
     ranged = store(shards.join(sources, "src").withColumns({"low": low.cast("long"), "high": high.cast("long")}), "shards")
     seats = store(ranged.select("src", "shard", "words", F.explode(F.sequence(F.col("low"), F.col("high"))).alias("seat")).withColumn(
