@@ -159,7 +159,9 @@ def lag_diff(
                            *([down.alias(mean)] if mean else []))
     in_key = Window.partitionBy("_key").orderBy(*order)
     whole = in_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = df.withColumn("_key", F.struct(chunk.alias("c"), series.alias("s"))).select(
+    # the series' columns travel in the key only, so what is shuffled does not depend on whether they are used later
+    payload = [c for c in df.columns if c not in series_key]
+    rows = df.select(F.struct(chunk.alias("c"), series.alias("s")).alias("_key"), *payload).select(
         "*",
         F.row_number().over(in_key).alias("_rn"),
         F.lag(value, 1).over(in_key).alias("_prev"),
@@ -169,7 +171,7 @@ def lag_diff(
     step = v - F.col("_prev")
     down = (F.col("_rn") > 1) & (step <= 0)
     # always true; it makes the summaries read the columns that the rows need, so that both share one shuffle
-    alike = F.when(F.col("_rn") == 1, F.xxhash64(*df.columns) >= -(1 << 63)).otherwise(F.lit(True))
+    alike = F.when(F.col("_rn") == 1, F.xxhash64(*payload) >= -(1 << 63)).otherwise(F.lit(True))
     summary = rows.filter(alike).groupBy("_key").agg(
         F.max("_first").alias("_first"),
         F.max("_last").alias("_last"),
@@ -185,8 +187,9 @@ def lag_diff(
         carried = carried.withColumn("_mean", F.try_divide(F.sum(total).over(same), F.sum(count).over(same)))
     carried = carried.select("_key", "_before", *(["_mean"] if mean else []))
     before = F.when(F.col("_rn") == 1, F.col("_before")).otherwise(F.col("_prev"))
+    own = [F.col(c) if c in payload else F.col("_key")["s"][c].alias(c) for c in df.columns]
     return rows.join(carried, "_key").select(
-        *[F.col(c) for c in df.columns], before.alias(prev), (v - before).alias(diff),
+        *own, before.alias(prev), (v - before).alias(diff),
         *([F.col("_mean").alias(mean)] if mean else []))
 
 

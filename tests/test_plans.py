@@ -5,7 +5,7 @@ import time
 import numpy as np
 
 from etalage.operators.rank import global_rank, offsets_frame, uniform_range
-from etalage.operators.sales import with_mean_depletion
+from etalage.operators.sales import estimate_sales, with_mean_depletion
 from etalage.operators.series import fill_series
 from etalage.plans import dims, facts
 from etalage.queries import REGISTRY
@@ -78,6 +78,8 @@ def test_chunked_lag_shuffles_the_rows_once(spark):
     # rows move by chunk and series, once; the summaries (a row per chunk and series) by series, and back
     assert "ReusedExchange" in p and p.count("Scan parquet") == 1
     assert "hashpartitioning(image_url" not in p and "hashpartitioning(_of" in p
+    sold = executed(estimate_sales(stored(B.obs_silver(spark, SF_SMALL), "plan"), chunks=16))  # the series' key is not in its result
+    assert "ReusedExchange" in sold and sold.count("Scan parquet") == 1
     small = executed(with_mean_depletion(silver.select("image_url", "name", "date", "stock")))
     assert len(keyed_by(small)) == 1 and "Join" not in small
 
