@@ -12,21 +12,33 @@ with probability 1 - 2 * 0.36 ** 10 > 0.9999; more similar pairs more surely.
 Candidates without all pairs. Equal sets are one node. Table buckets of up to
 ``SMALL`` documents are compared in pairs; in a larger one the first document is
 compared with the rest and leaves it, since all its pairs there are known. Links
-merge components; a bucket whose documents are all in one component is done. The
-other large ones are taken together by the left half of their key: pivots,
+merge components; a bucket whose documents are all in one component is done.
+
+What is left in large buckets is sorted out by its shingles, rarest first. Two sets
+that are similar enough share a shingle among the rarest of either (prefix filter;
+the smaller of the two needs fewer of them), so a document without a rare shingle in
+common with another component is done, and documents of one template that are not
+linked never meet. Documents that share a rare shingle are compared as in the
+buckets: in pairs where few have it, else the first with the rest.
+
+Whoever still shares a rare shingle of more than ``SMALL`` documents with another
+component is taken together with others by the left half of the table key: pivots,
 documents outside a group's largest component, are compared with the whole group
 and leave it, more of them each round, until no group holds two components. So n
 near copies cost about n comparisons and not n * n, yet every two documents that
-share a bucket are compared or already connected, and none of this is capped.
+share a bucket are compared, already connected or shown to differ by their rare
+shingles, and none of this is capped.
 
 Scale: half keys of the first collection that nobody shares are dropped before
 the pairs of half keys are formed. Texts are shuffled once, to take those of
-candidates aside; the comparisons shuffle only these. Hot keys meet in joins that
-adaptive execution splits; group minima are partial first.
+candidates aside; the comparisons shuffle only these, the rare shingles only those of
+unresolved large buckets. Hot keys meet in joins that adaptive execution splits;
+counts and group minima are partial first.
 
 Defined cases: a null or empty text has an empty set and is a component of its
 own; fewer words than a shingle: the whole sequence is the one shingle; rows with
-equal ids are judged each by its own text; a null id is never the smallest id,
+equal ids are judged each by its own text, and the id connects what any of these texts
+is linked with; a null id is never the smallest id,
 and a document without id is found by an equal set only (else its component is
 null and it is not kept); other columns are ignored.
 """
@@ -192,11 +204,21 @@ def group_near_duplicates(
         F.col("x").alias("a"), F.col("node").alias("b")).union(large.select("a", F.col("node").alias("b"))).distinct()
     links, labels = joined(linked(pairs, texts, shingle, percent))
 
-    # 2. what is left of large buckets, by the left half of their keys: pivots, more of them each round
+    # 2. what is left of large buckets, by rare shingles: as in the buckets
     groups = store(unresolved(large.select("key", "half", "node"), labels, ["key"]).select("half", "node").distinct(), "groups")
+    if groups.isEmpty():
+        rare = None
+    else:
+        left = texts.join(groups.select("node").distinct(), "node", "left_semi")
+        shared = store(unresolved(rare_shingles(left, shingle, percent), labels, ["token"]), "shared")
+        links, labels = joined(linked(rare_pairs(shared, percent), texts, shingle, percent))
+        rare = store(shared.where(f"n > {SMALL}").select("token", "node"), "rare")
+
+    # 3. who still shares one with another component, by left half keys: pivots, more of them each round
     count = pivots
-    while True:
-        open_ = store(unresolved(groups, labels, ["half"]), "open")
+    while rare is not None:
+        alive = unresolved(rare, labels, ["token"]).select("node").distinct()
+        open_ = store(unresolved(groups.join(alive, "node", "left_semi"), labels, ["half"]), "open")
         if open_.isEmpty():
             break
         chosen = store(_smallest(open_.where("component <> main"), count), "pivots")
@@ -224,6 +246,51 @@ def unresolved(rows: DataFrame, labels: DataFrame, by: list[str]) -> DataFrame:
     return here.join(main.select(*by, F.col("main.component").alias("main"), "n"), by)
 
 
+def rare_shingles(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(token, node, size, short): the rarest shingles of every text, those that others have too.
+
+    Sets x and y, x not the larger, with 100 * intersection >= percent * union share a token
+    that is ``short`` in x: with o = ceil(percent * size / 100) and shingles in one total order,
+    it is among the first size - o + 1 of y and, since the union is size(x) at least, among the
+    first size - ceil(2 * percent * size / (100 + percent)) + 1 of x.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                values, bounds = set_of(part.column(2), shingle)
+                sizes = np.diff(bounds)
+                of = pa.array(np.repeat(np.arange(part.num_rows), sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(of), part.column(1).take(of), pa.array(np.repeat(sizes, sizes)), pa.array(values.view(np.int64))],
+                    ["node", "version", "size", "token"])
+
+    # a node has several texts where rows share an id
+    rows = store(texts.select("node", F.xxhash64("text").alias("version"), "text").mapInArrow(
+        run, "node long, version long, size long, token long"), "shingles")
+    held = rows.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    own = Window.partitionBy("node", "version")
+    place = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("held", "token"))
+    long_, short = (F.col("size") - F.floor((f * F.col("size") + d - 1) / d) + 1 for f, d in ((percent, 100), (2 * percent, 100 + percent)))
+    first = rows.join(held, "token").withColumn("place", place).where(F.col("place") <= long_).select(
+        "token", "node", "size", (F.col("place") <= short).alias("short"))
+    first = store(first, "rare-shingles")
+    met = first.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.max("short").alias("any")).where("x < y and any")
+    return first.join(met.select("token"), "token")
+
+
+def rare_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a rare shingle: all of them where at
+    most ``SMALL`` have it, else the first document with the rest."""
+    rest = shared.select("token", "node", "size", "short", "component", "n")
+    first = rest.groupBy("token").agg(F.min(F.struct("node", "size", "short", "component")).alias("one")).select("token", "one.*")
+    one = rest.where(f"n <= {SMALL}").drop("n").union(first.join(rest.where(f"n > {SMALL}").select("token").distinct(), "token", "left_semi"))
+    one = one.select("token", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("short").alias("short_a"), F.col("component").alias("component_a"))
+    return one.join(rest, "token").where("a < node and component_a <> component").where(
+        f"100 * least(size_a, size) >= {percent} * greatest(size_a, size)").where(
+        "short_a and size_a <= size or short and size <= size_a").select("a", F.col("node").alias("b")).distinct()
+
+
 def _smallest(rows: DataFrame, count: int) -> DataFrame:
     """(half, node, component, n): the ``count`` smallest nodes of each group, per salt first."""
     rows = rows.select("half", "node", "component", "n", F.pmod(F.xxhash64("node"), F.lit(64)).alias("salt"))

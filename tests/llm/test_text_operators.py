@@ -1,6 +1,7 @@
 """Substring dedup, near dedup, decontamination and quality counts against brute force."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -84,11 +85,15 @@ def test_windows_decided_within_a_batch():
     assert substring_dedup.unpack_runs(*substring_dedup.pack_runs(big)).tolist() == big.tolist()
 
 
+def shingle_set(text, size):
+    ws = WORD.findall(lower_az(text or ""))
+    return {tuple(ws[i : i + size]) for i in range(max(1, len(ws) - size + 1))} if ws else set()
+
+
 def brute_groups(rows, size=4, percent=80):
     sets = []
     for _, text, _ in rows:
-        ws = WORD.findall(lower_az(text or ""))
-        sets.append({tuple(ws[i : i + size]) for i in range(max(1, len(ws) - size + 1))} if ws else set())
+        sets.append(shingle_set(text, size))
     parent = list(range(len(rows)))
 
     def root(i):
@@ -129,6 +134,39 @@ def test_near_dedup_needs_several_pivots(spark):
     assert rows_of(near_dedup.group_near_duplicates(documents(spark, rows))) == brute_groups(rows)
 
 
+def template(n, seed=5, common=100, own=(12, 27)):
+    """Texts of one template with words of their own, similar at 0.65 to 0.9; a few near copies of some, one text without id."""
+    rng = random.Random(seed)
+    base = [f"t{i}" for i in range(common)]
+    rows = [(k, " ".join(base + [f"o{k}x{i}" for i in range(rng.randrange(*own))]), "a") for k in range(n)]
+    for k in range(0, n, 9):
+        words = rows[k][1].split()
+        rows += [(1000 + 20 * k + j, " ".join([*words[:-2], f"c{k}x{j}", *words[-1:]]), "b") for j in range(rng.choice((1, 1, 12)))]
+    return [*rows, (5000, " ".join(base[:50] + [f"z{i}" for i in range(80)]), "c"), (None, rows[1][1], "d")]
+
+
+@pytest.mark.parametrize(("own", "size"), [((12, 27), 4), ((1, 40), 4), ((30, 31), 5)])
+def test_near_dedup_of_a_template(spark, own, size):
+    """Large buckets of texts that are linked, just not linked, and linked by a third one."""
+    rows = template(70, own=own)
+    got = near_dedup.group_near_duplicates(documents(spark, rows), shingle=size, pivots=5)
+    assert rows_of(got) == brute_groups(rows, size)
+
+
+def test_rare_shingles_meet_for_every_link(spark):
+    """The prefix filter alone gives all links, also of sets of very different sizes."""
+    rng = random.Random(2)
+    rows = [r for r in template(60, own=(1, 40)) if r[0] is not None]
+    rows += [(2000 + k, " ".join(f"v{rng.randrange(12)}" for _ in range(rng.randrange(1, 40))), "e") for k in range(60)]
+    sets = {d: shingle_set(t, 2) for d, t, _ in rows}
+    texts = documents(spark, rows).selectExpr("doc_id AS node", "text")
+    found = near_dedup.rare_shingles(texts, 2, 80).selectExpr("token", "node", "size", "short", "node AS component", "1L AS n")
+    pairs = {(r.a, r.b) for r in near_dedup.rare_pairs(found, 80).collect()}
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert links and links <= pairs
+    assert len(pairs) < len(sets) * (len(sets) - 1) / 4
+
+
 def test_near_dedup_of_nothing(spark):
     assert near_dedup.group_near_duplicates(empty(spark)).count() == 0
     only_empty = documents(spark, [(1, None, "a"), (2, "", None)])
