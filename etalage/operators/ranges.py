@@ -44,9 +44,13 @@ def range_of(df: DataFrame, order_by: Sequence[str], bounds: Sequence[str]) -> C
     """The range of each row: how many bounds are at or below its key."""
     if not bounds:
         return F.lit(0)
+    return binary_search(bounds_array(df, order_by, bounds), len(bounds), _key(order_by))
+
+
+def bounds_array(df: DataFrame, order_by: Sequence[str], bounds: Sequence[str]) -> Column:
+    """The bounds as one sorted literal; the parts of each are named k0, k1, ..."""
     kind = ArrayType(StructType([StructField(f"k{i}", df.schema[c].dataType, True) for i, c in enumerate(order_by)]), False)
-    at = F.sort_array(F.from_json(F.lit("[" + ",".join(bounds) + "]"), kind, _EXACT))
-    return binary_search(at, len(bounds), _key(order_by))
+    return F.sort_array(F.from_json(F.lit("[" + ",".join(bounds) + "]"), kind, _EXACT))
 
 
 def binary_search(at: Column, size: int, key: Column) -> Column:

@@ -35,15 +35,16 @@ def mean_depletion_agg(
 
 def with_mean_depletion(
     df: DataFrame, series_key: Sequence[str] = ("image_url",), date: str = "date", stock: str = "stock",
-    tie_break: Sequence[str] = ("name",), chunks: int | None = None,
+    tie_break: Sequence[str] = ("name",), chunks: int | None = None, through: str | None = None,
 ) -> DataFrame:
     """Stock difference and the series' mean depletion on every row.
 
     Adds ``raw_stock_diff`` and ``mean_negative_stock_diff``, without a self-join
-    of the rows and without a task that holds a whole series (see ``lag_diff``).
+    of the rows and without a task that holds a whole long series (see ``lag_diff``, also
+    for ``through``: rows that stand for several days).
     """
     return lag_diff(df, series_key, date, stock, tie_break, prev="_prev_stock", diff="raw_stock_diff",
-                    mean="mean_negative_stock_diff", chunks=chunks).drop("_prev_stock")
+                    mean="mean_negative_stock_diff", chunks=chunks, through=through).drop("_prev_stock")
 
 
 def estimate_sales(
@@ -59,6 +60,7 @@ def estimate_sales(
     unit: str = "unit",
     keep: Sequence[str] = (),
     chunks: int | None = None,
+    through: str | None = None,
 ) -> DataFrame:
     """L2: one row per input row with its estimated ``sales``.
 
@@ -66,12 +68,13 @@ def estimate_sales(
     ``tie_break`` (the picture, by default, although a product is picture +
     name; the tie-break makes rows of one day deterministic). Output:
     ``keep..., product_id, date, price, stock, quantity, price_per_quantity,
-    unit, sales``. ``chunks`` is how many pieces the rows are cut into (see ``lag_diff``).
+    unit, sales``. ``chunks`` is how many pieces the rows are cut into, and with
+    ``through`` an input row stands for several days (see ``lag_diff``).
     """
     names = {product: "product_id", date: "date", price: "price", stock: "stock", quantity: "quantity",
              price_per_quantity: "price_per_quantity", unit: "unit"}
-    needed = dict.fromkeys([*keep, *names, *series_key, *tie_break])
-    stepped = with_mean_depletion(df.select(*needed), series_key, date, stock, tie_break, chunks)
+    needed = dict.fromkeys([*keep, *names, *series_key, *tie_break, *([through] if through else [])])
+    stepped = with_mean_depletion(df.select(*needed), series_key, date, stock, tie_break, chunks, through)
     return stepped.select(
         *keep, *[F.col(c).alias(as_) for c, as_ in names.items()],
         sales_from_delta("raw_stock_diff", "mean_negative_stock_diff").alias("sales"),

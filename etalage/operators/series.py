@@ -16,10 +16,14 @@ from pyspark.sql import functions as F
 
 from etalage.functions.keys import hash_key
 from etalage.operators.rank import running_total, shuffle_partitions
-from etalage.operators.ranges import MOST_RANGES, range_of, sampled_bounds
+from etalage.operators.ranges import MOST_RANGES, bounds_array, range_of, sampled_bounds
 
 #: rows of a series that one task takes without ado
 ROWS_PER_CHUNK = 4_000_000
+#: days that one task of a shuffle by series unfolds, on average; the less for small tables
+ROWS_PER_TASK, ROWS_PER_SMALL_TASK = 1_000_000, 100_000
+#: the last day that an observation covers
+THROUGH = "_through"
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -65,6 +69,23 @@ def date_spine(
     return ext.select(*keys, F.explode(days).alias(date))
 
 
+def _spans(df: DataFrame, keys: Sequence[str], values: Sequence[Column], date: str, max_days: int | None) -> DataFrame:
+    """Each observation with its ``values`` and the days up to the next one of its series, at least its own."""
+    obs = drop_null_keys(df, [*keys, date])
+    in_series = Window.partitionBy(*keys).orderBy(date)
+    found = obs.select(
+        *keys, F.col(date), *values,
+        F.lead(date, 1).over(in_series).alias("_next"),
+        F.first(date).over(in_series.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"),
+    )
+    end = F.coalesce(F.date_sub("_next", 1), F.col(date))
+    if max_days is not None:
+        cap = F.date_add("_first", max_days)
+        found = found.filter(F.col(date) <= cap)
+        end = F.least(end, cap)
+    return found.withColumn(THROUGH, F.greatest(end, F.col(date))).drop("_next", "_first")
+
+
 def spine_left_join(
     df: DataFrame,
     keys: Sequence[str],
@@ -72,10 +93,17 @@ def spine_left_join(
     date: str = "date",
     max_days: int | None = None,
 ) -> DataFrame:
-    """D3: left join the observations onto the spine by ``keys + [date]``."""
-    spine = date_spine(df, keys, date, max_days)
-    obs = drop_null_keys(df, keys).select(*keys, date, *cols)
-    return spine.join(obs, on=[*keys, date], how="left")
+    """D3: left join the observations onto the spine by ``keys + [date]``.
+
+    A series' spine is the days of its observations and the days up to the next one each, so
+    every observation emits its own day with its values and the days that follow without. That
+    shuffles the observations, by series, and no day of the spine; a day observed twice
+    gives two rows, as in the join.
+    """
+    spans = _spans(df, keys, [F.col(c) for c in cols], date, max_days)
+    days = F.posexplode(F.sequence(F.col(date), F.col(THROUGH))).alias("_at", "_day")
+    return spans.select(*keys, days, *cols).select(
+        *keys, F.col("_day").alias(date), *[F.when(F.col("_at") == 0, F.col(c)).alias(c) for c in cols])
 
 
 def running_nonnull_count(
@@ -106,15 +134,46 @@ def forward_fill(
     return df.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 
-def _chunked(df: DataFrame, order_by: Sequence[str], chunks: int | None) -> Column | None:
-    """The chunk of each row in the order of series, day and tie-break; None if one chunk holds all."""
-    if chunks is None:
-        rows = df.count()
-        chunks = min(MOST_RANGES, 4 * shuffle_partitions(df), -(-rows // ROWS_PER_CHUNK))
-    else:
-        rows = df.count()
-    bounds = sampled_bounds(df, order_by, chunks, rows)
-    return range_of(df, order_by, bounds) if bounds else None
+def unfold(spans: DataFrame, date: str = "date", through: str = THROUGH) -> DataFrame:
+    """One row per day from ``date`` to ``through``; the other columns repeat, ``through`` goes."""
+    days = F.explode(F.sequence(F.col(date), F.col(through)))
+    return spans.select(*[days.alias(date) if c == date else F.col(c) for c in spans.columns if c != through])
+
+
+def _sizes(df: DataFrame, series: Column, days: Column) -> tuple[int, int]:
+    """Days of all series together, and of the longest one."""
+    per = df.groupBy(series.alias("_key")).agg(F.sum(days).alias("n"))
+    rows, longest = per.agg(F.sum("n"), F.max("n")).first()
+    return rows or 0, longest or 0
+
+
+def pieces(spans: DataFrame, series_key: Sequence[str], date: str, tie_break: Sequence[str], through: str, bounds: list[str]) -> DataFrame:
+    """The spans cut where a chunk ends, each piece with its chunk ``_chunk``.
+
+    A bound (series, day, tie-break) belongs to the chunk above it, so the days of a span that
+    are in that chunk begin on the bound's day, or a day later if the span's tie-break is lower.
+    """
+    order = [*series_key, date, *tie_break]
+    if not bounds:
+        return spans.withColumn("_chunk", F.lit(0))
+    at = bounds_array(spans, order, bounds)
+    tie = F.struct(*[F.when(F.col(c).isNotNull(), F.col(c)).alias(f"t{i}") for i, c in enumerate(tie_break)])
+
+    def begin(chunk: Column) -> Column:
+        bound = F.get(at, chunk - 1)
+        day = bound[f"k{len(series_key)}"]
+        if not tie_break:
+            return day
+        theirs = F.struct(*[bound[f"k{len(series_key) + 1 + i}"].alias(f"t{i}") for i in range(len(tie_break))])
+        return F.when(tie >= theirs, day).otherwise(F.date_add(day, 1))
+
+    low, high = range_of(spans, order, bounds), range_of(spans, [*series_key, through, *tie_break], bounds)
+    cut = spans.withColumn("_low", low).withColumn("_high", high).select(
+        "*", F.explode(F.sequence("_low", "_high")).alias("_chunk"))
+    first = F.when(F.col("_chunk") == F.col("_low"), F.col(date)).otherwise(begin(F.col("_chunk")))
+    last = F.when(F.col("_chunk") == F.col("_high"), F.col(through)).otherwise(F.date_sub(begin(F.col("_chunk") + 1), 1))
+    return cut.select(*[first.alias(c) if c == date else last.alias(c) if c == through else F.col(c) for c in spans.columns],
+                      "_chunk").filter(F.col(date) <= F.col(through))
 
 
 def lag_diff(
@@ -127,21 +186,27 @@ def lag_diff(
     diff: str = "diff",
     mean: str | None = None,
     chunks: int | None = None,
+    through: str | None = None,
 ) -> DataFrame:
     """Previous value in the series and the difference to it.
 
     ``mean`` also attaches the series' mean depletion (D6): the mean of
     ``abs(diff)`` over its non-positive differences, NULL if it has none.
 
-    A series may hold a great many rows (one placeholder picture shared by a third of
-    all products, on one day even), so this is a blocked prefix scan. The rows, in the
+    With ``through`` a row of ``df`` stands for all days from ``date`` to that column (see
+    ``fill_spans``). The result is the one for the unfolded days, but the rows are shuffled
+    as spans and unfolded where they arrive.
+
+    Series of up to ``ROWS_PER_CHUNK`` rows go to one task each, and the windows alone do
+    it. A series may hold a great many rows (one placeholder picture shared by a third of
+    all products, on one day even); if one does, this is a blocked prefix scan. The rows, in the
     order of series, day and tie-break, are cut into chunks at sampled keys and shuffled
     once, by (chunk, series). A window in each gives its rows' steps and one summary
     row; the summaries of a series, one per chunk, are scanned for what comes before
     each chunk and for the series' mean, and joined back on the same partitioning. Both
     readers of the shuffled rows see the same columns, so Spark shuffles them once
-    (``ReusedExchange``); callers select what they need first. Up to ``ROWS_PER_CHUNK``
-    rows are one chunk, and the windows alone do it.
+    (``ReusedExchange``); callers select what they need first. ``chunks`` asks for that
+    many at least.
 
     The key is a struct, so NULL keys and NULL dates are values like any other (a
     NULL date comes first).
@@ -149,19 +214,39 @@ def lag_diff(
     v = F.col(value)
     series = F.struct(*[F.col(k) for k in series_key])
     order = [F.col(date).asc_nulls_first(), *tie_break]
-    chunk = _chunked(df, [*series_key, date, *tie_break], chunks)
-    if chunk is None:
+    days = F.datediff(through, date).cast("long") + 1 if through else F.lit(1)
+    total, longest = _sizes(df, series, days)
+    wide = shuffle_partitions(df)
+    least = -(-total // ROWS_PER_CHUNK)
+    bounds = []
+    if chunks is not None or longest > ROWS_PER_CHUNK:
+        cuts = min(MOST_RANGES, max(chunks or 1, least))
+        bounds = sampled_bounds(unfold(df, date, through) if through else df, [*series_key, date, *tie_break], cuts, total)
+    columns = [c for c in df.columns if c != through]
+    if not bounds:
         rows = df.withColumn("_key", series)
+        if through or total > wide * ROWS_PER_TASK:
+            # so many that a task holds a bounded number of days, whatever their spans weigh
+            rows = rows.repartition(max(1, min(wide, -(-total // ROWS_PER_SMALL_TASK)), -(-total // ROWS_PER_TASK)), "_key")
+        if through:
+            rows = unfold(rows, date, through)
         in_series, all_of_it = Window.partitionBy("_key").orderBy(*order), Window.partitionBy("_key")
         rows = rows.withColumn("_prev", F.lag(value, 1).over(in_series)).withColumn("_step", v - F.col("_prev"))
         down = F.avg(F.when(F.col("_step") <= 0, F.abs("_step"))).over(all_of_it)
-        return rows.select(*[F.col(c) for c in df.columns], F.col("_prev").alias(prev), F.col("_step").alias(diff),
+        return rows.select(*[F.col(c) for c in columns], F.col("_prev").alias(prev), F.col("_step").alias(diff),
                            *([down.alias(mean)] if mean else []))
     in_key = Window.partitionBy("_key").orderBy(*order)
     whole = in_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # the series' columns travel in the key only, so what is shuffled does not depend on whether they are used later
-    payload = [c for c in df.columns if c not in series_key]
-    rows = df.select(F.struct(chunk.alias("c"), series.alias("s")).alias("_key"), *payload).select(
+    payload = [c for c in columns if c not in series_key]
+    if through:
+        cut = pieces(df, series_key, date, tie_break, through, bounds)
+        keyed = cut.select(F.struct(F.col("_chunk").alias("c"), series.alias("s")).alias("_key"), *payload, through)
+        keyed = unfold(keyed.repartition(max(wide, 2 * len(bounds)), "_key"), date, through)
+    else:
+        chunk = range_of(df, [*series_key, date, *tie_break], bounds)
+        keyed = df.select(F.struct(chunk.alias("c"), series.alias("s")).alias("_key"), *payload)
+    rows = keyed.select(
         "*",
         F.row_number().over(in_key).alias("_rn"),
         F.lag(value, 1).over(in_key).alias("_prev"),
@@ -187,12 +272,34 @@ def lag_diff(
         carried = carried.withColumn("_mean", F.try_divide(F.sum(total).over(same), F.sum(count).over(same)))
     carried = carried.select("_key", "_before", *(["_mean"] if mean else []))
     before = F.when(F.col("_rn") == 1, F.col("_before")).otherwise(F.col("_prev"))
-    own = [F.col(c) if c in payload else F.col("_key")["s"][c].alias(c) for c in df.columns]
+    own = [F.col(c) if c in payload else F.col("_key")["s"][c].alias(c) for c in columns]
     return rows.join(carried, "_key").select(
         *own, before.alias(prev), (v - before).alias(diff),
         *([F.col("_mean").alias(mean)] if mean else []))
 
 
+def fill_spans(
+    df: DataFrame,
+    keys: Sequence[str],
+    cols: Sequence[str],
+    date: str = "date",
+    max_days: int | None = None,
+    hash_col: str | None = "product_id",
+    hash_of: Sequence[str] | None = None,
+) -> DataFrame:
+    """H2 before its days are unfolded: one row per observation, with its forward-filled
+    values and the days it covers, ``date`` to ``THROUGH`` (the day before the next one).
+
+    ``unfold`` gives the dense rows. Whatever does not look at single days (the surrogate, a
+    distinct, a lookup by key, a written copy, a shuffle by series) costs a row per
+    observation here.
+    """
+    w_run = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    filled = _spans(df, keys, [F.last(c, ignorenulls=True).over(w_run).alias(c) for c in cols], date, max_days)
+    own = [hash_key(*(hash_of or keys)).alias(hash_col)] if hash_col else []
+    return filled.select(*own, *keys, date, *cols, THROUGH)
+
+
 def fill_series(
     df: DataFrame,
     keys: Sequence[str],
@@ -222,32 +329,12 @@ def fill_series(
     form does. ``hash_col`` is the md5 surrogate of ``hash_of`` (default: the
     keys); ``id_col`` numbers the rows by keys and date over the whole table.
     """
-    obs = drop_null_keys(df, [*keys, date])
-    w_run = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    w_ord = Window.partitionBy(*keys).orderBy(date)
-    filled = obs.select(
-        *keys,
-        F.col(date),
-        F.lead(date, 1).over(w_ord).alias("_next"),
-        F.first(date).over(w_run).alias("_first"),
-        *[F.last(c, ignorenulls=True).over(w_run).alias(c) for c in cols],
-    )
-    end = F.coalesce(F.date_sub("_next", 1), F.col(date))
-    if max_days is not None:
-        cap = F.date_add("_first", max_days)
-        filled = filled.filter(F.col(date) <= cap)
-        end = F.least(end, cap)
-    end = F.greatest(end, F.col(date))
-    filled = filled.select(*keys, date, *cols, end.alias("_end"))
-    if id_col:
-        filled = filled.withColumn("_days", F.datediff("_end", date) + 1)
-        filled = running_total(filled, [*keys, date], "_before", "_days")
-        days = F.posexplode(F.sequence(F.col(date), F.col("_end"))).alias("_at", "_day")
-        out = filled.select("_before", *keys, days, *cols).select(
-            (F.col("_before") + F.col("_at") + 1).alias(id_col), *keys, F.col("_day").alias(date), *cols)
-    else:
-        out = filled.select(*keys, F.explode(F.sequence(F.col(date), F.col("_end"))).alias(date), *cols)
-    if hash_col:
-        own = hash_key(*(hash_of or keys)).alias(hash_col)
-        out = out.select(id_col, own, *out.columns[1:]) if id_col else out.select(own, *out.columns)
-    return out
+    filled = fill_spans(df, keys, cols, date, max_days, hash_col, hash_of)
+    if not id_col:
+        return unfold(filled, date)
+    filled = filled.withColumn("_days", F.datediff(THROUGH, date) + 1)
+    filled = running_total(filled, [*keys, date], "_before", "_days")
+    own = [hash_col] if hash_col else []
+    days = F.posexplode(F.sequence(F.col(date), F.col(THROUGH))).alias("_at", "_day")
+    return filled.select("_before", *own, *keys, days, *cols).select(
+        (F.col("_before") + F.col("_at") + 1).alias(id_col), *own, *keys, F.col("_day").alias(date), *cols)
