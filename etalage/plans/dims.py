@@ -4,7 +4,8 @@ Each takes the silver table of all feeds stacked by name (``stack_feeds``);
 a UNION of the four feeds followed by DISTINCT is the DISTINCT of the stack,
 and a UNION ALL of per-feed DISTINCTs is the DISTINCT of the stack including
 its ``feed`` column. Silver is meant to be a written table: its narrow column
-scan is what a dimension costs.
+scan is what a dimension costs. Rows may be days or spans of days (``fill_spans``):
+only ``dim_date`` needs to be told.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from etalage.operators.dedup import dedup_first
 from etalage.operators.filters import not_blank
 from etalage.operators.rank import global_rank
+from etalage.operators.series import unfold
 from etalage.sources.io import stored
 
 
@@ -24,9 +26,14 @@ def dim_category(silver: DataFrame) -> DataFrame:
     return global_rank(stored(pairs, "pairs"), ["section", "category"], out="id_category").select("id_category", "section", "category")
 
 
-def dim_date(silver: DataFrame) -> DataFrame:
-    """K2: calendar of all days present, with day / month / year parts."""
-    days = silver.select(F.col("date").cast("date").alias("date")).filter(F.col("date").isNotNull()).distinct()
+def dim_date(silver: DataFrame, through: str | None = None) -> DataFrame:
+    """K2: calendar of all days present, with day / month / year parts.
+
+    With ``through`` a row stands for all days up to that column's: different spans are unfolded, not rows."""
+    days = silver.select(F.col("date").cast("date").alias("date"), *([through] if through else [])).filter(
+        F.col("date").isNotNull()).distinct()
+    if through:
+        days = unfold(days, "date", through).distinct()
     return global_rank(stored(days, "days"), ["date"], out="date_id").select(
         "date_id",
         F.dayofmonth("date").cast("long").alias("day"),

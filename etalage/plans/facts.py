@@ -31,24 +31,27 @@ def fact_rows(
     dim_date: DataFrame,
     series_key: Sequence[str] = ("image_url",),
     feed_col: str | None = "feed",
+    through: str | None = None,
 ) -> DataFrame:
-    """The fact without its numbers.
+    """The fact without its numbers. With ``through`` a silver row stands for all days up to that column's.
 
     Big-side shuffles: series + day for the estimate, then ``product_id`` once.
     Both dedups, and the product lookup between them, work on the ``product_id``
     partitioning: a matched row's dimension key is its own ``product_id``. Rows
-    without a product (normally none) share the NULL key and are deduplicated per
+    without a product (normally none, which is asked first) share the NULL key and are deduplicated per
     day on their own. The date lookup is a calendar: one row per day.
     """
     keys = list(series_key)
     if feed_col and feed_col in silver.columns:
         keys = [feed_col, *keys]
-    est = estimate_sales(silver, series_key=keys, tie_break=("name",))
+    est = estimate_sales(silver, series_key=keys, tie_break=("name",), through=through)
     first = dedup_first(est.repartition("product_id"), ["product_id", "date"], _keep_highest_stock())
     known = dim_product.select("product_id", F.lit(True).alias("_known"))
     days = F.broadcast(dim_date.select("date", "date_id"))  # bounded by the calendar
     met = first.join(known, "product_id", "left").join(days, "date", "left").withColumn("sales", clamp_sentinel("sales"))
     matched = dedup_first(met.filter("_known"), ["product_id", "date_id"], _keep_highest_stock())
+    if silver.select("product_id").distinct().join(known, "product_id", "left_anti").isEmpty():
+        return matched.select(*FACT_COLS)  # no row for the other branch, which would sort them all again
     unmatched = dedup_first(met.filter("_known is null"), ["date_id"], _keep_highest_stock()).withColumn(
         "product_id", F.lit(None).cast("bigint"))
     return matched.select(*FACT_COLS).unionByName(unmatched.select(*FACT_COLS))
@@ -60,6 +63,7 @@ def fact_sales(
     dim_date: DataFrame,
     series_key: Sequence[str] = ("image_url",),
     feed_col: str | None = "feed",
+    through: str | None = None,
 ) -> DataFrame:
     """K6: estimated daily sales per product.
 
@@ -69,5 +73,5 @@ def fact_sales(
     number the rows by (product_id, date_id). The rows are written once, after
     the second dedup; the counting and the numbering read that table.
     """
-    rows = stored(fact_rows(silver, dim_product, dim_date, series_key, feed_col), "fact")
+    rows = stored(fact_rows(silver, dim_product, dim_date, series_key, feed_col, through), "fact")
     return global_rank(rows, ["product_id", "date_id"], out="id", uniform_leading=PRODUCT_ID_RANGE)
