@@ -108,3 +108,15 @@ def test_total_sort_is_sorted_across_partitions(spark):
     assert p.index("Generate explode") < p.index("rangepartitioning(image_url")  # spans are sorted, not days
     got = [(r.image_url, r.name, r.date) for r in out.select("image_url", "name", "date").collect()]
     assert got == sorted(got)
+
+
+def test_raw_lines_are_made_once(spark):
+    raw = B.raw_tables(spark, SF_SMALL)
+    for name in ("auchan", "biocoop", "carrefour", "labellevie"):
+        p = plan(raw[name])
+        assert "Window" not in p and "Join" not in p
+
+
+def test_a_feed_is_numbered_from_written_lines(spark):
+    p = plan(REGISTRY["bronze_feed_unit_price"](spark, SF_SMALL))
+    assert "lineitem" not in p and "l_partkey" not in p
