@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 from etalage.functions.keys import hash_key
 from etalage.operators.rank import running_total, shuffle_partitions
 from etalage.operators.ranges import MOST_RANGES, bounds_array, range_of, sampled_bounds
+from etalage.operators.steps import DAYS_PER_PIECE, DOWN, DOWNS, lag_spans
 
 #: rows of a series that one task takes without ado
 ROWS_PER_CHUNK = 4_000_000
 #: days that one task of a shuffle by series unfolds, on average; the less for small tables
 ROWS_PER_TASK, ROWS_PER_SMALL_TASK = 1_000_000, 100_000
+#: days that one task unfolds from spans, none of which it sorts as rows
+DAYS_PER_TASK = 4_000_000
 #: the last day that an observation covers
 THROUGH = "_through"
 
@@ -134,10 +137,15 @@ def forward_fill(
     return df.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 
-def unfold(spans: DataFrame, date: str = "date", through: str = THROUGH) -> DataFrame:
-    """One row per day from ``date`` to ``through``; the other columns repeat, ``through`` goes."""
+def unfold(spans: DataFrame, date: str = "date", through: str = THROUGH, arrays: Sequence[str] = ()) -> DataFrame:
+    """One row per day from ``date`` to ``through``; the other columns repeat, ``through`` goes.
+    ``arrays`` hold an element per day, and give each day its own."""
     days = F.explode(F.sequence(F.col(date), F.col(through)))
-    return spans.select(*[days.alias(date) if c == date else F.col(c) for c in spans.columns if c != through])
+    if not arrays:
+        return spans.select(*[days.alias(date) if c == date else F.col(c) for c in spans.columns if c != through])
+    at = F.datediff("_day", date)
+    return spans.select("*", days.alias("_day")).select(
+        *[F.col("_day").alias(c) if c == date else F.get(c, at).alias(c) if c in arrays else F.col(c) for c in spans.columns if c != through])
 
 
 def _sizes(df: DataFrame, series: Column, days: Column) -> tuple[int, int]:
@@ -187,6 +195,7 @@ def lag_diff(
     mean: str | None = None,
     chunks: int | None = None,
     through: str | None = None,
+    folded: bool = False,
 ) -> DataFrame:
     """Previous value in the series and the difference to it.
 
@@ -194,8 +203,10 @@ def lag_diff(
     ``abs(diff)`` over its non-positive differences, NULL if it has none.
 
     With ``through`` a row of ``df`` stands for all days from ``date`` to that column (see
-    ``fill_spans``). The result is the one for the unfolded days, but the rows are shuffled
-    as spans and unfolded where they arrive.
+    ``fill_spans``). The result is the one for the unfolded days, but rows are shuffled and sorted
+    as spans, and days are unfolded last (``operators.steps``). ``folded`` leaves the spans as they
+    are: ``prev`` is then an array over a span's days (see ``unfold``), or left out if it is None, there is no ``diff``,
+    and ``_down`` and ``_downs`` hold the sum and the number of the span's falls.
 
     Series of up to ``ROWS_PER_CHUNK`` rows go to one task each, and the windows alone do
     it. A series may hold a great many rows (one placeholder picture shared by a third of
@@ -217,19 +228,27 @@ def lag_diff(
     days = F.datediff(through, date).cast("long") + 1 if through else F.lit(1)
     total, longest = _sizes(df, series, days)
     wide = shuffle_partitions(df)
-    least = -(-total // ROWS_PER_CHUNK)
-    bounds = []
-    if chunks is not None or longest > ROWS_PER_CHUNK:
-        cuts = min(MOST_RANGES, max(chunks or 1, least))
-        bounds = sampled_bounds(unfold(df, date, through) if through else df, [*series_key, date, *tie_break], cuts, total)
+    hot = chunks is not None or longest > ROWS_PER_CHUNK
     columns = [c for c in df.columns if c != through]
+    if through:
+        n = max(1, min(wide, -(-total // ROWS_PER_SMALL_TASK)), -(-total // DAYS_PER_TASK))
+        cuts = min(MOST_RANGES, max(chunks or 1, -(-total // min(DAYS_PER_PIECE, ROWS_PER_CHUNK)))) if hot else 1
+        spans = lag_spans(df, series_key, date, value, tie_break, through, n, cuts, total, lists=prev is not None)
+        found = [F.col("_prev").alias(prev)] if prev else []
+        found += [F.col("_mean").alias(mean)] if mean else []
+        if folded:
+            return spans.select(*columns, through, *found, DOWN, DOWNS)
+        opened = unfold(spans.select(*columns, through, *found), date, through, [prev])
+        return opened.select(*columns, prev, (v - F.col(prev)).alias(diff), *([mean] if mean else []))
+    bounds = []
+    if hot:
+        cuts = min(MOST_RANGES, max(chunks or 1, -(-total // ROWS_PER_CHUNK)))
+        bounds = sampled_bounds(df, [*series_key, date, *tie_break], cuts, total)
     if not bounds:
         rows = df.withColumn("_key", series)
-        if through or total > wide * ROWS_PER_TASK:
-            # so many that a task holds a bounded number of days, whatever their spans weigh
-            rows = rows.repartition(max(1, min(wide, -(-total // ROWS_PER_SMALL_TASK)), -(-total // ROWS_PER_TASK)), "_key")
-        if through:
-            rows = unfold(rows, date, through)
+        if total > wide * ROWS_PER_TASK:
+            # so many that a task holds a bounded number of rows, whatever they weigh
+            rows = rows.repartition(-(-total // ROWS_PER_TASK), "_key")
         in_series, all_of_it = Window.partitionBy("_key").orderBy(*order), Window.partitionBy("_key")
         rows = rows.withColumn("_prev", F.lag(value, 1).over(in_series)).withColumn("_step", v - F.col("_prev"))
         down = F.avg(F.when(F.col("_step") <= 0, F.abs("_step"))).over(all_of_it)
@@ -239,13 +258,8 @@ def lag_diff(
     whole = in_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # the series' columns travel in the key only, so what is shuffled does not depend on whether they are used later
     payload = [c for c in columns if c not in series_key]
-    if through:
-        cut = pieces(df, series_key, date, tie_break, through, bounds)
-        keyed = cut.select(F.struct(F.col("_chunk").alias("c"), series.alias("s")).alias("_key"), *payload, through)
-        keyed = unfold(keyed.repartition(max(wide, 2 * len(bounds)), "_key"), date, through)
-    else:
-        chunk = range_of(df, [*series_key, date, *tie_break], bounds)
-        keyed = df.select(F.struct(chunk.alias("c"), series.alias("s")).alias("_key"), *payload)
+    chunk = range_of(df, [*series_key, date, *tie_break], bounds)
+    keyed = df.select(F.struct(chunk.alias("c"), series.alias("s")).alias("_key"), *payload)
     rows = keyed.select(
         "*",
         F.row_number().over(in_key).alias("_rn"),
