@@ -24,11 +24,12 @@ def dedup_first(
     ``WindowGroupLimit`` before the shuffle: each task forwards only its own
     best row per key, so a hot key costs one row per map task, not its whole
     group. ``order_by`` should be total (add tie-breakers); otherwise which of
-    the tied rows survives is up to the engine, as in plain SQL.
+    the tied rows survives is up to the engine, as in plain SQL. Groups are sorted by a hash of
+    their key first: keys mostly begin alike, and a hash settles a comparison in one step.
     """
     if not order_by:
         raise ValueError("dedup_first needs an ordering; use distinct() for set semantics")
-    w = Window.partitionBy(*_as_cols(keys)).orderBy(*_as_cols(order_by))
+    w = Window.partitionBy(F.xxhash64(*_as_cols(keys)), *_as_cols(keys)).orderBy(*_as_cols(order_by))
     return (
         df.withColumn(rank_col, F.row_number().over(w))
         .filter(F.col(rank_col) == 1)

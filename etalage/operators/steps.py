@@ -133,8 +133,9 @@ def _per_day(date: str, value: str, names: Sequence[str]):
 
 def _dealt(rows: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     """Rows of a key together and in order, the first of a key with ``_rn`` 1."""
-    together = rows.repartition(n, "_key").sortWithinPartitions("_key", *order)
-    return together.withColumn("_rn", F.row_number().over(Window.partitionBy("_key").orderBy(*order)))
+    # a hash settles most comparisons of keys in one step
+    together = rows.withColumn("_hash", F.xxhash64("_key")).repartition(n, "_key").sortWithinPartitions("_hash", "_key", *order)
+    return together.withColumn("_rn", F.row_number().over(Window.partitionBy("_hash", "_key").orderBy(*order))).drop("_hash")
 
 
 def lag_spans(df: DataFrame, series_key: Sequence[str], date: str, value: str, tie_break: Sequence[str], through: str,

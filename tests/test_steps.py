@@ -6,10 +6,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from etalage import queries
 from etalage.operators import steps
 from etalage.operators.sales import estimate_sales, mean_depletion_agg
 from etalage.operators.series import THROUGH, fill_spans, lag_diff, unfold
 from etalage.queries import REGISTRY
+from etalage.sources import bindings as B
 
 from conftest import SF_SMALL
 from test_plans import plan
@@ -50,3 +52,20 @@ def test_series_stay_whole_across_batches(monkeypatch):
     found = list(steps._groups(iter([whole.slice(0, 0), *batches])))
     assert all(t["_rn"][0].as_py() == 1 for t in found) and len(found) > 5
     assert [r for t in found for r in t["_rn"].to_pylist()] == rn
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("dim_category", None), ("dim_date", None), ("dim_picture", None), ("dim_store", None), ("dim_product", 8),
+    ("join_dim_lookup", 4), ("sales_from_delta", 5), ("agg_mean_depletion", 5)])
+def test_silver_is_written_with_what_is_read(spark, monkeypatch, name, columns):
+    """A model that reads silver once reads it unwritten; the others write no column that nobody reads."""
+    written = []
+    keep = queries.stored
+    monkeypatch.setattr(queries, "stored", lambda df, label: written.append((label, len(df.columns))) or keep(df, label))
+    REGISTRY[name](spark, SF_SMALL)
+    assert written == ([("silver", columns)] if columns else [])
+
+
+def test_groups_are_sorted_by_a_hash_first(spark):
+    p = plan(B.obs_daily(spark, SF_SMALL))
+    assert "Sort [xxhash64" in p or "Sort [_w0" in p
