@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from etalage.operators.ranges import MOST_RANGES, range_of, sampled_bounds
+from etalage.operators.ranges import MOST_RANGES, sampled_bounds, with_range
 
 #: rows that one task sorts without ado
 ROWS_PER_RANGE = 200_000
@@ -60,7 +60,7 @@ def ranged(df: DataFrame, order_by: Sequence[str], ranges: int | None = None) ->
     _ranges(df, ranges)
     rows = df.count() if ranges != 1 else 0
     bounds = sampled_bounds(df, order_by, _ranges(df, ranges, rows), rows)
-    return df.withColumn("_range", range_of(df, order_by, bounds)), len(bounds) + 1
+    return with_range(df, order_by, bounds, "_range"), len(bounds) + 1
 
 
 def running_total(

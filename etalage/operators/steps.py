@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from etalage.operators.ranges import MOST_RANGES, range_of, sampled_bounds
+from etalage.operators.ranges import MOST_RANGES, sampled_bounds, with_range
 from etalage.sources.io import stored
 
 #: days that are put in order at a time, besides those of a longer series; days of a piece of a hot series
@@ -159,7 +159,7 @@ def lag_spans(df: DataFrame, series_key: Sequence[str], date: str, value: str, t
     if not bounds:
         dealt = _dealt(spans.withColumn("_key", series), n, order).drop("_key")
         return dealt.mapInArrow(_previous(date, value, lists, out.names), out)
-    keyed = spans.withColumn("_key", F.struct(range_of(df, [*series_key, *tie_break], bounds).alias("c"), series.alias("s")))
+    keyed = with_range(spans, [*series_key, *tie_break], bounds, "_c").withColumn("_key", F.struct(F.col("_c").alias("c"), series.alias("s"))).drop("_c")
     n = max(n, 2 * len(bounds))
     kind = StructType([keyed.schema["_key"], StructField("_day", df.schema[date].dataType), StructField("_first", DoubleType()),
                        StructField("_last", DoubleType()), StructField(DOWN, DoubleType()), StructField(DOWNS, LongType())])
