@@ -18,6 +18,7 @@ from etalage.functions.keys import hash_key
 from etalage.operators.rank import running_total, shuffle_partitions
 from etalage.operators.ranges import MOST_RANGES, bounds_array, sampled_bounds, with_range
 from etalage.operators.steps import DAYS_PER_PIECE, DOWN, DOWNS, lag_spans
+from etalage.sources.io import stored
 
 #: rows of a series that one task takes without ado
 ROWS_PER_CHUNK = 4_000_000
@@ -351,7 +352,8 @@ def fill_series(
     filled = fill_spans(df, keys, cols, date, max_days, hash_col, hash_of)
     if not id_col:
         return unfold(filled, date)
-    filled = filled.withColumn("_days", F.datediff(THROUGH, date) + 1)
+    # written once: numbering reads its rows more than once, and would shuffle the observations for each
+    filled = stored(filled.withColumn("_days", F.datediff(THROUGH, date) + 1), "spans")
     filled = running_total(filled, [*keys, date], "_before", "_days")
     own = [hash_col] if hash_col else []
     days = F.posexplode(F.sequence(F.col(date), F.col(THROUGH))).alias("_at", "_day")

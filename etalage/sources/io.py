@@ -15,7 +15,8 @@ is kept as text in a rescue column.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from etalage.session import checkpoint_dir
 
 #: the tables' file format
 FORMAT = "parquet"
+#: Spark's setting to drop a query's shuffle files when it ends, not when the driver collects garbage
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LAYERS = ("landing", "bronze", "silver", "gold", "snapshots")
 
 
@@ -44,10 +47,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back: what follows neither
     recomputes it nor depends on the executors that made it."""
     path = f"{checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What a write shuffles goes when it ends: nobody asks the plan of a write for it again."""
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
+
+
 def layer_path(root: str, layer: str, name: str) -> str:
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
@@ -124,7 +139,8 @@ def write_layer(
     writer = df.write.format(fmt or FORMAT).mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    with shuffles_dropped(spark):
+        writer.save(path)
     return path
 
 
