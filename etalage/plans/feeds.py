@@ -14,6 +14,8 @@ dropped from the output.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -78,11 +80,11 @@ def _parsed(
     if calendar:
         day = F.when(day.between(*[F.lit(d).cast("date") for d in calendar]), day)
     casts = {**casts, "date": (F.col("date").cast("string"), day)}
-    bad = F.filter(
-        F.array(*[
-            F.when((F.trim(text) != "") & value.isNull(), F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text")))
-            for c, (text, value) in casts.items()
-        ]), lambda x: x.isNotNull())
+    odd = {c: F.coalesce((F.trim(text) != "") & value.isNull(), F.lit(False)) for c, (text, value) in casts.items()}
+    listed = F.filter(
+        F.array(*[F.when(o, F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"))) for c, o in odd.items()]),
+        lambda x: x.isNotNull())
+    bad = F.when(reduce(or_, odd.values()), listed)  # the filter is interpreted, so only rows with a reject come to it
     rows = raw.select(
         F.col("date").alias("_raw_date"), *[F.col(c).alias(f"_tie_{c}") for c in tie_break],
         day.alias("date"), F.col(image).alias("image_url"), *[v.alias(k) for k, v in columns.items()], bad.alias("_bad"))
