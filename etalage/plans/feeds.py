@@ -25,6 +25,7 @@ from etalage.functions import clean as C
 from etalage.operators.dedup import dedup_first
 from etalage.operators.filters import valid_key
 from etalage.operators.rank import global_rank
+from etalage.sources.io import stored
 
 BRONZE_COLS = [
     "id", "name", "price", "stock", "quantity", "unit", "price_per_quantity",
@@ -66,7 +67,7 @@ REJECT_COLS = ["feed", "id", "image_url", "column", "text"]
 
 def _parsed(
     raw: DataFrame, feed: str, tie_break: Sequence[str], image: str, columns: dict[str, Column],
-    casts: dict[str, tuple[Column, Column]], calendar: Calendar = None,
+    casts: dict[str, tuple[Column, Column]], calendar: Calendar = None, keep: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Clean, then number the raw rows by date: ``id`` = rank over (date, tie_break).
 
@@ -74,7 +75,8 @@ def _parsed(
     that is there and not blank but gives NULL is rejected. Only the order key,
     the cleaned columns and the (mostly empty) list of rejects are numbered. A row whose date
     cannot be read, or is not in the ``calendar`` (one misread year would make a series
-    of millions of days), is on no day: it is among the rejects only.
+    of millions of days), is on no day: it is among the rejects only. ``keep`` writes the numbered
+    rows, for a caller that reads both results.
     """
     day = F.col("date").try_cast("date")
     if calendar:
@@ -89,6 +91,7 @@ def _parsed(
         F.col("date").alias("_raw_date"), *[F.col(c).alias(f"_tie_{c}") for c in tie_break],
         day.alias("date"), F.col(image).alias("image_url"), *[v.alias(k) for k, v in columns.items()], bad.alias("_bad"))
     numbered = global_rank(rows, ["_raw_date", *[f"_tie_{c}" for c in tie_break]], out="id")
+    numbered = stored(numbered, f"{feed}_numbered") if keep else numbered
     clean = numbered.filter(F.col("_raw_date").isNull() | F.col("date").isNotNull()).select("id", "date", "image_url", *columns)
     rejects = numbered.select(F.lit(feed).alias("feed"), "id", "image_url", F.explode("_bad").alias("_bad")).select(
         "feed", "id", "image_url", "_bad.column", "_bad.text")
@@ -108,7 +111,7 @@ def _daily(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def bronze_feed_norm_left(
     raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str], feed: str = "auchan",
-    calendar: Calendar = None,
+    calendar: Calendar = None, keep: bool = False,
 ) -> Feed:
     """Price text with 'from' prices, numeric stock, pack size from the
     norm table, LEFT lookups (unmatched rows kept), invalid URLs dropped."""
@@ -116,7 +119,7 @@ def bronze_feed_norm_left(
     r, rejects = _parsed(
         raw, feed, tie_break, "image_url",
         {"name": F.col("name"), "stock": stock, "price": price, "marque": F.col("marque"), "store": F.col("store")},
-        {"quantity_stock": (F.col("quantity_stock"), stock), "price": (C.price_text("price"), price)}, calendar)
+        {"quantity_stock": (F.col("quantity_stock"), stock), "price": (C.price_text("price"), price)}, calendar, keep)
     j = _enrich(r, cat, sec, "left").join(first_norm(norm), on="name", how="left").filter(valid_key("image_url"))
     j = j.withColumn("price_per_quantity", C.price_per_quantity("price", "quantity"))
     return Feed(_daily(j, [*BRONZE_COLS[:-2], "marque", "store", "image_url"]), rejects)
@@ -124,7 +127,7 @@ def bronze_feed_norm_left(
 
 def bronze_feed_phrase_stock(
     raw: DataFrame, cat: DataFrame, sec: DataFrame, tie_break: Sequence[str], feed: str = "biocoop",
-    calendar: Calendar = None,
+    calendar: Calendar = None, keep: bool = False,
 ) -> Feed:
     """Stock phrases, patched prices, pack size derived from the unit
     price text, kilo -> gram scaling, INNER lookups, no URL filter."""
@@ -135,7 +138,7 @@ def bronze_feed_phrase_stock(
         {"name": F.col("name"), "stock": C.parse_stock("stock"), "price": price,
          "raw_unit": C.keep_letters("price_per_quantity", drop=(C.EURO, " ")),
          "raw_quantity": C.pack_size(price, unit_price, digits=3), "store": F.col("store")},
-        {"price": (C.replace_all("price", C.PRICE_FIXUPS), price), "price_per_quantity": (unit_text, unit_price)}, calendar)
+        {"price": (C.replace_all("price", C.PRICE_FIXUPS), price), "price_per_quantity": (unit_text, unit_price)}, calendar, keep)
     kilo = F.col("raw_unit") == "kg"
     size = F.when(kilo, F.col("raw_quantity") * 1000).otherwise(F.col("raw_quantity"))
     j = _enrich(r, cat, sec, "inner").select(
@@ -146,7 +149,7 @@ def bronze_feed_phrase_stock(
 
 def bronze_feed_unit_price(
     raw: DataFrame, cat: DataFrame, sec: DataFrame, tie_break: Sequence[str],
-    consistent_units: bool = False, feed: str = "carrefour", calendar: Calendar = None,
+    consistent_units: bool = False, feed: str = "carrefour", calendar: Calendar = None, keep: bool = False,
 ) -> Feed:
     """Promotional price ratio, unit and unit price captured from text,
     pack size = price / unit price, unit scaling and renames, INNER lookups."""
@@ -159,7 +162,7 @@ def bronze_feed_unit_price(
          "raw_quantity": C.pack_size(price, unit_price), "store": F.col("store")},
         {"quantity_stock": (F.col("quantity_stock"), stock), "price": (C.price_text("price", False), price),
          "promotion": (promo, C.to_number(promo, C.PRICE_DECIMAL)),
-         "price_per_quantity": (C.unit_price_text("price_per_quantity"), unit_price)}, calendar)
+         "price_per_quantity": (C.unit_price_text("price_per_quantity"), unit_price)}, calendar, keep)
     j = _enrich(r, cat, sec, "inner").select(
         "*",
         C.scale_quantity("raw_quantity", "raw_unit").alias("quantity"),
@@ -173,7 +176,7 @@ def bronze_feed_unit_price(
 
 def bronze_feed_discount(
     raw: DataFrame, cat: DataFrame, sec: DataFrame, norm: DataFrame, tie_break: Sequence[str], feed: str = "labellevie",
-    calendar: Calendar = None,
+    calendar: Calendar = None, keep: bool = False,
 ) -> Feed:
     """K0d: day-truncated timestamps, digits-only stock, percent discounts,
     pack size from the norm table, INNER lookups, invalid URLs dropped."""
@@ -184,7 +187,7 @@ def bronze_feed_discount(
         raw, feed, tie_break, "image_url",
         {"name": F.col("name"), "stock": stock, "price": C.discounted_price("price", "promotion"), "store": F.col("store")},
         {"quantity_stock": (stock_text, stock), "promotion": (C.discount_text("promotion"), C.discount_fraction("promotion")),
-         "price": (base, C.to_number(base, C.PRICE_DECIMAL))}, calendar)
+         "price": (base, C.to_number(base, C.PRICE_DECIMAL))}, calendar, keep)
     j = _enrich(r, cat, sec, "inner").join(first_norm(norm), on="name", how="inner").filter(valid_key("image_url"))
     j = j.withColumn("price_per_quantity", C.price_per_quantity("price", "quantity"))
     return Feed(_daily(j, BRONZE_COLS), rejects)

@@ -39,14 +39,16 @@ def silver_from_bronze(bronze: DataFrame, feed_col: str = "feed", max_days: int
     )
 
 
-def bronze_feeds(raw: dict[str, DataFrame], tie_break: Sequence[str], calendar: K.Calendar = None) -> dict[str, K.Feed]:
-    """The four feed models over raw tables: the feeds, and ``cat``, ``section``, ``norm``."""
+def bronze_feeds(raw: dict[str, DataFrame], tie_break: Sequence[str], calendar: K.Calendar = None,
+                 keep: bool = False) -> dict[str, K.Feed]:
+    """The four feed models over raw tables: the feeds, and ``cat``, ``section``, ``norm``. ``keep``: a feed's
+    numbered rows are written once for its clean rows and its rejects."""
     cat, sec, norm = raw["cat"], raw["section"], raw["norm"]
     return {
-        "auchan": K.bronze_feed_norm_left(raw["auchan"], cat, sec, norm, tie_break, calendar=calendar),
-        "biocoop": K.bronze_feed_phrase_stock(raw["biocoop"], cat, sec, tie_break, calendar=calendar),
-        "carrefour": K.bronze_feed_unit_price(raw["carrefour"], cat, sec, tie_break, calendar=calendar),
-        "labellevie": K.bronze_feed_discount(raw["labellevie"], cat, sec, norm, tie_break, calendar=calendar),
+        "auchan": K.bronze_feed_norm_left(raw["auchan"], cat, sec, norm, tie_break, calendar=calendar, keep=keep),
+        "biocoop": K.bronze_feed_phrase_stock(raw["biocoop"], cat, sec, tie_break, calendar=calendar, keep=keep),
+        "carrefour": K.bronze_feed_unit_price(raw["carrefour"], cat, sec, tie_break, calendar=calendar, keep=keep),
+        "labellevie": K.bronze_feed_discount(raw["labellevie"], cat, sec, norm, tie_break, calendar=calendar, keep=keep),
     }
 
 
@@ -71,7 +73,7 @@ class Lakehouse:
     def build_bronze(self, tie_break: Sequence[str], calendar: K.Calendar = None) -> None:
         """The four feeds and their rejected texts (``<feed>_rejects``); days beyond the calendar are rejected too."""
         raw = {n: self.read("landing", n) for n in (*FEEDS, "cat", "section", "norm")}
-        for name, feed in bronze_feeds(raw, tie_break, calendar).items():
+        for name, feed in bronze_feeds(raw, tie_break, calendar, keep=True).items():
             self._save("bronze", name, feed.clean)
             self._save("bronze", f"{name}_rejects", feed.rejects)
 

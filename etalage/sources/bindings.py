@@ -173,10 +173,14 @@ def raw_lines(spark: SparkSession, root: str) -> DataFrame:
     )
     part = read_source(spark, root, "part", ["p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"])
     names = read_source(spark, root, "part", ["p_partkey", "p_name"]).withColumnRenamed("p_partkey", "n_partkey")
+    names = names.withColumn("n_suppkey", F.expr("(n_partkey + pmod(n_partkey, 2)) div 2"))
     seen = Window.partitionBy("l_suppkey", "l_returnflag").orderBy("l_shipdate", "l_orderkey", "l_linenumber")
     day = F.date_add(F.lit(SCRAPE_START).cast("date"), F.row_number().over(seen) - 1).cast("timestamp_ntz")
-    j = li.withColumn("_day", day).join(part, li.l_partkey == part.p_partkey, "left").join(
-        names, 2 * F.col("l_suppkey") - F.when(F.col("l_linestatus") == "O", 1).otherwise(0) == F.col("n_partkey"), "left")
+    # the lines of a supplier are together for the days and for the names; which of its two, is no key to shuffle by
+    other = 2 * F.col("l_suppkey") - F.when(F.col("l_linestatus") == "O", 1).otherwise(0) - F.col("n_partkey")
+    j = li.repartition("l_suppkey").withColumn("_day", day).join(
+        names, (F.col("l_suppkey") == F.col("n_suppkey")) & (other == 0), "left").join(
+        part, li.l_partkey == part.p_partkey, "left")
     k = F.col("l_orderkey")
     url = (
         F.when(k % URL_NULL_MOD == 0, F.lit(None).cast("string"))
